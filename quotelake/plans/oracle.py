@@ -64,3 +64,220 @@ latest AS (
   FROM quotes ORDER BY symbol, recorded_at DESC, row_id DESC)
 SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, recorded_at
 FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20"""
+
+Q = with_(QUOTES)
+QS = with_(QUOTES, HOURLY)
+NULLS = """nq AS (
+  SELECT * REPLACE (
+      CASE WHEN price_usd < 1.0 THEN NULL ELSE name END AS name,
+      CASE WHEN volume_24h = 0 THEN NULL ELSE price_usd END AS price_usd)
+  FROM quotes)"""
+QN = with_(QUOTES, NULLS)
+RAW_COLS = """symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h, recorded_at,
+       id, high_24h, low_24h, CAST(NULL AS DOUBLE) AS circulating_supply,
+       CAST(NULL AS DOUBLE) AS total_supply, CAST(NULL AS DOUBLE) AS max_supply, last_updated"""
+HOUR_TEXT = "strftime(date_trunc('hour', recorded_at), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
+DAY_STATS = """SELECT symbol, CAST(recorded_at AS DATE) AS day,
+       round(stddev_samp(price_usd), 6) AS volatility_score,
+       round(avg(volume_24h), 6) AS avg_volume,
+       coalesce(max(volume_24h) > avg(volume_24h), false) AS volume_spike,
+       min(recorded_at) AS window_start, max(recorded_at) AS window_end,
+       count(*) AS record_count
+FROM {src} GROUP BY symbol, CAST(recorded_at AS DATE)"""
+HIST_STATS = """SELECT symbol,
+       round(stddev_samp(price_usd), 6) AS volatility_score,
+       round(avg(volume_24h), 6) AS avg_volume,
+       coalesce(max(volume_24h) > avg(volume_24h), false) AS volume_spike,
+       min(recorded_at) AS window_start, max(recorded_at) AS window_end,
+       count(*) AS record_count
+FROM {src} GROUP BY symbol"""
+GATES = """SELECT count(*) AS row_count,
+       count(*) FILTER (WHERE symbol IS NULL OR name IS NULL OR price_usd IS NULL
+                        OR recorded_at IS NULL) AS null_critical_rows
+FROM nq"""
+REPORT = """report AS (
+  SELECT row_count, null_critical_rows,
+         CASE WHEN row_count >= 1 THEN 'success' ELSE 'failed' END AS row_count_status,
+         CASE WHEN row_count < 1 THEN 'skipped' WHEN null_critical_rows > 0 THEN 'failed'
+              ELSE 'success' END AS nulls_status
+  FROM (""" + GATES + "))"
+LOG = """logrows AS (
+  SELECT 1 AS seq, 'data_quality_row_counts' AS stage, 'started' AS status,
+         'Checking coin_prices row count' AS message FROM report
+  UNION ALL
+  SELECT 2, 'data_quality_row_counts', row_count_status,
+         CASE WHEN row_count_status = 'success' THEN 'coin_prices row count passed'
+              ELSE 'coin_prices is empty' END FROM report
+  UNION ALL
+  SELECT 3, 'data_quality_nulls', 'started', 'Checking coin_prices null-critical columns'
+  FROM report WHERE row_count_status = 'success'
+  UNION ALL
+  SELECT 4, 'data_quality_nulls', nulls_status,
+         CASE WHEN nulls_status = 'success' THEN 'Null checks passed'
+              ELSE 'Found ' || null_critical_rows || ' null-critical rows in coin_prices' END
+  FROM report WHERE row_count_status = 'success')"""
+
+ORACLE["scan_raw"] = Q + f"SELECT {RAW_COLS} FROM quotes"
+ORACLE["sink_raw"] = ORACLE["scan_raw"]
+ORACLE["append_union"] = Q + f"SELECT {RAW_COLS} FROM quotes WHERE recorded_at < TIMESTAMP '2024-01-16' UNION ALL SELECT {RAW_COLS} FROM quotes WHERE recorded_at >= TIMESTAMP '2024-01-16'"
+ORACLE["project_fact"] = Q + """SELECT symbol, name, price_usd, market_cap, volume_24h,
+       price_change_pct_24h, recorded_at FROM quotes"""
+ORACLE["envelope_roundtrip"] = Q + f"""SELECT {HOUR_TEXT} AS ingested_at, id, symbol, name,
+       price_usd AS current_price, market_cap, volume_24h AS total_volume, price_change_pct_24h,
+       high_24h, low_24h, CAST(NULL AS DOUBLE) AS circulating_supply,
+       CAST(NULL AS DOUBLE) AS total_supply, CAST(NULL AS DOUBLE) AS max_supply, last_updated
+FROM quotes"""
+ORACLE["envelope_size"] = Q + f"""SELECT {HOUR_TEXT} AS ingested_at, CAST(count(*) AS INTEGER) AS n_coins
+FROM quotes GROUP BY {HOUR_TEXT}, floor(row_id / 50)"""
+ORACLE["snapshot_page"] = Q + """SELECT row_id, symbol, market_cap, price_usd FROM quotes
+WHERE symbol IN ('click', 'view', 'purchase')
+ORDER BY market_cap DESC NULLS LAST, row_id LIMIT 50 OFFSET 50"""
+ORACLE["typed_cast"] = Q + """SELECT row_id, TRY_CAST(CAST(price_usd AS VARCHAR) AS DOUBLE) AS price_usd,
+       TRY_CAST(CAST(volume_24h AS VARCHAR) AS BIGINT) AS volume_24h,
+       TRY_CAST(symbol AS DOUBLE) AS symbol_as_number FROM quotes"""
+ORACLE["parse_ts"] = Q + """SELECT row_id, last_updated,
+       try_strptime(last_updated, '%Y-%m-%dT%H:%M:%S.%gZ') AS last_updated_ts,
+       CAST(NULL AS TIMESTAMP) AS bad_text_ts FROM quotes"""
+DERIVED = """SELECT row_id, CAST(high_24h - low_24h AS DOUBLE) AS price_range_24h,
+       coalesce(price_change_pct_24h > 0, false) AS is_price_positive,
+       CASE WHEN price_usd > {hi} THEN 'high' WHEN price_usd > {mid} THEN 'medium'
+            ELSE 'low' END AS price_category FROM {src}"""
+ORACLE["derived_fields"] = Q + DERIVED.format(hi=300.0, mid=100.0, src="quotes")
+ORACLE["derived_fields_brand"] = with_(BRANDS) + DERIVED.format(hi=1000.0, mid=100.0, src="brands")
+ORACLE["spike_flag"] = Q + """SELECT row_id, volume_24h, coalesce(volume_24h > 50.0, false) AS volume_spike
+FROM quotes"""
+ORACLE["enriched_contract"] = Q + """, ext AS (
+  SELECT symbol, max(price_usd) AS ath, min(price_usd) AS atl FROM quotes GROUP BY symbol)
+SELECT id, q.symbol, name, price_usd AS current_price, market_cap, volume_24h AS total_volume,
+       price_change_pct_24h AS price_change_percentage_24h,
+       CASE WHEN price_usd > 300.0 THEN 'high' WHEN price_usd > 100.0 THEN 'medium' ELSE 'low' END
+         AS price_category,
+       CASE WHEN volume_24h > 66.0 THEN 'high' WHEN volume_24h > 33.0 THEN 'medium' ELSE 'low' END
+         AS volume_category,
+       CASE WHEN market_cap > 300000.0 THEN 'large' WHEN market_cap > 100000.0 THEN 'mid'
+            ELSE 'small' END AS market_cap_category,
+       price_usd >= ath * 0.95 AS is_near_ath, price_usd <= atl * 1.05 AS is_near_atl,
+       (high_24h - low_24h) / low_24h AS volatility_24h,
+       recorded_at AS processing_timestamp, strftime(recorded_at, '%Y-%m-%d') AS data_date,
+       'events' AS data_source, '1.0.0' AS pipeline_version
+FROM quotes q LEFT JOIN ext ON q.symbol = ext.symbol"""
+ORACLE["batch_stats"] = Q + DAY_STATS.format(src="quotes")
+ORACLE["history_stats"] = Q + HIST_STATS.format(src="quotes")
+ORACLE["history_stats_brand"] = with_(BRANDS) + HIST_STATS.format(src="brands")
+ORACLE["stats_spike_join"] = Q + """, d AS (SELECT *, CAST(recorded_at AS DATE) AS day FROM quotes),
+m AS (SELECT symbol, day, round(avg(volume_24h), 6) AS avg_volume FROM d GROUP BY symbol, day)
+SELECT d.symbol, d.day,
+       max(CASE WHEN d.volume_24h > m.avg_volume THEN 1 ELSE 0 END) > 0 AS volume_spike
+FROM d LEFT JOIN m ON d.symbol = m.symbol AND d.day = m.day GROUP BY d.symbol, d.day"""
+ORACLE["enrich_join"] = Q + ", hs AS (" + HIST_STATS.format(src="quotes") + """)
+SELECT row_id, q.symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h,
+       recorded_at, hs.volatility_score, hs.volume_spike
+FROM quotes q LEFT JOIN hs ON q.symbol = hs.symbol"""
+WINDOW_STATS = """SELECT symbol,
+       time_bucket(INTERVAL {w}, recorded_at) AS window_start,
+       time_bucket(INTERVAL {w}, recorded_at) + INTERVAL {w} AS window_end,
+       round(avg(price_usd), 6) AS avg_price,
+       round(stddev_samp(price_usd), 6) AS volatility_score,
+       round(avg(volume_24h), 6) AS avg_volume,
+       round(stddev_samp(volume_24h), 6) AS volume_stddev,
+       coalesce(max(volume_24h) > avg(volume_24h), false) AS volume_spike,
+       count(*) AS record_count
+FROM quotes {where} GROUP BY symbol, time_bucket(INTERVAL {w}, recorded_at)"""
+ORACLE["window_stats"] = Q + WINDOW_STATS.format(w="5 minute", where="")
+ORACLE["window_join"] = Q + """, k AS (SELECT *, time_bucket(INTERVAL 1 hour, recorded_at) AS window_start FROM quotes),
+b AS (SELECT symbol, window_start, avg(volume_24h) AS av, stddev_samp(price_usd) AS sd
+      FROM k GROUP BY symbol, window_start)
+SELECT row_id, k.symbol, k.window_start, volume_24h, round(av, 6) AS avg_volume_window,
+       round(sd, 6) AS volatility_score, coalesce(volume_24h > av, false) AS volume_spike,
+       coalesce(sd > 1000.0, false) AS volatility_flag
+FROM k LEFT JOIN b ON k.symbol = b.symbol AND k.window_start = b.window_start"""
+LATEST = """SELECT DISTINCT ON (symbol) symbol, name, price_usd, market_cap, volume_24h,
+       price_change_pct_24h, recorded_at
+FROM {src} ORDER BY symbol, recorded_at DESC, row_id DESC"""
+ORACLE["q1_top_volume_brand"] = with_(BRANDS) + ", latest AS (" + LATEST.format(src="brands") + """)
+SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, recorded_at
+FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20"""
+ORACLE["q2_trend"] = Q + """SELECT CAST(recorded_at AS DATE) AS day, round(avg(price_usd), 6) AS avg_price,
+       max(price_usd) AS max_price, min(price_usd) AS min_price
+FROM quotes WHERE symbol = 'click' GROUP BY CAST(recorded_at AS DATE) ORDER BY day"""
+ORACLE["q2_trend_sql"] = ORACLE["q2_trend"]
+ORACLE["q3_heatmap"] = QS + """SELECT symbol, window_start, window_end, volatility_score
+FROM market_stats ORDER BY window_end DESC, symbol"""
+ORACLE["q4_spike_rate"] = QS + """SELECT symbol,
+       100.0::DOUBLE * CAST(count(*) FILTER (WHERE volume_spike) AS BIGINT) / count(*) AS volume_spike_pct,
+       count(*) AS records
+FROM market_stats GROUP BY symbol HAVING count(*) > 0 ORDER BY volume_spike_pct DESC"""
+ORACLE["q5_latest"] = Q + LATEST.format(src="quotes")
+ORACLE["q5_latest_window"] = ORACLE["q5_latest"]
+ORACLE["q5_latest_brand"] = with_(BRANDS) + LATEST.format(src="brands")
+ORACLE["latest_n_facts"] = Q + """SELECT row_id, symbol, name, price_usd, market_cap, volume_24h,
+       price_change_pct_24h, recorded_at FROM quotes ORDER BY recorded_at DESC, row_id DESC LIMIT 10"""
+ORACLE["latest_n_stats"] = QS + """SELECT symbol, volatility_score, volume_spike, window_start, window_end
+FROM market_stats ORDER BY window_end DESC, symbol LIMIT 10"""
+ORACLE["table_counts"] = with_(QUOTES, HOURLY, NULLS.replace("FROM quotes", "FROM quotes"),
+                               REPORT.replace("FROM nq", "FROM quotes"), LOG) + """
+SELECT 'coin_prices' AS table_name, count(*) AS row_count FROM quotes
+UNION ALL SELECT 'market_stats', count(*) FROM market_stats
+UNION ALL SELECT 'pipeline_logs', count(*) FROM logrows"""
+ORACLE["bi_measures"] = QS + """SELECT
+       CAST(count(*) FILTER (WHERE volume_spike) AS DOUBLE) / count(*) AS spike_rate,
+       round(avg(volatility_score), 6) AS avg_volatility, count(*) AS stats_rows
+FROM market_stats"""
+ORACLE["date_rollup"] = Q + """SELECT CAST(year(recorded_at) AS BIGINT) AS year,
+       CAST(month(recorded_at) AS BIGINT) AS month, CAST(day(recorded_at) AS BIGINT) AS day,
+       count(*) AS records, round(avg(price_usd), 6) AS avg_price,
+       CAST(sum(volume_24h) AS BIGINT) AS total_volume
+FROM quotes GROUP BY ROLLUP (year(recorded_at), month(recorded_at), day(recorded_at))"""
+ORACLE["heatmap_pivot"] = Q + ", daily AS (" + WINDOW_STATS.format(w="1 day", where="") + """)
+SELECT window_start,
+       max(CASE WHEN symbol = 'click' THEN volatility_score END) AS click,
+       max(CASE WHEN symbol = 'error' THEN volatility_score END) AS error,
+       max(CASE WHEN symbol = 'purchase' THEN volatility_score END) AS purchase,
+       max(CASE WHEN symbol = 'signup' THEN volatility_score END) AS signup,
+       max(CASE WHEN symbol = 'view' THEN volatility_score END) AS "view"
+FROM daily GROUP BY window_start"""
+ORACLE["contract_not_null"] = QN + """SELECT count(*) AS total,
+       count(*) FILTER (WHERE NOT (symbol IS NULL OR name IS NULL OR price_usd IS NULL OR recorded_at IS NULL)) AS accepted,
+       count(*) FILTER (WHERE symbol IS NULL OR name IS NULL OR price_usd IS NULL OR recorded_at IS NULL) AS rejected,
+       count(*) FILTER (WHERE symbol IS NULL) AS null_symbol,
+       count(*) FILTER (WHERE name IS NULL) AS null_name,
+       count(*) FILTER (WHERE price_usd IS NULL) AS null_price_usd,
+       count(*) FILTER (WHERE recorded_at IS NULL) AS null_recorded_at
+FROM nq"""
+ORACLE["contract_not_null_rejects"] = QN + """SELECT row_id,
+       CASE WHEN symbol IS NULL THEN 'null_symbol' WHEN name IS NULL THEN 'null_name'
+            WHEN price_usd IS NULL THEN 'null_price_usd' WHEN recorded_at IS NULL THEN 'null_recorded_at'
+       END AS reject_reason
+FROM nq WHERE symbol IS NULL OR name IS NULL OR price_usd IS NULL OR recorded_at IS NULL"""
+ORACLE["contract_domain"] = Q + """SELECT symbol,
+       coalesce(symbol IN ('click', 'view', 'purchase', 'signup'), false) AS accepted,
+       count(*) AS rows
+FROM quotes GROUP BY ALL"""
+ORACLE["contract_decimal"] = Q + """SELECT row_id,
+       TRY_CAST(price_usd AS DECIMAL(18,8)) AS price_usd,
+       TRY_CAST(market_cap AS DECIMAL(24,2)) AS market_cap,
+       TRY_CAST(volume_24h AS DECIMAL(24,2)) AS volume_24h,
+       TRY_CAST(price_change_pct_24h AS DECIMAL(8,4)) AS price_change_pct_24h,
+       coalesce((price_usd IS NOT NULL AND TRY_CAST(price_usd AS DECIMAL(18,8)) IS NULL)
+             OR (market_cap IS NOT NULL AND TRY_CAST(market_cap AS DECIMAL(24,2)) IS NULL)
+             OR (volume_24h IS NOT NULL AND TRY_CAST(volume_24h AS DECIMAL(24,2)) IS NULL)
+             OR (price_change_pct_24h IS NOT NULL AND TRY_CAST(price_change_pct_24h AS DECIMAL(8,4)) IS NULL),
+             false) AS decimal_reject
+FROM quotes"""
+ORACLE["contract_default"] = QS + """SELECT symbol, window_start, window_end, record_count,
+       coalesce(CASE WHEN record_count > 1 THEN volume_spike END, false) AS volume_spike
+FROM market_stats"""
+ORACLE["contract_unique"] = with_(BRANDS) + """SELECT symbol, recorded_at, count(*) AS copies
+FROM brands GROUP BY symbol, recorded_at HAVING count(*) > 1"""
+ORACLE["contract_unique_line"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(*) AS copies
+FROM lineitem JOIN part ON l_partkey = p_partkey
+GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey HAVING count(*) > 1"""
+ORACLE["dq_row_count"] = with_(QUOTES, NULLS, REPORT.replace("FROM nq", "FROM quotes")) + \
+    "SELECT row_count, row_count_status FROM report"
+ORACLE["dq_nulls"] = with_(QUOTES, NULLS, REPORT) + "SELECT null_critical_rows, nulls_status FROM report"
+ORACLE["dq_report"] = with_(QUOTES, NULLS, REPORT) + "SELECT * FROM report"
+ORACLE["run_log"] = with_(QUOTES, NULLS, REPORT, LOG) + "SELECT * FROM logrows"
+ORACLE["sink_enriched"] = Q + ", ds AS (" + DAY_STATS.format(src="quotes") + """)
+SELECT row_id, q.symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h,
+       recorded_at, ds.volatility_score, ds.volume_spike
+FROM quotes q LEFT JOIN ds ON q.symbol = ds.symbol AND CAST(q.recorded_at AS DATE) = ds.day"""

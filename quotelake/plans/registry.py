@@ -1,7 +1,11 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Every query reads the driver's tables (or data Spark derives from them and
-writes under the shared folder), over the whole tables.
+Every query reads the driver's tables, over the whole tables, or data Spark
+derives from them and writes under the shared folder (``session.run_dir``).
+
+Fact table ("coin_prices") = ``event_quotes`` (events, 5 symbols, 30 days);
+``brand_quotes`` (lineitem x part, 25 brands, day-grain ties) is the second
+fact table.  Stats table ("market_stats") = hourly ``window_stats``.
 """
 
 from __future__ import annotations
@@ -9,14 +13,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quotelake.functions import derive, envelope, scalars
+from quotelake.operators import contracts, latest, quality, stats
 from quotelake.plans import reports
-from quotelake.session import ensure_utc
+from quotelake.schemas import ENRICHED_LAKE_COLUMNS
+from quotelake.session import ensure_utc, run_dir
+from quotelake.sinks import jdbc as jdbc_sink
+from quotelake.sinks import lake
 from quotelake.sources.adapters import brand_quotes, event_quotes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Parameters of the registered queries (ours, not reference values).
+TREND_SYMBOL = "click"
+PAGE_SYMBOLS = ["click", "view", "purchase"]
+DOMAIN_SYMBOLS = ["click", "view", "purchase", "signup"]
+EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]
+EVENT_PRICE_EDGES = (300.0, 100.0)  # event prices stay under 600
+SPIKE_CONSTANT = 50.0
+STATS_WINDOW = "1 hour"
+SHORT_WINDOW = "5 minutes"
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -30,6 +50,355 @@ def register(name: str):
     return deco
 
 
+def market_stats(quotes: DataFrame) -> DataFrame:
+    return stats.window_stats(quotes, STATS_WINDOW)
+
+
+def raw_lake_rows(quotes: DataFrame) -> DataFrame:
+    """Quotes in the raw-lake layout (no supply figures in the test feed)."""
+    none = F.lit(None).cast("double")
+    return quotes.select(
+        "symbol", "name", "price_usd", "market_cap", "volume_24h", "price_change_pct_24h",
+        "recorded_at", "id", "high_24h", "low_24h",
+        none.alias("circulating_supply"), none.alias("total_supply"), none.alias("max_supply"),
+        "last_updated", "row_id")
+
+
+def with_injected_nulls(quotes: DataFrame) -> DataFrame:
+    """Data-driven NULLs for contract tests: no name under price 1, no price at volume 0."""
+    return quotes.withColumns({
+        "name": F.when(F.col("price_usd") < 1.0, F.lit(None)).otherwise(F.col("name")),
+        "price_usd": F.when(F.col("volume_24h") == 0, F.lit(None))
+                      .otherwise(F.col("price_usd")),
+    })
+
+
+def hour_snapshot(ts: str = "recorded_at"):
+    return envelope.iso_utc(F.date_trunc("hour", F.col(ts)))
+
+
+# --------------------------------------------------------------- scans / projections
+
+@register("scan_raw")
+def scan_raw(spark, sf_dir):
+    """Raw quotes appended to a lake folder and read back (schema from footers)."""
+    path = run_dir(spark, "scan_raw")
+    lake.append(raw_lake_rows(event_quotes(spark, sf_dir)), path)
+    return lake.read_lake(spark, path).drop("row_id")
+
+
+@register("project_fact")
+def project_fact(spark, sf_dir):
+    """Rename + narrow to the seven fact columns."""
+    return jdbc_sink.fact_rows(raw_lake_rows(event_quotes(spark, sf_dir)), decimals=False)
+
+
+@register("envelope_roundtrip")
+def envelope_roundtrip(spark, sf_dir):
+    """Quotes -> hourly envelopes (<= 50 coins) -> JSON -> parsed + flattened rows."""
+    env = envelope.to_envelopes(event_quotes(spark, sf_dir), hour_snapshot())
+    return envelope.parse_envelopes(env)
+
+
+@register("envelope_size")
+def envelope_size(spark, sf_dir):
+    env = envelope.to_envelopes(event_quotes(spark, sf_dir), hour_snapshot())
+    return envelope.envelope_sizes(env)
+
+
+@register("snapshot_page")
+def snapshot_page(spark, sf_dir):
+    """Ids in a list, by market cap desc, page 2 of 50."""
+    return latest.snapshot_page(event_quotes(spark, sf_dir), PAGE_SYMBOLS, per_page=50, page=2) \
+        .select("row_id", "symbol", "market_cap", "price_usd")
+
+
+# --------------------------------------------------------------- scalars
+
+@register("typed_cast")
+def typed_cast(spark, sf_dir):
+    """Text fields cast back to numbers; non-numeric text becomes NULL."""
+    q = event_quotes(spark, sf_dir)
+    return q.select(
+        "row_id",
+        scalars.to_double(F.col("price_usd").cast("string")).alias("price_usd"),
+        scalars.to_long(F.col("volume_24h").cast("string")).alias("volume_24h"),
+        scalars.to_double(F.col("symbol")).alias("symbol_as_number"),
+    )
+
+
+@register("parse_ts")
+def parse_ts(spark, sf_dir):
+    q = event_quotes(spark, sf_dir)
+    return q.select("row_id", "last_updated",
+                    scalars.parse_iso_ts("last_updated").alias("last_updated_ts"),
+                    scalars.parse_iso_ts("symbol").alias("bad_text_ts"))
+
+
+@register("derived_fields")
+def derived_fields(spark, sf_dir):
+    q = derive.with_derived_fields(event_quotes(spark, sf_dir), *EVENT_PRICE_EDGES)
+    return q.select("row_id", "price_range_24h", "is_price_positive", "price_category")
+
+
+@register("derived_fields_brand")
+def derived_fields_brand(spark, sf_dir):
+    """Reference thresholds (1000 / 100) on the brand quotes, whose prices reach 2000."""
+    q = derive.with_derived_fields(brand_quotes(spark, sf_dir))
+    return q.select("row_id", "price_range_24h", "is_price_positive", "price_category")
+
+
+@register("spike_flag")
+def spike_flag(spark, sf_dir):
+    q = event_quotes(spark, sf_dir)
+    return q.select("row_id", "volume_24h",
+                    scalars.spike_flag("volume_24h", F.lit(SPIKE_CONSTANT)).alias("volume_spike"))
+
+
+@register("enriched_contract")
+def enriched_contract(spark, sf_dir):
+    """The 17-field processed record, processing time = the quote's own time."""
+    q = derive.with_history_extremes(event_quotes(spark, sf_dir))
+    return derive.processed_record(
+        q, processing_ts=F.col("recorded_at"), data_source="events",
+        price_edges=[(300.0, "high"), (100.0, "medium")],
+        volume_edges=[(66.0, "high"), (33.0, "medium")],
+        market_cap_edges=[(300000.0, "large"), (100000.0, "mid")])
+
+
+# --------------------------------------------------------------- stats and joins
+
+@register("batch_stats")
+def batch_stats(spark, sf_dir):
+    """Per-(symbol, day) stats: each day plays one micro-batch."""
+    q = event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at"))
+    return stats.batch_stats(q, ["day"])
+
+
+@register("history_stats")
+def history_stats(spark, sf_dir):
+    return stats.history_stats(event_quotes(spark, sf_dir))
+
+
+@register("history_stats_brand")
+def history_stats_brand(spark, sf_dir):
+    return stats.history_stats(brand_quotes(spark, sf_dir))
+
+
+@register("stats_spike_join")
+def stats_spike_join(spark, sf_dir):
+    """The join-and-regroup spike form, per (symbol, day)."""
+    q = event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at"))
+    return stats.spike_by_join(q, ["symbol", "day"])
+
+
+@register("enrich_join")
+def enrich_join(spark, sf_dir):
+    """Facts left-joined to their symbol's history stats (the enriched lake rows)."""
+    q = event_quotes(spark, sf_dir)
+    return stats.enrich(q, stats.history_stats(q), ["symbol"]) \
+        .select("row_id", "symbol", "name", "price_usd", "market_cap", "volume_24h",
+                "price_change_pct_24h", "recorded_at", "volatility_score", "volume_spike")
+
+
+@register("window_stats")
+def window_stats(spark, sf_dir):
+    """5-minute tumbling-window stats per symbol."""
+    return stats.window_stats(event_quotes(spark, sf_dir), SHORT_WINDOW)
+
+
+@register("window_join")
+def window_join(spark, sf_dir):
+    """Rows joined to their own hourly window: mean volume, volatility, row spike flag."""
+    j = stats.window_join(event_quotes(spark, sf_dir), STATS_WINDOW)
+    return j.select("row_id", "symbol", "window_start", "volume_24h", "avg_volume_window",
+                    "volatility_score", "volume_spike", "volatility_flag")
+
+
+# --------------------------------------------------------------- dashboards
+
 @register("q1_top_volume")
 def q1_top_volume(spark, sf_dir):
     return reports.q1_top_volume(event_quotes(spark, sf_dir))
+
+
+@register("q1_top_volume_brand")
+def q1_top_volume_brand(spark, sf_dir):
+    return reports.q1_top_volume(brand_quotes(spark, sf_dir))
+
+
+@register("q2_trend")
+def q2_trend(spark, sf_dir):
+    return reports.q2_trend(event_quotes(spark, sf_dir), TREND_SYMBOL)
+
+
+@register("q2_trend_sql")
+def q2_trend_sql(spark, sf_dir):
+    return reports.q2_trend_sql(spark, event_quotes(spark, sf_dir), TREND_SYMBOL)
+
+
+@register("q3_heatmap")
+def q3_heatmap(spark, sf_dir):
+    return reports.q3_heatmap(market_stats(event_quotes(spark, sf_dir)))
+
+
+@register("q4_spike_rate")
+def q4_spike_rate(spark, sf_dir):
+    return reports.q4_spike_rate(market_stats(event_quotes(spark, sf_dir)))
+
+
+@register("q5_latest")
+def q5_latest(spark, sf_dir):
+    return reports.q5_latest(event_quotes(spark, sf_dir))
+
+
+@register("q5_latest_window")
+def q5_latest_window(spark, sf_dir):
+    return reports.q5_latest_window(event_quotes(spark, sf_dir))
+
+
+@register("q5_latest_brand")
+def q5_latest_brand(spark, sf_dir):
+    """Latest per brand: day-grain timestamps tie, the line key breaks ties."""
+    return reports.q5_latest(brand_quotes(spark, sf_dir))
+
+
+@register("latest_n_facts")
+def latest_n_facts(spark, sf_dir):
+    return reports.latest_n_facts(event_quotes(spark, sf_dir))
+
+
+@register("latest_n_stats")
+def latest_n_stats(spark, sf_dir):
+    return reports.latest_n_stats(market_stats(event_quotes(spark, sf_dir)))
+
+
+@register("table_counts")
+def table_counts(spark, sf_dir):
+    q = event_quotes(spark, sf_dir)
+    logs = quality.run_log_rows(quality.dq_report(q))
+    return reports.table_counts({"coin_prices": q, "market_stats": market_stats(q),
+                                 "pipeline_logs": logs})
+
+
+@register("bi_measures")
+def bi_measures(spark, sf_dir):
+    return reports.bi_measures(market_stats(event_quotes(spark, sf_dir)))
+
+
+@register("date_rollup")
+def date_rollup(spark, sf_dir):
+    return reports.date_rollup(event_quotes(spark, sf_dir))
+
+
+@register("heatmap_pivot")
+def heatmap_pivot(spark, sf_dir):
+    """Day x symbol volatility matrix."""
+    daily = stats.window_stats(event_quotes(spark, sf_dir), "1 day")
+    return reports.heatmap_pivot(daily, EVENT_SYMBOLS)
+
+
+# --------------------------------------------------------------- contracts and gates
+
+@register("contract_not_null")
+def contract_not_null(spark, sf_dir):
+    q = with_injected_nulls(event_quotes(spark, sf_dir))
+    return contracts.not_null_summary(q, contracts.NOT_NULL["coin_prices"])
+
+
+@register("contract_not_null_rejects")
+def contract_not_null_rejects(spark, sf_dir):
+    q = with_injected_nulls(event_quotes(spark, sf_dir))
+    _, rejected = contracts.split_not_null(q, contracts.NOT_NULL["coin_prices"])
+    return rejected.select("row_id", "reject_reason")
+
+
+@register("contract_domain")
+def contract_domain(spark, sf_dir):
+    return contracts.domain_summary(event_quotes(spark, sf_dir), "symbol", DOMAIN_SYMBOLS)
+
+
+@register("contract_decimal")
+def contract_decimal(spark, sf_dir):
+    q = event_quotes(spark, sf_dir).select("row_id", "price_usd", "market_cap", "volume_24h",
+                                           "price_change_pct_24h")
+    return contracts.cast_decimals(q, contracts.COIN_PRICES_DECIMALS)
+
+
+@register("contract_default")
+def contract_default(spark, sf_dir):
+    """Stats rows whose spike flag is unknown (single-row windows) get the default false."""
+    s = market_stats(event_quotes(spark, sf_dir))
+    s = s.withColumn("volume_spike", F.when(F.col("record_count") > 1, F.col("volume_spike")))
+    return contracts.apply_defaults(s, {"volume_spike": F.lit(False)}) \
+        .select("symbol", "window_start", "window_end", "record_count", "volume_spike")
+
+
+@register("contract_unique")
+def contract_unique(spark, sf_dir):
+    """Duplicate (symbol, recorded_at) keys in the brand facts (day-grain ties)."""
+    return contracts.duplicate_keys(brand_quotes(spark, sf_dir), ["symbol", "recorded_at"])
+
+
+@register("contract_unique_line")
+def contract_unique_line(spark, sf_dir):
+    """The four-column line key is unique: no rows."""
+    return contracts.duplicate_keys(brand_quotes(spark, sf_dir),
+                                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@register("dq_row_count")
+def dq_row_count(spark, sf_dir):
+    return quality.dq_report(event_quotes(spark, sf_dir)).select("row_count", "row_count_status")
+
+
+@register("dq_nulls")
+def dq_nulls(spark, sf_dir):
+    q = with_injected_nulls(event_quotes(spark, sf_dir))
+    return quality.dq_report(q).select("null_critical_rows", "nulls_status")
+
+
+@register("dq_report")
+def dq_report(spark, sf_dir):
+    return quality.dq_report(with_injected_nulls(event_quotes(spark, sf_dir)))
+
+
+@register("run_log")
+def run_log(spark, sf_dir):
+    """Run-log rows the gates produce (ids and times left out: generated)."""
+    q = with_injected_nulls(event_quotes(spark, sf_dir))
+    return quality.run_log_rows(quality.dq_report(q))
+
+
+# --------------------------------------------------------------- sinks
+
+@register("append_union")
+def append_union(spark, sf_dir):
+    """Two appends (first half, second half of the month) read back as one multiset."""
+    q = raw_lake_rows(event_quotes(spark, sf_dir))
+    path = run_dir(spark, "append_union")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    lake.append(q.where(F.col("recorded_at") < cut), path)
+    lake.append(q.where(F.col("recorded_at") >= cut), path)
+    return lake.read_lake(spark, path).drop("row_id")
+
+
+@register("sink_raw")
+def sink_raw(spark, sf_dir):
+    """Idempotent raw sink: the same batch written twice leaves one copy."""
+    q = raw_lake_rows(event_quotes(spark, sf_dir)).withColumn("batch_id", F.lit(7).cast("bigint"))
+    path = run_dir(spark, "sink_raw")
+    lake.write_partitions(q, path, ["batch_id"])
+    lake.write_partitions(q, path, ["batch_id"])
+    return lake.read_lake(spark, path).drop("row_id", "batch_id")
+
+
+@register("sink_enriched")
+def sink_enriched(spark, sf_dir):
+    """Enriched rows (per-day stats joined back) written by day partition, read back."""
+    q = event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at"))
+    s = stats.batch_stats(q, ["day"])
+    rows = stats.enrich(q, s, ["symbol", "day"])
+    path = run_dir(spark, "sink_enriched")
+    lake.write_partitions(rows.select("row_id", *ENRICHED_LAKE_COLUMNS, "day"), path, ["day"])
+    return lake.read_lake(spark, path).drop("day")
