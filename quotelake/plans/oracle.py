@@ -281,3 +281,28 @@ ORACLE["sink_enriched"] = Q + ", ds AS (" + DAY_STATS.format(src="quotes") + """
 SELECT row_id, q.symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h,
        recorded_at, ds.volatility_score, ds.volume_spike
 FROM quotes q LEFT JOIN ds ON q.symbol = ds.symbol AND CAST(q.recorded_at AS DATE) = ds.day"""
+
+# --- streaming queries -------------------------------------------------------
+# Envelopes carry the quote time as millisecond ISO text, so parsed rows hold
+# recorded_at at millisecond precision.
+PARSED = """parsed AS (
+  SELECT * REPLACE (try_strptime(last_updated, '%Y-%m-%dT%H:%M:%S.%gZ') AS recorded_at)
+  FROM quotes)"""
+CLOSED = "window_end <= (SELECT max(recorded_at) FROM quotes) - INTERVAL 5 minute"
+ORACLE["stream_parse"] = with_(QUOTES, PARSED) + f"SELECT {RAW_COLS} FROM parsed"
+ORACLE["stream_batch_stats"] = with_(QUOTES, PARSED) + DAY_STATS.format(src="parsed")
+ORACLE["stream_tumbling"] = Q + "SELECT * FROM (" + WINDOW_STATS.format(w="5 minute", where="") + \
+    ") WHERE " + CLOSED
+ORACLE["stream_complete"] = Q + WINDOW_STATS.format(w="1 hour", where="")
+ORACLE["stream_late"] = Q + "SELECT * FROM (" + WINDOW_STATS.format(
+    w="5 minute", where="WHERE recorded_at >= TIMESTAMP '2024-01-16'") + ") WHERE " + CLOSED
+ORACLE["stream_restart"] = Q + "SELECT * FROM quotes"
+ORACLE["stream_window_join"] = Q + """, k AS (SELECT *, time_bucket(INTERVAL 1 hour, recorded_at) AS window_start FROM quotes),
+b AS (SELECT symbol, window_start, avg(volume_24h) AS av, stddev_samp(price_usd) AS sd
+      FROM k GROUP BY symbol, window_start)
+SELECT k.symbol, row_id, price_usd, volume_24h, recorded_at, k.window_start,
+       k.window_start + INTERVAL 1 hour AS window_end,
+       round(av, 6) AS avg_volume_window, round(sd, 6) AS volatility_score,
+       coalesce(volume_24h > av, false) AS volume_spike
+FROM k LEFT JOIN b ON k.symbol = b.symbol AND k.window_start = b.window_start
+WHERE k.window_start + INTERVAL 1 hour <= (SELECT max(recorded_at) FROM quotes) - INTERVAL 5 minute"""
