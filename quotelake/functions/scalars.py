@@ -74,3 +74,31 @@ def to_long(text: ColumnOrName) -> Column:
 def to_decimal(x: ColumnOrName, precision: int, scale: int) -> Column:
     """Cast to DECIMAL(p,s); values that do not fit become NULL instead of failing."""
     return _c(x).try_cast(f"decimal({precision},{scale})")
+
+
+# Microseconds per fixed-length duration unit accepted by ``tumbling_start``.
+_UNIT_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
+                "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
+                "week": 604_800_000_000}
+
+
+def duration_micros(duration: str) -> int:
+    """'5 minutes' -> 300000000 (fixed-length units only)."""
+    n, unit = duration.strip().split()
+    unit = unit.lower().rstrip("s")
+    if unit not in _UNIT_MICROS:
+        raise ValueError(f"unsupported duration unit: {duration!r}")
+    return int(n) * _UNIT_MICROS[unit]
+
+
+def tumbling_start(ts: ColumnOrName, duration: str) -> Column:
+    """Start (TIMESTAMP_NTZ) of the epoch-aligned tumbling window holding ``ts``.
+
+    Unlike ``F.window`` this adds no implicit NOT NULL filter, so a left join
+    keyed on it keeps rows whose time is NULL.
+    """
+    us = duration_micros(duration)
+    t = _c(ts)
+    micros = F.unix_micros(t.cast("timestamp"))
+    start = F.timestamp_micros(micros - F.pmod(micros, F.lit(us)))
+    return start.cast("timestamp_ntz")

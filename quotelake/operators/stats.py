@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.scalars import spike_flag
+from quotelake.functions.scalars import spike_flag, tumbling_start
 
 DEFAULT_DIGITS = 6
 
@@ -123,10 +123,12 @@ def window_join(rows: DataFrame, duration: str, time: str = "recorded_at",
     The interval condition ``start <= t < end`` is replaced by an equi-join on
     ``(symbol, window(t).start)``: a row lies in exactly one tumbling window,
     so the result is the same and Spark can hash/sort-merge/broadcast it
-    instead of running a range (nested-loop) join.
+    instead of running a range (nested-loop) join.  The stats side is an
+    aggregate (partial before the shuffle); AQE broadcasts it only when its
+    measured size allows and otherwise splits skewed join partitions.  Rows
+    whose time is NULL are kept, with NULL stats.
     """
-    w = F.window(time, duration)
-    keyed = rows.withColumn("window_start", w.start)
+    keyed = rows.withColumn("window_start", tumbling_start(time, duration))
     base = keyed.groupBy("symbol", "window_start").agg(
         F.avg(volume).alias("avg_volume_window"),
         F.stddev_samp(price).alias("volatility_score"),

@@ -97,3 +97,21 @@ def test_spike_rate_and_pivot(spark):
     assert all(0.0 <= r.volume_spike_pct <= 100.0 for r in rate)
     piv = reports.heatmap_pivot(s, ["click", "view"])
     assert piv.columns == ["window_start", "click", "view"]
+
+
+def test_window_join_keeps_null_time_rows(spark):
+    f = _fixture(spark).unionByName(spark.createDataFrame(
+        [("a", 4.0, 50, 9)], "symbol string, price_usd double, volume_24h bigint, row_id bigint")
+        .withColumn("recorded_at", F.lit(None).cast("timestamp_ntz")))
+    out = stats.window_join(f, "5 minutes")
+    assert out.count() == f.count()
+    r = out.where("row_id = 9").first()
+    assert r.window_start is None and r.volume_spike is False
+
+
+def test_tumbling_start_matches_window(spark):
+    from quotelake.functions.scalars import tumbling_start
+    q = event_quotes(spark, SF001)
+    a = q.select("row_id", tumbling_start("recorded_at", "5 minutes").alias("s"))
+    b = q.select("row_id", F.window("recorded_at", "5 minutes").start.alias("s"))
+    assert _rows(a) == _rows(b)
