@@ -306,3 +306,6 @@ SELECT k.symbol, row_id, price_usd, volume_24h, recorded_at, k.window_start,
        coalesce(volume_24h > av, false) AS volume_spike
 FROM k LEFT JOIN b ON k.symbol = b.symbol AND k.window_start = b.window_start
 WHERE k.window_start + INTERVAL 1 hour <= (SELECT max(recorded_at) FROM quotes) - INTERVAL 5 minute"""
+
+ORACLE["backfill_stats"] = ORACLE["history_stats"]
+ORACLE["backfill_facts"] = ORACLE["project_fact"]

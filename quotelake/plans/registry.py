@@ -402,3 +402,26 @@ def sink_enriched(spark, sf_dir):
     path = run_dir(spark, "sink_enriched")
     lake.write_partitions(rows.select("row_id", *ENRICHED_LAKE_COLUMNS, "day"), path, ["day"])
     return lake.read_lake(spark, path).drop("day")
+
+
+# --------------------------------------------------------------- backfill
+
+def _backfilled(spark, sf_dir, name):
+    from quotelake.plans.backfill import backfill
+    base = run_dir(spark, name)
+    q = raw_lake_rows(event_quotes(spark, sf_dir)).drop("row_id")
+    lake.write_partitions(q.withColumn("day", F.to_date("recorded_at")), f"{base}/raw", ["day"])
+    backfill(spark, f"{base}/raw", f"{base}/facts", f"{base}/stats")
+    backfill(spark, f"{base}/raw", f"{base}/facts", f"{base}/stats")   # rerun: replaces
+    return base
+
+
+@register("backfill_stats")
+def backfill_stats(spark, sf_dir):
+    """Whole-history stats rebuilt from the raw lake (run twice: no duplicates)."""
+    return spark.read.parquet(f"{_backfilled(spark, sf_dir, 'backfill_stats')}/stats")
+
+
+@register("backfill_facts")
+def backfill_facts(spark, sf_dir):
+    return spark.read.parquet(f"{_backfilled(spark, sf_dir, 'backfill_facts')}/facts").drop("day")

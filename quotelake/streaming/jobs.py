@@ -177,3 +177,28 @@ def late_rows_dropped(query: StreamingQuery) -> int:
         for op in p.stateOperators or []:
             total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
     return total
+
+
+def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
+                   jdbc: Mapping[str, Mapping[str, str]] | None = None,
+                   stats_keys: Sequence[str] = ("symbol",), event_time: bool = False,
+                   available_now: bool = True, processing_time: str | None = None
+                   ) -> StreamingQuery:
+    """The micro-batch job end to end: envelope stream -> raw, enriched, stats (+ JDBC).
+
+    ``messages`` is a Kafka or file stream with a ``value`` column.  With
+    ``available_now`` the backlog is drained (rate-limited by the source's
+    max-per-trigger option) and the query stops; otherwise it runs on a
+    processing-time trigger.
+    """
+    rows = quotes_from_messages(messages, event_time=event_time)
+    if "day" in stats_keys:
+        rows = rows.withColumn("day", F.to_date("recorded_at"))
+    pipeline = BatchPipeline(f"{lake_base}/raw", f"{lake_base}/enriched", f"{lake_base}/stats",
+                             tuple(stats_keys), jdbc)
+    w = rows.writeStream.foreachBatch(pipeline).option("checkpointLocation", checkpoint)
+    if available_now:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+        return q
+    return w.trigger(processingTime=processing_time or "1 minute").start()

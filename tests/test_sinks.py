@@ -48,3 +48,42 @@ def test_object_store_conf():
     conf = object_store_conf("http://store:9000", "k", "s")
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert conf["spark.hadoop.fs.s3a.connection.timeout"] == "60000"
+
+
+def test_run_log_lake_logger(spark, tmp_dir):
+    from quotelake.operators.quality import run_gates
+    from quotelake.sinks.runlog import lake_logger
+    q = event_quotes(spark, SF001).select("symbol", "name", "price_usd", "recorded_at")
+    run_gates(q, lake_logger(spark, f"{tmp_dir}/log"))
+    log = spark.read.parquet(f"{tmp_dir}/log")
+    assert log.count() == 4 and log.where("status = 'success'").count() == 2
+    assert set(log.columns) == {"run_id", "stage", "status", "message", "created_at"}
+
+
+def test_contract_schemas_are_stable():
+    from pyspark.testing import assertSchemaEqual
+    from quotelake.schemas import processed_record_contract, raw_record_contract
+    assert len(raw_record_contract()) == 15 and len(processed_record_contract()) == 17
+    assert [f.name for f in raw_record_contract() if not f.nullable] == ["id", "symbol", "name"]
+    assertSchemaEqual(raw_record_contract(), raw_record_contract())
+
+
+def test_processed_record_matches_contract_names(spark):
+    from pyspark.sql import functions as F
+    from quotelake.functions.derive import processed_record, with_history_extremes
+    from quotelake.schemas import processed_record_contract
+    rec = processed_record(with_history_extremes(event_quotes(spark, SF001)))
+    assert rec.columns == [f.name for f in processed_record_contract()]
+    assert rec.schema["processing_timestamp"].dataType.typeName() == "timestamp"
+
+
+def test_cli_query_runs(spark, capsys):
+    from quotelake.cli import main
+    assert main(["query", "q5_latest", "--tables", SF001, "--rows", "5"]) == 0
+    assert "symbol" in capsys.readouterr().out
+
+
+def test_backfill_skips_empty_lake(spark, tmp_dir):
+    from quotelake.plans.backfill import backfill
+    event_quotes(spark, SF001).limit(0).write.parquet(f"{tmp_dir}/raw")
+    assert backfill(spark, f"{tmp_dir}/raw", f"{tmp_dir}/f", f"{tmp_dir}/s") == {"facts": False, "stats": False}
