@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quotelake.operators.stats import history_stats
 from quotelake.schemas import FACT_COLUMNS
 from quotelake.sinks import jdbc as jdbc_sink
-from quotelake.sinks.lake import clustered
+from quotelake.sinks.lake import clustered, rebalanced
 
 
 def backfill_frames(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -36,8 +36,10 @@ def backfill(spark: SparkSession, raw_path: str, facts_path: str | None = None,
         return {"facts": False, "stats": False}
     facts, stats = backfill_frames(raw)
     if facts_path:
-        clustered(facts.withColumn("day", F.to_date("recorded_at"))) \
-            .write.mode("overwrite").partitionBy("day").parquet(facts_path)
+        # static overwrite: the whole target is replaced, days absent from the lake too
+        clustered(rebalanced(facts.withColumn("day", F.to_date("recorded_at")), ["day"])) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy("day").parquet(facts_path)
     if stats_path:
         stats.write.mode("overwrite").parquet(stats_path)
     if jdbc:

@@ -388,8 +388,8 @@ def sink_raw(spark, sf_dir):
     """Idempotent raw sink: the same batch written twice leaves one copy."""
     q = raw_lake_rows(event_quotes(spark, sf_dir)).withColumn("batch_id", F.lit(7).cast("bigint"))
     path = run_dir(spark, "sink_raw")
-    lake.write_partitions(q, path, ["batch_id"])
-    lake.write_partitions(q, path, ["batch_id"])
+    lake.write_partitions(q, path, ["batch_id"], rebalance=False)
+    lake.write_partitions(q, path, ["batch_id"], rebalance=False)
     return lake.read_lake(spark, path).drop("row_id", "batch_id")
 
 

@@ -8,6 +8,11 @@
 * Layout: rows are clustered by ``symbol`` then newest-first inside each
   file, so parquet min/max statistics let ``symbol = ?`` filters skip row
   groups (the lake's counterpart of an index on ``(symbol, time desc)``).
+* File count: before a write partitioned by a many-valued column (event
+  ``day``) the rows are rebalanced on that column: one shuffle after which
+  AQE sizes every output partition near the advisory size and splits a
+  skewed (hot) day, so each task writes a few large files instead of every
+  task writing one small file per day.
 """
 
 from __future__ import annotations
@@ -34,11 +39,21 @@ def clustered(df: DataFrame, sort_by: Sequence[str] = ("symbol", "recorded_at"),
     return df.sortWithinPartitions(*order)
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``REBALANCE`` on ``columns``: AQE coalesces small and splits skewed partitions."""
+    return df.hint("rebalance", *columns)
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
                      sort_by: Sequence[str] | None = ("symbol", "recorded_at"),
-                     fmt: str = "parquet") -> None:
-    """Replace the partitions present in ``df``; leave all others untouched."""
-    out = clustered(df, sort_by) if sort_by else df
+                     fmt: str = "parquet", rebalance: bool = True) -> None:
+    """Replace the partitions present in ``df``; leave all others untouched.
+
+    Pass ``rebalance=False`` when ``df`` holds a single partition value (one
+    micro-batch): each task then writes one file anyway and the shuffle is waste.
+    """
+    out = rebalanced(df, partition_by) if rebalance else df
+    out = clustered(out, sort_by) if sort_by else out
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -48,7 +63,8 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (),
            sort_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    out = clustered(df, sort_by) if sort_by else df
+    out = rebalanced(df, partition_by) if partition_by else df
+    out = clustered(out, sort_by) if sort_by else out
     w = out.write.mode("append").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -62,15 +62,16 @@ class BatchPipeline:
                        .persist()
         try:
             keys = list(self.stats_keys)
-            write_partitions(rows, self.raw_path, ["batch_id"])
+            # one batch_id per micro-batch: every task writes one file, no rebalance
+            write_partitions(rows, self.raw_path, ["batch_id"], rebalance=False)
             stats = batch_stats(rows, [k for k in keys if k != "symbol"]) \
                 .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             # One stats row per key of this micro-batch: the size is bounded by the
             # batch's own key count; AQE broadcasts it when small, else shuffles.
             enriched = enrich(rows, stats, keys).select(*ENRICHED_LAKE_COLUMNS, *[
                 k for k in keys if k not in ENRICHED_LAKE_COLUMNS], "batch_id")
-            write_partitions(enriched, self.enriched_path, ["batch_id"])
-            write_partitions(stats, self.stats_path, ["batch_id"], sort_by=None)
+            write_partitions(enriched, self.enriched_path, ["batch_id"], rebalance=False)
+            write_partitions(stats, self.stats_path, ["batch_id"], sort_by=None, rebalance=False)
             if self.jdbc:
                 if "coin_prices" in self.jdbc:
                     jdbc_sink.write_table(jdbc_sink.fact_rows(rows), self.jdbc["coin_prices"])

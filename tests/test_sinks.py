@@ -87,3 +87,17 @@ def test_backfill_skips_empty_lake(spark, tmp_dir):
     from quotelake.plans.backfill import backfill
     event_quotes(spark, SF001).limit(0).write.parquet(f"{tmp_dir}/raw")
     assert backfill(spark, f"{tmp_dir}/raw", f"{tmp_dir}/f", f"{tmp_dir}/s") == {"facts": False, "stats": False}
+
+
+def test_backfill_replaces_whole_target(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from quotelake.plans.backfill import backfill
+    from quotelake.plans.registry import raw_lake_rows
+    q = raw_lake_rows(event_quotes(spark, SF001)).drop("row_id")
+    q.write.parquet(f"{tmp_dir}/raw1")
+    q.where("recorded_at < '2024-01-10'").write.parquet(f"{tmp_dir}/raw2")
+    backfill(spark, f"{tmp_dir}/raw1", f"{tmp_dir}/facts", f"{tmp_dir}/stats")
+    backfill(spark, f"{tmp_dir}/raw2", f"{tmp_dir}/facts", f"{tmp_dir}/stats")
+    facts = spark.read.parquet(f"{tmp_dir}/facts")
+    assert facts.count() == q.where("recorded_at < '2024-01-10'").count()
+    assert facts.agg(F.max("day")).first()[0].isoformat() < "2024-01-10"
