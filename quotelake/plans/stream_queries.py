@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quotelake.functions import envelope
 from quotelake.plans.registry import register
 from quotelake.sinks import lake
+from quotelake.sinks.bus import publish_files
 from quotelake.sources.adapters import QUOTE_COLUMNS, event_quotes
 from quotelake.sources.streams import envelope_file_stream, parquet_stream
 from quotelake.session import run_dir
@@ -33,8 +34,8 @@ def _paths(spark: SparkSession, name: str) -> dict[str, str]:
 
 def _stage_envelopes(quotes: DataFrame, path: str) -> None:
     """One arrival of JSON-lines envelopes (hourly snapshots, <= 50 quotes each)."""
-    env = envelope.to_envelopes(quotes, envelope.iso_utc(F.date_trunc("hour", "recorded_at")))
-    env.select("value").write.mode("append").text(path)
+    publish_files(envelope.to_envelopes(
+        quotes, envelope.iso_utc(F.date_trunc("hour", "recorded_at"))), path)
 
 
 def _stage_rows(quotes: DataFrame, path: str) -> None:

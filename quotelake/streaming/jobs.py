@@ -144,22 +144,33 @@ def tumbling(df: DataFrame, duration: str, watermark: str, time: str = "event_ts
 def window_join_stream(df: DataFrame, duration: str, watermark: str, time: str = "event_ts",
                        keep: Sequence[str] = ("row_id", "price_usd", "volume_24h"),
                        price: str = "price_usd", volume: str = "volume_24h",
-                       digits: int | None = 6) -> DataFrame:
+                       digits: int | None = 6, salt_buckets: int = 8,
+                       salt_key: str = "row_id") -> DataFrame:
     """Each row joined to the stats of its own (symbol, window), emitted when the window closes.
 
     Both sides carry event time only in the window column ``w`` (the raw time
     travels as epoch micros), which makes the join an equi-join on
     ``(symbol, w)`` whose state Spark can evict by watermark.
+
+    Rows wait in join state until their window closes, and AQE does not run
+    on streams, so a hot (symbol, window) would sit in one partition.  The
+    join is therefore salted: a row's salt is ``pmod(hash(salt_key), n)``
+    (deterministic, so a retried task routes rows the same way) and each
+    window-stats row is replicated to the ``n`` salts, spreading one key's
+    rows over ``n`` partitions for the price of ``n`` copies of one small row.
     """
     def r(c):
         return c if digits is None else F.round(c, digits)
+    n = max(1, int(salt_buckets))
     marked = df.withWatermark(time, watermark)
     rows = marked.select("symbol", *keep, F.unix_micros(time).alias("t_us"),
-                         F.window(time, duration).alias("w"))
+                         F.window(time, duration).alias("w"),
+                         F.pmod(F.hash(salt_key), F.lit(n)).alias("_salt"))
     agg = (marked.groupBy("symbol", F.window(time, duration).alias("w"))
                  .agg(F.avg(volume).alias("avg_volume_window"),
-                      F.stddev_samp(price).alias("volatility_score")))
-    joined = rows.join(agg, ["symbol", "w"], "left")
+                      F.stddev_samp(price).alias("volatility_score"))
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
+    joined = rows.join(agg, ["symbol", "w", "_salt"], "left")
     return joined.select(
         "symbol", *keep,
         F.timestamp_micros("t_us").cast("timestamp_ntz").alias("recorded_at"),
