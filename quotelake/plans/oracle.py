@@ -309,3 +309,8 @@ WHERE k.window_start + INTERVAL 1 hour <= (SELECT max(recorded_at) FROM quotes)
 
 ORACLE["backfill_stats"] = ORACLE["history_stats"]
 ORACLE["backfill_facts"] = ORACLE["project_fact"]
+
+ORACLE["q1_top_volume_sql"] = ORACLE["q1_top_volume"]
+ORACLE["q3_heatmap_sql"] = ORACLE["q3_heatmap"]
+ORACLE["q4_spike_rate_sql"] = ORACLE["q4_spike_rate"]
+ORACLE["q5_latest_sql"] = ORACLE["q5_latest"]

@@ -425,3 +425,32 @@ def backfill_stats(spark, sf_dir):
 @register("backfill_facts")
 def backfill_facts(spark, sf_dir):
     return spark.read.parquet(f"{_backfilled(spark, sf_dir, 'backfill_facts')}/facts").drop("day")
+
+
+# --------------------------------------------------------------- dashboards as SQL text
+
+def _sql_views(spark, sf_dir):
+    from quotelake.plans import dashboard_sql
+    q = event_quotes(spark, sf_dir)
+    dashboard_sql.register_views(q, market_stats(q))
+    return dashboard_sql
+
+
+@register("q1_top_volume_sql")
+def q1_top_volume_sql(spark, sf_dir):
+    return _sql_views(spark, sf_dir).run(spark, "top_volume")
+
+
+@register("q3_heatmap_sql")
+def q3_heatmap_sql(spark, sf_dir):
+    return _sql_views(spark, sf_dir).run(spark, "heatmap")
+
+
+@register("q4_spike_rate_sql")
+def q4_spike_rate_sql(spark, sf_dir):
+    return _sql_views(spark, sf_dir).run(spark, "spike_rate")
+
+
+@register("q5_latest_sql")
+def q5_latest_sql(spark, sf_dir):
+    return _sql_views(spark, sf_dir).run(spark, "latest")

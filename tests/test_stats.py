@@ -115,3 +115,11 @@ def test_tumbling_start_matches_window(spark):
     a = q.select("row_id", tumbling_start("recorded_at", "5 minutes").alias("s"))
     b = q.select("row_id", F.window("recorded_at", "5 minutes").start.alias("s"))
     assert _rows(a) == _rows(b)
+
+
+def test_dashboard_sql_trend_param(spark):
+    from quotelake.plans import dashboard_sql
+    q = event_quotes(spark, SF001)
+    dashboard_sql.register_views(q)
+    a = dashboard_sql.run(spark, "trend", symbol="signup")
+    assert _rows(a) == _rows(reports.q2_trend(q, "signup"))
