@@ -314,3 +314,5 @@ ORACLE["q1_top_volume_sql"] = ORACLE["q1_top_volume"]
 ORACLE["q3_heatmap_sql"] = ORACLE["q3_heatmap"]
 ORACLE["q4_spike_rate_sql"] = ORACLE["q4_spike_rate"]
 ORACLE["q5_latest_sql"] = ORACLE["q5_latest"]
+
+ORACLE["window_stats_daily"] = Q + WINDOW_STATS.format(w="1 day", where="")

@@ -207,6 +207,12 @@ def window_stats(spark, sf_dir):
     return stats.window_stats(event_quotes(spark, sf_dir), SHORT_WINDOW)
 
 
+@register("window_stats_daily")
+def window_stats_daily(spark, sf_dir):
+    """1-day tumbling windows: groups hold many rows, so both spike values occur."""
+    return stats.window_stats(event_quotes(spark, sf_dir), "1 day")
+
+
 @register("window_join")
 def window_join(spark, sf_dir):
     """Rows joined to their own hourly window: mean volume, volatility, row spike flag."""

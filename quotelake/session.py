@@ -8,7 +8,6 @@ setting is missing *and* the session runs in local mode (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -77,12 +76,3 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one run of one job."""
     return f"{shared_dir(spark)}/quotelake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can inspect a local test folder."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -175,3 +175,18 @@ def test_fan_out_three_queries(spark, tmp_dir):
         q.awaitTermination()
     assert spark.table("fan_mem").count() == 9
     assert spark.read.parquet(f"{tmp_dir}/o2").count() == 9 and sum(got) == 9
+
+
+def test_console_sink_and_timed_stop(spark, tmp_dir, capfd):
+    import time
+    _write_batches(f"{tmp_dir}/in", F8[:2])
+    src = parquet_stream(spark, f"{tmp_dir}/in", SCHEMA)
+    q = (src.writeStream.format("console").option("truncate", "false").option("numRows", "3")
+            .option("checkpointLocation", f"{tmp_dir}/ckpt")
+            .trigger(processingTime="1 second").start())
+    deadline = time.time() + 60
+    while time.time() < deadline and not any(p.numInputRows for p in q.recentProgress):
+        time.sleep(0.5)
+    q.stop()
+    assert not q.isActive
+    assert sum(p.numInputRows for p in q.recentProgress) == 4
