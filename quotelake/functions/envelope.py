@@ -10,9 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from quotelake.schemas import COIN_SCHEMA, ENVELOPE_SCHEMA
 
+# Envelope schema with every numeric quote field read as text, for lenient parsing.
+_NUMERIC = {f.name: f.dataType for f in COIN_SCHEMA if isinstance(f.dataType, (LongType, DoubleType))}
+_TEXT_ENVELOPE = StructType([
+    StructField("ingested_at", StringType(), True),
+    StructField("coins", ArrayType(StructType([
+        StructField(f.name, StringType() if f.name in _NUMERIC else f.dataType, True)
+        for f in COIN_SCHEMA])), True),
+])
+
 # Fixed value: the largest page a snapshot request returns.
 MAX_QUOTES_PER_ENVELOPE = 50
 
@@ -71,16 +81,36 @@ def to_envelopes(quotes: DataFrame, snapshot: Column, seq: str = "row_id",
     )
 
 
-def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
+def _exact_number(text: Column, target) -> Column:
+    """Numeric text -> target type, only when the value is exactly representable.
+
+    ``"20.0"`` and ``"1.0e3"`` become LONG 20 and 1000; ``"30.5"`` stays NULL
+    for a LONG field; ``"12.5"`` (a JSON string) becomes DOUBLE 12.5.
+    """
+    d = text.try_cast("double")
+    if isinstance(target, DoubleType):
+        return d
+    as_long = d.try_cast("bigint")
+    return F.when(as_long.try_cast("double") == d, as_long)
+
+
+def parse_envelopes(messages: DataFrame, value: str = "value",
+                    lenient_numbers: bool = False) -> DataFrame:
     """JSON envelopes (text or bytes) -> one row per quote, F2 names.
 
     Malformed JSON, a missing ``coins`` field and an empty array all yield no
     row (``inline`` drops them); see ``envelope_rejects`` for the side output.
+    By default numbers follow the declared types strictly: a LONG written as
+    ``20.0`` or ``1.0e3`` and a number sent as text become NULL.  With
+    ``lenient_numbers`` such values are kept whenever they denote an exact
+    value of the field's type.
     """
-    parsed = messages.select(
-        F.from_json(F.col(value).cast("string"), ENVELOPE_SCHEMA).alias("m"))
+    schema = _TEXT_ENVELOPE if lenient_numbers else ENVELOPE_SCHEMA
+    parsed = messages.select(F.from_json(F.col(value).cast("string"), schema).alias("m"))
     flat = parsed.select(F.col("m.ingested_at").alias("ingested_at"),
                          F.inline(F.col("m.coins")))
+    if lenient_numbers:
+        flat = flat.withColumns({c: _exact_number(F.col(c), t) for c, t in _NUMERIC.items()})
     return flat.withColumnRenamed("price_change_percentage_24h", "price_change_pct_24h") \
                .select(*FLAT_COLUMNS)
 

@@ -90,6 +90,25 @@ def window_stats(df: DataFrame, duration: str, time: str = "recorded_at",
     )
 
 
+def stats(df: DataFrame, scope: str = "history", duration: str | None = None,
+          keys: list[str] | None = None, **kw) -> DataFrame:
+    """One entry point for the three scopes.
+
+    ``scope="batch"``   per symbol (and ``keys``) inside the frame handed in;
+    ``scope="history"`` per symbol over everything;
+    ``scope="window"``  per symbol and tumbling window of ``duration``.
+    """
+    if scope == "batch":
+        return batch_stats(df, keys, **kw)
+    if scope == "history":
+        return history_stats(df, **kw)
+    if scope == "window":
+        if not duration:
+            raise ValueError("scope='window' needs a duration such as '5 minutes'")
+        return window_stats(df, duration, **kw)
+    raise ValueError(f"unknown scope {scope!r}; use batch, history or window")
+
+
 def spike_by_join(batch: DataFrame, keys: list[str], volume: str = "volume_24h",
                   digits: int | None = DEFAULT_DIGITS) -> DataFrame:
     """The explicit form: rows joined to their group mean, then regrouped.

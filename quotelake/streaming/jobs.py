@@ -23,20 +23,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.functions.envelope import parse_envelopes, to_raw_lake
-from quotelake.functions.scalars import parse_iso_ts, spike_flag
+from quotelake.functions.scalars import parse_iso_ts, spike_flag, tumbling_start
 from quotelake.operators.stats import batch_stats, enrich
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
 from quotelake.sinks import jdbc as jdbc_sink
 from quotelake.sinks.lake import write_partitions
 
 
-def quotes_from_messages(messages: DataFrame, event_time: bool = True) -> DataFrame:
+def quotes_from_messages(messages: DataFrame, event_time: bool = True,
+                         lenient_numbers: bool = False) -> DataFrame:
     """Envelope stream -> raw-lake rows.
 
     ``recorded_at`` is the quote's own ``last_updated`` stamp (event time) when
     ``event_time`` is set, else the micro-batch processing time.
     """
-    flat = parse_envelopes(messages)
+    flat = parse_envelopes(messages, lenient_numbers=lenient_numbers)
     stamp = parse_iso_ts(F.col("last_updated")) if event_time else F.current_timestamp()
     return to_raw_lake(flat, stamp)
 
@@ -47,6 +48,9 @@ class BatchPipeline:
 
     ``stats_keys`` are grouped on inside each micro-batch (``["symbol"]`` is the
     micro-batch scope; add an event-time bucket to keep batches comparable).
+    ``window`` (e.g. ``"5 minutes"``) adds the tumbling window start of
+    ``recorded_at`` as the key ``bucket_start``: window scope inside each
+    micro-batch (``window_start``/``window_end`` stay the group's time span).
     """
     raw_path: str
     enriched_path: str
@@ -54,14 +58,18 @@ class BatchPipeline:
     stats_keys: Sequence[str] = ("symbol",)
     jdbc: Mapping[str, Mapping[str, str]] | None = None  # {"coin_prices": opts, "market_stats": opts}
     on_batch: Callable[[int, DataFrame], None] | None = None
+    window: str | None = None
     batches: list[int] = field(default_factory=list)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         rows = batch_df.where(F.col("symbol").isNotNull()) \
-                       .withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-                       .persist()
+                       .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        keys = list(self.stats_keys)
+        if self.window:
+            rows = rows.withColumn("bucket_start", tumbling_start("recorded_at", self.window))
+            keys.append("bucket_start")
+        rows = rows.persist()
         try:
-            keys = list(self.stats_keys)
             # one batch_id per micro-batch: every task writes one file, no rebalance
             write_partitions(rows, self.raw_path, ["batch_id"], rebalance=False)
             stats = batch_stats(rows, [k for k in keys if k != "symbol"]) \
@@ -194,7 +202,8 @@ def late_rows_dropped(query: StreamingQuery) -> int:
 def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
                    jdbc: Mapping[str, Mapping[str, str]] | None = None,
                    stats_keys: Sequence[str] = ("symbol",), event_time: bool = False,
-                   available_now: bool = True, processing_time: str | None = None
+                   available_now: bool = True, processing_time: str | None = None,
+                   window: str | None = None, lenient_numbers: bool = False
                    ) -> StreamingQuery:
     """The micro-batch job end to end: envelope stream -> raw, enriched, stats (+ JDBC).
 
@@ -203,11 +212,11 @@ def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
     max-per-trigger option) and the query stops; otherwise it runs on a
     processing-time trigger.
     """
-    rows = quotes_from_messages(messages, event_time=event_time)
+    rows = quotes_from_messages(messages, event_time=event_time, lenient_numbers=lenient_numbers)
     if "day" in stats_keys:
         rows = rows.withColumn("day", F.to_date("recorded_at"))
     pipeline = BatchPipeline(f"{lake_base}/raw", f"{lake_base}/enriched", f"{lake_base}/stats",
-                             tuple(stats_keys), jdbc)
+                             tuple(stats_keys), jdbc, window=window)
     w = rows.writeStream.foreachBatch(pipeline).option("checkpointLocation", checkpoint)
     if available_now:
         q = w.trigger(availableNow=True).start()

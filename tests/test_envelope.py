@@ -75,3 +75,18 @@ def test_to_raw_lake_renames(spark):
     raw = envelope.to_raw_lake(envelope.parse_envelopes(_messages(spark, [body])))
     assert {"price_usd", "volume_24h", "recorded_at"} <= set(raw.columns)
     assert "current_price" not in raw.columns
+
+
+def test_lenient_numbers(spark):
+    body = json.dumps({"ingested_at": "t", "coins": [
+        {"id": "x", "total_volume": 20.0, "market_cap": 1.0e3, "current_price": "12.5"},
+        {"id": "y", "total_volume": 30.5, "market_cap": 7, "current_price": 3},
+        {"id": "z", "total_volume": "abc", "current_price": None},
+    ]})
+    rows = {r.id: r for r in envelope.parse_envelopes(_messages(spark, [body]),
+                                                      lenient_numbers=True).collect()}
+    assert (rows["x"].total_volume, rows["x"].market_cap, rows["x"].current_price) == (20, 1000, 12.5)
+    assert (rows["y"].total_volume, rows["y"].market_cap, rows["y"].current_price) == (None, 7, 3.0)
+    assert rows["z"].total_volume is None and rows["z"].current_price is None
+    strict = envelope.parse_envelopes(_messages(spark, [body])).schema
+    assert envelope.parse_envelopes(_messages(spark, [body]), lenient_numbers=True).schema == strict

@@ -123,3 +123,13 @@ def test_dashboard_sql_trend_param(spark):
     dashboard_sql.register_views(q)
     a = dashboard_sql.run(spark, "trend", symbol="signup")
     assert _rows(a) == _rows(reports.q2_trend(q, "signup"))
+
+
+def test_stats_scopes(spark):
+    import pytest
+    q = event_quotes(spark, SF001)
+    assert _rows(stats.stats(q, "history")) == _rows(stats.history_stats(q))
+    assert stats.stats(q, "window", "1 day").count() == stats.window_stats(q, "1 day").count()
+    assert stats.stats(q.withColumn("d", F.to_date("recorded_at")), "batch", keys=["d"]).count() > 5
+    with pytest.raises(ValueError):
+        stats.stats(q, "window")

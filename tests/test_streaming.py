@@ -190,3 +190,22 @@ def test_console_sink_and_timed_stop(spark, tmp_dir, capfd):
     q.stop()
     assert not q.isActive
     assert sum(p.numInputRows for p in q.recentProgress) == 4
+
+
+def test_batch_pipeline_window_scope(spark, tmp_dir):
+    _envelopes(f"{tmp_dir}/in", 2, 4)
+    rows = jobs.quotes_from_messages(envelope_file_stream(spark, f"{tmp_dir}/in"))
+    p = jobs.BatchPipeline(f"{tmp_dir}/raw", f"{tmp_dir}/enr", f"{tmp_dir}/stats", window="1 minute")
+    jobs.run_available_now(rows, f"{tmp_dir}/ckpt", foreach_batch=p)
+    st = spark.read.parquet(f"{tmp_dir}/stats")
+    # 2 symbols x 2 one-minute windows (files stamp minutes 0 and 1), one micro-batch
+    assert st.count() == 4 and "bucket_start" in st.columns
+
+
+def test_start_pipeline_end_to_end(spark, tmp_dir):
+    _envelopes(f"{tmp_dir}/in", 3, 2)
+    q = jobs.start_pipeline(envelope_file_stream(spark, f"{tmp_dir}/in", 2), f"{tmp_dir}/lake",
+                            f"{tmp_dir}/ckpt", event_time=True)
+    assert not q.isActive
+    assert spark.read.parquet(f"{tmp_dir}/lake/raw").count() == 6
+    assert spark.read.parquet(f"{tmp_dir}/lake/stats").select("batch_id").distinct().count() == 2
