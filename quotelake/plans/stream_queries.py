@@ -49,7 +49,9 @@ def _halves(quotes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _row_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return jobs.with_event_time(parquet_stream(spark, path, like.select(*QUOTE_COLUMNS).schema))
+    """Quote rows as a stream, built in a child session sized for streaming state."""
+    ss = jobs.stream_session(spark)
+    return jobs.with_event_time(parquet_stream(ss, path, like.select(*QUOTE_COLUMNS).schema))
 
 
 @register("stream_parse")
@@ -57,7 +59,7 @@ def stream_parse(spark, sf_dir):
     """Envelope file stream -> parse -> flatten -> raw lake (file sink, exactly once)."""
     p = _paths(spark, "stream_parse")
     _stage_envelopes(event_quotes(spark, sf_dir), p["in"])
-    rows = jobs.quotes_from_messages(envelope_file_stream(spark, p["in"]))
+    rows = jobs.quotes_from_messages(envelope_file_stream(jobs.stream_session(spark), p["in"]))
     jobs.run_available_now(rows, p["ckpt"], sink="parquet", path=p["out"])
     return spark.read.parquet(p["out"])
 
@@ -71,7 +73,7 @@ def stream_batch_stats(spark, sf_dir):
     """
     p = _paths(spark, "stream_batch_stats")
     _stage_envelopes(event_quotes(spark, sf_dir), p["in"])
-    rows = jobs.quotes_from_messages(envelope_file_stream(spark, p["in"])) \
+    rows = jobs.quotes_from_messages(envelope_file_stream(jobs.stream_session(spark), p["in"])) \
         .withColumn("day", F.to_date("recorded_at"))
     pipeline = jobs.BatchPipeline(p["raw"], p["enriched"], p["stats"], ("symbol", "day"))
     jobs.run_available_now(rows, p["ckpt"], foreach_batch=pipeline)
@@ -127,7 +129,7 @@ def stream_restart(spark, sf_dir):
     first, second = _halves(q)
     for arrival in (first, second):
         _stage_rows(arrival, p["in"])
-        rows = parquet_stream(spark, p["in"], q.select(*QUOTE_COLUMNS).schema)
+        rows = parquet_stream(jobs.stream_session(spark), p["in"], q.select(*QUOTE_COLUMNS).schema)
         jobs.run_available_now(rows, p["ckpt"], sink="parquet", path=p["out"])
     return spark.read.parquet(p["out"])
 

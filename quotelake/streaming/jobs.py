@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +30,29 @@ from quotelake.sinks import jdbc as jdbc_sink
 from quotelake.sinks.lake import write_partitions
 
 
+# Session setting that overrides the number of state partitions of new stateful queries.
+STATE_PARTITIONS_CONF = "quotelake.streaming.statePartitions"
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A child session (same SparkContext, own SQL conf) for starting stateful streams.
+
+    A stateful query fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` at its first start, and AQE cannot
+    change it later.  The batch default (often 200, or sized for
+    terabyte shuffles) is the wrong number for state.  So streams start from a
+    session where it is ``state_partitions``, else ``quotelake.streaming.statePartitions``,
+    else the cluster's default parallelism (one state partition per core).
+    The caller's session conf is left untouched.
+    """
+    n = state_partitions or spark.conf.get(STATE_PARTITIONS_CONF, None) \
+        or spark.sparkContext.defaultParallelism
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(int(n)))
+    child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return child
+
+
 def quotes_from_messages(messages: DataFrame, event_time: bool = True,
                          lenient_numbers: bool = False) -> DataFrame:
     """Envelope stream -> raw-lake rows.

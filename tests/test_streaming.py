@@ -209,3 +209,12 @@ def test_start_pipeline_end_to_end(spark, tmp_dir):
     assert not q.isActive
     assert spark.read.parquet(f"{tmp_dir}/lake/raw").count() == 6
     assert spark.read.parquet(f"{tmp_dir}/lake/stats").select("batch_id").distinct().count() == 2
+
+
+def test_stream_session_sizes_state_without_touching_caller(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    child = jobs.stream_session(spark, state_partitions=3)
+    assert child.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    dflt = jobs.stream_session(spark)
+    assert int(dflt.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
