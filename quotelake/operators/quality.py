@@ -78,6 +78,27 @@ def run_log_rows(report: DataFrame) -> DataFrame:
     return report.select(F.inline(kept))
 
 
+def observed(df: DataFrame, name: str = "quality",
+             critical: Sequence[str] = CRITICAL_FACT_COLUMNS) -> DataFrame:
+    """Attach the gate counts to ``df`` as named observed metrics.
+
+    Nothing extra is scanned: the counts are accumulated while ``df`` is
+    computed for its real purpose.  In a stream they appear per micro-batch in
+    ``query.lastProgress.observedMetrics[name]``; in batch, pass an
+    ``Observation`` as ``name`` and read ``observation.get`` after an action.
+    """
+    return df.observe(name, F.count(F.lit(1)).alias("row_count"),
+                      F.count_if(any_null(critical)).alias("null_critical_rows"))
+
+
+def gate_metrics(metrics: dict, min_rows: int = 1) -> dict:
+    """Statuses for observed counts, with the same ordering rule as ``dq_report``."""
+    rows_ok = metrics["row_count"] >= min_rows
+    nulls = "skipped" if not rows_ok else ("failed" if metrics["null_critical_rows"] else "success")
+    return {**metrics, "row_count_status": "success" if rows_ok else "failed",
+            "nulls_status": nulls}
+
+
 def run_gates(facts: DataFrame, log: Callable[[str, str, str], None] | None = None,
               min_rows: int = 1) -> dict:
     """Imperative gates: raise ``QualityGateError`` on the first failing gate.

@@ -218,3 +218,18 @@ def test_stream_session_sizes_state_without_touching_caller(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     dflt = jobs.stream_session(spark)
     assert int(dflt.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
+
+
+def test_observed_quality_metrics_per_batch(spark, tmp_dir):
+    from pyspark.sql import Observation
+    from quotelake.operators.quality import gate_metrics, observed
+    _write_batches(f"{tmp_dir}/in", F8[:3])
+    src = parquet_stream(spark, f"{tmp_dir}/in", SCHEMA, max_files_per_trigger=1) \
+        .withColumn("name", F.when(F.col("symbol") == "b", None).otherwise(F.col("symbol")))
+    q = jobs.run_available_now(observed(src), f"{tmp_dir}/ckpt", sink="parquet", path=f"{tmp_dir}/out")
+    per_batch = [p.observedMetrics["quality"] for p in q.recentProgress if "quality" in p.observedMetrics]
+    assert [(m["row_count"], m["null_critical_rows"]) for m in per_batch][:3] == [(3, 1), (1, 0), (1, 1)]
+    assert gate_metrics({"row_count": 1, "null_critical_rows": 1})["nulls_status"] == "failed"
+    obs = Observation("batch_quality")
+    observed(spark.read.parquet(f"{tmp_dir}/out"), obs).write.format("noop").mode("overwrite").save()
+    assert obs.get["row_count"] == 5
