@@ -91,6 +91,15 @@ def duration_micros(duration: str) -> int:
     return int(n) * _UNIT_MICROS[unit]
 
 
+def day_start(ts: ColumnOrName) -> Column:
+    """Midnight (TIMESTAMP_NTZ) of the day holding ``ts``, in the session zone (UTC here).
+
+    Used instead of a DATE so day keys keep one type (timestamp) through
+    parquet, Arrow and pandas alike.
+    """
+    return F.date_trunc("day", _c(ts)).cast("timestamp_ntz")
+
+
 def tumbling_start(ts: ColumnOrName, duration: str) -> Column:
     """Start (TIMESTAMP_NTZ) of the epoch-aligned tumbling window holding ``ts``.
 

@@ -27,9 +27,10 @@ DASHBOARD_SQL = {
     "top_volume": f"""WITH {LATEST_CTE}
 SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, recorded_at
 FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20""",
-    "trend": """SELECT to_date(recorded_at) AS day, round(avg(price_usd), 6) AS avg_price,
-       max(price_usd) AS max_price, min(price_usd) AS min_price
-FROM coin_prices WHERE symbol = :symbol GROUP BY to_date(recorded_at) ORDER BY day""",
+    "trend": """SELECT CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) AS day,
+       round(avg(price_usd), 6) AS avg_price, max(price_usd) AS max_price, min(price_usd) AS min_price
+FROM coin_prices WHERE symbol = :symbol
+GROUP BY CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) ORDER BY day""",
     "heatmap": """SELECT symbol, window_start, window_end, volatility_score
 FROM market_stats ORDER BY window_end DESC, symbol""",
     "spike_rate": """SELECT symbol,

@@ -77,13 +77,13 @@ RAW_COLS = """symbol, name, price_usd, market_cap, volume_24h, price_change_pct_
        id, high_24h, low_24h, CAST(NULL AS DOUBLE) AS circulating_supply,
        CAST(NULL AS DOUBLE) AS total_supply, CAST(NULL AS DOUBLE) AS max_supply, last_updated"""
 HOUR_TEXT = "strftime(date_trunc('hour', recorded_at), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
-DAY_STATS = """SELECT symbol, CAST(recorded_at AS DATE) AS day,
+DAY_STATS = """SELECT symbol, date_trunc('day', recorded_at) AS day,
        round(stddev_samp(price_usd), 6) AS volatility_score,
        round(avg(volume_24h), 6) AS avg_volume,
        coalesce(max(volume_24h) > avg(volume_24h), false) AS volume_spike,
        min(recorded_at) AS window_start, max(recorded_at) AS window_end,
        count(*) AS record_count
-FROM {src} GROUP BY symbol, CAST(recorded_at AS DATE)"""
+FROM {src} GROUP BY symbol, date_trunc('day', recorded_at)"""
 HIST_STATS = """SELECT symbol,
        round(stddev_samp(price_usd), 6) AS volatility_score,
        round(avg(volume_24h), 6) AS avg_volume,
@@ -164,7 +164,7 @@ FROM quotes q LEFT JOIN ext ON q.symbol = ext.symbol"""
 ORACLE["batch_stats"] = Q + DAY_STATS.format(src="quotes")
 ORACLE["history_stats"] = Q + HIST_STATS.format(src="quotes")
 ORACLE["history_stats_brand"] = with_(BRANDS) + HIST_STATS.format(src="brands")
-ORACLE["stats_spike_join"] = Q + """, d AS (SELECT *, CAST(recorded_at AS DATE) AS day FROM quotes),
+ORACLE["stats_spike_join"] = Q + """, d AS (SELECT *, date_trunc('day', recorded_at) AS day FROM quotes),
 m AS (SELECT symbol, day, round(avg(volume_24h), 6) AS avg_volume FROM d GROUP BY symbol, day)
 SELECT d.symbol, d.day,
        max(CASE WHEN d.volume_24h > m.avg_volume THEN 1 ELSE 0 END) > 0 AS volume_spike
@@ -197,9 +197,9 @@ FROM {src} ORDER BY symbol, recorded_at DESC, row_id DESC"""
 ORACLE["q1_top_volume_brand"] = with_(BRANDS) + ", latest AS (" + LATEST.format(src="brands") + """)
 SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, recorded_at
 FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20"""
-ORACLE["q2_trend"] = Q + """SELECT CAST(recorded_at AS DATE) AS day, round(avg(price_usd), 6) AS avg_price,
+ORACLE["q2_trend"] = Q + """SELECT date_trunc('day', recorded_at) AS day, round(avg(price_usd), 6) AS avg_price,
        max(price_usd) AS max_price, min(price_usd) AS min_price
-FROM quotes WHERE symbol = 'click' GROUP BY CAST(recorded_at AS DATE) ORDER BY day"""
+FROM quotes WHERE symbol = 'click' GROUP BY date_trunc('day', recorded_at) ORDER BY day"""
 ORACLE["q2_trend_sql"] = ORACLE["q2_trend"]
 ORACLE["q3_heatmap"] = QS + """SELECT symbol, window_start, window_end, volatility_score
 FROM market_stats ORDER BY window_end DESC, symbol"""
@@ -223,11 +223,16 @@ ORACLE["bi_measures"] = QS + """SELECT
        CAST(count(*) FILTER (WHERE volume_spike) AS DOUBLE) / count(*) AS spike_rate,
        round(avg(volatility_score), 6) AS avg_volatility, count(*) AS stats_rows
 FROM market_stats"""
-ORACLE["date_rollup"] = Q + """SELECT CAST(year(recorded_at) AS BIGINT) AS year,
-       CAST(month(recorded_at) AS BIGINT) AS month, CAST(day(recorded_at) AS BIGINT) AS day,
+ORACLE["date_rollup"] = Q + """SELECT
+       CASE grouping(y, m, d) WHEN 7 THEN 'total' WHEN 3 THEN 'year' WHEN 1 THEN 'month'
+            ELSE 'day' END AS level,
+       CASE grouping(y, m, d) WHEN 7 THEN 'all' WHEN 3 THEN printf('%04d', y)
+            WHEN 1 THEN printf('%04d-%02d', y, m) ELSE printf('%04d-%02d-%02d', y, m, d) END AS period,
        count(*) AS records, round(avg(price_usd), 6) AS avg_price,
        CAST(sum(volume_24h) AS BIGINT) AS total_volume
-FROM quotes GROUP BY ROLLUP (year(recorded_at), month(recorded_at), day(recorded_at))"""
+FROM (SELECT year(recorded_at) AS y, month(recorded_at) AS m, day(recorded_at) AS d, price_usd,
+             volume_24h FROM quotes)
+GROUP BY ROLLUP (y, m, d)"""
 ORACLE["heatmap_pivot"] = Q + ", daily AS (" + WINDOW_STATS.format(w="1 day", where="") + """)
 SELECT window_start,
        max(CASE WHEN symbol = 'click' THEN volatility_score END) AS click,
@@ -254,10 +259,10 @@ ORACLE["contract_domain"] = Q + """SELECT symbol,
        count(*) AS rows
 FROM quotes GROUP BY ALL"""
 ORACLE["contract_decimal"] = Q + """SELECT row_id,
-       TRY_CAST(price_usd AS DECIMAL(18,8)) AS price_usd,
-       TRY_CAST(market_cap AS DECIMAL(24,2)) AS market_cap,
-       TRY_CAST(volume_24h AS DECIMAL(24,2)) AS volume_24h,
-       TRY_CAST(price_change_pct_24h AS DECIMAL(8,4)) AS price_change_pct_24h,
+       CAST(TRY_CAST(price_usd AS DECIMAL(18,8)) AS DOUBLE) AS price_usd,
+       CAST(TRY_CAST(market_cap AS DECIMAL(24,2)) AS DOUBLE) AS market_cap,
+       CAST(TRY_CAST(volume_24h AS DECIMAL(24,2)) AS DOUBLE) AS volume_24h,
+       CAST(TRY_CAST(price_change_pct_24h AS DECIMAL(8,4)) AS DOUBLE) AS price_change_pct_24h,
        coalesce((price_usd IS NOT NULL AND TRY_CAST(price_usd AS DECIMAL(18,8)) IS NULL)
              OR (market_cap IS NOT NULL AND TRY_CAST(market_cap AS DECIMAL(24,2)) IS NULL)
              OR (volume_24h IS NOT NULL AND TRY_CAST(volume_24h AS DECIMAL(24,2)) IS NULL)
@@ -280,7 +285,7 @@ ORACLE["run_log"] = with_(QUOTES, NULLS, REPORT, LOG) + "SELECT * FROM logrows"
 ORACLE["sink_enriched"] = Q + ", ds AS (" + DAY_STATS.format(src="quotes") + """)
 SELECT row_id, q.symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h,
        recorded_at, ds.volatility_score, ds.volume_spike
-FROM quotes q LEFT JOIN ds ON q.symbol = ds.symbol AND CAST(q.recorded_at AS DATE) = ds.day"""
+FROM quotes q LEFT JOIN ds ON q.symbol = ds.symbol AND date_trunc('day', q.recorded_at) = ds.day"""
 
 # --- streaming queries -------------------------------------------------------
 # Envelopes carry the quote time as millisecond ISO text, so parsed rows hold

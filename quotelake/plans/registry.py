@@ -171,7 +171,7 @@ def enriched_contract(spark, sf_dir):
 @register("batch_stats")
 def batch_stats(spark, sf_dir):
     """Per-(symbol, day) stats: each day plays one micro-batch."""
-    q = event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at"))
+    q = event_quotes(spark, sf_dir).withColumn("day", scalars.day_start("recorded_at"))
     return stats.batch_stats(q, ["day"])
 
 
@@ -188,7 +188,7 @@ def history_stats_brand(spark, sf_dir):
 @register("stats_spike_join")
 def stats_spike_join(spark, sf_dir):
     """The join-and-regroup spike form, per (symbol, day)."""
-    q = event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at"))
+    q = event_quotes(spark, sf_dir).withColumn("day", scalars.day_start("recorded_at"))
     return stats.spike_by_join(q, ["symbol", "day"])
 
 
@@ -328,7 +328,9 @@ def contract_domain(spark, sf_dir):
 def contract_decimal(spark, sf_dir):
     q = event_quotes(spark, sf_dir).select("row_id", "price_usd", "market_cap", "volume_24h",
                                            "price_change_pct_24h")
-    return contracts.cast_decimals(q, contracts.COIN_PRICES_DECIMALS)
+    casted = contracts.cast_decimals(q, contracts.COIN_PRICES_DECIMALS)
+    # values at table precision, reported as doubles (exact for these scales)
+    return casted.withColumns({c: F.col(c).cast("double") for c in contracts.COIN_PRICES_DECIMALS})
 
 
 @register("contract_default")
@@ -402,7 +404,7 @@ def sink_raw(spark, sf_dir):
 @register("sink_enriched")
 def sink_enriched(spark, sf_dir):
     """Enriched rows (per-day stats joined back) written by day partition, read back."""
-    q = event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at"))
+    q = event_quotes(spark, sf_dir).withColumn("day", scalars.day_start("recorded_at"))
     s = stats.batch_stats(q, ["day"])
     rows = stats.enrich(q, s, ["symbol", "day"])
     path = run_dir(spark, "sink_enriched")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.functions.scalars import day_start
 from quotelake.operators.latest import latest_per_key, latest_per_key_window, top_k
 from quotelake.schemas import FACT_COLUMNS
 
@@ -28,12 +29,12 @@ def q1_top_volume(facts: DataFrame, k: int = 20) -> DataFrame:
 
 
 def q2_trend(facts: DataFrame, symbol: str, digits: int = 6) -> DataFrame:
-    """Daily average/max/min price of one symbol, by day.
+    """Daily average/max/min price of one symbol, by day (``day`` = midnight, TIMESTAMP_NTZ).
 
     The symbol filter sits directly on the scan, so parquet row groups whose
     symbol statistics exclude it are skipped (helped by the sorted lake layout).
     """
-    day = F.to_date("recorded_at").alias("day")
+    day = day_start("recorded_at").alias("day")
     return (facts.where(F.col("symbol") == symbol)
             .groupBy(day)
             .agg(F.round(F.avg("price_usd"), digits).alias("avg_price"),
@@ -43,13 +44,13 @@ def q2_trend(facts: DataFrame, symbol: str, digits: int = 6) -> DataFrame:
 
 
 TREND_SQL = """
-SELECT to_date(recorded_at) AS day,
+SELECT CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) AS day,
        round(avg(price_usd), 6) AS avg_price,
        max(price_usd) AS max_price,
        min(price_usd) AS min_price
 FROM {facts}
 WHERE symbol = :symbol
-GROUP BY to_date(recorded_at)
+GROUP BY CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ)
 ORDER BY day
 """
 
@@ -122,18 +123,30 @@ def bi_measures(stats: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def date_rollup(facts: DataFrame, digits: int = 6) -> DataFrame:
-    """Drill-down on recorded_at: year > month > day subtotals (plus grand total)."""
+    """Drill-down on recorded_at: year > month > day subtotals plus the grand total.
+
+    One ``rollup`` aggregate.  Each row is labelled by ``level`` (total, year,
+    month, day) and ``period`` ('all', '2024', '2024-01', '2024-01-15'), a
+    ready-made axis for a drill-down, instead of NULL subtotal markers.
+    """
     parts = facts.select(
-        F.year("recorded_at").cast("bigint").alias("year"),
-        F.month("recorded_at").cast("bigint").alias("month"),
-        F.dayofmonth("recorded_at").cast("bigint").alias("day"),
-        "price_usd", "volume_24h",
+        F.year("recorded_at").alias("y"), F.month("recorded_at").alias("m"),
+        F.dayofmonth("recorded_at").alias("d"), "price_usd", "volume_24h",
     )
-    return parts.rollup("year", "month", "day").agg(
+    agg = parts.rollup("y", "m", "d").agg(
+        F.grouping_id().alias("g"),
         F.count(F.lit(1)).alias("records"),
         F.round(F.avg("price_usd"), digits).alias("avg_price"),
         F.sum("volume_24h").alias("total_volume"),
     )
+    level = F.when(F.col("g") == 7, "total").when(F.col("g") == 3, "year") \
+             .when(F.col("g") == 1, "month").otherwise("day")
+    period = F.when(F.col("g") == 7, F.lit("all")) \
+              .when(F.col("g") == 3, F.format_string("%04d", "y")) \
+              .when(F.col("g") == 1, F.format_string("%04d-%02d", "y", "m")) \
+              .otherwise(F.format_string("%04d-%02d-%02d", "y", "m", "d"))
+    return agg.select(level.alias("level"), period.alias("period"),
+                      "records", "avg_price", "total_volume")
 
 
 def heatmap_pivot(stats: DataFrame, symbols: Sequence[str], value: str = "volatility_score"

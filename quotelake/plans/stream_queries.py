@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.functions import envelope
+from quotelake.functions.scalars import day_start
 from quotelake.plans.registry import register
 from quotelake.sinks import lake
 from quotelake.sinks.bus import publish_files
@@ -74,7 +75,7 @@ def stream_batch_stats(spark, sf_dir):
     p = _paths(spark, "stream_batch_stats")
     _stage_envelopes(event_quotes(spark, sf_dir), p["in"])
     rows = jobs.quotes_from_messages(envelope_file_stream(jobs.stream_session(spark), p["in"])) \
-        .withColumn("day", F.to_date("recorded_at"))
+        .withColumn("day", day_start("recorded_at"))
     pipeline = jobs.BatchPipeline(p["raw"], p["enriched"], p["stats"], ("symbol", "day"))
     jobs.run_available_now(rows, p["ckpt"], foreach_batch=pipeline)
     return spark.read.parquet(p["stats"]).drop("batch_id")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.functions.envelope import parse_envelopes, to_raw_lake
-from quotelake.functions.scalars import parse_iso_ts, spike_flag, tumbling_start
+from quotelake.functions.scalars import day_start, parse_iso_ts, spike_flag, tumbling_start
 from quotelake.operators.stats import batch_stats, enrich
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
 from quotelake.sinks import jdbc as jdbc_sink
@@ -237,7 +237,7 @@ def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
     """
     rows = quotes_from_messages(messages, event_time=event_time, lenient_numbers=lenient_numbers)
     if "day" in stats_keys:
-        rows = rows.withColumn("day", F.to_date("recorded_at"))
+        rows = rows.withColumn("day", day_start("recorded_at"))
     pipeline = BatchPipeline(f"{lake_base}/raw", f"{lake_base}/enriched", f"{lake_base}/stats",
                              tuple(stats_keys), jdbc, window=window)
     w = rows.writeStream.foreachBatch(pipeline).option("checkpointLocation", checkpoint)
