@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from quotelake.functions import derive, envelope, scalars
 from quotelake.operators import contracts, latest, quality, stats
-from quotelake.plans import reports
+from quotelake.plans import dashboard_sql, reports
+from quotelake.plans.backfill import backfill
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
 from quotelake.session import ensure_utc, run_dir
 from quotelake.sinks import jdbc as jdbc_sink
@@ -415,7 +416,6 @@ def sink_enriched(spark, sf_dir):
 # --------------------------------------------------------------- backfill
 
 def _backfilled(spark, sf_dir, name):
-    from quotelake.plans.backfill import backfill
     base = run_dir(spark, name)
     q = raw_lake_rows(event_quotes(spark, sf_dir)).drop("row_id")
     lake.write_partitions(q.withColumn("day", F.to_date("recorded_at")), f"{base}/raw", ["day"])
@@ -437,7 +437,6 @@ def backfill_facts(spark, sf_dir):
 # --------------------------------------------------------------- dashboards as SQL text
 
 def _sql_views(spark, sf_dir):
-    from quotelake.plans import dashboard_sql
     q = event_quotes(spark, sf_dir)
     dashboard_sql.register_views(q, market_stats(q))
     return dashboard_sql
