@@ -9,6 +9,7 @@ import math
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quotelake.operators import latest, stats
 
@@ -98,3 +99,32 @@ def test_one_pass_spike_equals_join_form(spark, rows):
     one = {r.symbol: r.volume_spike for r in stats.history_stats(sdf, digits=None).collect()}
     two = {r.symbol: r.volume_spike for r in stats.spike_by_join(sdf, ["symbol"], digits=None).collect()}
     assert one == two
+
+
+quote_row = st.tuples(
+    st.text(max_size=12),                                   # id: quotes, backslashes, unicode
+    st.one_of(st.none(), st.text(max_size=6)),              # symbol
+    st.one_of(st.none(), st.text(max_size=20)),             # name
+    st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64)),
+    st.one_of(st.none(), st.integers(min_value=-2**63, max_value=2**63 - 1)),
+)
+
+
+@SETTINGS
+@given(st.lists(quote_row, min_size=1, max_size=25))
+def test_envelope_round_trip_is_lossless(spark, rows):
+    from quotelake.functions import envelope
+    data = [(i, r[0], r[1], r[2], r[3], r[4], BASE) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(
+        data, "row_id bigint, id string, symbol string, name string, price_usd double, "
+              "volume_24h bigint, recorded_at timestamp_ntz") \
+        .withColumns({"market_cap": F.lit(None).cast("bigint"),
+                      "price_change_pct_24h": F.lit(None).cast("double"),
+                      "high_24h": F.lit(None).cast("double"), "low_24h": F.lit(None).cast("double"),
+                      "last_updated": F.lit(None).cast("string")})
+    env = envelope.to_envelopes(df, F.lit("2024-01-01T00:00:00+00:00"), max_quotes=7)
+    assert env.agg(F.max("n_coins")).first()[0] <= 7
+    back = envelope.parse_envelopes(env).select("id", "symbol", "name", "current_price", "total_volume")
+    got = sorted(map(tuple, back.collect()), key=repr)
+    want = sorted([(r[0], r[1], r[2], r[3], r[4]) for r in rows], key=repr)
+    assert got == want
