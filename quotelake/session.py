@@ -8,6 +8,7 @@ setting is missing *and* the session runs in local mode (tests, laptops).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -52,6 +53,29 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
+def is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", None)
+    if master is None and _context(spark) is not None:
+        master = _context(spark).master
+    return bool(master) and master.startswith("local")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    conf = spark.conf.get("spark.default.parallelism", None)
+    return int(conf) if conf else (os.cpu_count() or 1)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written intermediates.
 
@@ -61,16 +85,20 @@ def shared_dir(spark: SparkSession) -> str:
     its executor, so we refuse instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS)")
     base = tempfile.mkdtemp(prefix="quotelake-")
-    spark.sparkContext.setCheckpointDir(base)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", base)
+        return base
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

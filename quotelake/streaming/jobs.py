@@ -26,6 +26,7 @@ from quotelake.functions.envelope import parse_envelopes, to_raw_lake
 from quotelake.functions.scalars import day_start, parse_iso_ts, spike_flag, tumbling_start
 from quotelake.operators.stats import batch_stats, enrich
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
+from quotelake.session import default_parallelism
 from quotelake.sinks import jdbc as jdbc_sink
 from quotelake.sinks.lake import write_partitions
 
@@ -46,8 +47,12 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     The caller's session conf is left untouched.
     """
     n = state_partitions or spark.conf.get(STATE_PARTITIONS_CONF, None) \
-        or spark.sparkContext.defaultParallelism
-    child = spark.newSession()
+        or default_parallelism(spark)
+    try:
+        child = spark.newSession()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect client: size the session itself
+        spark.conf.set("spark.sql.shuffle.partitions", str(int(n)))
+        return spark
     child.conf.set("spark.sql.shuffle.partitions", str(int(n)))
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return child
