@@ -22,6 +22,7 @@ from quotelake.functions.scalars import (
     price_category,
     price_range_24h,
 )
+from quotelake.operators.joins import lookup_join
 
 # Default buckets (parameters, not reference values).
 VOLUME_EDGES = [(1e9, "high"), (1e7, "medium")]
@@ -45,7 +46,7 @@ def with_history_extremes(quotes: DataFrame, key: str = "symbol", price: str = "
     not a window over the symbol, so a hot symbol is never held by one task.
     """
     ext = quotes.groupBy(key).agg(F.max(price).alias("ath"), F.min(price).alias("atl"))
-    return quotes.join(ext, key, "left")
+    return lookup_join(quotes, ext, [key], "left")
 
 
 def processed_record(quotes: DataFrame,

@@ -14,13 +14,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.operators.joins import checked_broadcast
+
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str] = "symbol",
                    order: Sequence[str] = ("recorded_at", "row_id"),
-                   columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` tuple (later wins, then higher id)."""
+                   columns: Sequence[str] | None = None, method: str = "max_by") -> DataFrame:
+    """One row per key: the one with the greatest ``order`` tuple (later wins, then higher id).
+
+    ``method="max_by"`` (default) is one pass: a partial aggregate whose struct
+    buffers make Spark sort each task's rows locally first.
+    ``method="two_phase"`` never sorts the full input: a hash aggregate finds
+    each key's latest ``order[0]`` (reading two columns), a null-safe semi-join
+    keeps the rows at that time, and ``max_by`` breaks ties among those few
+    candidates.  The per-key table is broadcast only after a size check
+    (``joins.checked_broadcast``), so the big side streams through a hash
+    join instead of being shuffled.  It costs a second, column-pruned scan;
+    prefer it when the input is wide and sorting it dominates.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(columns) if columns is not None else [c for c in df.columns if c not in keys]
+    if method == "two_phase":
+        first = order[0]
+        latest_t = checked_broadcast(
+            df.groupBy(*keys).agg(F.max(first).alias("_t"))
+              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_t"))
+        cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+        cond.append(F.col(first).eqNullSafe(F.col("_t")))
+        df = df.join(latest_t, cond, "left_semi")
+    elif method != "max_by":
+        raise ValueError(f"unknown method {method!r}")
     picked = df.groupBy(*keys).agg(
         F.max_by(F.struct(*cols), F.struct(*order)).alias("_latest"))
     return picked.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cols])

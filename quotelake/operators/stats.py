@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.scalars import spike_flag, tumbling_start
+from quotelake.operators.joins import DEFAULT_MAX_ROWS, lookup_join
 
 DEFAULT_DIGITS = 6
 
@@ -110,17 +111,17 @@ def stats(df: DataFrame, scope: str = "history", duration: str | None = None,
 
 
 def spike_by_join(batch: DataFrame, keys: list[str], volume: str = "volume_24h",
-                  digits: int | None = DEFAULT_DIGITS) -> DataFrame:
+                  digits: int | None = DEFAULT_DIGITS,
+                  max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """The explicit form: rows joined to their group mean, then regrouped.
 
     Kept to show (and test) that it equals the one-pass ``max > avg`` flag.
-    The mean table has one row per group; the join is a many-to-one equi-join
-    that AQE broadcasts when the measured mean table is small and splits on
-    skew otherwise.
+    The mean table has one row per group; the join is a many-to-one equi-join,
+    broadcast only when a size check proves the mean table small
+    (``joins.lookup_join``), otherwise a sort-merge join with skew splitting.
     """
     means = batch.groupBy(*keys).agg(_r(F.avg(volume), digits).alias("avg_volume"))
-    flagged = (batch.select(*keys, volume)
-               .join(means, keys, "left")
+    flagged = (lookup_join(batch.select(*keys, volume), means, keys, "left", max_rows)
                .groupBy(*keys)
                .agg(F.max(F.when(F.col(volume) > F.col("avg_volume"), 1).otherwise(0))
                     .alias("spike_int")))
@@ -128,31 +129,37 @@ def spike_by_join(batch: DataFrame, keys: list[str], volume: str = "volume_24h",
 
 
 def enrich(facts: DataFrame, stats: DataFrame, keys: list[str],
-           columns: tuple[str, ...] = ("volatility_score", "volume_spike")) -> DataFrame:
-    """Left join of fact rows to their group's stats (one stats row per key)."""
-    return facts.join(stats.select(*keys, *columns), keys, "left")
+           columns: tuple[str, ...] = ("volatility_score", "volume_spike"),
+           max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Left join of fact rows to their group's stats (one stats row per key).
+
+    The stats side is broadcast only behind a size check (``max_rows``); pass
+    ``max_rows=None`` to leave the choice to AQE (e.g. inside a micro-batch
+    whose rows are already cached).
+    """
+    return lookup_join(facts, stats.select(*keys, *columns), keys, "left", max_rows)
 
 
 def window_join(rows: DataFrame, duration: str, time: str = "recorded_at",
                 price: str = "price_usd", volume: str = "volume_24h",
-                digits: int | None = DEFAULT_DIGITS, volatility_threshold: float = 1000.0
-                ) -> DataFrame:
+                digits: int | None = DEFAULT_DIGITS, volatility_threshold: float = 1000.0,
+                max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """Each row joined to the stats of its own (symbol, tumbling window).
 
     The interval condition ``start <= t < end`` is replaced by an equi-join on
     ``(symbol, window(t).start)``: a row lies in exactly one tumbling window,
     so the result is the same and Spark can hash/sort-merge/broadcast it
     instead of running a range (nested-loop) join.  The stats side is an
-    aggregate (partial before the shuffle); AQE broadcasts it only when its
-    measured size allows and otherwise splits skewed join partitions.  Rows
-    whose time is NULL are kept, with NULL stats.
+    aggregate (partial before the shuffle), broadcast only when a size check
+    proves it small; beyond ``max_rows`` it is a sort-merge join whose skewed
+    partitions AQE splits.  Rows whose time is NULL are kept, with NULL stats.
     """
     keyed = rows.withColumn("window_start", tumbling_start(time, duration))
     base = keyed.groupBy("symbol", "window_start").agg(
         F.avg(volume).alias("avg_volume_window"),
         F.stddev_samp(price).alias("volatility_score"),
     )
-    joined = keyed.join(base, ["symbol", "window_start"], "left")
+    joined = lookup_join(keyed, base, ["symbol", "window_start"], "left", max_rows)
     return joined.select(
         *keyed.columns,
         _r(F.col("avg_volume_window"), digits).alias("avg_volume_window"),

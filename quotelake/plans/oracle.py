@@ -321,3 +321,4 @@ ORACLE["q4_spike_rate_sql"] = ORACLE["q4_spike_rate"]
 ORACLE["q5_latest_sql"] = ORACLE["q5_latest"]
 
 ORACLE["window_stats_daily"] = Q + WINDOW_STATS.format(w="1 day", where="")
+ORACLE["q5_latest_brand_two_phase"] = ORACLE["q5_latest_brand"]

@@ -270,6 +270,12 @@ def q5_latest_brand(spark, sf_dir):
     return reports.q5_latest(brand_quotes(spark, sf_dir))
 
 
+@register("q5_latest_brand_two_phase")
+def q5_latest_brand_two_phase(spark, sf_dir):
+    """Latest per brand without sorting the input: max time, semi-join, tie-break on few rows."""
+    return reports.q5_latest(brand_quotes(spark, sf_dir), method="two_phase")
+
+
 @register("latest_n_facts")
 def latest_n_facts(spark, sf_dir):
     return reports.latest_n_facts(event_quotes(spark, sf_dir))

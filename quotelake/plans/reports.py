@@ -79,10 +79,10 @@ def q4_spike_rate(stats: DataFrame) -> DataFrame:
             .orderBy(F.col("volume_spike_pct").desc()))
 
 
-def q5_latest(facts: DataFrame) -> DataFrame:
-    """Latest snapshot per symbol (aggregate form)."""
-    return latest_per_key(facts, "symbol", ("recorded_at", "row_id"), LATEST_COLUMNS) \
-        .select("symbol", *LATEST_COLUMNS)
+def q5_latest(facts: DataFrame, method: str = "max_by") -> DataFrame:
+    """Latest snapshot per symbol (aggregate form; ``method`` as in ``latest_per_key``)."""
+    return latest_per_key(facts, "symbol", ("recorded_at", "row_id"), LATEST_COLUMNS,
+                          method=method).select("symbol", *LATEST_COLUMNS)
 
 
 def q5_latest_window(facts: DataFrame) -> DataFrame:

@@ -104,7 +104,7 @@ class BatchPipeline:
                 .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             # One stats row per key of this micro-batch: the size is bounded by the
             # batch's own key count; AQE broadcasts it when small, else shuffles.
-            enriched = enrich(rows, stats, keys).select(*ENRICHED_LAKE_COLUMNS, *[
+            enriched = enrich(rows, stats, keys, max_rows=None).select(*ENRICHED_LAKE_COLUMNS, *[
                 k for k in keys if k not in ENRICHED_LAKE_COLUMNS], "batch_id")
             write_partitions(enriched, self.enriched_path, ["batch_id"], rebalance=False)
             write_partitions(stats, self.stats_path, ["batch_id"], sort_by=None, rebalance=False)

@@ -65,6 +65,9 @@ def test_latest_per_key_matches_brute_force(spark, rows):
         sdf, "symbol", ("recorded_at", "row_id"), ["row_id"]).collect()}
     got_w = {r.symbol: r.row_id for r in latest.latest_per_key_window(
         sdf, "symbol", ("recorded_at", "row_id"), ["row_id"]).collect()}
+    got_2 = {r.symbol: r.row_id for r in latest.latest_per_key(
+        sdf, "symbol", ("recorded_at", "row_id"), ["row_id"], method="two_phase").collect()}
+    assert got_2 == got
     for sym, g in pdf.groupby("symbol"):
         # NULL times sort lowest (max ignores them unless all are NULL); then highest id
         timed = g.dropna(subset=["recorded_at"])

@@ -133,3 +133,25 @@ def test_stats_scopes(spark):
     assert stats.stats(q.withColumn("d", F.to_date("recorded_at")), "batch", keys=["d"]).count() > 5
     with pytest.raises(ValueError):
         stats.stats(q, "window")
+
+
+def test_checked_broadcast_falls_back_above_limit(spark):
+    from quotelake.operators.joins import checked_broadcast, lookup_join
+    q = event_quotes(spark, SF001)
+    small = stats.history_stats(q).select("symbol", "volatility_score")
+    assert lookup_join(q, small, ["symbol"]).count() == q.count()
+    # with a limit below the row count the side is not broadcast: plan has no broadcast of it
+    big = checked_broadcast(q.select("row_id", "symbol"), max_rows=10)
+    joined = q.select("row_id").join(big, ["row_id"])
+    assert joined.count() == q.count()
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+
+
+def test_two_phase_latest_plan_has_no_shuffle_of_input(spark):
+    from plan_report import plan_text
+    out = reports.q5_latest(brand_quotes(spark, SF001), method="two_phase")
+    out.collect()
+    text = plan_text(out)
+    assert "BroadcastHashJoin LeftSemi" in text
+    assert _rows(out) == _rows(reports.q5_latest(brand_quotes(spark, SF001)))
