@@ -102,9 +102,11 @@ def main() -> int:
         "  of the envelope builder (at most 50 quotes per group).",
         "* The latest-per-symbol window form runs `WindowGroupLimit` twice: a partial limit before the",
         "  exchange and a final one after it.",
-        "* Joins against per-group stats show as broadcast hash joins at this scale. The planner's size",
-        "  estimate (bounded by the aggregate's input) or AQE's measured size allows it. Above the",
-        "  threshold they stay sort-merge joins, and AQE splits skewed partitions.",
+        "* Joins against per-group stats (enrich, window join, history extremes, join-form spike, the",
+        "  two-phase latest) use a size-checked broadcast. A separate job computes the stats and",
+        "  checkpoints them to the shared folder, then counts them up to 1M rows. The plan here shows",
+        "  the broadcast of the checkpointed table and no exchange of the fact side (so `enrich_join`",
+        "  has 0 shuffles). A stats table over the limit is joined by sort-merge, and AQE splits skew.",
         "* Pushed filters: the symbol predicate of the trend query reaches the scan",
         "  (`EqualTo(event_type,click)`), and the snapshot page pushes its `IN` list. `IsNotNull` filters",
         "  come from window and join keys.",
