@@ -6,7 +6,8 @@
   replaces the partition ``batch_id=<id>``, so a replayed batch (after an
   executor or driver loss) overwrites instead of duplicating.
 * ``tumbling`` – watermark + event-time tumbling window aggregate.
-* ``window_join_stream`` – rows joined to their own closed window.
+* ``window_join_stream`` – rows joined to their own closed window (salted join).
+* ``stream_session`` – child session whose shuffle partitions size the state of new streams.
 
 Event time: the stream's time column is converted to ``TIMESTAMP`` (the type
 watermarks need) with the session pinned to UTC, and converted back to

@@ -233,3 +233,15 @@ def test_observed_quality_metrics_per_batch(spark, tmp_dir):
     obs = Observation("batch_quality")
     observed(spark.read.parquet(f"{tmp_dir}/out"), obs).write.format("noop").mode("overwrite").save()
     assert obs.get["row_count"] == 5
+
+
+def test_state_partitions_frozen_in_checkpoint(spark, tmp_dir):
+    _write_batches(f"{tmp_dir}/in", F8[:2])
+    ss = jobs.stream_session(spark, state_partitions=3)
+    src = jobs.with_event_time(parquet_stream(ss, f"{tmp_dir}/in", SCHEMA))
+    jobs.run_available_now(jobs.tumbling(src, "5 minutes", "5 minutes"), f"{tmp_dir}/ckpt",
+                           sink="parquet", path=f"{tmp_dir}/out")
+    with open(f"{tmp_dir}/ckpt/offsets/0") as fh:
+        meta = json.loads(fh.read().splitlines()[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
+    assert sorted(os.listdir(f"{tmp_dir}/ckpt/state/0")) == ["0", "1", "2", "_metadata"]
