@@ -138,7 +138,7 @@ def envelope_sizes(envelopes: DataFrame) -> DataFrame:
 
 def to_raw_lake(flat: DataFrame, recorded_at: Column | None = None) -> DataFrame:
     """Flattened quotes -> raw-lake layout (renamed price/volume/time)."""
-    stamp = recorded_at if recorded_at is not None else F.current_timestamp()
+    stamp = recorded_at if recorded_at is not None else F.current_timestamp().cast("timestamp_ntz")
     return flat.select(
         "symbol", "name",
         F.col("current_price").alias("price_usd"),

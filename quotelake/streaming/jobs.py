@@ -67,7 +67,9 @@ def quotes_from_messages(messages: DataFrame, event_time: bool = True,
     ``event_time`` is set, else the micro-batch processing time.
     """
     flat = parse_envelopes(messages, lenient_numbers=lenient_numbers)
-    stamp = parse_iso_ts(F.col("last_updated")) if event_time else F.current_timestamp()
+    # both modes store TIMESTAMP_NTZ (UTC wall clock), so one lake never mixes the two types
+    stamp = parse_iso_ts(F.col("last_updated")) if event_time \
+        else F.current_timestamp().cast("timestamp_ntz")
     return to_raw_lake(flat, stamp)
 
 

@@ -245,3 +245,10 @@ def test_state_partitions_frozen_in_checkpoint(spark, tmp_dir):
         meta = json.loads(fh.read().splitlines()[1])
     assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
     assert sorted(os.listdir(f"{tmp_dir}/ckpt/state/0")) == ["0", "1", "2", "_metadata"]
+
+
+def test_recorded_at_type_same_in_both_time_modes(spark, tmp_dir):
+    _envelopes(f"{tmp_dir}/in", 1, 2)
+    for mode in (True, False):
+        rows = jobs.quotes_from_messages(envelope_file_stream(spark, f"{tmp_dir}/in"), event_time=mode)
+        assert dict(rows.dtypes)["recorded_at"] == "timestamp_ntz"
