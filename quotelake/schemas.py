@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -45,6 +46,7 @@ ENVELOPE_SCHEMA = StructType([
 TRANSPORT_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 # --- fixed values: the raw lake dataset, names as the stream job writes them ---
+# (recorded_at is stored as TIMESTAMP_NTZ, the UTC wall clock, in every write mode)
 RAW_LAKE_SCHEMA = StructType([
     StructField("symbol", StringType(), True),
     StructField("name", StringType(), True),
@@ -52,7 +54,7 @@ RAW_LAKE_SCHEMA = StructType([
     StructField("market_cap", LongType(), True),
     StructField("volume_24h", LongType(), True),
     StructField("price_change_pct_24h", DoubleType(), True),
-    StructField("recorded_at", TimestampType(), True),
+    StructField("recorded_at", TimestampNTZType(), True),
     StructField("id", StringType(), True),
     StructField("high_24h", DoubleType(), True),
     StructField("low_24h", DoubleType(), True),
