@@ -106,6 +106,6 @@ def test_backfill_replaces_whole_target(spark, tmp_dir):
 def test_lake_reads_with_declared_raw_schema(spark, tmp_dir):
     from quotelake.plans.registry import raw_lake_rows
     from quotelake.schemas import RAW_LAKE_SCHEMA
-    raw_lake_rows(event_quotes(spark, SF001)).drop("row_id").write.parquet(tmp_dir)
-    back = lake.read_lake(spark, tmp_dir, RAW_LAKE_SCHEMA)
+    raw_lake_rows(event_quotes(spark, SF001)).drop("row_id").write.parquet(f"{tmp_dir}/lake")
+    back = lake.read_lake(spark, f"{tmp_dir}/lake", RAW_LAKE_SCHEMA)
     assert back.schema == RAW_LAKE_SCHEMA and back.count() == 1000
