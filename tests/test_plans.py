@@ -50,3 +50,10 @@ def test_window_form_limits_before_shuffle(spark):
 def test_envelope_groups_use_object_hash_aggregate(spark):
     s, _ = _executed(spark, "envelope_size")
     assert s["counts"]["ObjectHashAggregate"] == 2 and s["counts"]["SortAggregate"] == 0
+
+
+@pytest.mark.parametrize("name", ["enrich_join", "window_join", "enriched_contract"])
+def test_lookup_joins_do_not_shuffle_the_fact_side(spark, name):
+    s, text = _executed(spark, name)
+    assert s["counts"]["Exchange"] == 0 and s["counts"]["BroadcastExchange"] == 1
+    assert "BroadcastHashJoin LeftOuter" in text
