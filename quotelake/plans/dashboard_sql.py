@@ -1,7 +1,10 @@
-"""The dashboard questions as Spark SQL text over two views.
+"""The dashboard questions as Spark SQL text.
 
-``register_views`` names the fact and stats DataFrames ``coin_prices`` and
-``market_stats``; the texts below then run with ``spark.sql``.  PostgreSQL's
+The texts name their inputs ``{coin_prices}`` and ``{market_stats}``; ``run``
+binds DataFrames to those names through ``spark.sql(text, coin_prices=df, ...)``,
+so nothing is registered in the session (safe when several queries run at
+once).  ``register_views`` is there for BI users who want real temp views;
+``VIEW_SQL`` then holds the same texts over the view names.  PostgreSQL's
 ``DISTINCT ON (symbol) ... ORDER BY symbol, recorded_at DESC`` has no Spark
 form, so "latest per symbol" is ``max_by`` over a struct (a partial aggregate)
 with ``row_id`` breaking ties.  Catalyst plans these exactly like the DataFrame
@@ -21,7 +24,7 @@ LATEST_CTE = """latest AS (
                                    'price_change_pct_24h', price_change_pct_24h,
                                    'recorded_at', recorded_at),
                       named_struct('t', recorded_at, 'id', row_id)) AS l
-        FROM coin_prices GROUP BY symbol))"""
+        FROM {coin_prices} GROUP BY symbol))"""
 
 DASHBOARD_SQL = {
     "top_volume": f"""WITH {LATEST_CTE}
@@ -29,24 +32,36 @@ SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, re
 FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20""",
     "trend": """SELECT CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) AS day,
        round(avg(price_usd), 6) AS avg_price, max(price_usd) AS max_price, min(price_usd) AS min_price
-FROM coin_prices WHERE symbol = :symbol
+FROM {coin_prices} WHERE symbol = :symbol
 GROUP BY CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) ORDER BY day""",
     "heatmap": """SELECT symbol, window_start, window_end, volatility_score
-FROM market_stats ORDER BY window_end DESC, symbol""",
+FROM {market_stats} ORDER BY window_end DESC, symbol""",
     "spike_rate": """SELECT symbol,
        100.0D * count_if(volume_spike) / count(*) AS volume_spike_pct, count(*) AS records
-FROM market_stats GROUP BY symbol HAVING count(*) > 0 ORDER BY volume_spike_pct DESC""",
+FROM {market_stats} GROUP BY symbol HAVING count(*) > 0 ORDER BY volume_spike_pct DESC""",
     "latest": f"""WITH {LATEST_CTE}
 SELECT symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h, recorded_at
 FROM latest""",
 }
 
 
+# The same texts over registered temp views.
+VIEW_SQL = {k: v.replace("{coin_prices}", "coin_prices").replace("{market_stats}", "market_stats")
+            for k, v in DASHBOARD_SQL.items()}
+
+
 def register_views(facts: DataFrame, stats: DataFrame | None = None) -> None:
     facts.createOrReplaceTempView("coin_prices")
     if stats is not None:
         stats.createOrReplaceTempView("market_stats")
 
 
-def run(spark: SparkSession, name: str, **params) -> DataFrame:
-    return spark.sql(DASHBOARD_SQL[name], args=params or None)
+def run(spark: SparkSession, name: str, facts: DataFrame | None = None,
+        stats: DataFrame | None = None, **params) -> DataFrame:
+    """Run one dashboard text with DataFrames bound to its inputs; ``params`` fill ``:names``."""
+    frames = {}
+    if facts is not None:
+        frames["coin_prices"] = facts
+    if stats is not None:
+        frames["market_stats"] = stats
+    return spark.sql(DASHBOARD_SQL[name], args=params or None, **frames)

@@ -442,27 +442,26 @@ def backfill_facts(spark, sf_dir):
 
 # --------------------------------------------------------------- dashboards as SQL text
 
-def _sql_views(spark, sf_dir):
+def _dashboard(spark, sf_dir, name):
     q = event_quotes(spark, sf_dir)
-    dashboard_sql.register_views(q, market_stats(q))
-    return dashboard_sql
+    return dashboard_sql.run(spark, name, facts=q, stats=market_stats(q))
 
 
 @register("q1_top_volume_sql")
 def q1_top_volume_sql(spark, sf_dir):
-    return _sql_views(spark, sf_dir).run(spark, "top_volume")
+    return _dashboard(spark, sf_dir, "top_volume")
 
 
 @register("q3_heatmap_sql")
 def q3_heatmap_sql(spark, sf_dir):
-    return _sql_views(spark, sf_dir).run(spark, "heatmap")
+    return _dashboard(spark, sf_dir, "heatmap")
 
 
 @register("q4_spike_rate_sql")
 def q4_spike_rate_sql(spark, sf_dir):
-    return _sql_views(spark, sf_dir).run(spark, "spike_rate")
+    return _dashboard(spark, sf_dir, "spike_rate")
 
 
 @register("q5_latest_sql")
 def q5_latest_sql(spark, sf_dir):
-    return _sql_views(spark, sf_dir).run(spark, "latest")
+    return _dashboard(spark, sf_dir, "latest")

@@ -120,9 +120,11 @@ def test_tumbling_start_matches_window(spark):
 def test_dashboard_sql_trend_param(spark):
     from quotelake.plans import dashboard_sql
     q = event_quotes(spark, SF001)
-    dashboard_sql.register_views(q)
-    a = dashboard_sql.run(spark, "trend", symbol="signup")
+    a = dashboard_sql.run(spark, "trend", facts=q, symbol="signup")
     assert _rows(a) == _rows(reports.q2_trend(q, "signup"))
+    dashboard_sql.register_views(q)
+    b = spark.sql(dashboard_sql.VIEW_SQL["trend"], args={"symbol": "signup"})
+    assert _rows(b) == _rows(a)
 
 
 def test_stats_scopes(spark):
