@@ -34,9 +34,14 @@ FLAT_COLUMNS = [
 ]
 
 
-def iso_utc(ts: Column) -> Column:
-    """Second-precision ISO-8601 stamp with an explicit +00:00 offset."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+def iso_utc(ts: Column, micros: bool = False) -> Column:
+    """ISO-8601 stamp with an explicit +00:00 offset (UTC session).
+
+    Second precision by default; ``micros=True`` adds ``.ffffff`` like an
+    ``isoformat()`` of a processing-time instant.
+    """
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" if micros else "yyyy-MM-dd'T'HH:mm:ss"
+    return F.concat(F.date_format(ts, fmt), F.lit("+00:00"))
 
 
 def coin_struct() -> Column:

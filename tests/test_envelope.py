@@ -90,3 +90,12 @@ def test_lenient_numbers(spark):
     assert rows["z"].total_volume is None and rows["z"].current_price is None
     strict = envelope.parse_envelopes(_messages(spark, [body])).schema
     assert envelope.parse_envelopes(_messages(spark, [body]), lenient_numbers=True).schema == strict
+
+
+def test_iso_utc_stamps(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 678901),)], "t timestamp_ntz")
+    r = df.select(envelope.iso_utc(F.col("t")).alias("s"),
+                  envelope.iso_utc(F.col("t"), micros=True).alias("m")).first()
+    assert r.s == "2024-01-02T03:04:05+00:00"
+    assert r.m == dt.datetime(2024, 1, 2, 3, 4, 5, 678901, tzinfo=dt.timezone.utc).isoformat()
