@@ -51,7 +51,7 @@ def bucket(value: ColumnOrName, edges: list[tuple[float, str]], default: str) ->
     expr = None
     for edge, label in edges:
         expr = F.when(v > edge, label) if expr is None else expr.when(v > edge, label)
-    return default if expr is None else expr.otherwise(default)
+    return F.lit(default) if expr is None else expr.otherwise(default)
 
 
 def parse_iso_ts(text: ColumnOrName) -> Column:

@@ -66,3 +66,15 @@ def test_decimal_overflow_is_null(spark):
 def test_bucket(spark):
     expr = scalars.bucket("v", [(10.0, "hi"), (5.0, "mid")], "lo")
     assert _eval(spark, [(11.0,), (10.0,), (5.0,), (None,)], "v double", expr) == ["hi", "mid", "lo", "lo"]
+
+
+def test_bucket_without_edges_is_constant(spark):
+    assert _eval(spark, [(1.0,), (None,)], "v double", scalars.bucket("v", [], "low")) == ["low", "low"]
+
+
+def test_duration_micros():
+    assert scalars.duration_micros("5 minutes") == 300_000_000
+    assert scalars.duration_micros("1 day") == 86_400_000_000
+    import pytest
+    with pytest.raises(ValueError):
+        scalars.duration_micros("1 month")
