@@ -25,3 +25,8 @@ def test_backfill_command(spark, tmp_dir):
                  "--stats", f"{tmp_dir}/s"]) == 0
     assert spark.read.parquet(f"{tmp_dir}/s").count() == 5
     assert spark.read.parquet(f"{tmp_dir}/f").agg(F.count("*")).first()[0] == 1000
+
+
+def test_query_command_writes_parquet(spark, tmp_dir):
+    assert main(["query", "history_stats", "--tables", SF001, "--out", f"{tmp_dir}/out"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 5

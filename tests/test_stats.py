@@ -157,3 +157,11 @@ def test_two_phase_latest_plan_has_no_shuffle_of_input(spark):
     text = plan_text(out)
     assert "BroadcastHashJoin LeftSemi" in text
     assert _rows(out) == _rows(reports.q5_latest(brand_quotes(spark, SF001)))
+
+
+def test_ranked_page_rejects_bad_arguments(spark):
+    import pytest
+    df = spark.range(3)
+    for per_page, page in ((0, 1), (5, 0)):
+        with pytest.raises(ValueError):
+            latest.ranked_page(df, [F.col("id")], per_page, page)
