@@ -21,6 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public vocabulary file; it must be installed on every executor."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage is cut
     and a lost executor costs a re-read, not a recomputation."""
@@ -35,8 +41,9 @@ def ascii_lower(c: Column) -> Column:
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str,
-                 max_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut Arrow batches so that one piece holds about ``max_bytes`` of text (one row at least).
+                 max_bytes: int = 8 << 20, max_rows: int = 30_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut Arrow batches so that one piece holds about ``max_bytes`` of text (one row at least,
+    ``max_rows`` at most).
 
     Yields (batch, utf8 bytes, row offsets); a null text counts as empty.
     """
@@ -55,7 +62,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str,
         start = 0
         while start < n:
             end = int(np.searchsorted(off, off[start] + max_bytes, side="right")) - 1
-            end = min(n, max(end, start + 1))
+            end = min(n, max(end, start + 1), start + max_rows)
             yield (batch.slice(start, end - start), data[off[start]:off[end]],
                    (off[start:end + 1] - off[start]).astype(np.int64))
             start = end

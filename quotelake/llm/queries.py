@@ -1,29 +1,60 @@
-"""The registered queries of the subpackage: thin digests of the operators' results."""
+"""The registered queries of the subpackage: thin digests of the operators' results.
+
+Every query reads its whole table.  ``ORACLE`` has DuckDB SQL where SQL can express
+the result; the others are tested against brute force.
+"""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, tokenizer_path
 from .language_id import identify
+from .line_dedup import MIN_WORDS, deduplicate_lines
+from .mixing import mix_table
+from .ngram_join import near_duplicates
 from .packing import pack_documents
 from .quality_rules import quality_table
 from .secret_scan import secret_digest, secret_spans
+from .substring_dedup import near_duplicate_passages
 from .url_filter import url_verdicts
+from .vector_topk import top_k
 
 # Fixed rules of op2.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_passages(read_table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (deduplicate_lines(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_lines", "n_removed", "removed", F.md5("text").alias("kept_md5")))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(secret_spans(read_table(spark, sf_dir, "documents")))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_table(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_table(read_table(spark, sf_dir, "documents"))
 
@@ -32,16 +63,69 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_url_filters, op5_secret_scans, op8_quality_rules, op9_language_id, op10_best_fit_packing)}
+    op1_ngram_jaccard_join, op2_url_filters, op3_substring_dedup, op4_line_dedup, op5_secret_scans, op6_exact_topk,
+    op7_mixing, op8_quality_rules, op9_language_id, op10_best_fit_packing)}
+QUERIES["pipeline"] = corpus_pipeline.run
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, md5(unnest(s)) AS g FROM s),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+         GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+         WHERE 100 * k >= 75 * (nx.n + ny.n - k)),
+way AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, way.y FROM reach r JOIN way ON way.x = r.b)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(reach.b) AS component_id
+FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n"""
+
+_LEVELS = range(14)        # blocks of up to 8192 lines
+_BLOCKS = "\nUNION ALL\n".join(f"""
+SELECT doc_id, seq, {1 << k} AS len FROM (
+  SELECT doc_id, seq, words, n, row_number() OVER (PARTITION BY block ORDER BY doc_id, seq) AS nth FROM (
+    SELECT doc_id, seq, count(*) OVER v AS n, sum(words) OVER v AS words, md5(string_agg(line, chr(10)) OVER v) AS block
+    FROM sym WINDOW v AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN CURRENT ROW AND {(1 << k) - 1} FOLLOWING))
+  WHERE n = {1 << k})
+WHERE nth > 1 AND words >= {MIN_WORDS}""" for k in _LEVELS)
+
+ORACLE["op4_line_dedup"] = f"""
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+p AS (SELECT doc_id, ls, unnest(range(0, len(ls))) AS pos FROM l),
+q AS (SELECT doc_id, pos, ls[pos + 1] AS line, len(regexp_extract_all(ls[pos + 1], '{_WORD}')) AS words FROM p),
+sym AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM q WHERE words > 0),
+marks AS ({_BLOCKS}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(seq, seq + len)) AS seq FROM marks),
+isle AS (SELECT g.doc_id, s.pos, g.seq - row_number() OVER (PARTITION BY g.doc_id ORDER BY g.seq) AS isle
+         FROM gone g JOIN sym s ON s.doc_id = g.doc_id AND s.seq = g.seq),
+runs AS (SELECT doc_id, min(pos) AS a, max(pos) AS b FROM isle GROUP BY doc_id, isle),
+per AS (SELECT doc_id, sum(b - a + 1) AS n, string_agg(a || '-' || b, ',' ORDER BY a) AS removed,
+               list({{'a': a, 'b': b}}) AS runs FROM runs GROUP BY doc_id)
+SELECT l.doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(per.n, 0)::BIGINT AS n_removed,
+  coalesce(per.removed, '') AS removed,
+  CASE WHEN per.n IS NULL THEN md5(text) ELSE md5(array_to_string(list_transform(list_filter(range(0, len(ls)),
+    lambda i: len(list_filter(runs, lambda r: r.a <= i AND i <= r.b)) = 0), lambda i: ls[i + 1]), chr(10))) END AS kept_md5
+FROM l LEFT JOIN per ON per.doc_id = l.doc_id"""
+
+ORACLE["op6_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
