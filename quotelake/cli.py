@@ -14,31 +14,51 @@ from __future__ import annotations
 import argparse
 import sys
 
-from quotelake.session import build_session, run_dir
+from quotelake.session import build_session
 
 
 def _session(args):
     return build_session(args.master, f"quotelake-{args.command}")
 
 
-def cmd_stream(args) -> int:
+def _tables(args) -> dict[str, dict[str, str]] | None:
+    """JDBC options of the two tables, if a database is given."""
+    from quotelake.sinks.jdbc import jdbc_options
+    if not args.jdbc_url:
+        return None
+    return {t: jdbc_options(args.jdbc_url, t, args.jdbc_user, args.jdbc_password, args.jdbc_driver)
+            for t in ("coin_prices", "market_stats")}
+
+
+def _logger(spark, args):
+    """Run log to a folder, else to the database's log table, else none."""
     from quotelake.sinks.jdbc import jdbc_options
+    from quotelake.sinks.runlog import lake_logger, table_logger
+    if args.log:
+        return lake_logger(spark, args.log)
+    if args.jdbc_url:
+        return table_logger(spark, jdbc_options(args.jdbc_url, "pipeline_logs", args.jdbc_user, args.jdbc_password,
+                                                args.jdbc_driver))
+    return None
+
+
+def _add_jdbc(parser) -> None:
+    for name in ("url", "user", "password", "driver"):
+        parser.add_argument(f"--jdbc-{name}")
+
+
+def cmd_stream(args) -> int:
     from quotelake.sources.streams import envelope_file_stream, kafka_stream
     from quotelake.streaming.jobs import start_pipeline
     spark = _session(args)
     if args.kafka:
+        extra = dict(o.split("=", 1) for o in args.kafka_option or [])
         messages = kafka_stream(spark, args.kafka, args.topic, args.starting_offsets,
-                                args.max_per_trigger)
+                                args.max_per_trigger, args.fail_on_data_loss, extra)
     else:
         messages = envelope_file_stream(spark, args.files, args.max_per_trigger)
-    jdbc = None
-    if args.jdbc_url:
-        jdbc = {t: jdbc_options(args.jdbc_url, t, args.jdbc_user, args.jdbc_password,
-                                args.jdbc_driver)
-                for t in ("coin_prices", "market_stats")}
-    checkpoint = args.checkpoint or run_dir(spark, "stream-checkpoint")
-    q = start_pipeline(messages, args.lake, checkpoint, jdbc=jdbc,
-                       event_time=args.event_time, available_now=not args.continuous)
+    q = start_pipeline(messages, args.lake, args.checkpoint, jdbc=_tables(args),
+                       event_time=args.event_time, available_now=not args.continuous, log=_logger(spark, args))
     if args.continuous:
         q.awaitTermination()
     return 0
@@ -47,16 +67,30 @@ def cmd_stream(args) -> int:
 def cmd_backfill(args) -> int:
     from quotelake.plans.backfill import backfill
     spark = _session(args)
-    print(backfill(spark, args.raw, args.facts, args.stats))
+    log = _logger(spark, args) or (lambda *_: None)
+    log("backfill", "started", args.raw)
+    try:
+        done = backfill(spark, args.raw, args.facts, args.stats, _tables(args), args.rejects)
+    except Exception as e:
+        log("backfill", "failed", str(e)[:500])
+        raise
+    log("backfill", "success", str(done))
+    print(done)
     return 0
 
 
 def cmd_gates(args) -> int:
     from quotelake.operators.quality import QualityGateError, run_gates
-    from quotelake.sinks.runlog import lake_logger
+    from quotelake.sinks.jdbc import read_table
     spark = _session(args)
-    facts = spark.read.parquet(args.facts)
-    log = lake_logger(spark, args.log) if args.log else None
+    if args.facts:
+        facts = spark.read.parquet(args.facts)
+    elif args.jdbc_url:
+        facts = read_table(spark, _tables(args)["coin_prices"])
+    else:
+        print("gates needs --facts or --jdbc-url", file=sys.stderr)
+        return 1
+    log = _logger(spark, args)
     try:
         print(run_gates(facts, log))
     except QualityGateError as e:
@@ -88,24 +122,28 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--files", help="folder of JSON-lines envelope files")
     s.add_argument("--topic", default="quotes")
     s.add_argument("--starting-offsets", default="earliest")
-    s.add_argument("--max-per-trigger", type=int, default=100)
+    s.add_argument("--max-per-trigger", type=int, help="cap on messages (files) per micro-batch; none by default")
+    s.add_argument("--fail-on-data-loss", action="store_true")
+    s.add_argument("--kafka-option", action="append", metavar="KEY=VALUE")
     s.add_argument("--lake", required=True)
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", required=True, help="keep it: it is the stream's identity")
+    s.add_argument("--log", help="run-log folder")
     s.add_argument("--event-time", action="store_true")
     s.add_argument("--continuous", action="store_true", help="processing-time trigger, no stop")
-    s.add_argument("--jdbc-url")
-    s.add_argument("--jdbc-user")
-    s.add_argument("--jdbc-password")
-    s.add_argument("--jdbc-driver")
+    _add_jdbc(s)
 
     b = sub.add_parser("backfill")
     b.add_argument("--raw", required=True)
     b.add_argument("--facts")
     b.add_argument("--stats")
+    b.add_argument("--rejects", help="folder for rows that break a table's contract")
+    b.add_argument("--log", help="run-log folder")
+    _add_jdbc(b)
 
     g = sub.add_parser("gates")
-    g.add_argument("--facts", required=True)
+    g.add_argument("--facts", help="parquet fact table; else the database's")
     g.add_argument("--log")
+    _add_jdbc(g)
 
     q = sub.add_parser("query")
     q.add_argument("name")

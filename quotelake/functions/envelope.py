@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegralType, LongType, StringType, StructField, StructType
 
 from quotelake.schemas import COIN_SCHEMA, ENVELOPE_SCHEMA
 
@@ -44,13 +44,13 @@ def iso_utc(ts: Column, micros: bool = False) -> Column:
     return F.concat(F.date_format(ts, fmt), F.lit("+00:00"))
 
 
-def coin_struct() -> Column:
-    """Quote row (raw-lake names) -> coin struct (envelope names)."""
+def coin_struct(columns: list[str]) -> Column:
+    """Quote row (raw-lake names) -> coin struct (envelope names); supplies absent from ``columns`` are NULL."""
     def pick(name: str, source: str | None = None) -> Column:
         return F.col(source or name).cast(COIN_SCHEMA[name].dataType).alias(name)
 
-    def missing(name: str) -> Column:
-        return F.lit(None).cast(COIN_SCHEMA[name].dataType).alias(name)
+    def optional(name: str) -> Column:
+        return pick(name) if name in columns else F.lit(None).cast(COIN_SCHEMA[name].dataType).alias(name)
 
     return F.struct(
         pick("id"), pick("symbol"), pick("name"),
@@ -58,7 +58,7 @@ def coin_struct() -> Column:
         pick("total_volume", "volume_24h"),
         pick("price_change_percentage_24h", "price_change_pct_24h"),
         pick("high_24h"), pick("low_24h"),
-        missing("circulating_supply"), missing("total_supply"), missing("max_supply"),
+        optional("circulating_supply"), optional("total_supply"), optional("max_supply"),
         pick("last_updated"),
     )
 
@@ -67,15 +67,17 @@ def to_envelopes(quotes: DataFrame, snapshot: Column, seq: str = "row_id",
                  max_quotes: int = MAX_QUOTES_PER_ENVELOPE) -> DataFrame:
     """Group quotes into envelopes of at most ``max_quotes`` coins.
 
-    ``snapshot`` is the ISO text stamped as ``ingested_at``; ``seq`` is a unique
-    integer id, and ``floor(seq / max_quotes)`` caps every envelope at
-    ``max_quotes`` coins whatever the key skew.  Returns
+    ``snapshot`` is the ISO text stamped as ``ingested_at``; ``seq`` must be a unique
+    integer id (another type raises; each id is in one envelope), and ``floor(seq / max_quotes)``
+    caps every envelope at ``max_quotes`` coins whatever the key skew.  Returns
     ``(ingested_at, envelope_no, n_coins, value)`` with ``value`` the JSON text.
     """
+    if not isinstance(quotes.schema[seq].dataType, IntegralType):
+        raise TypeError(f"{seq} must be an integer id")
     keyed = quotes.select(
         snapshot.alias("ingested_at"),
         F.floor(F.col(seq) / max_quotes).alias("envelope_no"),
-        coin_struct().alias("coin"),
+        coin_struct(quotes.columns).alias("coin"),
     )
     grouped = keyed.groupBy("ingested_at", "envelope_no").agg(
         F.collect_list("coin").alias("coins"))

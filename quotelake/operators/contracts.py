@@ -14,6 +14,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The table precisions, column -> (precision, scale).
 COIN_PRICES_DECIMALS = {
@@ -91,6 +92,46 @@ def cast_decimals(df: DataFrame, spec: Mapping[str, tuple[int, int]]) -> DataFra
         F.coalesce(overflow, F.lit(False)).alias("decimal_reject"))
 
 
+def decimal_reason(spec: Mapping[str, tuple[int, int]]) -> Column:
+    """``overflow_<column>`` of the first value that does not fit its precision (NULL when all fit)."""
+    expr = None
+    for c, (p, s) in spec.items():
+        bad = F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull()
+        expr = F.when(bad, f"overflow_{c}") if expr is None else expr.when(bad, f"overflow_{c}")
+    return expr
+
+
+def split_contract(df: DataFrame, columns: Sequence[str], required: Sequence[str],
+                   decimals: Mapping[str, tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
+    """(``columns`` of the rows that meet NOT NULL and precision, cast; the other rows with a reason)."""
+    marked = df.withColumn("reject_reason", F.coalesce(null_reason(required), decimal_reason(decimals)))
+    good = marked.where(F.col("reject_reason").isNull()).select(*columns).withColumns(
+        {c: F.col(c).try_cast(f"decimal({p},{s})") for c, (p, s) in decimals.items()})
+    return good, marked.where(F.col("reject_reason").isNotNull())
+
+
+def enforce(df: DataFrame, contract: StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet a record contract, in its columns and types; the other rows with ``reject_reason``).
+
+    A missing column raises.  A value that cannot be cast, or a NULL where the contract allows none, rejects its row.
+    """
+    missing = [f.name for f in contract if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    reason = None
+    for f in contract:
+        cast = F.col(f.name).try_cast(f.dataType)
+        bad = [(F.col(f.name).isNotNull() & cast.isNull(), f"bad_{f.name}")]
+        if not f.nullable:
+            bad.append((F.col(f.name).isNull(), f"null_{f.name}"))
+        for test, name in bad:
+            reason = F.when(test, name) if reason is None else reason.when(test, name)
+    marked = df.withColumn("reject_reason", reason)
+    good = marked.where(F.col("reject_reason").isNull()).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract])
+    return good, marked.where(F.col("reject_reason").isNotNull())
+
+
 def apply_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     """Fill NULLs with column defaults (e.g. ``volume_spike`` -> false)."""
     return df.withColumns({c: F.coalesce(F.col(c), d) for c, d in defaults.items()})

@@ -1,10 +1,10 @@
 """Latest row per key, top-k, latest-N and ranked pages.
 
-``latest_per_key`` is ``max_by(struct(row), struct(order keys))``: an ordinary
-aggregate, so each task keeps one candidate per key before the shuffle and a
-key holding a third of the rows costs no more than any other.  The window form
-(``row_number() = 1``) gives the same rows; Spark plans it with a partial
-``WindowGroupLimit`` before the exchange, so it is skew-safe as well.
+``latest_per_key`` finds each key's newest time with a hash aggregate (partial
+before the shuffle, so a key holding a third of the rows costs no more than any
+other), keeps the rows at that time by a null-safe semi-join, and breaks ties
+among those few.  The full input is never sorted.  The one-pass ``max_by`` form
+and the window form (``row_number() = 1``) give the same rows.
 """
 
 from __future__ import annotations
@@ -19,29 +19,24 @@ from quotelake.operators.joins import checked_broadcast
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str] = "symbol",
                    order: Sequence[str] = ("recorded_at", "row_id"),
-                   columns: Sequence[str] | None = None, method: str = "max_by") -> DataFrame:
+                   columns: Sequence[str] | None = None, method: str = "hash") -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple (later wins, then higher id).
 
-    ``method="max_by"`` (default) is one pass: a partial aggregate whose struct
-    buffers make Spark sort each task's rows locally first.
-    ``method="two_phase"`` never sorts the full input: a hash aggregate finds
-    each key's latest ``order[0]`` (reading two columns), a null-safe semi-join
-    keeps the rows at that time, and ``max_by`` breaks ties among those few
-    candidates.  The per-key table is broadcast only after a size check
-    (``joins.checked_broadcast``), so the big side streams through a hash
-    join instead of being shuffled.  It costs a second, column-pruned scan;
-    prefer it when the input is wide and sorting it dominates.
+    ``method="hash"`` (default) reads two columns for the newest ``order[0]`` per key and
+    then streams the input past that small table, which is broadcast only after a size
+    check (``joins.checked_broadcast``).  ``method="max_by"`` is one pass, but its struct
+    buffers make Spark sort each task's rows.  A NULL key is a key in both, and NULLs in ``order`` come first.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(columns) if columns is not None else [c for c in df.columns if c not in keys]
-    if method == "two_phase":
+    if method == "hash":
         first = order[0]
-        latest_t = checked_broadcast(
+        newest = checked_broadcast(
             df.groupBy(*keys).agg(F.max(first).alias("_t"))
               .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_t"))
-        cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+        cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
         cond.append(F.col(first).eqNullSafe(F.col("_t")))
-        df = df.join(latest_t, cond, "left_semi")
+        df = df.join(newest, cond, "left_semi")
     elif method != "max_by":
         raise ValueError(f"unknown method {method!r}")
     picked = df.groupBy(*keys).agg(

@@ -9,7 +9,7 @@ One aggregate serves every scope:
 
 Spike: some row's volume is strictly above the group mean, which is the same
 as ``max(volume) > avg(volume)``; one partial/final aggregate computes it,
-no join and no second aggregate.  Every aggregate here is algebraic
+no join and no second aggregate.  Means are exact (``functions.exact``).  Every aggregate here is algebraic
 (count/sum/min/max/M2), so Spark combines map-side and a hot symbol holding a
 third of all rows only adds one partial row per task to the shuffle.
 """
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.scalars import spike_flag, tumbling_start
+from quotelake.functions.exact import exact_mean, exceeds_mean, units
+from quotelake.functions.scalars import tumbling_start
 from quotelake.operators.joins import DEFAULT_MAX_ROWS, lookup_join
 
 DEFAULT_DIGITS = 6
@@ -33,21 +34,14 @@ def group_stats(df: DataFrame, keys: list[str], price: str = "price_usd",
                 volume: str = "volume_24h", time: str = "recorded_at",
                 digits: int | None = DEFAULT_DIGITS, factor: float = 1.0) -> DataFrame:
     """Per-group stats: mean volume, sample stddev of price, time span, spike flag."""
-    agg = df.groupBy(*keys).agg(
-        F.avg(volume).alias("avg_volume"),
-        F.stddev_samp(price).alias("volatility"),
-        F.max(volume).alias("max_volume"),
+    return df.groupBy(*keys).agg(
+        _r(F.stddev_samp(price), digits).alias("volatility_score"),
+        exact_mean(volume, digits).alias("avg_volume"),
+        exceeds_mean(volume, factor).alias("volume_spike"),
         F.min(time).alias("window_start"),
         F.max(time).alias("window_end"),
         F.count(F.lit(1)).alias("record_count"),
     )
-    return agg.select(
-        *keys,
-        _r(F.col("volatility"), digits).alias("volatility_score"),
-        _r(F.col("avg_volume"), digits).alias("avg_volume"),
-        spike_flag("max_volume", "avg_volume", factor).alias("volume_spike"),
-        "window_start", "window_end", "record_count",
-    )
 
 
 def batch_stats(batch: DataFrame, extra_keys: list[str] | None = None, **kw) -> DataFrame:
@@ -67,27 +61,24 @@ def window_stats(df: DataFrame, duration: str, time: str = "recorded_at",
     """Per (symbol, tumbling window): mean/stddev of price and volume, count, spike.
 
     ``digits`` rounds (avg_price, volatility_score, avg_volume, volume_stddev);
-    pass ``(2, 4, 2, 2)`` for the dashboard's display rounding.
+    pass ``(2, 4, 2, 2)`` for the dashboard's display rounding.  A row whose time is
+    NULL lies in no window; ``rows_without_time`` counts such rows.
     """
     d_price, d_vol, d_avgv, d_vstd = digits
     agg = df.groupBy("symbol", F.window(time, duration).alias("w")).agg(
-        F.avg(price).alias("avg_price"),
-        F.stddev_samp(price).alias("price_stddev"),
-        F.avg(volume).alias("avg_volume"),
-        F.stddev_samp(volume).alias("volume_stddev"),
-        F.max(volume).alias("max_volume"),
+        exact_mean(price, d_price).alias("avg_price"),
+        _r(F.stddev_samp(price), d_vol).alias("volatility_score"),
+        exact_mean(volume, d_avgv).alias("avg_volume"),
+        _r(F.stddev_samp(volume), d_vstd).alias("volume_stddev"),
+        exceeds_mean(volume, factor).alias("volume_spike"),
         F.count(F.lit(1)).alias("record_count"),
     )
+    # a watermarked stream's window is TIMESTAMP; its wall clock is stored as TIMESTAMP_NTZ
     return agg.select(
         "symbol",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        _r(F.col("avg_price"), d_price).alias("avg_price"),
-        _r(F.col("price_stddev"), d_vol).alias("volatility_score"),
-        _r(F.col("avg_volume"), d_avgv).alias("avg_volume"),
-        _r(F.col("volume_stddev"), d_vstd).alias("volume_stddev"),
-        spike_flag("max_volume", "avg_volume", factor).alias("volume_spike"),
-        "record_count",
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        "avg_price", "volatility_score", "avg_volume", "volume_stddev", "volume_spike", "record_count",
     )
 
 
@@ -110,22 +101,23 @@ def stats(df: DataFrame, scope: str = "history", duration: str | None = None,
     raise ValueError(f"unknown scope {scope!r}; use batch, history or window")
 
 
+def rows_without_time(df: DataFrame, time: str = "recorded_at") -> DataFrame:
+    """One row: how many rows no window can hold because their time is NULL."""
+    return df.agg(F.count_if(F.col(time).isNull()).alias("rows_without_time"))
+
+
 def spike_by_join(batch: DataFrame, keys: list[str], volume: str = "volume_24h",
-                  digits: int | None = DEFAULT_DIGITS,
                   max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
-    """The explicit form: rows joined to their group mean, then regrouped.
+    """The same flag asked row by row: is any row of the group above the group's mean?
 
-    Kept to show (and test) that it equals the one-pass ``max > avg`` flag.
-    The mean table has one row per group; the join is a many-to-one equi-join,
-    broadcast only when a size check proves the mean table small
-    (``joins.lookup_join``), otherwise a sort-merge join with skew splitting.
+    Kept to show (and test) that it equals the one-pass form.  Sum and count of the
+    group travel instead of a rounded mean, so ``volume * count > sum`` decides exactly.
     """
-    means = batch.groupBy(*keys).agg(_r(F.avg(volume), digits).alias("avg_volume"))
-    flagged = (lookup_join(batch.select(*keys, volume), means, keys, "left", max_rows)
-               .groupBy(*keys)
-               .agg(F.max(F.when(F.col(volume) > F.col("avg_volume"), 1).otherwise(0))
-                    .alias("spike_int")))
-    return flagged.select(*keys, (F.col("spike_int") > 0).alias("volume_spike"))
+    u = units(F.col(volume))
+    per = batch.groupBy(*keys).agg(F.sum(u).alias("_sum"), F.count(u).cast("decimal(20,0)").alias("_n"))
+    rows = lookup_join(batch.select(*keys, u.alias("_u")), per, keys, "left", max_rows)
+    above = F.coalesce(F.col("_u") * F.col("_n") > F.col("_sum"), F.lit(False))
+    return rows.groupBy(*keys).agg(F.bool_or(above).alias("volume_spike"))
 
 
 def enrich(facts: DataFrame, stats: DataFrame, keys: list[str],
@@ -156,15 +148,17 @@ def window_join(rows: DataFrame, duration: str, time: str = "recorded_at",
     """
     keyed = rows.withColumn("window_start", tumbling_start(time, duration))
     base = keyed.groupBy("symbol", "window_start").agg(
-        F.avg(volume).alias("avg_volume_window"),
+        exact_mean(volume, digits).alias("avg_volume_window"),
         F.stddev_samp(price).alias("volatility_score"),
+        F.sum(units(F.col(volume))).alias("_sum"),
+        F.count(volume).cast("decimal(20,0)").alias("_n"),
     )
     joined = lookup_join(keyed, base, ["symbol", "window_start"], "left", max_rows)
     return joined.select(
         *keyed.columns,
-        _r(F.col("avg_volume_window"), digits).alias("avg_volume_window"),
+        "avg_volume_window",
         _r(F.col("volatility_score"), digits).alias("volatility_score"),
-        spike_flag(volume, "avg_volume_window").alias("volume_spike"),
+        F.coalesce(units(F.col(volume)) * F.col("_n") > F.col("_sum"), F.lit(False)).alias("volume_spike"),
         F.coalesce(F.col("volatility_score") > volatility_threshold,
                    F.lit(False)).alias("volatility_flag"),
     )

@@ -29,8 +29,12 @@ def backfill_frames(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def backfill(spark: SparkSession, raw_path: str, facts_path: str | None = None,
              stats_path: str | None = None,
-             jdbc: Mapping[str, Mapping[str, str]] | None = None) -> dict[str, bool]:
-    """Run the backfill; returns which targets were written."""
+             jdbc: Mapping[str, Mapping[str, str]] | None = None,
+             rejects_path: str | None = None) -> dict[str, bool]:
+    """Run the backfill; returns which targets were written.
+
+    JDBC targets are truncated and refilled; rows that break a table's contract go to ``rejects_path``.
+    """
     raw = spark.read.parquet(raw_path)
     if raw.isEmpty():
         return {"facts": False, "stats": False}
@@ -41,10 +45,16 @@ def backfill(spark: SparkSession, raw_path: str, facts_path: str | None = None,
             .write.mode("overwrite").option("partitionOverwriteMode", "static") \
             .partitionBy("day").parquet(facts_path)
     if stats_path:
-        stats.write.mode("overwrite").parquet(stats_path)
+        clustered(stats, ("symbol", "window_end")).write.mode("overwrite").parquet(stats_path)
     if jdbc:
         if "coin_prices" in jdbc:
-            jdbc_sink.write_table(jdbc_sink.fact_rows(facts), jdbc["coin_prices"], mode="overwrite")
+            accepted, refused = jdbc_sink.split_facts(facts)
+            jdbc_sink.write_table(accepted, jdbc["coin_prices"], mode="overwrite")
+            if rejects_path:
+                refused.write.mode("overwrite").parquet(f"{rejects_path}/coin_prices")
         if "market_stats" in jdbc:
-            jdbc_sink.write_table(jdbc_sink.stats_rows(stats), jdbc["market_stats"], mode="overwrite")
+            accepted, refused = jdbc_sink.split_stats(stats)
+            jdbc_sink.write_table(accepted, jdbc["market_stats"], mode="overwrite")
+            if rejects_path:
+                refused.write.mode("overwrite").parquet(f"{rejects_path}/market_stats")
     return {"facts": bool(facts_path) or bool(jdbc), "stats": bool(stats_path) or bool(jdbc)}

@@ -6,8 +6,8 @@ so nothing is registered in the session (safe when several queries run at
 once).  ``register_views`` is there for BI users who want real temp views;
 ``VIEW_SQL`` then holds the same texts over the view names.  PostgreSQL's
 ``DISTINCT ON (symbol) ... ORDER BY symbol, recorded_at DESC`` has no Spark
-form, so "latest per symbol" is ``max_by`` over a struct (a partial aggregate)
-with ``row_id`` breaking ties.  Catalyst plans these exactly like the DataFrame
+form, so "latest per symbol" is the newest time per symbol (a hash aggregate), a
+semi-join to the rows at that time, and ``max_by`` with ``row_id`` among those few.  Catalyst plans these exactly like the DataFrame
 versions in ``reports.py``.
 """
 
@@ -15,24 +15,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-LATEST_CTE = """latest AS (
+
+
+def exact_mean_sql(column: str, digits: int) -> str:
+    """``functions.exact.exact_mean`` as SQL text (values within its units)."""
+    total = f"sum(CAST(CAST({column} AS DECIMAL(29,8)) * 100000000BD AS DECIMAL(38,0)))"
+    step = f"(CAST(count({column}) AS DECIMAL(38,0)) * CAST({10 ** (8 - digits)} AS DECIMAL(38,0)))"
+    twice = f"(abs({total}) * 2BD + {step})"
+    whole = f"CAST(({twice} - {twice} % ({step} * 2BD)) / ({step} * 2BD) AS DECIMAL(38,0))"
+    return f"signum({total}) * CAST({whole} AS DOUBLE) / {10 ** digits}D"
+
+
+LATEST_CTE = """newest AS (
+  SELECT symbol, max(recorded_at) AS t FROM {coin_prices} GROUP BY symbol),
+latest AS (
   SELECT symbol, l.name, l.volume_24h, l.price_usd, l.market_cap, l.price_change_pct_24h,
          l.recorded_at
   FROM (SELECT symbol,
                max_by(named_struct('name', name, 'volume_24h', volume_24h, 'price_usd', price_usd,
                                    'market_cap', market_cap,
                                    'price_change_pct_24h', price_change_pct_24h,
-                                   'recorded_at', recorded_at),
-                      named_struct('t', recorded_at, 'id', row_id)) AS l
-        FROM {coin_prices} GROUP BY symbol))"""
+                                   'recorded_at', recorded_at), row_id) AS l
+        FROM {coin_prices} f
+        LEFT SEMI JOIN newest ON f.symbol <=> newest.symbol AND f.recorded_at <=> newest.t
+        GROUP BY symbol))"""
 
 DASHBOARD_SQL = {
     "top_volume": f"""WITH {LATEST_CTE}
 SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, recorded_at
 FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20""",
-    "trend": """SELECT CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) AS day,
-       round(avg(price_usd), 6) AS avg_price, max(price_usd) AS max_price, min(price_usd) AS min_price
-FROM {coin_prices} WHERE symbol = :symbol
+    "trend": f"""SELECT CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) AS day,
+       {exact_mean_sql("price_usd", 6)} AS avg_price, max(price_usd) AS max_price, min(price_usd) AS min_price
+FROM {{coin_prices}} WHERE symbol = :symbol
 GROUP BY CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) ORDER BY day""",
     "heatmap": """SELECT symbol, window_start, window_end, volatility_score
 FROM {market_stats} ORDER BY window_end DESC, symbol""",

@@ -33,7 +33,7 @@ BRANDS = """brands AS (
          l_quantity - 25 AS price_change_pct_24h,
          (l_extendedprice / l_quantity) * 1.02 AS high_24h,
          (l_extendedprice / l_quantity) * 0.98 AS low_24h,
-         l_shipdate AS recorded_at
+         l_shipdate AS recorded_at, l_orderkey, l_linenumber, l_partkey, l_suppkey
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 # market_stats: hourly windows over quotes.
@@ -164,11 +164,9 @@ FROM quotes q LEFT JOIN ext ON q.symbol = ext.symbol"""
 ORACLE["batch_stats"] = Q + DAY_STATS.format(src="quotes")
 ORACLE["history_stats"] = Q + HIST_STATS.format(src="quotes")
 ORACLE["history_stats_brand"] = with_(BRANDS) + HIST_STATS.format(src="brands")
-ORACLE["stats_spike_join"] = Q + """, d AS (SELECT *, date_trunc('day', recorded_at) AS day FROM quotes),
-m AS (SELECT symbol, day, round(avg(volume_24h), 6) AS avg_volume FROM d GROUP BY symbol, day)
-SELECT d.symbol, d.day,
-       max(CASE WHEN d.volume_24h > m.avg_volume THEN 1 ELSE 0 END) > 0 AS volume_spike
-FROM d LEFT JOIN m ON d.symbol = m.symbol AND d.day = m.day GROUP BY d.symbol, d.day"""
+ORACLE["stats_spike_join"] = Q + """SELECT symbol, date_trunc('day', recorded_at) AS day,
+       coalesce(max(volume_24h) * count(volume_24h) > sum(volume_24h), false) AS volume_spike
+FROM quotes GROUP BY symbol, date_trunc('day', recorded_at)"""
 ORACLE["enrich_join"] = Q + ", hs AS (" + HIST_STATS.format(src="quotes") + """)
 SELECT row_id, q.symbol, name, price_usd, market_cap, volume_24h, price_change_pct_24h,
        recorded_at, hs.volatility_score, hs.volume_spike
@@ -185,16 +183,18 @@ WINDOW_STATS = """SELECT symbol,
 FROM quotes {where} GROUP BY symbol, time_bucket(INTERVAL {w}, recorded_at)"""
 ORACLE["window_stats"] = Q + WINDOW_STATS.format(w="5 minute", where="")
 ORACLE["window_join"] = Q + """, k AS (SELECT *, time_bucket(INTERVAL 1 hour, recorded_at) AS window_start FROM quotes),
-b AS (SELECT symbol, window_start, avg(volume_24h) AS av, stddev_samp(price_usd) AS sd
+b AS (SELECT symbol, window_start, round(avg(volume_24h), 6) AS av, sum(volume_24h) AS s, count(volume_24h) AS n,
+             stddev_samp(price_usd) AS sd
       FROM k GROUP BY symbol, window_start)
-SELECT row_id, k.symbol, k.window_start, volume_24h, round(av, 6) AS avg_volume_window,
-       round(sd, 6) AS volatility_score, coalesce(volume_24h > av, false) AS volume_spike,
+SELECT row_id, k.symbol, k.window_start, volume_24h, av AS avg_volume_window,
+       round(sd, 6) AS volatility_score, coalesce(volume_24h * n > s, false) AS volume_spike,
        coalesce(sd > 1000.0, false) AS volatility_flag
 FROM k LEFT JOIN b ON k.symbol = b.symbol AND k.window_start = b.window_start"""
 LATEST = """SELECT DISTINCT ON (symbol) symbol, name, price_usd, market_cap, volume_24h,
        price_change_pct_24h, recorded_at
-FROM {src} ORDER BY symbol, recorded_at DESC, row_id DESC"""
-ORACLE["q1_top_volume_brand"] = with_(BRANDS) + ", latest AS (" + LATEST.format(src="brands") + """)
+FROM {src} ORDER BY symbol, recorded_at DESC, {tie}"""
+BRAND_TIE = "l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC"
+ORACLE["q1_top_volume_brand"] = with_(BRANDS) + ", latest AS (" + LATEST.format(src="brands", tie=BRAND_TIE) + """)
 SELECT symbol, name, volume_24h, price_usd, market_cap, price_change_pct_24h, recorded_at
 FROM latest ORDER BY volume_24h DESC NULLS FIRST, symbol LIMIT 20"""
 ORACLE["q2_trend"] = Q + """SELECT date_trunc('day', recorded_at) AS day, round(avg(price_usd), 6) AS avg_price,
@@ -207,9 +207,9 @@ ORACLE["q4_spike_rate"] = QS + """SELECT symbol,
        100.0::DOUBLE * CAST(count(*) FILTER (WHERE volume_spike) AS BIGINT) / count(*) AS volume_spike_pct,
        count(*) AS records
 FROM market_stats GROUP BY symbol HAVING count(*) > 0 ORDER BY volume_spike_pct DESC"""
-ORACLE["q5_latest"] = Q + LATEST.format(src="quotes")
+ORACLE["q5_latest"] = Q + LATEST.format(src="quotes", tie="row_id DESC")
 ORACLE["q5_latest_window"] = ORACLE["q5_latest"]
-ORACLE["q5_latest_brand"] = with_(BRANDS) + LATEST.format(src="brands")
+ORACLE["q5_latest_brand"] = with_(BRANDS) + LATEST.format(src="brands", tie=BRAND_TIE)
 ORACLE["latest_n_facts"] = Q + """SELECT row_id, symbol, name, price_usd, market_cap, volume_24h,
        price_change_pct_24h, recorded_at FROM quotes ORDER BY recorded_at DESC, row_id DESC LIMIT 10"""
 ORACLE["latest_n_stats"] = QS + """SELECT symbol, volatility_score, volume_spike, window_start, window_end
@@ -295,7 +295,28 @@ PARSED = """parsed AS (
   FROM quotes)"""
 CLOSED = "window_end <= (SELECT max(recorded_at) FROM quotes) - INTERVAL 5 minute"
 ORACLE["stream_parse"] = with_(QUOTES, PARSED) + f"SELECT {RAW_COLS} FROM parsed"
-ORACLE["stream_batch_stats"] = with_(QUOTES, PARSED) + DAY_STATS.format(src="parsed")
+ORACLE["stream_batch_stats"] = with_(QUOTES, PARSED) + """SELECT symbol,
+       least((day(quote_time) - 1) // 5, 5)::BIGINT AS batch_id,
+       round(stddev_samp(price_usd), 6) AS volatility_score,
+       round(avg(volume_24h), 6) AS avg_volume,
+       coalesce(max(volume_24h) > avg(volume_24h), false) AS volume_spike,
+       min(recorded_at) AS window_start, max(recorded_at) AS window_end,
+       count(*) AS record_count
+FROM (SELECT parsed.*, quotes.recorded_at AS quote_time FROM parsed JOIN quotes USING (row_id))
+GROUP BY symbol, least((day(quote_time) - 1) // 5, 5)"""
+ORACLE["sink_two_streams"] = ORACLE["stream_parse"]
+BROKEN = """CASE volume_24h WHEN 0 THEN 'unparsable' WHEN 1 THEN 'no_coins' WHEN 2 THEN 'empty_coins'
+       WHEN 3 THEN 'null_symbol' WHEN 4 THEN 'unreadable_time' END"""
+ORACLE["stream_rejects"] = Q + f"""SELECT {BROKEN} AS reason, count(*) AS rows FROM quotes
+WHERE {BROKEN} IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'raw', count(*) FROM quotes WHERE volume_24h IS NULL OR volume_24h > 2 OR volume_24h < 0
+UNION ALL SELECT 'enriched', count(*) FROM quotes WHERE volume_24h IS NULL OR volume_24h > 4 OR volume_24h < 0"""
+ORACLE["envelope_rejects"] = Q + f"""SELECT CASE volume_24h
+         WHEN 0 THEN '{{"ingested_at": "' || {HOUR_TEXT}
+         WHEN 1 THEN '{{"ingested_at": "' || {HOUR_TEXT} || '"}}'
+         ELSE '{{"ingested_at": "' || {HOUR_TEXT} || '", "coins": []}}' END AS body,
+       {BROKEN} AS reason
+FROM quotes WHERE volume_24h IN (0, 1, 2)"""
 ORACLE["stream_tumbling"] = Q + "SELECT * FROM (" + WINDOW_STATS.format(w="5 minute", where="") + \
     ") WHERE " + CLOSED
 ORACLE["stream_complete"] = Q + WINDOW_STATS.format(w="1 hour", where="")
@@ -303,15 +324,27 @@ ORACLE["stream_late"] = Q + "SELECT * FROM (" + WINDOW_STATS.format(
     w="5 minute", where="WHERE recorded_at >= TIMESTAMP '2024-01-16'") + ") WHERE " + CLOSED
 ORACLE["stream_restart"] = Q + "SELECT * FROM quotes"
 ORACLE["stream_window_join"] = Q + """, k AS (SELECT *, time_bucket(INTERVAL 1 hour, recorded_at) AS window_start FROM quotes),
-b AS (SELECT symbol, window_start, avg(volume_24h) AS av, stddev_samp(price_usd) AS sd
+b AS (SELECT symbol, window_start, round(avg(volume_24h), 6) AS av, sum(volume_24h) AS s, count(volume_24h) AS n,
+             stddev_samp(price_usd) AS sd
       FROM k GROUP BY symbol, window_start)
 SELECT k.symbol, row_id, price_usd, volume_24h, recorded_at, k.window_start,
        k.window_start + INTERVAL 1 hour AS window_end,
-       round(av, 6) AS avg_volume_window, round(sd, 6) AS volatility_score,
-       coalesce(volume_24h > av, false) AS volume_spike
+       av AS avg_volume_window, round(sd, 6) AS volatility_score,
+       coalesce(volume_24h * n > s, false) AS volume_spike
 FROM k LEFT JOIN b ON k.symbol = b.symbol AND k.window_start = b.window_start
 WHERE k.window_start + INTERVAL 1 hour <= (SELECT max(recorded_at) FROM quotes) - INTERVAL 5 minute"""
 
+ORACLE["decimal_rejects"] = QN + """, p AS (
+  SELECT * REPLACE (CASE WHEN volume_24h = 99 THEN price_usd * 1e10 ELSE price_usd END AS price_usd) FROM nq)
+SELECT coalesce(CASE WHEN symbol IS NULL THEN 'null_symbol' WHEN name IS NULL THEN 'null_name'
+            WHEN price_usd IS NULL THEN 'null_price_usd' WHEN recorded_at IS NULL THEN 'null_recorded_at'
+            WHEN TRY_CAST(price_usd AS DECIMAL(18,8)) IS NULL THEN 'overflow_price_usd' END, 'accepted') AS reject_reason,
+       count(*) AS rows
+FROM p GROUP BY ALL"""
+ORACLE["contract_raw_record"] = QN + """SELECT row_id,
+       CASE WHEN id IS NULL THEN 'null_id' WHEN symbol IS NULL THEN 'null_symbol' WHEN name IS NULL THEN 'null_name'
+            WHEN volume_24h = 1 THEN 'bad_market_cap' END AS reject_reason
+FROM nq WHERE id IS NULL OR symbol IS NULL OR name IS NULL OR volume_24h = 1"""
 ORACLE["backfill_stats"] = ORACLE["history_stats"]
 ORACLE["backfill_facts"] = ORACLE["project_fact"]
 
@@ -322,3 +355,19 @@ ORACLE["q5_latest_sql"] = ORACLE["q5_latest"]
 
 ORACLE["window_stats_daily"] = Q + WINDOW_STATS.format(w="1 day", where="")
 ORACLE["q5_latest_brand_two_phase"] = ORACLE["q5_latest_brand"]
+
+
+# --- exact means ---------------------------------------------------------------
+# A mean is rounded from whole units of 10^-8 by integer division, as in functions/exact.py.
+def exact_mean(column: str) -> str:
+    total = f"sum(CAST(round({column} * 1e8) AS HUGEINT))"
+    n = f"(100 * CAST(count({column}) AS HUGEINT))"
+    return (f"(CASE WHEN count({column}) > 0 THEN sign({total}) * CAST((2 * abs({total}) + {n}) // (2 * {n}) AS DOUBLE)"
+            f" / 1e6 END)")
+
+
+for _name, _sql in ORACLE.items():
+    for _column in ("price_usd", "volume_24h", "volatility_score"):
+        _sql = _sql.replace(f"round(avg({_column}), 6)", exact_mean(_column))
+    ORACLE[_name] = _sql.replace("max(volume_24h) > avg(volume_24h)",
+                                 "max(volume_24h) * count(volume_24h) > sum(volume_24h)")

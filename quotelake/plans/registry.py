@@ -19,11 +19,11 @@ from quotelake.functions import derive, envelope, scalars
 from quotelake.operators import contracts, latest, quality, stats
 from quotelake.plans import dashboard_sql, reports
 from quotelake.plans.backfill import backfill
-from quotelake.schemas import ENRICHED_LAKE_COLUMNS
+from quotelake.schemas import ENRICHED_LAKE_COLUMNS, RAW_RECORD_CONTRACT
 from quotelake.session import ensure_utc, run_dir
 from quotelake.sinks import jdbc as jdbc_sink
 from quotelake.sinks import lake
-from quotelake.sources.adapters import brand_quotes, event_quotes
+from quotelake.sources.adapters import BRAND_ORDER, brand_quotes, event_quotes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +32,6 @@ QUERIES: dict[str, Query] = {}
 TREND_SYMBOL = "click"
 PAGE_SYMBOLS = ["click", "view", "purchase"]
 DOMAIN_SYMBOLS = ["click", "view", "purchase", "signup"]
-EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 EVENT_PRICE_EDGES = (300.0, 100.0)  # event prices stay under 600
 SPIKE_CONSTANT = 50.0
 STATS_WINDOW = "1 hour"
@@ -231,7 +230,7 @@ def q1_top_volume(spark, sf_dir):
 
 @register("q1_top_volume_brand")
 def q1_top_volume_brand(spark, sf_dir):
-    return reports.q1_top_volume(brand_quotes(spark, sf_dir))
+    return reports.q1_top_volume(brand_quotes(spark, sf_dir), order=BRAND_ORDER)
 
 
 @register("q2_trend")
@@ -267,13 +266,13 @@ def q5_latest_window(spark, sf_dir):
 @register("q5_latest_brand")
 def q5_latest_brand(spark, sf_dir):
     """Latest per brand: day-grain timestamps tie, the line key breaks ties."""
-    return reports.q5_latest(brand_quotes(spark, sf_dir))
+    return reports.q5_latest(brand_quotes(spark, sf_dir), order=BRAND_ORDER)
 
 
 @register("q5_latest_brand_two_phase")
 def q5_latest_brand_two_phase(spark, sf_dir):
-    """Latest per brand without sorting the input: max time, semi-join, tie-break on few rows."""
-    return reports.q5_latest(brand_quotes(spark, sf_dir), method="two_phase")
+    """Latest per brand in one pass (``max_by``); the default form takes two."""
+    return reports.q5_latest(brand_quotes(spark, sf_dir), method="max_by", order=BRAND_ORDER)
 
 
 @register("latest_n_facts")
@@ -308,7 +307,7 @@ def date_rollup(spark, sf_dir):
 def heatmap_pivot(spark, sf_dir):
     """Day x symbol volatility matrix."""
     daily = stats.window_stats(event_quotes(spark, sf_dir), "1 day")
-    return reports.heatmap_pivot(daily, EVENT_SYMBOLS)
+    return reports.heatmap_pivot(daily)
 
 
 # --------------------------------------------------------------- contracts and gates
@@ -385,6 +384,53 @@ def run_log(spark, sf_dir):
     return quality.run_log_rows(quality.dq_report(q))
 
 
+@register("decimal_rejects")
+def decimal_rejects(spark, sf_dir):
+    """Facts that break the table contract: prices beyond their precision, missing names."""
+    q = with_injected_nulls(event_quotes(spark, sf_dir))
+    q = q.withColumn("price_usd", F.when(F.col("volume_24h") == 99, F.col("price_usd") * 1e10)
+                     .otherwise(F.col("price_usd")))
+    accepted, refused = jdbc_sink.split_facts(q)
+    return refused.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows")).unionByName(
+        accepted.agg(F.lit("accepted").alias("reject_reason"), F.count(F.lit(1)).alias("rows")))
+
+
+@register("contract_raw_record")
+def contract_raw_record(spark, sf_dir):
+    """The raw record contract enforced: required names missing, text that is no number."""
+    q = with_injected_nulls(event_quotes(spark, sf_dir))
+    none = F.lit(None).cast("double")
+    records = q.select(
+        "row_id", "id", "symbol", "name", F.col("price_usd").alias("current_price"),
+        F.when(F.col("volume_24h") == 1, "n/a").otherwise(F.col("market_cap").cast("string")).alias("market_cap"),
+        F.col("volume_24h").alias("total_volume"), F.col("price_change_pct_24h").alias("price_change_percentage_24h"),
+        "high_24h", "low_24h", none.alias("circulating_supply"), none.alias("total_supply"), none.alias("max_supply"),
+        none.alias("ath"), none.alias("atl"), "last_updated")
+    _, refused = contracts.enforce(records, RAW_RECORD_CONTRACT)
+    return refused.select("row_id", "reject_reason")
+
+
+@register("envelope_rejects")
+def envelope_rejects(spark, sf_dir):
+    """Messages without quotes: cut-off JSON, no list, an empty list; the others are accepted."""
+    messages = broken_messages(event_quotes(spark, sf_dir))
+    return envelope.envelope_rejects(messages)
+
+
+def broken_messages(quotes: DataFrame) -> DataFrame:
+    """One message per quote; the volume decides which are broken, and how."""
+    env = envelope.to_envelopes(quotes, hour_snapshot(), max_quotes=1).select(
+        "value", F.get_json_object("value", "$.coins[0].total_volume").cast("bigint").alias("v"),
+        F.get_json_object("value", "$.ingested_at").alias("at"))
+    body = (F.when(F.col("v") == 0, F.concat(F.lit('{"ingested_at": "'), F.col("at")))
+            .when(F.col("v") == 1, F.format_string('{"ingested_at": "%s"}', F.col("at")))
+            .when(F.col("v") == 2, F.format_string('{"ingested_at": "%s", "coins": []}', F.col("at")))
+            .when(F.col("v") == 3, F.regexp_replace("value", '"symbol":"[^"]*",', ""))
+            .when(F.col("v") == 4, F.regexp_replace("value", '"last_updated":"[^"]*"', '"last_updated":"soon"'))
+            .otherwise(F.col("value")))
+    return env.select(body.alias("value"))
+
+
 # --------------------------------------------------------------- sinks
 
 @register("append_union")

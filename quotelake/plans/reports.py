@@ -12,17 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.functions.exact import exact_mean, mean_of_units, units
 from quotelake.functions.scalars import day_start
 from quotelake.operators.latest import latest_per_key, latest_per_key_window, top_k
+from quotelake.plans import dashboard_sql
 from quotelake.schemas import FACT_COLUMNS
 
 LATEST_COLUMNS = ["name", "price_usd", "market_cap", "volume_24h",
                   "price_change_pct_24h", "recorded_at"]
+LATEST_ORDER = ("recorded_at", "row_id")
 
 
-def q1_top_volume(facts: DataFrame, k: int = 20) -> DataFrame:
+def q1_top_volume(facts: DataFrame, k: int = 20, order: Sequence[str] = LATEST_ORDER) -> DataFrame:
     """Latest quote per symbol, then the k largest volumes (NULL volumes first)."""
-    latest = latest_per_key(facts, "symbol", ("recorded_at", "row_id"), LATEST_COLUMNS)
+    latest = latest_per_key(facts, "symbol", order, LATEST_COLUMNS)
     ranked = top_k(latest, [F.col("volume_24h").desc_nulls_first(), F.col("symbol").asc()], k)
     return ranked.select("symbol", "name", "volume_24h", "price_usd", "market_cap",
                          "price_change_pct_24h", "recorded_at")
@@ -37,27 +40,15 @@ def q2_trend(facts: DataFrame, symbol: str, digits: int = 6) -> DataFrame:
     day = day_start("recorded_at").alias("day")
     return (facts.where(F.col("symbol") == symbol)
             .groupBy(day)
-            .agg(F.round(F.avg("price_usd"), digits).alias("avg_price"),
+            .agg(exact_mean("price_usd", digits).alias("avg_price"),
                  F.max("price_usd").alias("max_price"),
                  F.min("price_usd").alias("min_price"))
             .orderBy("day"))
 
 
-TREND_SQL = """
-SELECT CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ) AS day,
-       round(avg(price_usd), 6) AS avg_price,
-       max(price_usd) AS max_price,
-       min(price_usd) AS min_price
-FROM {facts}
-WHERE symbol = :symbol
-GROUP BY CAST(date_trunc('DAY', recorded_at) AS TIMESTAMP_NTZ)
-ORDER BY day
-"""
-
-
 def q2_trend_sql(spark: SparkSession, facts: DataFrame, symbol: str) -> DataFrame:
     """The same question as parameterised SQL (named parameter ``:symbol``)."""
-    return spark.sql(TREND_SQL, args={"symbol": symbol}, facts=facts)
+    return dashboard_sql.run(spark, "trend", facts, symbol=symbol)
 
 
 def q3_heatmap(stats: DataFrame) -> DataFrame:
@@ -79,9 +70,9 @@ def q4_spike_rate(stats: DataFrame) -> DataFrame:
             .orderBy(F.col("volume_spike_pct").desc()))
 
 
-def q5_latest(facts: DataFrame, method: str = "max_by") -> DataFrame:
-    """Latest snapshot per symbol (aggregate form; ``method`` as in ``latest_per_key``)."""
-    return latest_per_key(facts, "symbol", ("recorded_at", "row_id"), LATEST_COLUMNS,
+def q5_latest(facts: DataFrame, method: str = "hash", order: Sequence[str] = LATEST_ORDER) -> DataFrame:
+    """Latest snapshot per symbol (``method`` as in ``latest_per_key``)."""
+    return latest_per_key(facts, "symbol", order, LATEST_COLUMNS,
                           method=method).select("symbol", *LATEST_COLUMNS)
 
 
@@ -117,7 +108,7 @@ def bi_measures(stats: DataFrame, digits: int = 6) -> DataFrame:
     return stats.agg(
         F.try_divide(F.count_if(F.col("volume_spike")).cast("double"),
                      F.count(F.lit(1))).alias("spike_rate"),
-        F.round(F.avg("volatility_score"), digits).alias("avg_volatility"),
+        exact_mean("volatility_score", digits).alias("avg_volatility"),
         F.count(F.lit(1)).alias("stats_rows"),
     )
 
@@ -125,19 +116,22 @@ def bi_measures(stats: DataFrame, digits: int = 6) -> DataFrame:
 def date_rollup(facts: DataFrame, digits: int = 6) -> DataFrame:
     """Drill-down on recorded_at: year > month > day subtotals plus the grand total.
 
-    One ``rollup`` aggregate.  Each row is labelled by ``level`` (total, year,
+    The facts are summed by day first; the rollup then expands the few day rows, not
+    every fact.  Each row is labelled by ``level`` (total, year,
     month, day) and ``period`` ('all', '2024', '2024-01', '2024-01-15'), a
     ready-made axis for a drill-down, instead of NULL subtotal markers.
     """
-    parts = facts.select(
-        F.year("recorded_at").alias("y"), F.month("recorded_at").alias("m"),
-        F.dayofmonth("recorded_at").alias("d"), "price_usd", "volume_24h",
-    )
+    u = units(F.col("price_usd"))
+    days = facts.groupBy(F.to_date("recorded_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(u).alias("price_units"), F.count(u).alias("prices"),
+        F.sum("volume_24h").alias("volume"))
+    parts = days.select(F.year("day").alias("y"), F.month("day").alias("m"), F.dayofmonth("day").alias("d"),
+                        "n", "price_units", "prices", "volume")
     agg = parts.rollup("y", "m", "d").agg(
         F.grouping_id().alias("g"),
-        F.count(F.lit(1)).alias("records"),
-        F.round(F.avg("price_usd"), digits).alias("avg_price"),
-        F.sum("volume_24h").alias("total_volume"),
+        F.sum("n").alias("records"),
+        mean_of_units(F.sum("price_units"), F.sum("prices"), digits).alias("avg_price"),
+        F.sum("volume").alias("total_volume"),
     )
     level = F.when(F.col("g") == 7, "total").when(F.col("g") == 3, "year") \
              .when(F.col("g") == 1, "month").otherwise("day")
@@ -149,11 +143,19 @@ def date_rollup(facts: DataFrame, digits: int = 6) -> DataFrame:
                       "records", "avg_price", "total_volume")
 
 
-def heatmap_pivot(stats: DataFrame, symbols: Sequence[str], value: str = "volatility_score"
-                  ) -> DataFrame:
-    """Window x symbol matrix of ``value``.
+def heatmap_pivot(stats: DataFrame, symbols: Sequence[str] | None = None, value: str = "volatility_score",
+                  max_symbols: int = 1000) -> DataFrame:
+    """Window x symbol matrix of ``value``: one aggregate, one column per symbol.
 
-    The symbol list is passed in, so Spark does not run a distinct job to find
-    the pivot columns and the output schema is fixed.
+    Without ``symbols`` every symbol of ``stats`` gets a column, in order; more than
+    ``max_symbols`` of them raise, since a matrix that wide is not a report.
     """
-    return stats.groupBy("window_start").pivot("symbol", list(symbols)).agg(F.max(value))
+    if symbols is None:
+        found = stats.select("symbol").distinct().orderBy("symbol").limit(max_symbols + 1).collect()
+        if len(found) > max_symbols:
+            raise ValueError(f"more than {max_symbols} symbols; pass the ones to show")
+        symbols = [r["symbol"] for r in found]
+    cells = [F.max(F.when(F.col("symbol").eqNullSafe(F.lit(s)), F.col(value))).alias(str(s)) for s in symbols]
+    if not cells:
+        return stats.select("window_start").distinct()
+    return stats.groupBy("window_start").agg(*cells)

@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.functions import envelope
-from quotelake.functions.scalars import day_start
-from quotelake.plans.registry import register
+from quotelake.plans.registry import broken_messages, register
 from quotelake.sinks import lake
 from quotelake.sinks.bus import publish_files
 from quotelake.sources.adapters import QUOTE_COLUMNS, event_quotes
@@ -65,20 +64,65 @@ def stream_parse(spark, sf_dir):
     return spark.read.parquet(p["out"])
 
 
+ARRIVAL_DAYS = 5
+ARRIVALS = 6
+FILES_PER_ARRIVAL = 4
+
+
+def _arrival(time: str = "recorded_at"):
+    """Number of the arrival that brings a quote: five days of the month each."""
+    return F.least(F.floor((F.dayofmonth(time) - 1) / ARRIVAL_DAYS), F.lit(ARRIVALS - 1)).cast("int")
+
+
+def _stage_arrivals(quotes: DataFrame, path: str) -> None:
+    """Six arrivals of the same number of files, so that one trigger takes one arrival."""
+    for k in range(ARRIVALS):
+        env = envelope.to_envelopes(quotes.where(_arrival() == k),
+                                    envelope.iso_utc(F.date_trunc("hour", "recorded_at")))
+        publish_files(env.repartition(FILES_PER_ARRIVAL), path)
+
+
 @register("stream_batch_stats")
 def stream_batch_stats(spark, sf_dir):
-    """The micro-batch job: raw + enriched + stats sinks from one foreachBatch callback.
-
-    Stats are grouped by (symbol, event day) inside each micro-batch; the
-    result is the stats sink, read back.
-    """
+    """The micro-batch job, rate-limited: statistics per (batch, symbol) over six micro-batches."""
     p = _paths(spark, "stream_batch_stats")
-    _stage_envelopes(event_quotes(spark, sf_dir), p["in"])
-    rows = jobs.quotes_from_messages(envelope_file_stream(jobs.stream_session(spark), p["in"])) \
-        .withColumn("day", day_start("recorded_at"))
-    pipeline = jobs.BatchPipeline(p["raw"], p["enriched"], p["stats"], ("symbol", "day"))
-    jobs.run_available_now(rows, p["ckpt"], foreach_batch=pipeline)
-    return spark.read.parquet(p["stats"]).drop("batch_id")
+    _stage_arrivals(event_quotes(spark, sf_dir), p["in"])
+    messages = envelope_file_stream(jobs.stream_session(spark), p["in"], FILES_PER_ARRIVAL)
+    jobs.run_available_now(jobs.quotes_from_messages(messages), p["ckpt"],
+                           foreach_batch=jobs.BatchPipeline(p["raw"], p["enriched"], p["stats"]))
+    return spark.read.parquet(p["stats"]).drop("stream") \
+        .withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+@register("sink_two_streams")
+def sink_two_streams(spark, sf_dir):
+    """Two streams, each with its own checkpoint, and a replayed batch: one lake holds every row once."""
+    p = _paths(spark, "sink_two_streams")
+    q = event_quotes(spark, sf_dir)
+    for k, half in enumerate(_halves(q)):
+        _stage_envelopes(half, f"{p['in']}/{k}")
+        rows = jobs.quotes_from_messages(envelope_file_stream(jobs.stream_session(spark), f"{p['in']}/{k}"))
+
+        def twice(df: DataFrame, batch_id: int) -> None:
+            for _ in range(2):
+                jobs.BatchPipeline(p["raw"], p["enriched"], p["stats"])(df, batch_id)
+
+        jobs.run_available_now(rows, f"{p['ckpt']}/{k}", foreach_batch=twice)
+    return spark.read.parquet(p["raw"]).drop("stream", "batch_id", "day")
+
+
+@register("stream_rejects")
+def stream_rejects(spark, sf_dir):
+    """Broken messages and rows through the whole job: every one is kept or rejected with a reason."""
+    p = _paths(spark, "stream_rejects")
+    publish_files(broken_messages(event_quotes(spark, sf_dir)), p["in"])
+    messages = envelope_file_stream(jobs.stream_session(spark), p["in"])
+    jobs.start_pipeline(messages, p["out"], p["ckpt"], event_time=True)
+    n = F.count(F.lit(1)).alias("rows")
+    rejects = spark.read.parquet(f"{p['out']}/rejects").groupBy("reason").agg(n)
+    for sink in ("raw", "enriched"):
+        rejects = rejects.unionByName(spark.read.parquet(f"{p['out']}/{sink}").agg(F.lit(sink).alias("reason"), n))
+    return rejects
 
 
 @register("stream_tumbling")

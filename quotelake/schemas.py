@@ -152,10 +152,3 @@ PROCESSED_RECORD_CONTRACT = StructType([
 # Columns whose NULL makes a fact row unusable (the null-critical gate).
 CRITICAL_FACT_COLUMNS = ["symbol", "name", "price_usd", "recorded_at"]
 
-
-def raw_record_contract() -> StructType:
-    return RAW_RECORD_CONTRACT
-
-
-def processed_record_contract() -> StructType:
-    return PROCESSED_RECORD_CONTRACT

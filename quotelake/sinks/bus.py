@@ -16,11 +16,15 @@ def publish_files(envelopes: DataFrame, path: str) -> None:
     envelopes.select("value").write.mode("append").text(path)
 
 
+def kafka_frame(envelopes: DataFrame) -> DataFrame:
+    """Key (the snapshot stamp) and value of each record."""
+    return envelopes.select(F.col("ingested_at").cast("string").alias("key"),
+                            F.col("value").cast("string").alias("value"))
+
+
 def publish_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:
-    """Write envelopes to a Kafka topic; the key is the snapshot stamp."""
-    (envelopes.select(F.col("ingested_at").cast("string").alias("key"),
-                      F.col("value").cast("string").alias("value"))
-        .write.format("kafka")
+    """Write envelopes to a Kafka topic."""
+    (kafka_frame(envelopes).write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .save())

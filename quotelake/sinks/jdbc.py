@@ -1,9 +1,12 @@
 """JDBC table sinks and readers (public ``format("jdbc")`` options only).
 
-Writes go through ``coalesce(n)`` so that at most ``max_connections``
-executors hold a connection, and ``batchsize`` rows travel per round trip.
-Decimal and NOT NULL contracts are applied before the write (see
-``operators.contracts``); the database's own constraints are the last line.
+Writes are dealt to ``max_connections`` tasks by a ``repartition``, so only the
+write itself is narrow, and ``batchsize`` rows travel per round trip.  A replaced
+table is truncated, not dropped, so its keys, defaults and precision stay.
+``split_facts`` and ``split_stats`` apply the table contracts (NOT NULL, decimal
+precision) before a write and return what does not fit, with a reason.
+Appends are at least once: a replayed micro-batch can append its rows again.
+Use ``staged`` tables where that matters.
 """
 
 from __future__ import annotations
@@ -11,9 +14,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quotelake.operators.contracts import COIN_PRICES_DECIMALS, MARKET_STATS_DECIMALS
+from quotelake.operators.contracts import (COIN_PRICES_DECIMALS, MARKET_STATS_DECIMALS, NOT_NULL,
+                                            split_contract)
 from quotelake.schemas import FACT_COLUMNS
 
 
@@ -33,12 +36,29 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 
 def write_table(df: DataFrame, options: Mapping[str, str], mode: str = "append",
                 batchsize: int = 5000, max_connections: int | None = 16) -> None:
-    out = df.coalesce(max_connections) if max_connections else df
-    (out.write.format("jdbc").options(**options)
-        .option("batchsize", str(batchsize))
+    out = df.repartition(max_connections) if max_connections else df
+    (out.write.format("jdbc").options(**write_options(options, mode, batchsize))
         .mode(mode).save())
 
 
+def write_options(options: Mapping[str, str], mode: str = "append", batchsize: int = 5000) -> dict[str, str]:
+    """Options of a write: batch size, and ``truncate`` when the table is replaced."""
+    out = {"batchsize": str(batchsize), **options}
+    if mode == "overwrite":
+        out.setdefault("truncate", "true")
+    return out
+
+
+def staged(options: Mapping[str, str], stream: str, batch_id: int) -> dict[str, str]:
+    """Options for a staging table of one micro-batch.
+
+    Replacing ``<table>_stage_<stream>_<batch>`` is idempotent under replay; the database then merges
+    it into the table once (``INSERT ... SELECT``) and drops it.
+    """
+    tag = "".join(c if c.isalnum() else "_" for c in stream)
+    return {**options, "dbtable": f"{options['dbtable']}_stage_{tag}_{batch_id}"}
+
+
 def read_table(spark: SparkSession, options: Mapping[str, str],
                partition_column: str | None = None, lower: int | None = None,
                upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
@@ -52,21 +72,23 @@ def read_table(spark: SparkSession, options: Mapping[str, str],
 
 
 def fact_rows(raw: DataFrame, decimals: bool = True) -> DataFrame:
-    """Raw lake rows -> the seven fact-table columns (optionally at table precision)."""
-    out = raw.select(*FACT_COLUMNS)
-    if decimals:
-        out = out.withColumns({c: F.col(c).try_cast(f"decimal({p},{s})")
-                               for c, (p, s) in COIN_PRICES_DECIMALS.items()})
-    return out
+    """Raw lake rows -> the seven fact-table columns; at table precision only rows that meet the contract."""
+    return split_facts(raw)[0] if decimals else raw.select(*FACT_COLUMNS)
 
 
-def stats_rows(stats: DataFrame, decimals: bool = True,
-               columns: Sequence[str] = ("symbol", "volatility_score", "volume_spike",
-                                         "window_start", "window_end")) -> DataFrame:
-    """Stats -> market_stats columns (volatility at table precision)."""
-    out = stats.select(*columns)
-    if decimals:
-        p, s = MARKET_STATS_DECIMALS["volatility_score"]
-        out = out.withColumn("volatility_score",
-                             F.col("volatility_score").try_cast(f"decimal({p},{s})"))
-    return out
+def split_facts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows at table precision, rows of ``raw`` that break the fact table's contract, with ``reject_reason``)."""
+    return split_contract(raw, FACT_COLUMNS, NOT_NULL["coin_prices"], COIN_PRICES_DECIMALS)
+
+
+STATS_COLUMNS = ("symbol", "volatility_score", "volume_spike", "window_start", "window_end")
+
+
+def split_stats(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows at table precision, rows of ``stats`` that break the stats table's contract)."""
+    return split_contract(stats, STATS_COLUMNS, NOT_NULL["market_stats"], MARKET_STATS_DECIMALS)
+
+
+def stats_rows(stats: DataFrame, decimals: bool = True, columns: Sequence[str] = STATS_COLUMNS) -> DataFrame:
+    """Stats -> market_stats columns; at table precision only rows that meet the contract."""
+    return split_stats(stats)[0] if decimals else stats.select(*columns)

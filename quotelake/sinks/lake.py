@@ -4,6 +4,8 @@
   ``batch_id`` and event ``day``) and the write replaces exactly those
   partitions (dynamic partition overwrite), so a retried micro-batch or a
   rerun backfill never duplicates rows.
+* ``write_batch`` – one micro-batch of one stream, replaced as a whole on replay;
+  ``compact`` turns many such folders into one per day.
 * ``append`` – plain multiset append, the reference behaviour.
 * Layout: rows are clustered by ``symbol`` then newest-first inside each
   file, so parquet min/max statistics let ``symbol = ?`` filters skip row
@@ -61,6 +63,32 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
         .save(path))
 
 
+def write_batch(df: DataFrame, path: str, stream: str, batch_id: int, partition_by: Sequence[str] = ("day",),
+                sort_by: Sequence[str] | None = ("symbol", "recorded_at")) -> None:
+    """Replace exactly the folder of one micro-batch of one stream: ``stream=<id>/batch_id=<n>/day=...``.
+
+    Batch numbers start again at 0 with every new checkpoint, so the stream's own
+    identity is part of the key: several streams, or a stream with a new checkpoint,
+    share a lake without touching each other's rows, and a replay leaves one copy.
+    """
+    out = clustered(df, sort_by) if sort_by else df
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/stream={stream}/batch_id={batch_id}")
+
+
+def compact(spark, path: str, target: str, days: Sequence[str] | None = None) -> None:
+    """Rewrite a streamed lake (one folder per micro-batch) as one clustered folder per day.
+
+    Only ``days`` (``yyyy-MM-dd``) are rewritten if given; the target's other days stay.
+    """
+    df = spark.read.parquet(path)
+    if days is not None:
+        df = df.where(F.col("day").isin([str(d) for d in days]))
+    write_partitions(df, target, ["day"])
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (),
            sort_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
     out = rebalanced(df, partition_by) if partition_by else df

@@ -17,6 +17,9 @@ QUOTE_COLUMNS = [
 ]
 
 
+BRAND_ORDER = ("recorded_at", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -55,8 +58,8 @@ def quotes_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """lineitem x part -> quotes with day-grain, heavily tied timestamps.
 
     symbol=p_brand, price=l_extendedprice/l_quantity, volume=l_quantity,
-    recorded_at=l_shipdate.  The row id is the 4-column line key, packed into
-    one string so "latest" can break ties on it.  ``part`` is a dimension
+    recorded_at=l_shipdate.  The row id is the 4-column line key as text; "latest"
+    breaks ties on the four integers (``BRAND_ORDER``).  ``part`` is a dimension
     joined on its key; AQE broadcasts it only when its measured size allows.
     """
     p = part.select("p_partkey", "p_brand")

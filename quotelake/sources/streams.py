@@ -7,6 +7,8 @@ and the registered queries use (no broker in this environment).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,9 +36,13 @@ def object_store_conf(endpoint: str, access_key: str, secret_key: str,
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
-                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = 100,
-                 fail_on_data_loss: bool = False) -> DataFrame:
-    """Envelope messages from a Kafka topic (needs the spark-sql-kafka package)."""
+                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                 fail_on_data_loss: bool = False, options: Mapping[str, str] | None = None) -> DataFrame:
+    """Envelope messages from a Kafka topic (needs the spark-sql-kafka package).
+
+    No cap per trigger unless one is given.  Lost offsets are tolerated by default, an
+    explicit choice; ``options`` are passed on (security, group id, ...).
+    """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
@@ -44,7 +50,7 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load()
+    return r.options(**(options or {})).load()
 
 
 def kafka_metadata(messages: DataFrame) -> DataFrame:
@@ -55,13 +61,14 @@ def kafka_metadata(messages: DataFrame) -> DataFrame:
 
 
 def envelope_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                         schema: StructType | str | None = None) -> DataFrame:
+                         schema: StructType | str | None = None,
+                         ignore_missing_files: bool = False) -> DataFrame:
     """JSON-lines envelope files as a stream with a ``value`` text column.
 
-    ``ignoreMissingFiles`` is the file analogue of ``failOnDataLoss=false``;
+    ``ignore_missing_files`` is the file analogue of ``failOnDataLoss=false``, off by default;
     ``maxFilesPerTrigger`` the analogue of ``maxOffsetsPerTrigger``.
     """
-    r = spark.readStream.format("text").option("ignoreMissingFiles", "true")
+    r = spark.readStream.format("text").option("ignoreMissingFiles", str(ignore_missing_files).lower())
     if schema is not None:
         r = r.schema(schema)
     if max_files_per_trigger:
@@ -78,8 +85,10 @@ def file_metadata(messages: DataFrame) -> DataFrame:
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: StructType | str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("parquet").schema(schema).option("ignoreMissingFiles", "true")
+                   max_files_per_trigger: int | None = None,
+                   ignore_missing_files: bool = False) -> DataFrame:
+    r = (spark.readStream.format("parquet").schema(schema)
+         .option("ignoreMissingFiles", str(ignore_missing_files).lower()))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)

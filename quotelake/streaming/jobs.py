@@ -1,10 +1,10 @@
 """Structured Streaming jobs built from the batch operators.
 
 * ``BatchPipeline`` – the micro-batch job: one ``foreachBatch`` callback writes
-  raw rows, enriched rows and per-batch stats (and optionally JDBC tables).
-  The batch is persisted once and unpersisted at the end, and every sink
-  replaces the partition ``batch_id=<id>``, so a replayed batch (after an
-  executor or driver loss) overwrites instead of duplicating.
+  raw rows, enriched rows, per-batch stats and rejects (and optionally JDBC
+  tables).  Every sink replaces the folder of this stream and batch, so a replayed
+  batch (after an executor or driver loss) leaves one copy, and another
+  stream or a new checkpoint never touches earlier rows.  JDBC appends are at least once.
 * ``tumbling`` – watermark + event-time tumbling window aggregate.
 * ``window_join_stream`` – rows joined to their own closed window (salted join).
 * ``stream_session`` – child session whose shuffle partitions size the state of new streams.
@@ -17,25 +17,31 @@ watermarks need) with the session pinned to UTC, and converted back to
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from quotelake.functions.envelope import parse_envelopes, to_raw_lake
-from quotelake.functions.scalars import day_start, parse_iso_ts, spike_flag, tumbling_start
-from quotelake.operators.stats import batch_stats, enrich
+from quotelake.functions.envelope import envelope_rejects, parse_envelopes, to_raw_lake
+from quotelake.functions.exact import exact_mean, units
+from quotelake.functions.scalars import day_start, parse_iso_ts, tumbling_start
+from quotelake.operators.stats import batch_stats, enrich, window_stats
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
 from quotelake.session import default_parallelism
 from quotelake.sinks import jdbc as jdbc_sink
-from quotelake.sinks.lake import write_partitions
+from quotelake.sinks.lake import write_batch
 
 
 # Session setting that overrides the number of state partitions of new stateful queries.
 STATE_PARTITIONS_CONF = "quotelake.streaming.statePartitions"
 
 
+# Session setting that names another state store provider than the default below.
+STATE_STORE_CONF = "quotelake.streaming.stateStore"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A child session (same SparkContext, own SQL conf) for starting stateful streams.
 
@@ -56,6 +62,8 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
         return spark
     child.conf.set("spark.sql.shuffle.partitions", str(int(n)))
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    # window and join state off the executors' heap
+    child.conf.set("spark.sql.streaming.stateStore.providerClass", spark.conf.get(STATE_STORE_CONF, ROCKSDB))
     return child
 
 
@@ -73,6 +81,21 @@ def quotes_from_messages(messages: DataFrame, event_time: bool = True,
     return to_raw_lake(flat, stamp)
 
 
+REJECT_COLUMNS = ["reason", "body"]
+
+
+def row_reason() -> Column:
+    """Why a parsed row cannot enter the statistics (NULL when it can)."""
+    return (F.when(F.col("symbol").isNull(), "null_symbol")
+            .when(F.col("recorded_at").isNull(), "unreadable_time"))
+
+
+def stream_identity(df: DataFrame) -> str:
+    """The query's own id, kept in its checkpoint: a restart keeps it, a new checkpoint gets another."""
+    sc = df.sparkSession.sparkContext
+    return sc.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 @dataclass
 class BatchPipeline:
     """The ``foreachBatch`` callback of the micro-batch job.
@@ -82,6 +105,12 @@ class BatchPipeline:
     ``window`` (e.g. ``"5 minutes"``) adds the tumbling window start of
     ``recorded_at`` as the key ``bucket_start``: window scope inside each
     micro-batch (``window_start``/``window_end`` stay the group's time span).
+
+    With ``parse`` the batch holds messages and ``parse`` turns them into rows.  The raw
+    sink keeps every parsed row.  A message without quotes, a row without symbol or
+    readable time, and (for the JDBC tables) a row that breaks the table
+    contract go to ``rejects_path`` with a reason; without a path they are still left out
+    of enriched and stats.
     """
     raw_path: str
     enriched_path: str
@@ -90,37 +119,72 @@ class BatchPipeline:
     jdbc: Mapping[str, Mapping[str, str]] | None = None  # {"coin_prices": opts, "market_stats": opts}
     on_batch: Callable[[int, DataFrame], None] | None = None
     window: str | None = None
-    batches: list[int] = field(default_factory=list)
+    rejects_path: str | None = None
+    parse: Callable[[DataFrame], DataFrame] | None = None
+    stream_id: str | None = None
+    log: Callable[[str, str, str], None] | None = None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        rows = batch_df.where(F.col("symbol").isNotNull()) \
-                       .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stream = self.stream_id or stream_identity(batch_df)
+        self._say("started", f"stream {stream} batch {batch_id}")
+        messages = batch_df.persist() if self.parse else None
+        rows = self.parse(messages) if self.parse else batch_df
+        rows = rows.withColumn("reject", row_reason()).withColumn("day", F.to_date("recorded_at"))
         keys = list(self.stats_keys)
+        if "day" in keys:
+            rows = rows.withColumn("day_start", day_start("recorded_at"))
+            keys[keys.index("day")] = "day_start"
         if self.window:
             rows = rows.withColumn("bucket_start", tumbling_start("recorded_at", self.window))
             keys.append("bucket_start")
         rows = rows.persist()
+        good = rows.where(F.col("reject").isNull()).drop("reject")
+        stats = batch_stats(good, [k for k in keys if k != "symbol"]).persist()
+        helpers = [c for c in ("day_start", "bucket_start") if c in rows.columns]
         try:
-            # one batch_id per micro-batch: every task writes one file, no rebalance
-            write_partitions(rows, self.raw_path, ["batch_id"], rebalance=False)
-            stats = batch_stats(rows, [k for k in keys if k != "symbol"]) \
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            write_batch(rows.drop("reject", *helpers), self.raw_path, stream, batch_id)
             # One stats row per key of this micro-batch: the size is bounded by the
             # batch's own key count; AQE broadcasts it when small, else shuffles.
-            enriched = enrich(rows, stats, keys, max_rows=None).select(*ENRICHED_LAKE_COLUMNS, *[
-                k for k in keys if k not in ENRICHED_LAKE_COLUMNS], "batch_id")
-            write_partitions(enriched, self.enriched_path, ["batch_id"], rebalance=False)
-            write_partitions(stats, self.stats_path, ["batch_id"], sort_by=None, rebalance=False)
+            enriched = enrich(good, stats, keys, max_rows=None).select(
+                *ENRICHED_LAKE_COLUMNS, *[k for k in helpers if k == "bucket_start"], "day")
+            write_batch(enriched, self.enriched_path, stream, batch_id)
+            out = stats.withColumnRenamed("day_start", "day") if "day_start" in keys else stats
+            write_batch(out, self.stats_path, stream, batch_id, (), ("symbol", "window_end"))
+            rejects = rows.where(F.col("reject").isNotNull()).select(
+                F.col("reject").alias("reason"), F.to_json(F.struct(*rows.drop("reject", "day", *helpers).columns)).alias("body"))
+            if messages is not None:
+                rejects = envelope_rejects(messages).select(*REJECT_COLUMNS).unionByName(rejects)
             if self.jdbc:
-                if "coin_prices" in self.jdbc:
-                    jdbc_sink.write_table(jdbc_sink.fact_rows(rows), self.jdbc["coin_prices"])
-                if "market_stats" in self.jdbc:
-                    jdbc_sink.write_table(jdbc_sink.stats_rows(stats), self.jdbc["market_stats"])
+                rejects = rejects.unionByName(self._write_tables(good, stats))
+            if self.rejects_path:
+                write_batch(rejects, self.rejects_path, stream, batch_id, (), None)
             if self.on_batch:
                 self.on_batch(batch_id, rows)
-            self.batches.append(batch_id)
+            self._say("success", f"stream {stream} batch {batch_id}")
+        except Exception:
+            self._say("failed", f"stream {stream} batch {batch_id}")
+            raise
         finally:
+            stats.unpersist()
             rows.unpersist()
+            if messages is not None:
+                messages.unpersist()
+
+    def _say(self, status: str, message: str) -> None:
+        if self.log:
+            self.log("stream_batch", status, message)
+
+    def _write_tables(self, rows: DataFrame, stats: DataFrame) -> DataFrame:
+        """Append to the JDBC tables; returns the rows that break a table's contract."""
+        rejects = rows.sparkSession.createDataFrame([], "reason string, body string")
+        for table, frame, split in (("coin_prices", rows, jdbc_sink.split_facts), ("market_stats", stats, jdbc_sink.split_stats)):
+            if table not in self.jdbc:
+                continue
+            accepted, refused = split(frame)
+            jdbc_sink.write_table(accepted, self.jdbc[table])
+            rejects = rejects.unionByName(refused.select(
+                F.col("reject_reason").alias("reason"), F.to_json(F.struct(*frame.columns)).alias("body")))
+        return rejects
 
 
 def run_available_now(df: DataFrame, checkpoint: str, *, sink: str | None = None,
@@ -157,33 +221,13 @@ def tumbling(df: DataFrame, duration: str, watermark: str, time: str = "event_ts
              price: str = "price_usd", volume: str = "volume_24h",
              digits: int | None = 6) -> DataFrame:
     """Watermarked tumbling-window stats per symbol (append or complete mode)."""
-    def r(c):
-        return c if digits is None else F.round(c, digits)
-    agg = (df.withWatermark(time, watermark)
-             .groupBy("symbol", F.window(time, duration).alias("w"))
-             .agg(F.avg(price).alias("avg_price"),
-                  F.stddev_samp(price).alias("price_stddev"),
-                  F.avg(volume).alias("avg_volume"),
-                  F.stddev_samp(volume).alias("volume_stddev"),
-                  F.max(volume).alias("max_volume"),
-                  F.count(F.lit(1)).alias("record_count")))
-    return agg.select(
-        "symbol",
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        r(F.col("avg_price")).alias("avg_price"),
-        r(F.col("price_stddev")).alias("volatility_score"),
-        r(F.col("avg_volume")).alias("avg_volume"),
-        r(F.col("volume_stddev")).alias("volume_stddev"),
-        spike_flag("max_volume", "avg_volume").alias("volume_spike"),
-        "record_count",
-    )
+    return window_stats(df.withWatermark(time, watermark), duration, time, price, volume, (digits,) * 4)
 
 
 def window_join_stream(df: DataFrame, duration: str, watermark: str, time: str = "event_ts",
                        keep: Sequence[str] = ("row_id", "price_usd", "volume_24h"),
                        price: str = "price_usd", volume: str = "volume_24h",
-                       digits: int | None = 6, salt_buckets: int = 8,
+                       digits: int | None = 6, salt_buckets: int | None = None,
                        salt_key: str = "row_id") -> DataFrame:
     """Each row joined to the stats of its own (symbol, window), emitted when the window closes.
 
@@ -197,17 +241,21 @@ def window_join_stream(df: DataFrame, duration: str, watermark: str, time: str =
     (deterministic, so a retried task routes rows the same way) and each
     window-stats row is replicated to the ``n`` salts, spreading one key's
     rows over ``n`` partitions for the price of ``n`` copies of one small row.
+    ``n`` is the session's number of state partitions unless given; a running
+    query keeps the number it started with, as it keeps its state partitions.
     """
     def r(c):
         return c if digits is None else F.round(c, digits)
-    n = max(1, int(salt_buckets))
+    n = max(1, int(salt_buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     marked = df.withWatermark(time, watermark)
     rows = marked.select("symbol", *keep, F.unix_micros(time).alias("t_us"),
                          F.window(time, duration).alias("w"),
                          F.pmod(F.hash(salt_key), F.lit(n)).alias("_salt"))
     agg = (marked.groupBy("symbol", F.window(time, duration).alias("w"))
-                 .agg(F.avg(volume).alias("avg_volume_window"),
-                      F.stddev_samp(price).alias("volatility_score"))
+                 .agg(exact_mean(volume, digits).alias("avg_volume_window"),
+                      F.stddev_samp(price).alias("volatility_score"),
+                      F.sum(units(F.col(volume))).alias("_sum"),
+                      F.count(volume).cast("decimal(20,0)").alias("_n"))
                  .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
     joined = rows.join(agg, ["symbol", "w", "_salt"], "left")
     return joined.select(
@@ -215,40 +263,63 @@ def window_join_stream(df: DataFrame, duration: str, watermark: str, time: str =
         F.timestamp_micros("t_us").cast("timestamp_ntz").alias("recorded_at"),
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        r(F.col("avg_volume_window")).alias("avg_volume_window"),
+        "avg_volume_window",
         r(F.col("volatility_score")).alias("volatility_score"),
-        spike_flag(volume, "avg_volume_window").alias("volume_spike"),
+        F.coalesce(units(F.col(volume)) * F.col("_n") > F.col("_sum"), F.lit(False)).alias("volume_spike"),
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks drop, over every progress report of a query.
+
+    A query itself keeps only its last reports; add this listener
+    (``spark.streams.addListener``) before the query starts to miss none.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        key = str(event.progress.id)
+        late = sum(int(op.numRowsDroppedByWatermark or 0) for op in event.progress.stateOperators)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows dropped by the watermark over the query's recent progress reports."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.stateOperators or []:
-            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-    return total
+    """Rows dropped by the watermark over the reports the query still holds (see ``LateRows`` for all)."""
+    return sum(int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
+               for p in query.recentProgress for op in p.stateOperators or [])
 
 
 def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
                    jdbc: Mapping[str, Mapping[str, str]] | None = None,
                    stats_keys: Sequence[str] = ("symbol",), event_time: bool = False,
                    available_now: bool = True, processing_time: str | None = None,
-                   window: str | None = None, lenient_numbers: bool = False
-                   ) -> StreamingQuery:
-    """The micro-batch job end to end: envelope stream -> raw, enriched, stats (+ JDBC).
+                   window: str | None = None, lenient_numbers: bool = False,
+                   log: Callable[[str, str, str], None] | None = None) -> StreamingQuery:
+    """The micro-batch job end to end: envelope stream -> raw, enriched, stats, rejects (+ JDBC).
 
     ``messages`` is a Kafka or file stream with a ``value`` column.  With
     ``available_now`` the backlog is drained (rate-limited by the source's
     max-per-trigger option) and the query stops; otherwise it runs on a
     processing-time trigger.
     """
-    rows = quotes_from_messages(messages, event_time=event_time, lenient_numbers=lenient_numbers)
-    if "day" in stats_keys:
-        rows = rows.withColumn("day", day_start("recorded_at"))
+    def parse(batch: DataFrame) -> DataFrame:
+        return quotes_from_messages(batch, event_time=event_time, lenient_numbers=lenient_numbers)
+
     pipeline = BatchPipeline(f"{lake_base}/raw", f"{lake_base}/enriched", f"{lake_base}/stats",
-                             tuple(stats_keys), jdbc, window=window)
-    w = rows.writeStream.foreachBatch(pipeline).option("checkpointLocation", checkpoint)
+                             tuple(stats_keys), jdbc, window=window, rejects_path=f"{lake_base}/rejects",
+                             parse=parse, log=log)
+    w = messages.select("value").writeStream.foreachBatch(pipeline).option("checkpointLocation", checkpoint)
     if available_now:
         q = w.trigger(availableNow=True).start()
         q.awaitTermination()

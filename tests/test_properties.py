@@ -66,7 +66,7 @@ def test_latest_per_key_matches_brute_force(spark, rows):
     got_w = {r.symbol: r.row_id for r in latest.latest_per_key_window(
         sdf, "symbol", ("recorded_at", "row_id"), ["row_id"]).collect()}
     got_2 = {r.symbol: r.row_id for r in latest.latest_per_key(
-        sdf, "symbol", ("recorded_at", "row_id"), ["row_id"], method="two_phase").collect()}
+        sdf, "symbol", ("recorded_at", "row_id"), ["row_id"], method="max_by").collect()}
     assert got_2 == got
     for sym, g in pdf.groupby("symbol"):
         # NULL times sort lowest (max ignores them unless all are NULL); then highest id
@@ -100,7 +100,7 @@ def test_window_join_matches_brute_force(spark, rows):
 def test_one_pass_spike_equals_join_form(spark, rows):
     sdf, _ = _frames(spark, rows)
     one = {r.symbol: r.volume_spike for r in stats.history_stats(sdf, digits=None).collect()}
-    two = {r.symbol: r.volume_spike for r in stats.spike_by_join(sdf, ["symbol"], digits=None).collect()}
+    two = {r.symbol: r.volume_spike for r in stats.spike_by_join(sdf, ["symbol"]).collect()}
     assert one == two
 
 

@@ -12,8 +12,8 @@ def _eval(spark, rows, schema, expr):
 
 
 @pytest.mark.parametrize("volume,avg,expected", [
-    (100.0, 200.0, False), (150.0, 200.0, False), (250.0, 200.0, True),
-    (None, 200.0, False), (200.0, 200.0, False), (250.0, None, False),
+    (7.0, 7.5, False), (7.5, 7.5, False), (7.500001, 7.5, True),
+    (None, 7.5, False), (-1.0, -2.0, True), (8.0, None, False),
 ])
 def test_spike_flag_cases(spark, volume, avg, expected):
     got = _eval(spark, [(volume, avg)], "v double, a double", scalars.spike_flag("v", "a"))

@@ -61,19 +61,24 @@ def test_run_log_lake_logger(spark, tmp_dir):
 
 
 def test_contract_schemas_are_stable():
-    from pyspark.testing import assertSchemaEqual
-    from quotelake.schemas import processed_record_contract, raw_record_contract
-    assert len(raw_record_contract()) == 15 and len(processed_record_contract()) == 17
-    assert [f.name for f in raw_record_contract() if not f.nullable] == ["id", "symbol", "name"]
-    assertSchemaEqual(raw_record_contract(), raw_record_contract())
+    from quotelake.operators.contracts import COIN_PRICES_DECIMALS, MARKET_STATS_DECIMALS, NOT_NULL
+    from quotelake.schemas import COIN_PRICES_TABLE, MARKET_STATS_TABLE, PIPELINE_LOGS_TABLE, RAW_RECORD_CONTRACT
+    assert [f.name for f in RAW_RECORD_CONTRACT if not f.nullable] == ["id", "symbol", "name"]
+    generated = {"id", "run_id", "created_at"}
+    for table, name in ((COIN_PRICES_TABLE, "coin_prices"), (MARKET_STATS_TABLE, "market_stats"),
+                        (PIPELINE_LOGS_TABLE, "pipeline_logs")):
+        assert [f.name for f in table if not f.nullable and f.name not in generated] == NOT_NULL[name]
+    precision = {f.name: (f.dataType.precision, f.dataType.scale) for t in (COIN_PRICES_TABLE, MARKET_STATS_TABLE)
+                 for f in t if f.dataType.typeName() == "decimal"}
+    assert precision == {**COIN_PRICES_DECIMALS, **MARKET_STATS_DECIMALS}
 
 
 def test_processed_record_matches_contract_names(spark):
     from pyspark.sql import functions as F
     from quotelake.functions.derive import processed_record, with_history_extremes
-    from quotelake.schemas import processed_record_contract
+    from quotelake.schemas import PROCESSED_RECORD_CONTRACT
     rec = processed_record(with_history_extremes(event_quotes(spark, SF001)))
-    assert rec.columns == [f.name for f in processed_record_contract()]
+    assert rec.columns == PROCESSED_RECORD_CONTRACT.fieldNames()
     assert rec.schema["processing_timestamp"].dataType.typeName() == "timestamp"
 
 

@@ -150,13 +150,60 @@ def test_checked_broadcast_falls_back_above_limit(spark):
     assert "broadcast" not in plan.lower()
 
 
-def test_two_phase_latest_plan_has_no_shuffle_of_input(spark):
+def test_latest_forms_keep_a_null_key_and_break_ties(spark):
+    rows = [(None, 1, 5), (None, 1, 9), ("a", 2, 10), ("a", 2, 9), ("a", 1, 99), ("b", None, 1)]
+    df = spark.createDataFrame(rows, "symbol string, recorded_at int, row_id int")
+    expected = [(None, 1, 9), ("a", 2, 10), ("b", None, 1)]
+    for out in (latest.latest_per_key(df), latest.latest_per_key(df, method="max_by"), latest.latest_per_key_window(df)):
+        assert sorted((tuple(r) for r in out.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_brand_ties_go_by_integers(spark):
+    from quotelake.sources.adapters import BRAND_ORDER
+    rows = [("x", 1, 9, 1, 1, 1), ("x", 1, 10, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "symbol string, recorded_at int, l_orderkey int, l_linenumber int, l_partkey int, l_suppkey int")
+    assert latest.latest_per_key(df, order=BRAND_ORDER).first().l_orderkey == 10
+
+
+def test_spike_forms_agree_just_above_the_mean(spark):
+    """3,000,001 rows of one key, one of them lower: the mean rounds to the highest value."""
+    df = spark.range(3_000_001).selectExpr("'k' as symbol", "if(id = 0, 4L, 5L) as volume_24h", "1.0d as price_usd",
+                                           "timestamp_ntz'2024-01-01 00:00:00' as recorded_at")
+    assert stats.history_stats(df).first().volume_spike is True
+    assert stats.spike_by_join(df, ["symbol"]).first().volume_spike is True
+
+
+def test_exact_mean_rounds_ties_and_signs(spark):
+    from quotelake.functions.exact import exact_mean
+    rows = [("t", 43.472812), ("t", 43.472813), ("n", -0.000001), ("n", -0.000002), ("z", None), ("w", 1e30), ("w", 3e30),
+            ("m", 1.5), ("m", None), ("m", 2.5)]
+    got = {r.k: r.m for r in spark.createDataFrame(rows, "k string, v double").groupBy("k")
+           .agg(exact_mean("v", 6).alias("m")).collect()}
+    assert got == {"t": 43.472813, "n": -0.000002, "z": None, "w": 2e30, "m": 2.0}
+
+
+def test_heatmap_keeps_every_symbol(spark):
+    rows = [("s%d" % i, 1, float(i)) for i in range(6)] + [(None, 2, 9.0)]
+    df = spark.createDataFrame(rows, "symbol string, window_start int, volatility_score double")
+    out = {r.window_start: r.asDict() for r in reports.heatmap_pivot(df).collect()}
+    assert out[1]["s5"] == 5.0 and out[2]["None"] == 9.0 and len(out[1]) == 8
+    import pytest
+    with pytest.raises(ValueError):
+        reports.heatmap_pivot(df, max_symbols=3)
+
+
+def test_rows_without_time_are_counted(spark):
+    df = spark.createDataFrame([(None,), (1,)], "recorded_at int")
+    assert stats.rows_without_time(df).first().rows_without_time == 1
+
+
+def test_latest_plan_has_no_shuffle_of_input(spark):
     from plan_report import plan_text
-    out = reports.q5_latest(brand_quotes(spark, SF001), method="two_phase")
+    out = reports.q5_latest(brand_quotes(spark, SF001))
     out.collect()
     text = plan_text(out)
     assert "BroadcastHashJoin LeftSemi" in text
-    assert _rows(out) == _rows(reports.q5_latest(brand_quotes(spark, SF001)))
+    assert _rows(out) == _rows(reports.q5_latest(brand_quotes(spark, SF001), method="max_by"))
 
 
 def test_ranked_page_rejects_bad_arguments(spark):
