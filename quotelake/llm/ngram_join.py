@@ -34,8 +34,11 @@ class JoinRules:
 
     words: int = SHINGLE_WORDS
     percent: int = 75
-    segment_percent: int = 40      # segments per 100 elements of the band's smallest set
+    segment_percent: int = 40      # segments per 100 elements of the band's smallest set,
+    min_segments: int = 8          # but one per element up to so many, so that units suffice without empty segments
     all_pairs: int = 4096          # a signature with more probe x index pairs is resolved by components first
+    block_rows: int = 1024         # sets of a tangle compared at once, about so many
+    block_tokens: int = 1 << 20    # and tokens
 
 
 BATCH_SCHEMA = "part int, batch bigint, kind tinyint, a binary, b binary, c binary"
@@ -270,7 +273,7 @@ def segment_signatures(tokens: np.ndarray, freqs: np.ndarray, n: int, band: int,
 
     ``low``..``high`` are the band's sizes; ``own``: the set lies in this band, so it is indexed.
     """
-    m = max(1, low * rules.segment_percent // 100)
+    m = max(low * rules.segment_percent // 100, min(low, rules.min_segments))
     salt = mix64(np.array([band * 2654435761 + 97], np.uint64))
     mixed = mix64(tokens + salt)
     seg = (mixed % np.uint64(m)).astype(np.int64)
@@ -383,7 +386,7 @@ def jaccard_links(sets: DataFrame, rules: JoinRules) -> DataFrame:
     ``sets``: written table of (cls, n, tokens, freqs).  Signatures with few probe x
     index pairs give all of them.  For the others, each probe is first checked
     against one index member; where members still lie in different
-    components, all pairs across components follow.  So no link between
+    components, all pairs across components are compared in blocks.  So no link between
     components is lost, and a large group of copies does not give all its pairs.
     """
     sigs = written(_signatures(sets, rules), "join-signatures")
@@ -412,16 +415,84 @@ def jaccard_links(sets: DataFrame, rules: JoinRules) -> DataFrame:
     label = F.coalesce("component", "cls")
     named = written(many.join(found.withColumnRenamed("node", "cls"), "cls", "left")
                     .select("sig", "cls", "probe", "is_index", label.alias("label")), "join-named")
-    mixed = (named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .filter("lo < hi").select("sig"))
+    mixed = (named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("cls").alias("pivot"))
+             .filter("lo < hi").select("sig", "pivot"))
     rest = named.join(mixed, "sig")
-    across = (rest.filter("probe").select("sig", F.col("cls").alias("x"), F.col("label").alias("lx"))
-              .join(rest.filter("is_index").select("sig", F.col("cls").alias("y"), F.col("label").alias("ly")), "sig")
-              .filter("lx <> ly"))
-    more = written(_verified(ordered(across), sets, rules), "join-links")
+    shares = rest.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
+    tangles = written(connected_components(shares), "join-tangles")
+    own = named.select("cls", "label").distinct()
+    more = written(_block_links(tangles.toDF("cls", "tangle").join(own, "cls"), sets, rules), "join-links")
     return connected_components(links.unionByName(more))
 
 
+def _block_links(members: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
+    """Links (a, b) between different labels inside each tangle, enough of them to join the labels.
+
+    ``members``: (cls, tangle, label).  A tangle is a set of classes that hang together by large
+    signatures; near misses of one text make most of it, so nearly every pair would be a
+    candidate.  Its members are dealt into blocks of about ``block_rows`` sets and ``block_tokens`` tokens, and every pair of blocks
+    is compared as one matrix product in a task of bounded size: no row is made per pair.
+    """
+    percent = rules.percent
+    size = sets.select("cls", (F.octet_length("tokens") / 8).alias("k"))
+    need = F.greatest(F.count(F.lit(1)) / rules.block_rows, F.sum("k") / rules.block_tokens)
+    blocks = members.join(size, "cls").groupBy("tangle").agg(F.ceil(need).cast("int").alias("blocks"))
+    dealt = (members.join(blocks, "tangle")
+             .withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("cls", "tangle", "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+             .join(sets.select("cls", "n", "tokens"), "cls"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        a, b = _links_in_blocks(table, percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("tangle", "lo", "hi").applyInArrow(compare, "a bigint, b bigint")
+
+
+def _links_in_blocks(table: pa.Table, percent: int, columns: int = 4096) -> tuple[list[int], list[int]]:
+    """Links that join different labels among the rows of one block, or between two blocks."""
+    own, lo, hi = (table.column(c).to_numpy() for c in ("own", "lo", "hi"))
+    cls, label, n = (table.column(c).to_numpy() for c in ("cls", "label", "n"))
+    tokens = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("tokens")]
+    left = np.flatnonzero(own == lo)
+    right = np.flatnonzero(own == hi)
+    if not len(left) or not len(right):
+        return [], []
+    size = np.array([len(t) for t in tokens])
+    row = np.repeat(np.arange(len(tokens)), size)
+    _, word, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    keep = count[word] > 1
+    row, word = row[keep], word[keep]
+    used, word = np.unique(word, return_inverse=True)
+    order = np.argsort(word, kind="stable")
+    row, word = row[order], word[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(used), columns):
+        s = slice(*np.searchsorted(word, [start, start + columns]))
+        part = np.zeros((len(tokens), min(columns, len(used) - start)), np.float32)
+        part[row[s], word[s] - start] = 1
+        both += part[left] @ part[right].T
+    both = both.astype(np.int64)
+    similar = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+    similar &= label[left][:, None] != label[right][None, :]
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    a, b = [], []
+    for i, j in zip(*np.nonzero(similar)):
+        x, y = root(int(label[left[i]])), root(int(label[right[j]]))
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            a.append(int(cls[left[i]]))
+            b.append(int(cls[right[j]]))
+    return a, b
+
+
 def near_duplicates(docs: DataFrame, rules: JoinRules = JoinRules(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable), group, text_key.

@@ -49,16 +49,16 @@ def test_join_against_brute_force(spark):
     assert joined(df) == sorted(components(rows), key=sort_key)
 
 
-@pytest.mark.parametrize("all_pairs", [1, 50])
-def test_join_large_groups_go_by_components(spark, all_pairs):
+@pytest.mark.parametrize("all_pairs,block_rows", [(1, 7), (50, 1024)])
+def test_join_large_groups_go_by_components(spark, all_pairs, block_rows):
     """The same links when nearly every signature counts as large."""
     r = random.Random(8)
     rows = []
     for family in range(4):
         base = prose(family, 60)
-        rows += [(len(rows) + i, " ".join(mutated(r, base, 0.03))) for i in range(30)]
+        rows += [(len(rows) + i, " ".join(mutated(r, base, 0.04))) for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert joined(df, JoinRules(all_pairs=all_pairs)) == sorted(components(rows), key=sort_key)
+    assert joined(df, JoinRules(all_pairs=all_pairs, block_rows=block_rows)) == sorted(components(rows), key=sort_key)
 
 
 def test_join_empty_table(spark):
