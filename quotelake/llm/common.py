@@ -41,7 +41,7 @@ def ascii_lower(c: Column) -> Column:
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str,
-                 max_bytes: int = 8 << 20, max_rows: int = 30_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+                 max_bytes: int = 4 << 20, max_rows: int = 30_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text (one row at least,
     ``max_rows`` at most).
 
@@ -111,28 +111,26 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets, side="left")
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word, and the row offsets into them."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False,
+                words_at_once: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word, and the row offsets into them; temporary arrays stay small."""
     starts, ends, rows = word_spans(data, offsets)
+    out = np.zeros(len(starts), np.uint64)
     if len(starts) == 0:
-        return np.zeros(0, np.uint64), rows
+        return out, rows
     table = _byte_values()
     if lower:
         table[65:91] = table[97:123]
-    sep = np.zeros(256, bool)
-    sep[[9, 10, 11, 12, 13, 32]] = True
-    table[sep] = 0
-    # position of each byte since the start of its word
-    pos = np.arange(len(data), dtype=np.int64)
-    base = np.zeros(len(data), np.int64)
-    base[starts[0]:] = np.repeat(starts, np.diff(np.append(starts, len(data))))
-    pos -= base
-    pos[data == 32] = 0
-    pos[sep[data]] = 0
-    powers = _powers(int(pos.max()) + 1)
-    value = table[data] * powers[pos]
-    h = np.add.reduceat(value, starts)
-    return mix64(h ^ (ends - starts).astype(np.uint64)), rows
+    table[[9, 10, 11, 12, 13, 32]] = 0             # separators behind a word add nothing
+    powers = _powers(int((ends - starts).max()))
+    for i in range(0, len(starts), words_at_once):
+        first, last = starts[i:i + words_at_once], ends[i:i + words_at_once]
+        begin, end = first[0], last[-1]
+        size = np.diff(np.append(first, end))
+        pos = np.arange(end - begin) - np.repeat(first - begin, size)
+        value = table[data[begin:end]] * powers[np.minimum(pos, len(powers) - 1)]
+        out[i:i + words_at_once] = mix64(np.add.reduceat(value, first - begin) ^ (last - first).astype(np.uint64))
+    return out, rows
 
 
 def shingle_hashes(words: np.ndarray, rows: np.ndarray, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
