@@ -103,6 +103,26 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_RUN_DIRS: list[str] = []
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for one run of one job."""
-    return f"{shared_dir(spark)}/quotelake/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared folder for one run of one job (see ``release_run_dirs``)."""
+    path = f"{shared_dir(spark)}/quotelake/{name}-{uuid.uuid4().hex[:12]}"
+    _RUN_DIRS.append(path)
+    return path
+
+
+def release_run_dirs(spark: SparkSession) -> int:
+    """Delete the run folders this process has made; call it when their results are no longer read.
+
+    A query returns a lazy frame over its folder, so only the caller knows when that is.
+    Uses the file system of each path, so object stores work too.  Returns how many were deleted.
+    """
+    sc, done = _context(spark), 0
+    if sc is None:
+        return 0
+    while _RUN_DIRS:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_RUN_DIRS.pop())
+        done += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    return done

@@ -22,6 +22,8 @@ def spark():
         "spark.driver.memory": "4g",
     })
     yield s
+    from quotelake.session import release_run_dirs
+    release_run_dirs(s)
     s.stop()
 
 

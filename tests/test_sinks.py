@@ -60,6 +60,17 @@ def test_run_log_lake_logger(spark, tmp_dir):
     assert set(log.columns) == {"run_id", "stage", "status", "message", "created_at"}
 
 
+def test_run_folders_are_released(spark):
+    import os
+    from quotelake.session import release_run_dirs, run_dir
+    release_run_dirs(spark)
+    path = run_dir(spark, "tidy")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local) and release_run_dirs(spark) == 1 and not os.path.exists(local)
+    assert release_run_dirs(spark) == 0
+
+
 def test_contract_schemas_are_stable():
     from quotelake.operators.contracts import COIN_PRICES_DECIMALS, MARKET_STATS_DECIMALS, NOT_NULL
     from quotelake.schemas import COIN_PRICES_TABLE, MARKET_STATS_TABLE, PIPELINE_LOGS_TABLE, RAW_RECORD_CONTRACT
