@@ -238,7 +238,9 @@ class WordTokens:
         if len(self.cache) > self.max_words:
             self.cache.clear()
         cache, out = self.cache, []
-        for w in text.translate(_LOWER).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
+        if "<|" not in text:                            # special tokens are matched before lower-casing
+            text = text.translate(_LOWER)
+        for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
             got = cache.get(w)
             out.append(self.known(w) if got is None else got)
         return np.frombuffer(b"".join(out), dtype="<u4")

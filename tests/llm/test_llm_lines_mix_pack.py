@@ -147,7 +147,7 @@ def exact_tokenizer():
 
 def test_word_tokens_equal_whole_text_tokens(spark):
     texts = [t for _, t, _, _ in case_rows() if t] + [
-        "Don't stop... it's 'quoted', isn't it? we'll 've 'S", "A.B,C ., a., é., É, ﬁ. ß, ÿ. a\u0301. <|endoftext|>, x<|endoftext|>.",
+        "A <|ENDOFTEXT|> B <|endoftext|> C <|EndOfText|>. Über", "<|startoftext|>Hello, WORLD. <|", "Don't stop... it's 'quoted', isn't it? we'll 've 'S", "A.B,C ., a., é., É, ﬁ. ß, ÿ. a\u0301. <|endoftext|>, x<|endoftext|>.",
         "ΣΑΣ σας. İstanbul, ǅ Kelvin \u212a", "tab\tnew\nline\r\n\x0b\x0c\x85\u2028\u00a0nbsp \u3000wide", "1,234.56 3.14.", "..,,", "a" * 5000,
         "“quotes” — dash… ‘x’.", "zażółć, gęślą. jaźń", "#$%&*|<> *** $$$.", "e\u0301cole, n\u0303.", "\u00aa, \u00ba. \u00b5,", "a,b.c,d."]
     texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
