@@ -31,7 +31,7 @@ def test_aggregates_are_partial_then_final(spark, name):
     assert c["Exchange"] == 1 and n_agg == 2
 
 
-@pytest.mark.parametrize("name", ["q1_top_volume", "q5_latest", "q1_top_volume_brand", "q5_latest_brand"])
+@pytest.mark.parametrize("name", ["q1_top_volume", "q5_latest", "q1_top_volume_brand", "q5_latest_brand_two_phase"])
 def test_latest_never_sorts_the_input(spark, name):
     """The newest time per key streams past the input; only rows at that time are sorted for max_by."""
     s, text = _executed(spark, name)
