@@ -165,3 +165,51 @@ def test_shared_passages_split_at_breaks():
     y = np.concatenate([noise[2], noise[3], core]).astype(np.uint64)
     assert shared_passages(x, y, rules) == [(30, 90, 60, 120, 1.0)]
     assert shared_passages(x[:0], y, rules) == []
+
+
+def test_repeated_phrases_do_not_cut_a_passage():
+    """A phrase of a shared passage that stands earlier in the partner too, and copies with a refrain."""
+    rules = PassageRules()
+    r = np.random.default_rng(7)
+    core = r.integers(1, 2**62, 60).astype(np.uint64)
+    noise = [r.integers(1, 2**62, 80).astype(np.uint64) for _ in range(3)]
+    y = np.concatenate([noise[0], core[30:31], noise[1], core])
+    assert shared_passages(np.concatenate([noise[2], core]), y, rules) == [(80, 140, 161, 221, 1.0)]
+    refrain = core[:1]
+    song = np.concatenate([np.concatenate([refrain, r.integers(1, 2**62, 44).astype(np.uint64)]) for _ in range(20)])
+    assert shared_passages(song, song.copy(), rules) == [(0, 900, 0, 900, 1.0)]
+    # the first half of the passage stands in the partner once more, before the whole
+    y = np.concatenate([core[:30], noise[0], core])
+    assert (0, 60, 110, 170, 1.0) in shared_passages(core, y, rules)
+
+
+def test_every_verbatim_passage_is_found_over_a_small_vocabulary():
+    rules = PassageRules()
+    for seed in range(60):
+        r = np.random.default_rng(seed)
+        x, y = (r.integers(1, int(r.integers(5, 400)), int(r.integers(60, 300))).astype(np.uint64) for _ in range(2))
+        core = r.integers(1, int(r.integers(5, 400)), rules.length).astype(np.uint64)
+        i, j = int(r.integers(0, len(x))), int(r.integers(0, len(y)))
+        x, y = np.concatenate([x[:i], core, x[i:]]), np.concatenate([y[:j], core, y[j:]])
+        got = shared_passages(x, y, rules)
+        held = np.zeros(len(x), bool)
+        for lo, hi, ylo, yhi, similarity in got:
+            held[lo:hi] = True
+            a, b = set(x[lo:hi].tolist()), set(y[ylo:yhi].tolist())
+            assert hi - lo >= rules.length and similarity == len(a & b) / len(a | b) >= 0.75
+        assert held[i:i + rules.length].all()
+
+
+def test_repeated_phrases_and_refrains_in_texts(spark):
+    passage, refrain = prose(31, 64), prose(77, 5)
+    verses = [w for v in range(12) for w in refrain + prose(600 + v, 40)]
+    rows = [(1, " ".join(prose(32, 60) + passage + prose(33, 60))),
+            (2, " ".join(prose(34, 60) + passage[30:35] + prose(35, 90) + passage + prose(36, 60))),
+            (3, " ".join(verses)), (4, " ".join(verses))]
+    got = near_duplicate_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    spans = {frozenset((g.doc_id, g.other_id)): g for g in got}
+    text = {d: words_of(t) for d, t in rows}
+    assert set(spans) == {frozenset((1, 2)), frozenset((3, 4))}
+    for pair, whole in (((1, 2), passage), ((3, 4), verses)):
+        g = spans[frozenset(pair)]
+        assert set(whole) <= set(text[g.doc_id][g.start_word:g.end_word]) and g.similarity >= 0.75
