@@ -16,18 +16,19 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, written
+from .common import WORD_PATTERN, ascii_lower, written
 
 OTHER, NONE = "(other)", "(none)"
 DIMENSIONS = ("source", "lang", "topic")
 
-# Topics by surface form: a text has the first topic of which it holds a mark; one without
-# any mark is "prose".  Marks are plain substrings (without a first letter that may be a capital).
+# Topics by surface form, first match wins; what matches none is "prose".  A text is only
+# searched for a pattern if, lower-cased, it holds one of the marks that every match holds.
 TOPICS = (
-    ("legal", ("icense", "icence", "opyright", "arranty", "ll rights reserved")),
-    ("table", (" | ",)),
-    ("contact", ("@",)),
-    ("markup", ("###", "$$$", "%%%", "&&&", "***", "<<<", "</")),
+    ("legal", r"(?i)\b(licen[sc]ed?|copyright|warranty|all rights reserved)\b",
+     ("license", "licence", "copyright", "warranty", "all rights reserved")),
+    ("table", r"[^\n]\|[^\n]*\|", ("|",)),
+    ("contact", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}\.[A-Za-z]", ("@",)),
+    ("markup", r"[#$%&*<>]{3}", tuple("#$%&*<>")),
 )
 
 
@@ -51,8 +52,9 @@ class MixRules:
 
 def topic_of(text: Column, topics: tuple = TOPICS) -> Column:
     out = None
-    for name, marks in topics:
-        hit = reduce(or_, [text.contains(m) for m in marks])
+    lower = ascii_lower(text)
+    for name, pattern, marks in topics:
+        hit = reduce(or_, [lower.contains(m) for m in marks]) & text.rlike(pattern)
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return F.coalesce(F.lit("prose") if out is None else out.otherwise("prose"), F.lit("prose"))
 

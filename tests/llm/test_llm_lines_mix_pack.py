@@ -126,6 +126,16 @@ def test_mix_sample_follows_probabilities(spark):
     assert len(pooled) == 1500                      # values beyond the limit share a cell; none is lost
 
 
+def test_topics_are_whole_marks_in_any_case(spark):
+    texts = {"legal": ["ALL RIGHTS RESERVED", "the Copyright holder", "LICENSED", "a licence"],
+             "table": ["a|b|c", "x | y | z"], "contact": ["mail me@example.org now"],
+             "markup": ["a #$% b", "<<<", "&&&"],
+             "prose": ["licenses", "copyrighted", "@Override", "ask @someone", "a | b", "</p>", "plain", "", None]}
+    rows = [(i, t, "en", name) for i, (name, t) in enumerate((n, t) for n, ts in texts.items() for t in ts)]
+    got = {r.doc_id: r.topic for r in mix_table(frame(spark, rows)).collect()}
+    assert got == {i: name for i, _, _, name in rows}
+
+
 def test_mix_awkward_rows(spark):
     df = frame(spark, case_rows())
     got = mix_table(df).collect()
