@@ -9,39 +9,38 @@ One aggregate serves every scope:
 
 Spike: some row's volume is strictly above the group mean, which is the same
 as ``max(volume) > avg(volume)``; one partial/final aggregate computes it,
-no join and no second aggregate.  Means are exact (``functions.exact``).  Every aggregate here is algebraic
-(count/sum/min/max/M2), so Spark combines map-side and a hot symbol holding a
+no join and no second aggregate.  Means, deviations and flags come from exact binned sums (``functions.exact``), so
+every form and every partitioning gives the same result.  Every aggregate here is algebraic
+(count/sum/min/max), so Spark combines map-side and a hot symbol holding a
 third of all rows only adds one partial row per task to the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.exact import exact_mean, exceeds_mean, units
+from quotelake.functions.exact import above_mean, baseline, finished, mean, moments_by, stddev, top_above_mean
 from quotelake.functions.scalars import tumbling_start
 from quotelake.operators.joins import DEFAULT_MAX_ROWS, lookup_join
 
 DEFAULT_DIGITS = 6
 
 
-def _r(x: Column, digits: int | None) -> Column:
-    return x if digits is None else F.round(x, digits)
-
-
 def group_stats(df: DataFrame, keys: list[str], price: str = "price_usd",
                 volume: str = "volume_24h", time: str = "recorded_at",
                 digits: int | None = DEFAULT_DIGITS, factor: float = 1.0) -> DataFrame:
     """Per-group stats: mean volume, sample stddev of price, time span, spike flag."""
-    return df.groupBy(*keys).agg(
-        _r(F.stddev_samp(price), digits).alias("volatility_score"),
-        exact_mean(volume, digits).alias("avg_volume"),
-        exceeds_mean(volume, factor).alias("volume_spike"),
-        F.min(time).alias("window_start"),
-        F.max(time).alias("window_end"),
-        F.count(F.lit(1)).alias("record_count"),
-    )
+    measures = {price: True, volume: False}
+    spans = (F.min(time).alias("window_start"), F.max(time).alias("window_end"), F.count(F.lit(1)).alias("record_count"))
+    return stats_columns(finished(moments_by(df, keys, measures, *spans), measures), keys, price, volume, digits, factor)
+
+
+def stats_columns(groups: DataFrame, keys: list[str], price: str, volume: str, digits: int | None = DEFAULT_DIGITS,
+                  factor: float = 1.0) -> DataFrame:
+    """The stats table's columns from finished moments with window_start, window_end and record_count beside them."""
+    return groups.select(*keys, stddev(price, digits).alias("volatility_score"), mean(volume, digits).alias("avg_volume"),
+                         top_above_mean(volume, factor).alias("volume_spike"), "window_start", "window_end", "record_count")
 
 
 def batch_stats(batch: DataFrame, extra_keys: list[str] | None = None, **kw) -> DataFrame:
@@ -65,20 +64,20 @@ def window_stats(df: DataFrame, duration: str, time: str = "recorded_at",
     NULL lies in no window; ``rows_without_time`` counts such rows.
     """
     d_price, d_vol, d_avgv, d_vstd = digits
-    agg = df.groupBy("symbol", F.window(time, duration).alias("w")).agg(
-        exact_mean(price, d_price).alias("avg_price"),
-        _r(F.stddev_samp(price), d_vol).alias("volatility_score"),
-        exact_mean(volume, d_avgv).alias("avg_volume"),
-        _r(F.stddev_samp(volume), d_vstd).alias("volume_stddev"),
-        exceeds_mean(volume, factor).alias("volume_spike"),
-        F.count(F.lit(1)).alias("record_count"),
-    )
+    measures = {price: True, volume: True}
+    groups = finished(moments_by(df, ["symbol", F.window(time, duration).alias("w")], measures,
+                                 F.count(F.lit(1)).alias("record_count")), measures)
     # a watermarked stream's window is TIMESTAMP; its wall clock is stored as TIMESTAMP_NTZ
-    return agg.select(
+    return groups.select(
         "symbol",
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        "avg_price", "volatility_score", "avg_volume", "volume_stddev", "volume_spike", "record_count",
+        mean(price, d_price).alias("avg_price"),
+        stddev(price, d_vol).alias("volatility_score"),
+        mean(volume, d_avgv).alias("avg_volume"),
+        stddev(volume, d_vstd).alias("volume_stddev"),
+        top_above_mean(volume, factor).alias("volume_spike"),
+        "record_count",
     )
 
 
@@ -110,14 +109,13 @@ def spike_by_join(batch: DataFrame, keys: list[str], volume: str = "volume_24h",
                   max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """The same flag asked row by row: is any row of the group above the group's mean?
 
-    Kept to show (and test) that it equals the one-pass form.  Sum and count of the
-    group travel instead of a rounded mean, so ``volume * count > sum`` decides exactly.
+    Kept to show (and test) that it equals the one-pass form.  The group's exact sum and count
+    travel instead of a rounded mean, so ``volume * count > sum`` decides as in the one-pass form.
     """
-    u = units(F.col(volume))
-    per = batch.groupBy(*keys).agg(F.sum(u).alias("_sum"), F.count(u).cast("decimal(20,0)").alias("_n"))
-    rows = lookup_join(batch.select(*keys, u.alias("_u")), per, keys, "left", max_rows)
-    above = F.coalesce(F.col("_u") * F.col("_n") > F.col("_sum"), F.lit(False))
-    return rows.groupBy(*keys).agg(F.bool_or(above).alias("volume_spike"))
+    measures = {volume: False}
+    per = baseline(finished(moments_by(batch, keys, measures), measures), keys, volume)
+    rows = lookup_join(batch.select(*keys, volume), per, keys, "left", max_rows)
+    return rows.groupBy(*keys).agg(F.bool_or(above_mean(f"`{volume}`", volume)).alias("volume_spike"))
 
 
 def enrich(facts: DataFrame, stats: DataFrame, keys: list[str],
@@ -147,18 +145,18 @@ def window_join(rows: DataFrame, duration: str, time: str = "recorded_at",
     partitions AQE splits.  Rows whose time is NULL are kept, with NULL stats.
     """
     keyed = rows.withColumn("window_start", tumbling_start(time, duration))
-    base = keyed.groupBy("symbol", "window_start").agg(
-        exact_mean(volume, digits).alias("avg_volume_window"),
-        F.stddev_samp(price).alias("volatility_score"),
-        F.sum(units(F.col(volume))).alias("_sum"),
-        F.count(volume).cast("decimal(20,0)").alias("_n"),
-    )
+    measures = {price: True, volume: False}
+    groups = finished(moments_by(keyed, ["symbol", "window_start"], measures), measures)
+    base = baseline(groups.select("symbol", "window_start", f"{volume}__m", f"{volume}__t",
+                                  mean(volume, digits).alias("avg_volume_window"), stddev(price, digits).alias("volatility_score"),
+                                  stddev(price).alias("__volatility")),
+                    ["symbol", "window_start"], volume, "avg_volume_window", "volatility_score", "__volatility")
     joined = lookup_join(keyed, base, ["symbol", "window_start"], "left", max_rows)
     return joined.select(
         *keyed.columns,
         "avg_volume_window",
-        _r(F.col("volatility_score"), digits).alias("volatility_score"),
-        F.coalesce(units(F.col(volume)) * F.col("_n") > F.col("_sum"), F.lit(False)).alias("volume_spike"),
-        F.coalesce(F.col("volatility_score") > volatility_threshold,
+        "volatility_score",
+        above_mean(f"`{volume}`", volume).alias("volume_spike"),
+        F.coalesce(F.col("__volatility") > volatility_threshold,
                    F.lit(False)).alias("volatility_flag"),
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.functions.exact import exact_mean, mean_of_units, units
+from quotelake.functions.exact import exact_mean, finished, mean, merged, moments_by
 from quotelake.functions.scalars import day_start
 from quotelake.operators.latest import latest_per_key, latest_per_key_window, top_k
 from quotelake.plans import dashboard_sql
@@ -121,18 +121,17 @@ def date_rollup(facts: DataFrame, digits: int = 6) -> DataFrame:
     month, day) and ``period`` ('all', '2024', '2024-01', '2024-01-15'), a
     ready-made axis for a drill-down, instead of NULL subtotal markers.
     """
-    u = units(F.col("price_usd"))
-    days = facts.groupBy(F.to_date("recorded_at").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(u).alias("price_units"), F.count(u).alias("prices"),
-        F.sum("volume_24h").alias("volume"))
+    price = {"price_usd": False}
+    days = moments_by(facts, [F.to_date("recorded_at").alias("day")], price,
+                      F.count(F.lit(1)).alias("n"), F.sum("volume_24h").alias("volume"))
     parts = days.select(F.year("day").alias("y"), F.month("day").alias("m"), F.dayofmonth("day").alias("d"),
-                        "n", "price_units", "prices", "volume")
-    agg = parts.rollup("y", "m", "d").agg(
+                        "n", "price_usd__m", "volume")
+    agg = finished(parts.rollup("y", "m", "d").agg(
+        *merged(price),
         F.grouping_id().alias("g"),
         F.sum("n").alias("records"),
-        mean_of_units(F.sum("price_units"), F.sum("prices"), digits).alias("avg_price"),
         F.sum("volume").alias("total_volume"),
-    )
+    ), price).withColumn("avg_price", mean("price_usd", digits))
     level = F.when(F.col("g") == 7, "total").when(F.col("g") == 3, "year") \
              .when(F.col("g") == 1, "month").otherwise("day")
     period = F.when(F.col("g") == 7, F.lit("all")) \

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from quotelake.functions.envelope import envelope_rejects, parse_envelopes, to_raw_lake
-from quotelake.functions.exact import exact_mean, units
+from quotelake.functions.exact import above_mean, baseline, finished, mean, moments_by, stddev
 from quotelake.functions.scalars import day_start, parse_iso_ts, tumbling_start
 from quotelake.operators.stats import batch_stats, enrich, window_stats
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
@@ -244,19 +244,16 @@ def window_join_stream(df: DataFrame, duration: str, watermark: str, time: str =
     ``n`` is the session's number of state partitions unless given; a running
     query keeps the number it started with, as it keeps its state partitions.
     """
-    def r(c):
-        return c if digits is None else F.round(c, digits)
     n = max(1, int(salt_buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     marked = df.withWatermark(time, watermark)
     rows = marked.select("symbol", *keep, F.unix_micros(time).alias("t_us"),
                          F.window(time, duration).alias("w"),
                          F.pmod(F.hash(salt_key), F.lit(n)).alias("_salt"))
-    agg = (marked.groupBy("symbol", F.window(time, duration).alias("w"))
-                 .agg(exact_mean(volume, digits).alias("avg_volume_window"),
-                      F.stddev_samp(price).alias("volatility_score"),
-                      F.sum(units(F.col(volume))).alias("_sum"),
-                      F.count(volume).cast("decimal(20,0)").alias("_n"))
-                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
+    measures = {price: True, volume: False}
+    groups = finished(moments_by(marked, ["symbol", F.window(time, duration).alias("w")], measures), measures)
+    agg = (baseline(groups.withColumns({"avg_volume_window": mean(volume, digits), "volatility_score": stddev(price, digits)}),
+                    ["symbol", "w"], volume, "avg_volume_window", "volatility_score")
+           .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
     joined = rows.join(agg, ["symbol", "w", "_salt"], "left")
     return joined.select(
         "symbol", *keep,
@@ -264,8 +261,8 @@ def window_join_stream(df: DataFrame, duration: str, watermark: str, time: str =
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
         "avg_volume_window",
-        r(F.col("volatility_score")).alias("volatility_score"),
-        F.coalesce(units(F.col(volume)) * F.col("_n") > F.col("_sum"), F.lit(False)).alias("volume_spike"),
+        "volatility_score",
+        above_mean(f"`{volume}`", volume).alias("volume_spike"),
     )
 
 
