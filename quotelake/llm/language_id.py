@@ -9,7 +9,6 @@ that sample calibrates the scores.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,27 +43,28 @@ class LanguageModel:
     rules: LanguageRules
 
 
-def _fold_table() -> np.ndarray:
-    """Code point -> code point of its lower-case letter, or 0 for what is not a letter."""
-    kept = sys.modules.setdefault("_llm_letters", type(sys)("_llm_letters")).__dict__
-    if "table" not in kept:
-        table = np.zeros(0x110000, np.int32)
-        for c in range(0x110000):
-            ch = chr(c)
-            if ch.isalpha():
-                low = ch.lower()
-                table[c] = ord(low[0])
-        kept["table"] = table
-    return kept["table"]
+def letter_table() -> np.ndarray:
+    """Code point -> code point of its lower-case letter, or 0 for what is not a letter.  Built once in a task."""
+    table = np.zeros(0x110000, np.int32)
+    for c in range(0x110000):
+        ch = chr(c)
+        if ch.isalpha():
+            table[c] = ord(ch.lower()[0])
+    return table
 
 
-def text_grams(texts: list[str], rules: LanguageRules) -> tuple[list[np.ndarray], np.ndarray]:
+def text_grams(texts: list[str], rules: LanguageRules, table: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Per order the features of all texts in a row (``2**bits`` marks a gram without letters),
-    and the code-point offsets of the texts.  Texts are padded by a separator on both sides."""
-    size = 1 << rules.bits
-    points = np.frombuffer((" " + "  ".join(texts) + " ").encode("utf-32-le", "replace"), dtype=np.uint32)
-    letters = _fold_table()[points].astype(np.uint64)
-    offsets = np.concatenate([[0], np.cumsum([len(t) + 2 for t in texts])]).astype(np.int64)
+    and the code-point offsets of the texts.
+
+    Texts are padded by separators on both sides, one fewer than the longest gram has letters, so that no gram
+    with a letter of one text reaches into another.
+    """
+    size, pad = 1 << rules.bits, max(1, max(rules.orders) - 1)
+    between = " " * pad
+    points = np.frombuffer("".join(between + t + between for t in texts).encode("utf-32-le", "replace"), dtype=np.uint32)
+    letters = table[points].astype(np.uint64)
+    offsets = np.concatenate([[0], np.cumsum([len(t) + 2 * pad for t in texts])]).astype(np.int64)
     out = []
     for n in rules.orders:
         h = np.full(len(letters), n * 0x9E3779B1, dtype=np.uint64)
@@ -98,12 +98,12 @@ def document_frequencies(texts: DataFrame, rules: LanguageRules) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(size + 1, np.int64), 0
-        seen = np.zeros(size + 1, bool)
+        seen, table = np.zeros(size + 1, bool), letter_table()
         for batch in batches:
             column = [t or "" for t in batch.column(0).to_pylist()]
             rows += len(column)
             for _, part in _chunks(column):
-                grams, offsets = text_grams(part, rules)
+                grams, offsets = text_grams(part, rules, table)
                 for i in range(len(part)):
                     for f in grams:
                         seen[f[offsets[i]:offsets[i + 1]]] = True
@@ -123,11 +123,12 @@ def document_frequencies(texts: DataFrame, rules: LanguageRules) -> np.ndarray:
 def sample_vectors(sample: DataFrame, rules: LanguageRules) -> DataFrame:
     """Term frequencies (label, features, tf) of the sampled rows (label, text)."""
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = letter_table()
         for batch in batches:
             labels, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             keys, values = [], []
             for _, part in _chunks(texts):
-                grams, offsets = text_grams(part, rules)
+                grams, offsets = text_grams(part, rules, table)
                 for i in range(len(part)):
                     f = np.concatenate([g[offsets[i]:offsets[i + 1]] for g in grams])
                     f = f[f < 1 << rules.bits]
@@ -228,10 +229,10 @@ def train(docs: DataFrame, rules: LanguageRules = LanguageRules(), text_col: str
     return LanguageModel(labels, table, w[size], temperature, rules)
 
 
-def predict_batch(texts: list, model: LanguageModel) -> tuple[list[str], list[float]]:
+def predict_batch(texts: list, model: LanguageModel, table: np.ndarray) -> tuple[list[str], list[float]]:
     names, scores = [], []
     for _, part in _chunks([t or "" for t in texts]):
-        grams, offsets = text_grams(part, model.rules)
+        grams, offsets = text_grams(part, model.rules, table)
         total = np.zeros((len(part), len(model.labels)))
         count = np.zeros(len(part))
         for f in grams:
@@ -252,12 +253,13 @@ def predict(text: Column, model: LanguageModel | None) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def classify(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = letter_table()
         for array in arrays:
             texts = array.to_pylist()
             if model is None:
                 names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             else:
-                names, scores = predict_batch(texts, model)
+                names, scores = predict_batch(texts, model, table)
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              fields=list(kind))
     return classify(text)

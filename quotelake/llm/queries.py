@@ -34,7 +34,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES, html_col="html")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

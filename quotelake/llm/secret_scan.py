@@ -1,10 +1,13 @@
 """Secret scans: fixed patterns plus dictionary-primed compression novelty.
 
 The patterns find the usual shapes.  The method then measures every other
-token-like string that stands near a sensitive word: how many bytes does it add
-to a zstandard stream primed with the text around it and with common
-identifiers?  A name or a repeated value adds almost nothing; a random key adds
-nearly its own entropy and is reported.
+token-like string that stands near a sensitive word, on either side: how many bytes does it add
+to one zstandard stream that holds common identifiers and the text around it?  Names
+and repeated values are copied from what the stream knows and cost 3 to 6 bits per character; random keys must be
+spelled out and cost 6.5 and more, and are reported.  No rule on digits, letters or dots decides.
+
+Limits: strings under ``min_length`` characters cost whole bytes too coarse to judge, and random strings of
+lower-case letters alone (4.7 bits each) cost as little as unknown words; neither is reported.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")   # whole runs of [0-9a-f] that are long enough
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")     # dots part tokens, so the parts of a dotted token are measured one by one
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|credential|api.?key|access.?key|private.?key|bearer"
                        r"|authoriz|\bauth\b|\bpwd\b|signing.?key|client.?id", re.IGNORECASE | re.ASCII)
 
@@ -56,9 +59,10 @@ value variable version view virtual void volume widget width window worker works
 
 @dataclass(frozen=True)
 class NoveltyRules:
-    context: int = 2048          # code points of surrounding text in the dictionary, each side
-    sensitive_before: int = 64   # a sensitive word must end within so many code points before
-    min_bits: float = 4.0        # marginal compressed bits per character
+    context: int = 2048          # code points of surrounding text in the stream, each side
+    near: int = 128              # code points between a string and a sensitive word, at most, on either side
+    min_length: int = 10         # characters of a string that is measured
+    min_bits: float = 6.25       # marginal compressed bits per character
     level: int = 3
 
 
@@ -77,36 +81,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def marginal_bits(candidate: str, around: str, rules: NoveltyRules) -> float:
-    """Compressed bits per character that ``candidate`` adds to what the dictionary knows."""
-    raw = zstandard.ZstdCompressionDict((IDENTIFIERS + around).encode("utf-8", "replace"),
-                                        dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    zc = zstandard.ZstdCompressor(level=rules.level, dict_data=raw, write_content_size=False,
-                                  write_checksum=False, write_dict_id=False)
-    added = len(zc.compress(candidate.encode())) - len(zc.compress(b""))
+def marginal_bits(candidate: str, before: str, after: str, rules: NoveltyRules) -> float:
+    """Compressed bits per character that ``candidate`` adds to a stream of the identifiers and the text around it."""
+    zc = zstandard.ZstdCompressor(level=rules.level, write_content_size=False, write_checksum=False, write_dict_id=False)
+    known = (IDENTIFIERS + after + "\n" + before).encode("utf-8", "replace")
+    added = len(zc.compress(known + candidate.encode())) - len(zc.compress(known))
     return 8.0 * added / len(candidate)
 
 
-def novel_spans(text: str, taken: list[tuple[int, int, int]], rules: NoveltyRules) -> list[tuple[int, int, int]]:
-    """Spans of incompressible strings near a sensitive word, outside the spans in ``taken``."""
-    out = []
-    done = -1
+def sensitive_ranges(text: str, near: int) -> list[list[int]]:
+    """Disjoint ranges of the text that lie within ``near`` code points of a sensitive word."""
+    out: list[list[int]] = []
     for word in SENSITIVE.finditer(text):
-        lo, hi = word.end(), word.end() + rules.sensitive_before
-        for m in CANDIDATE.finditer(text, max(lo, done)):
-            if m.start() > hi:
-                break
+        lo, hi = max(0, word.start() - near), word.end() + near
+        if out and lo <= out[-1][1]:
+            out[-1][1] = hi
+        else:
+            out.append([lo, hi])
+    return out
+
+
+def novel_spans(text: str, taken: list[tuple[int, int, int]], rules: NoveltyRules) -> list[tuple[int, int, int]]:
+    """Spans of incompressible strings that reach into the surroundings of a sensitive word, outside the spans in ``taken``."""
+    out, done = [], 0
+    for lo, hi in sensitive_ranges(text, rules.near):
+        while lo > done and TOKEN.match(text, lo - 1, lo):
+            lo -= 1                                          # a token that begins before the range is measured whole
+        for m in TOKEN.finditer(text, max(lo, done)):
             s, e = m.span()
-            done = max(done, e)
-            value = m.group()
-            if s and text[s - 1] in "@." or e < len(text) and text[e] == "@":
-                continue                                     # part of an address or a host name
-            if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-                continue
-            if any(s < b and a < e for a, _, b in taken):
+            if s > hi:
+                break
+            done = e
+            if e - s < rules.min_length or any(s < b and a < e for a, _, b in taken):
                 continue
-            around = text[max(0, s - rules.context):s] + " " + text[e:e + rules.context]
-            if marginal_bits(value, around, rules) >= rules.min_bits:
+            before, after = text[max(0, s - rules.context):s], text[e:e + rules.context]
+            if marginal_bits(m.group(), before, after, rules) >= rules.min_bits:
                 out.append((s, 3, e))
     return out
 

@@ -1,18 +1,18 @@
 """URL filters by a path-template tree.
 
-Per host, paths become templates: segments that vary (numbers, long codes, or a
-place with many different values) turn into wildcards.  Sibling branches whose
-labelled shares do not differ by a two-proportion test and that have the same
-shape are merged.  A template is rejected when its smoothed share of bad labels
-reaches a limit; unlabelled templates keep the prior and stay.
+Per host, paths become templates.  Numbers, long codes and dates turn into wildcards at once.  Level by level, a
+place whose literals keep changing (by the Good-Turing share of unseen ones) becomes a wildcard too, except for literals
+with pages or labels enough to be judged on their own.  Sibling branches are merged as long as their bad shares
+are homogeneous by a chi-square test; a set that is not is split at its mean share and tested again.  A template is
+rejected when the smoothed bad share of its branch reaches a limit; unlabelled templates keep the prior and stay.
+
+All of it is aggregates over (host, template) rows, so a host with a third of all pages is no task of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +21,16 @@ from .common import ascii_lower, written
 
 @dataclass(frozen=True)
 class TemplateRules:
-    """``prior_bad`` of ``prior_weight`` pseudo-labels smooths each template's share."""
+    """``prior_bad`` of ``prior_weight`` pseudo-labels smooths each branch's share."""
 
-    max_depth: int = 6            # deeper segments share one tail wildcard
-    max_children: int = 24        # a node with more different literals becomes a wildcard
+    max_depth: int = 16           # segments from here on count as one segment
+    unseen_share: float = 0.1     # Good-Turing share of unseen literals from which a place is variable
+    min_pages: int = 20           # a literal with so many pages, or ``min_labels`` labels, stays one
+    min_labels: int = 5           # branches with fewer labels are not merged
+    normal_quantile: float = 1.645  # of the chi-square test (5 %)
     prior_weight: float = 5.0
     prior_bad: float = 0.2
     reject_share: float = 0.8
-    min_labels: int = 5           # branches with fewer labels are not merged
-    z: float = 1.96
 
 
 def host_of(url: Column) -> Column:
@@ -64,133 +65,150 @@ def _segment_class(seg: Column) -> Column:
             .otherwise(seg))
 
 
+def junk_page(html: Column, share: float = 0.05) -> Column:
+    """1 where more than ``share`` of the blank-separated pieces of a page carry a run of three equal marks; 0 otherwise,
+    null for a null page.  A weak label for pages that no rule judges."""
+    marks = F.regexp_count(html, F.lit(r"###|\*\*\*|\$\$\$|%%%|\|\|\||(?:&amp;){3}"))
+    pieces = F.regexp_count(html, F.lit(" ")) + 1
+    return (marks > share * pieces).cast("int")
+
+
 def path_templates(pages: DataFrame, rules: TemplateRules) -> DataFrame:
-    """(host, path, template) of the distinct (host, path) pairs in ``pages``.
+    """(host, path, pages, labelled, bad, segs) of the distinct (host, path) pairs in ``pages``; ``segs`` are the
+    segments of the pair's template, the last one with a closing slash where the path has one.
 
-    Level by level, the literals below one (host, template so far) node are
-    counted; a node with more than ``max_children`` different ones is a
-    variable place.  Counting is by partial aggregation, so a hot host costs its
-    distinct values, not its rows.
+    Counting is by partial aggregation, so a hot host costs its distinct shapes, not its rows.
     """
     segs = F.filter(F.split(F.col("path"), "/"), lambda s: s != "")
-    head = F.slice(segs, 1, rules.max_depth)
-    base = (pages.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("segs", F.transform(head, _segment_class))
-            .withColumn("tail", F.when(F.size(segs) > rules.max_depth, F.lit("/{tail}")).otherwise(F.lit("")))
-            .withColumn("slash", F.when(F.col("path").rlike("./$"), F.lit("/")).otherwise(F.lit(""))))
-    shape = written(base.groupBy("host", "segs", "tail", "slash").agg(F.sum("n").alias("n"))
-                    .withColumn("template", F.lit("")), "url-shapes")
-    current = shape
-    for level in range(1, rules.max_depth + 1):
-        seg = F.element_at("segs", level)
-        here = F.size("segs") >= level
-        nodes = (current.filter(here).select("host", "template", seg.alias("seg")).distinct()
-                 .groupBy("host", "template").agg(F.count(F.lit(1)).alias("children"))
-                 .filter(F.col("children") > rules.max_children)
-                 .select(F.col("host").alias("_h"), F.col("template").alias("_t"), F.lit(True).alias("_many")))
-        current = (current.join(nodes, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")), "left")
-                   .withColumn("template", F.when(here, F.concat(
-                       F.col("template"), F.lit("/"), F.when(F.col("_many"), F.lit("{any}")).otherwise(seg)))
-                       .otherwise(F.col("template")))
-                   .drop("_h", "_t", "_many"))
-    return base, current.withColumn("full", F.concat("template", "tail", "slash"))
-
-
-def _merge_host(templates: pd.DataFrame, rules: TemplateRules) -> pd.DataFrame:
-    """Merge the similar templates of one host.
-
-    Templates that differ in one literal segment are siblings.  Two siblings with
-    enough labels merge when their bad shares pass a two-proportion z-test.  The
-    number of templates of a host is bounded by ``max_children ** max_depth``.
-    """
-    parent = list(range(len(templates)))
-    labels = [float(x) for x in templates["labelled"]]
-    bad = [float(x) for x in templates["bad"]]
-    groups: dict[tuple, list[int]] = {}
-    for i, full in enumerate(templates["template"]):
-        parts = full.split("/")
-        for k, part in enumerate(parts):
-            if part and not part.startswith("{"):
-                groups.setdefault((k, *parts[:k], None, *parts[k + 1:]), []).append(i)
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for members in groups.values():
-        members = sorted((i for i in members), key=lambda i: (bad[root(i)] / max(labels[root(i)], 1), templates["template"].iat[i]))
-        for a, b in zip(members, members[1:]):
-            a, b = root(a), root(b)
-            if a == b or min(labels[a], labels[b]) < rules.min_labels:
-                continue
-            pooled = (bad[a] + bad[b]) / (labels[a] + labels[b])
-            spread = (pooled * (1 - pooled) * (1 / labels[a] + 1 / labels[b])) ** 0.5
-            if abs(bad[a] / labels[a] - bad[b] / labels[b]) <= rules.z * spread:
-                parent[b] = a
-                labels[a] += labels[b]
-                bad[a] += bad[b]
-    roots = [root(i) for i in range(len(templates))]
-    share = [(bad[r] + rules.prior_weight * rules.prior_bad) / (labels[r] + rules.prior_weight) for r in roots]
-    return pd.DataFrame({"host": templates["host"], "template": templates["template"],
-                         "branch": [templates["template"].iat[r] for r in roots],
-                         "labelled_in_branch": [int(labels[r]) for r in roots], "bad_share": share})
-
-
-def template_tree(pages: DataFrame, rules: TemplateRules = TemplateRules()) -> tuple[DataFrame, DataFrame]:
-    """(shapes, tree) for ``pages`` with columns host, path, label (1 bad, 0 good, null unknown).
-
-    ``tree`` has one row per (host, template): merged branch, labels in it and the
-    smoothed bad share.  ``shapes`` maps (host, path) to a template.
+    typed = F.transform(segs, _segment_class)
+    deep = F.size(segs) > rules.max_depth
+    tail = F.array_join(F.slice(typed, rules.max_depth, 1 << 30), "/")
+    base = written(pages.groupBy("host", "path").agg(
+        F.count(F.lit(1)).alias("pages"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
+        .withColumn("slash", F.when(F.col("path").rlike("./$"), F.lit("/")).otherwise(F.lit("")))
+        .withColumn("raw", F.when(deep, F.concat(F.slice(typed, 1, rules.max_depth - 1), F.array(tail))).otherwise(typed)), "url-paths")
+    shape = ["host", "raw", "slash"]
+    current = base.groupBy(*shape).agg(F.sum("pages").alias("pages"), F.sum("labelled").alias("labelled"))
+    current = written(current.withColumn("segs", F.array().cast("array<string>")), "url-shapes")
+    depth = current.agg(F.max(F.size("raw"))).first()[0] or 0
+    for level in range(1, depth + 1):
+        here = F.size("raw") >= level
+        seg = F.get("raw", F.lit(level - 1))
+        child = (current.filter(here).groupBy("host", "segs", seg.alias("seg"))
+                 .agg(F.sum("pages").alias("pages"), F.sum("labelled").alias("labelled")))
+        place = (child.groupBy("host", "segs").agg((F.count_if(F.col("pages") == 1) / F.sum("pages")).alias("unseen"))
+                 .filter(F.col("unseen") > rules.unseen_share)
+                 .select(F.col("host").alias("_h"), F.col("segs").alias("_s")))
+        rare = (child.filter((F.col("pages") < rules.min_pages) & (F.col("labelled") < rules.min_labels)
+                             & ~F.col("seg").startswith("{"))
+                .join(place, (F.col("host") == F.col("_h")) & (F.col("segs") == F.col("_s")))
+                .select("_h", "_s", F.col("seg").alias("_seg"), F.lit("{any}").alias("_wild")))
+        current = written(
+            current.join(rare, (F.col("host") == F.col("_h")) & (F.col("segs") == F.col("_s")) & (seg == F.col("_seg")), "left")
+            .withColumn("segs", F.when(here, F.concat("segs", F.array(F.coalesce("_wild", seg)))).otherwise(F.col("segs")))
+            .drop("_h", "_s", "_seg", "_wild"), "url-level")
+    made = current.select(*[F.col(c).alias("_" + c) for c in shape], "segs")
+    return base.join(made, [F.col(c) == F.col("_" + c) for c in shape]).select(
+        "host", "path", "pages", "labelled", "bad", F.concat("segs", F.array("slash")).alias("segs"))
+
+
+def template_text(segs: Column) -> Column:
+    """The template of a segment array whose last entry is the closing slash or empty."""
+    body = F.slice(segs, 1, F.size(segs) - 1)
+    return F.concat(F.array_join(F.transform(body, lambda s: F.concat(F.lit("/"), s)), ""), F.element_at(segs, -1))
+
+
+def _homogeneous(cluster: DataFrame, keys: list[str], rules: TemplateRules) -> DataFrame:
+    """Per cluster its mean share and whether its branches may have one share (chi-square, Wilson-Hilferty)."""
+    n, b = F.sum("labelled"), F.sum("bad")
+    per = cluster.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"), (b / n).alias("share"), n.alias("n"), b.alias("b"),
+                                     F.sum(F.col("bad") * F.col("bad") / F.col("labelled")).alias("squares"))
+    df = F.col("members") - 1
+    spread = F.col("share") * (1 - F.col("share"))
+    statistic = (F.col("squares") - F.col("b") * F.col("b") / F.col("n")) / spread
+    limit = df * F.pow(1 - 2 / (9 * df) + rules.normal_quantile * F.sqrt(2 / (9 * df)), F.lit(3))
+    fits = F.when((df == 0) | (spread == 0), F.lit(True)).otherwise(statistic <= limit)
+    return per.select(*[F.col(k).alias("_" + k) for k in keys], "members", "share", fits.alias("fits"))
+
+
+def merged_branches(templates: DataFrame, rules: TemplateRules) -> DataFrame:
+    """(host, segs, branch, in_branch, bad_in_branch) of every template (host, segs, labelled, bad).
+
+    From the last segment to the first, branches of a host that differ only there, in a literal, are siblings.  Siblings
+    with labels enough form one cluster; a cluster whose shares differ is split at its mean, until all fit.  The branches
+    of a cluster become one branch, named by its least literal.
     """
-    base, shaped = path_templates(pages, rules)
-    keys = ["host", "segs", "tail", "slash"]
-    shapes = (base.select("host", "path", *keys[1:])
-              .join(shaped.select(*[F.col(c).alias("_" + c) for c in keys], F.col("full").alias("template")),
-                    [F.col(c) == F.col("_" + c) for c in keys])
-              .select("host", "path", "template"))
-    shapes = written(shapes, "url-templates")
-    counts = (pages.filter(F.col("label").isNotNull()).groupBy("host", "path")
-              .agg(F.count("label").cast("double").alias("labelled"), F.sum("label").cast("double").alias("bad")))
-    per = (shapes.join(counts, ["host", "path"], "left").groupBy("host", "template")
-           .agg(F.coalesce(F.sum("labelled"), F.lit(0.0)).alias("labelled"),
-                F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad")))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _merge_host(pdf.sort_values("template").reset_index(drop=True), rules)
-
-    tree = per.groupBy("host").applyInPandas(
-        merge, "host string, template string, branch string, labelled_in_branch bigint, bad_share double")
-    return shapes, tree
+    state = written(templates.select("host", "segs", F.col("segs").alias("branch"), "labelled", "bad"), "url-branches")
+    depth = state.agg(F.max(F.size("segs"))).first()[0] or 0
+    for level in range(depth - 1, 0, -1):
+        seg = F.element_at("branch", level)
+        ready = (state.filter(F.size("branch") > level).groupBy("host", "branch")
+                 .agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+                 .filter((F.col("labelled") >= rules.min_labels) & ~seg.startswith("{"))
+                 .select("host", "branch", "labelled", "bad", seg.alias("seg"), F.transform(
+                     "branch", lambda s, i: F.when(i == level - 1, F.lit("")).otherwise(s)).alias("siblings"), F.lit("").alias("part")))
+        keys = ["host", "siblings", "part"]
+        cluster = written(ready, "url-cluster")
+        while True:
+            same = [F.col(k) == F.col("_" + k) for k in keys]
+            tested = cluster.join(_homogeneous(cluster, keys, rules), same).drop("_host", "_siblings", "_part")
+            if tested.filter(~F.col("fits")).isEmpty():
+                break
+            side = F.when(F.col("bad") / F.col("labelled") > F.col("share"), F.lit("1")).otherwise(F.lit("0"))
+            cluster = written(tested.withColumn("part", F.when(F.col("fits"), F.col("part")).otherwise(F.concat("part", side)))
+                              .select(*cluster.columns), "url-cluster")
+        least = (tested.filter(F.col("members") > 1).groupBy(*keys).agg(F.min("seg").alias("least"))
+                 .select(*[F.col(k).alias("_" + k) for k in keys], "least"))
+        named = (tested.filter(F.col("members") > 1).join(least, [F.col(k) == F.col("_" + k) for k in keys])
+                 .select(F.col("host").alias("_h"), F.col("branch").alias("_b"), F.transform("branch", lambda s, i: F.when(
+                     i == level - 1, F.concat(F.lit("{"), F.col("least"), F.lit("~}"))).otherwise(s)).alias("_to")))
+        if named.isEmpty():
+            continue
+        state = written(state.join(named, (F.col("host") == F.col("_h")) & (F.col("branch") == F.col("_b")), "left")
+                        .withColumn("branch", F.coalesce("_to", "branch")).drop("_h", "_b", "_to"), "url-branches")
+    per = (state.groupBy("host", "branch").agg(F.sum("labelled").alias("in_branch"), F.sum("bad").alias("bad_in_branch"))
+           .select(F.col("host").alias("_h"), F.col("branch").alias("_b"), "in_branch", "bad_in_branch"))
+    return state.join(per, (F.col("host") == F.col("_h")) & (F.col("branch") == F.col("_b"))).select(
+        "host", "segs", "branch", "in_branch", "bad_in_branch")
+
+
+def template_tree(pages: DataFrame, rules: TemplateRules = TemplateRules()) -> DataFrame:
+    """(host, path, template, branch, in_branch, bad_share) of the distinct (host, path) pairs in ``pages``, which has
+    columns host, path and label (1 bad, 0 good, null unknown)."""
+    paths = written(path_templates(pages, rules), "url-templates")
+    per = paths.groupBy("host", "segs").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    tree = merged_branches(per, rules).select(F.col("host").alias("_h"), F.col("segs").alias("_s"), "branch", "in_branch", "bad_in_branch")
+    share = (F.col("bad_in_branch") + rules.prior_weight * rules.prior_bad) / (F.col("in_branch") + rules.prior_weight)
+    return paths.join(tree, (F.col("host") == F.col("_h")) & (F.col("segs") == F.col("_s"))).select(
+        "host", "path", template_text(F.col("segs")).alias("template"), template_text(F.col("branch")).alias("branch"),
+        "in_branch", share.alias("bad_share"))
 
 
 def url_verdicts(pages: DataFrame, hosts_rules: list[tuple[str, str]],
                  rules: TemplateRules = TemplateRules(), labels: DataFrame | None = None,
-                 id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+                 id_col: str = "page_id", url_col: str = "url", html_col: str | None = None) -> DataFrame:
     """One row per page: id, host, path, fitting rule, verdict, template, branch, bad_share.
 
     The rule's verdict holds where one fits.  Elsewhere a page is blocked when its
-    template's smoothed bad share reaches ``reject_share``.  Labels are the rules'
-    own verdicts (block is bad), or ``labels`` (id, bad 0/1) where given.  A null url
-    or one without ``://`` has empty host and path and gets a template of its
-    own like any other; null ids and repeated rows are kept as they are.
+    template's smoothed bad share reaches ``reject_share``.  Labels are ``labels`` (id, bad 0/1) where given;
+    else the rules' own verdicts (block is bad) and, with ``html_col``, junk marks of the pages that no rule
+    judges.  A null url or one without ``://`` has empty host and path and gets a template of its own like any
+    other; null ids and repeated rows are kept as they are.
     """
-    page = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"),
-                        path_of(F.col(url_col)).alias("path"))
+    page = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"),
+                        (junk_page(F.col(html_col)) if html_col else F.lit(None).cast("int")).alias("junk"))
     rule, verdict = rule_verdict(F.col("host"), F.col("path"), hosts_rules)
     page = page.withColumn("rule", rule).withColumn("ruled", verdict)
     if labels is None:
-        page = page.withColumn("label", F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int")))
+        page = page.withColumn("label", F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int"))
+                               .otherwise(F.col("junk")))
     else:
         own = labels.select(F.col(labels.columns[0]).alias("_id"), F.col(labels.columns[1]).cast("int").alias("label"))
         page = page.join(own.groupBy("_id").agg(F.max("label").alias("label")),
                          F.col("page_id") == F.col("_id"), "left").drop("_id")
-    page = written(page, "url-pages")
-    shapes, tree = template_tree(page, rules)
-    judged = shapes.join(tree, ["host", "template"])
-    k = ["host", "path"]
-    out = page.join(judged, k)
+    page = written(page.drop("junk"), "url-pages")
+    tree = template_tree(page, rules).select(F.col("host").alias("_h"), F.col("path").alias("_p"), "template", "branch", "bad_share")
+    out = page.join(tree, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")))
     blocked = F.col("bad_share") >= rules.reject_share
     return out.select("page_id", "host", "path", "rule",
                       F.coalesce("ruled", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
