@@ -357,6 +357,28 @@ ORACLE["window_stats_daily"] = Q + WINDOW_STATS.format(w="1 day", where="")
 ORACLE["q5_latest_brand_two_phase"] = ORACLE["q5_latest_brand"]
 
 
+ARRIVAL = "least((day(recorded_at) - 1) // 5, 5)::BIGINT"
+ORACLE["sink_commit"] = Q + f""", n AS (SELECT {ARRIVAL} AS batch_id, count(*) AS rows FROM quotes GROUP BY ALL)
+SELECT phase, sink, batch_id, rows FROM n, (VALUES ('crashed', 2), ('replayed', 6)) p(phase, seen), (VALUES ('raw'), ('enriched')) s(sink)
+WHERE batch_id < seen"""
+ORACLE["gate_publish"] = Q + f""", n AS (SELECT {ARRIVAL} AS b, count(*) AS n, count(*) FILTER (row_id % 7 = 0) AS bad FROM quotes GROUP BY ALL),
+f AS (SELECT *, b = 3 AND bad > 0 AS held FROM n)
+SELECT CASE WHEN held THEN 'quarantined' ELSE 'published' END AS kind, b::VARCHAR AS name, n FROM f
+UNION ALL SELECT 'log', name, count(*) FROM f, (VALUES ('stream_batch started', false), ('data_quality_row_counts started', false),
+  ('data_quality_row_counts success', false), ('data_quality_nulls started', false)) l(name, x) GROUP BY ALL
+UNION ALL SELECT 'log', l || CASE WHEN held THEN ' failed' ELSE ' success' END, count(*)
+FROM f, (VALUES ('stream_batch'), ('data_quality_nulls')) t(l) GROUP BY ALL"""
+ORACLE["history_stats_incremental"] = Q + HIST_STATS.format(src="quotes")
+ORACLE["stream_late_rejects"] = Q + """, w AS (SELECT symbol, recorded_at >= TIMESTAMP '2024-01-16' AS first_run,
+  time_bucket(INTERVAL 5 minute, recorded_at) + INTERVAL 5 minute AS e FROM quotes)
+SELECT CASE WHEN NOT first_run THEN 'late' WHEN e <= (SELECT max(recorded_at) FROM quotes) - INTERVAL 5 minute THEN 'aggregated'
+  ELSE 'open' END AS kind, symbol, count(*) AS rows FROM w GROUP BY ALL"""
+ORACLE["interval_join"] = Q + """, w AS (SELECT symbol, row_id AS window_id, recorded_at AS a,
+  recorded_at + to_minutes(CAST(7 * (1 + volume_24h * volume_24h) AS INTEGER)) AS b FROM quotes WHERE row_id % 25 = 0)
+SELECT window_id, w.symbol, count(*) AS quotes, max(price_usd) AS max_price, sum(volume_24h)::BIGINT AS volume
+FROM quotes JOIN w ON quotes.symbol = w.symbol AND recorded_at >= a AND recorded_at < b GROUP BY window_id, w.symbol"""
+
+
 # --- exact means ---------------------------------------------------------------
 # A mean is rounded from whole units of 10^-8 by integer division, as in functions/exact.py.
 def exact_mean(column: str) -> str:

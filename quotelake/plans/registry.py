@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quotelake.functions import derive, envelope, scalars
 from quotelake.operators import contracts, latest, quality, stats
+from quotelake.operators.intervals import interval_join as join_intervals
 from quotelake.plans import dashboard_sql, reports
 from quotelake.plans.backfill import backfill
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS, RAW_RECORD_CONTRACT
@@ -511,3 +512,15 @@ def q4_spike_rate_sql(spark, sf_dir):
 @register("q5_latest_sql")
 def q5_latest_sql(spark, sf_dir):
     return _dashboard(spark, sf_dir, "latest")
+
+
+@register("interval_join")
+def interval_join(spark, sf_dir):
+    """Quotes joined to windows of any length and place (from minutes to days), summed per window."""
+    q = event_quotes(spark, sf_dir)
+    windows = q.where("row_id % 25 = 0").select(
+        "symbol", F.col("row_id").alias("window_id"), F.col("recorded_at").alias("window_start"),
+        (F.col("recorded_at") + F.expr("make_dt_interval(0, 0, 7 * (1 + volume_24h * volume_24h))")).alias("window_end"))
+    hit = join_intervals(q.select("symbol", "price_usd", "volume_24h", "recorded_at"), windows, ["symbol"])
+    return hit.groupBy("window_id", "symbol").agg(F.count(F.lit(1)).alias("quotes"), F.max("price_usd").alias("max_price"),
+                                                  F.sum("volume_24h").alias("volume"))

@@ -10,16 +10,19 @@ on the same checkpoint.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from quotelake.functions import envelope
-from quotelake.plans.registry import broken_messages, register
-from quotelake.sinks import lake
+from quotelake.plans import history
+from quotelake.plans.registry import broken_messages, raw_lake_rows, register
+from quotelake.sinks import lake, manifest, runlog
 from quotelake.sinks.bus import publish_files
 from quotelake.sources.adapters import QUOTE_COLUMNS, event_quotes
 from quotelake.sources.streams import envelope_file_stream, parquet_stream
 from quotelake.session import run_dir
 from quotelake.streaming import jobs
+from quotelake.streaming.late import TumblingWithLate
 
 WATERMARK = "5 minutes"
 SHORT_WINDOW = "5 minutes"
@@ -188,3 +191,95 @@ def stream_window_join(spark, sf_dir):
     joined = jobs.window_join_stream(_row_stream(spark, p["in"], q), STATS_WINDOW, WATERMARK)
     jobs.run_available_now(joined, p["ckpt"], sink="parquet", path=p["out"])
     return spark.read.parquet(p["out"])
+
+
+class _Interrupted(jobs.BatchPipeline):
+    """A pipeline that fails once between the raw and the enriched sink of batch 2."""
+
+    def _sink(self, name, df, path, stream, batch_id, *rest):
+        if name == "enriched" and batch_id == 2:
+            raise RuntimeError("interrupted between two sinks")
+        super()._sink(name, df, path, stream, batch_id, *rest)
+
+
+@register("sink_commit")
+def sink_commit(spark, sf_dir):
+    """A batch that fails between two sinks shows in neither until its replay; every batch shows once."""
+    p = _paths(spark, "sink_commit")
+    _stage_arrivals(event_quotes(spark, sf_dir), p["in"])
+
+    def run(pipeline) -> None:
+        messages = envelope_file_stream(jobs.stream_session(spark), p["in"], FILES_PER_ARRIVAL)
+        jobs.run_available_now(jobs.quotes_from_messages(messages), p["ckpt"], foreach_batch=pipeline)
+
+    def seen(phase: str) -> DataFrame:
+        rows = [manifest.read_committed(spark, p["out"], sink).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(phase).alias("phase"), F.lit(sink).alias("sink"), "batch_id", "rows") for sink in ("raw", "enriched")]
+        path = f"{p['out']}/seen-{phase}"
+        rows[0].unionByName(rows[1]).write.parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        run(_Interrupted(commit_base=p["out"]))
+    except StreamingQueryException:
+        pass
+    crashed = seen("crashed")
+    run(jobs.BatchPipeline(commit_base=p["out"]))
+    return crashed.unionByName(seen("replayed"))
+
+
+@register("gate_publish")
+def gate_publish(spark, sf_dir):
+    """Write, audit, publish: the batch with missing names is held back whole; the others and the log go on."""
+    p = _paths(spark, "gate_publish")
+    q = event_quotes(spark, sf_dir)
+    bad = (_arrival() == 3) & (F.col("row_id") % 7 == 0)
+    _stage_arrivals(q.withColumn("name", F.when(~bad, F.col("name"))), p["in"])
+    entries: list[tuple[str, str, str]] = []
+    pipeline = jobs.BatchPipeline(commit_base=p["out"], gate=True, log=lambda *entry: entries.append(entry))
+    messages = envelope_file_stream(jobs.stream_session(spark), p["in"], FILES_PER_ARRIVAL)
+    jobs.run_available_now(jobs.quotes_from_messages(messages), p["ckpt"], foreach_batch=pipeline)
+    runlog.log_frame(spark, entries).write.parquet(f"{p['out']}/log")
+    count = F.count(F.lit(1)).alias("n")
+    published = manifest.read_committed(spark, p["out"], "raw").groupBy(F.col("batch_id").cast("string").alias("name")).agg(count)
+    held = (manifest.manifest(spark, p["out"], manifest.QUARANTINE).filter("sink = 'raw'")
+            .groupBy(F.col("batch_id").cast("string").alias("name")).agg(F.sum("rows").alias("n")))
+    log = spark.read.parquet(f"{p['out']}/log").groupBy(F.concat_ws(" ", "stage", "status").alias("name")).agg(count)
+    out = None
+    for kind, rows in (("published", published), ("quarantined", held), ("log", log)):
+        rows = rows.select(F.lit(kind).alias("kind"), "name", "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("history_stats_incremental")
+def history_stats_incremental(spark, sf_dir):
+    """Whole-history statistics from stored moments: the second update reads only the second half's batch."""
+    p = _paths(spark, "history_incremental")
+    pipeline = jobs.BatchPipeline(commit_base=p["out"], stream_id="quotes")
+    for k, half in enumerate(_halves(event_quotes(spark, sf_dir))):
+        pipeline(raw_lake_rows(half), k)
+        history.update_history(spark, p["out"], p["stats"])
+    return history.incremental_history(spark, p["stats"])
+
+
+@register("stream_late_rejects")
+def stream_late_rejects(spark, sf_dir):
+    """The second half of the month, then after a restart the first: late rows are kept apart, and nothing is lost."""
+    p = _paths(spark, "stream_late_rejects")
+    q = event_quotes(spark, sf_dir)
+    job = TumblingWithLate(p["out"], SHORT_WINDOW, WATERMARK)
+    early, late = _halves(q)
+    for arrival in (late, early):
+        _stage_rows(arrival, p["in"])
+        rows = parquet_stream(jobs.stream_session(spark), p["in"], q.select(*QUOTE_COLUMNS).schema)
+        jobs.run_available_now(rows, p["ckpt"], foreach_batch=job)
+    total = F.sum("record_count").alias("rows")
+    parts = {"aggregated": job.results(spark, "closed").groupBy("symbol").agg(total),
+             "open": job.results(spark, "open").groupBy("symbol").agg(total),
+             "late": job.results(spark, "late").groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))}
+    out = None
+    for kind, rows in parts.items():
+        rows = rows.select(F.lit(kind).alias("kind"), "symbol", "rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out

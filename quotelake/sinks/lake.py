@@ -71,11 +71,16 @@ def write_batch(df: DataFrame, path: str, stream: str, batch_id: int, partition_
     identity is part of the key: several streams, or a stream with a new checkpoint,
     share a lake without touching each other's rows, and a replay leaves one copy.
     """
+    write_folder(df, f"{path}/stream={stream}/batch_id={batch_id}", partition_by, sort_by)
+
+
+def write_folder(df: DataFrame, folder: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] | None = None) -> None:
+    """Replace one folder as a whole."""
     out = clustered(df, sort_by) if sort_by else df
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(f"{path}/stream={stream}/batch_id={batch_id}")
+    w.parquet(folder)
 
 
 def compact(spark, path: str, target: str, days: Sequence[str] | None = None) -> None:

@@ -26,11 +26,13 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from quotelake.functions.envelope import envelope_rejects, parse_envelopes, to_raw_lake
 from quotelake.functions.exact import above_mean, baseline, finished, mean, moments_by, stddev
 from quotelake.functions.scalars import day_start, parse_iso_ts, tumbling_start
+from quotelake.operators.quality import QualityGateError, run_gates
 from quotelake.operators.stats import batch_stats, enrich, window_stats
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS
 from quotelake.session import default_parallelism
 from quotelake.sinks import jdbc as jdbc_sink
-from quotelake.sinks.lake import write_batch
+from quotelake.sinks import manifest
+from quotelake.sinks.lake import write_batch, write_folder
 
 
 # Session setting that overrides the number of state partitions of new stateful queries.
@@ -111,10 +113,16 @@ class BatchPipeline:
     readable time, and (for the JDBC tables) a row that breaks the table
     contract go to ``rejects_path`` with a reason; without a path they are still left out
     of enriched and stats.
+
+    With ``commit_base`` the sinks are ``<base>/raw``, ``enriched``, ``stats`` and ``rejects``, written attempt by
+    attempt and made visible together by one manifest file (``sinks.manifest``); the paths may then be empty.  A batch that
+    fails between two sinks stays invisible until its replay, and a settled batch is not written again.  With
+    ``gate`` the written raw rows are audited before publication: a batch that fails a gate is quarantined as a
+    whole and the stream goes on.
     """
-    raw_path: str
-    enriched_path: str
-    stats_path: str
+    raw_path: str | None = None
+    enriched_path: str | None = None
+    stats_path: str | None = None
     stats_keys: Sequence[str] = ("symbol",)
     jdbc: Mapping[str, Mapping[str, str]] | None = None  # {"coin_prices": opts, "market_stats": opts}
     on_batch: Callable[[int, DataFrame], None] | None = None
@@ -123,10 +131,20 @@ class BatchPipeline:
     parse: Callable[[DataFrame], DataFrame] | None = None
     stream_id: str | None = None
     log: Callable[[str, str, str], None] | None = None
+    commit_base: str | None = None
+    gate: bool = False
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         stream = self.stream_id or stream_identity(batch_df)
+        if self.commit_base and manifest.is_settled(batch_df.sparkSession, self.commit_base, stream, batch_id):
+            self._say("success", f"stream {stream} batch {batch_id} was settled before")
+            return
+        attempt, written = manifest.new_attempt(), {}
         self._say("started", f"stream {stream} batch {batch_id}")
+
+        def sink(name: str, df: DataFrame, path: str, partition_by=("day",), sort_by=("symbol", "recorded_at")) -> None:
+            self._sink(name, df, path, stream, batch_id, attempt, partition_by, sort_by)
+            written[name] = df
         messages = batch_df.persist() if self.parse else None
         rows = self.parse(messages) if self.parse else batch_df
         rows = rows.withColumn("reject", row_reason()).withColumn("day", F.to_date("recorded_at"))
@@ -142,25 +160,28 @@ class BatchPipeline:
         stats = batch_stats(good, [k for k in keys if k != "symbol"]).persist()
         helpers = [c for c in ("day_start", "bucket_start") if c in rows.columns]
         try:
-            write_batch(rows.drop("reject", *helpers), self.raw_path, stream, batch_id)
+            sink("raw", rows.drop("reject", *helpers), self.raw_path)
             # One stats row per key of this micro-batch: the size is bounded by the
             # batch's own key count; AQE broadcasts it when small, else shuffles.
             enriched = enrich(good, stats, keys, max_rows=None).select(
                 *ENRICHED_LAKE_COLUMNS, *[k for k in helpers if k == "bucket_start"], "day")
-            write_batch(enriched, self.enriched_path, stream, batch_id)
+            sink("enriched", enriched, self.enriched_path)
             out = stats.withColumnRenamed("day_start", "day") if "day_start" in keys else stats
-            write_batch(out, self.stats_path, stream, batch_id, (), ("symbol", "window_end"))
+            sink("stats", out, self.stats_path, (), ("symbol", "window_end"))
             rejects = rows.where(F.col("reject").isNotNull()).select(
                 F.col("reject").alias("reason"), F.to_json(F.struct(*rows.drop("reject", "day", *helpers).columns)).alias("body"))
             if messages is not None:
                 rejects = envelope_rejects(messages).select(*REJECT_COLUMNS).unionByName(rejects)
             if self.jdbc:
                 rejects = rejects.unionByName(self._write_tables(good, stats))
-            if self.rejects_path:
-                write_batch(rejects, self.rejects_path, stream, batch_id, (), None)
+            if self.rejects_path or self.commit_base:
+                sink("rejects", rejects, self.rejects_path, (), None)
             if self.on_batch:
                 self.on_batch(batch_id, rows)
-            self._say("success", f"stream {stream} batch {batch_id}")
+            if self.commit_base:
+                self._publish(batch_df.sparkSession, stream, batch_id, attempt, written)
+            else:
+                self._say("success", f"stream {stream} batch {batch_id}")
         except Exception:
             self._say("failed", f"stream {stream} batch {batch_id}")
             raise
@@ -174,6 +195,28 @@ class BatchPipeline:
         if self.log:
             self.log("stream_batch", status, message)
 
+    def _sink(self, name: str, df: DataFrame, path: str | None, stream: str, batch_id: int, attempt: str,
+              partition_by: Sequence[str], sort_by: Sequence[str] | None) -> None:
+        if self.commit_base:
+            write_folder(df, manifest.attempt_path(self.commit_base, name, stream, batch_id, attempt), partition_by, sort_by)
+        else:
+            write_batch(df, path, stream, batch_id, partition_by, sort_by)
+
+    def _publish(self, spark: SparkSession, stream: str, batch_id: int, attempt: str, written: Mapping[str, DataFrame]) -> None:
+        """Audit what was written, then make it visible or hold it back, by one manifest file."""
+        action, what = manifest.ADD, f"stream {stream} batch {batch_id}"
+        if self.gate:
+            raw = spark.read.schema(written["raw"].schema).parquet(manifest.attempt_path(self.commit_base, "raw", stream, batch_id, attempt))
+            try:
+                run_gates(raw, lambda stage, status, message: self.log and self.log(stage, status, f"{message} ({what})"))
+            except QualityGateError:
+                action = manifest.QUARANTINE
+        manifest.commit(spark, self.commit_base, stream, batch_id, attempt, written, action)
+        if action == manifest.ADD:
+            self._say("success", what)
+        else:
+            self._say("failed", f"{what} is quarantined")
+
     def _write_tables(self, rows: DataFrame, stats: DataFrame) -> DataFrame:
         """Append to the JDBC tables; returns the rows that break a table's contract."""
         rejects = rows.sparkSession.createDataFrame([], "reason string, body string")
