@@ -378,6 +378,17 @@ ORACLE["interval_join"] = Q + """, w AS (SELECT symbol, row_id AS window_id, rec
 SELECT window_id, w.symbol, count(*) AS quotes, max(price_usd) AS max_price, sum(volume_24h)::BIGINT AS volume
 FROM quotes JOIN w ON quotes.symbol = w.symbol AND recorded_at >= a AND recorded_at < b GROUP BY window_id, w.symbol"""
 
+ORACLE["latest_n_facts_days"] = ORACLE["latest_n_facts"]
+ORACLE["q5_latest_days"] = ORACLE["q5_latest"]
+ORACLE["append_unique"] = Q + """SELECT 'lake' AS kind, strftime(recorded_at, '%Y-%m-%d') AS name, count(*) AS n FROM quotes GROUP BY ALL
+UNION ALL SELECT 'refused', 'exists', count(*) FROM quotes WHERE recorded_at >= TIMESTAMP '2024-01-14' AND recorded_at < TIMESTAMP '2024-01-16'
+HAVING count(*) > 0
+UNION ALL SELECT 'refused', 'duplicate_in_batch', count(*) FROM quotes WHERE recorded_at >= TIMESTAMP '2024-01-14' AND row_id % 10 = 0
+HAVING count(*) > 0"""
+ORACLE["facts_clustered"] = Q + """SELECT 'symbol' AS filter, row_id, price_usd FROM quotes WHERE symbol = 'click'
+UNION ALL SELECT 'hour', row_id, price_usd FROM quotes WHERE recorded_at >= TIMESTAMP '2024-01-15 12:00:00'
+AND recorded_at < TIMESTAMP '2024-01-15 13:00:00'"""
+
 
 # --- exact means ---------------------------------------------------------------
 # A mean is rounded from whole units of 10^-8 by integer division, as in functions/exact.py.

@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from quotelake.functions import derive, envelope, scalars
 from quotelake.operators import contracts, latest, quality, stats
+from quotelake.operators.newest import NewestFirst
 from quotelake.operators.intervals import interval_join as join_intervals
 from quotelake.plans import dashboard_sql, reports
 from quotelake.plans.backfill import backfill
-from quotelake.schemas import ENRICHED_LAKE_COLUMNS, RAW_RECORD_CONTRACT
+from quotelake.schemas import ENRICHED_LAKE_COLUMNS, FACT_COLUMNS, RAW_RECORD_CONTRACT
 from quotelake.session import ensure_utc, run_dir
 from quotelake.sinks import jdbc as jdbc_sink
 from quotelake.sinks import lake
+from quotelake.sinks.unique import append_unique as add_unique
 from quotelake.sources.adapters import BRAND_ORDER, brand_quotes, event_quotes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -524,3 +526,51 @@ def interval_join(spark, sf_dir):
     hit = join_intervals(q.select("symbol", "price_usd", "volume_24h", "recorded_at"), windows, ["symbol"])
     return hit.groupBy("window_id", "symbol").agg(F.count(F.lit(1)).alias("quotes"), F.max("price_usd").alias("max_price"),
                                                   F.sum("volume_24h").alias("volume"))
+
+
+def _by_day(spark: SparkSession, sf_dir: str, name: str) -> NewestFirst:
+    path = run_dir(spark, name)
+    lake.write_partitions(event_quotes(spark, sf_dir).withColumn("day", F.to_date("recorded_at")), path, ["day"])
+    return NewestFirst(spark, path)
+
+
+@register("latest_n_facts_days")
+def latest_n_facts_days(spark, sf_dir):
+    """The ten newest facts of a lake partitioned by day, opening the newest folders only."""
+    by = [F.col("recorded_at").desc(), F.col("row_id").desc()]
+    return _by_day(spark, sf_dir, "latest_n_days").latest_n(10, by).select("row_id", *FACT_COLUMNS)
+
+
+@register("q5_latest_days")
+def q5_latest_days(spark, sf_dir):
+    """Latest quote per symbol of a lake partitioned by day; older folders stay closed once every symbol is found."""
+    symbols = event_quotes(spark, sf_dir).select("symbol").distinct()
+    found = _by_day(spark, sf_dir, "q5_days").latest_per_key(symbols, columns=[c for c in FACT_COLUMNS if c != "symbol"])
+    return found.select(*reports.q5_latest(event_quotes(spark, sf_dir)).columns)
+
+
+@register("append_unique")
+def append_unique(spark, sf_dir):
+    """Two appends to a keyed table; the second overlaps the first by two days and repeats rows of its own."""
+    path = run_dir(spark, "append_unique")
+    q = raw_lake_rows(event_quotes(spark, sf_dir)).withColumn("day", F.to_date("recorded_at"))
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    later = q.where(F.col("recorded_at") >= F.lit("2024-01-14").cast("timestamp_ntz"))
+    add_unique(q.where(F.col("recorded_at") < cut), path, ["row_id", "recorded_at"])
+    refused = add_unique(later.unionByName(later.where("row_id % 10 = 0")), path, ["row_id", "recorded_at"])
+    stored = spark.read.parquet(path).groupBy(F.date_format("day", "yyyy-MM-dd").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return stored.select(F.lit("lake").alias("kind"), "name", "n").unionByName(
+        refused.groupBy(F.col("reason").alias("name")).agg(F.sum("n").alias("n")).select(F.lit("refused").alias("kind"), "name", "n"))
+
+
+@register("facts_clustered")
+def facts_clustered(spark, sf_dir):
+    """Facts laid out along a curve over (symbol, time) with Bloom filters, read back by a symbol and by a time filter."""
+    path = run_dir(spark, "facts_clustered")
+    lake.write_clustered(event_quotes(spark, sf_dir).select("row_id", *FACT_COLUMNS), path)
+    back = lake.read_lake(spark, path)
+    noon = [F.lit(f"2024-01-15 {h}:00:00").cast("timestamp_ntz") for h in (12, 13)]
+    by_symbol = back.where(F.col("symbol") == TREND_SYMBOL).select(F.lit("symbol").alias("filter"), "row_id", "price_usd")
+    in_hour = (F.col("recorded_at") >= noon[0]) & (F.col("recorded_at") < noon[1])
+    by_time = back.where(in_hour).select(F.lit("hour").alias("filter"), "row_id", "price_usd")
+    return by_symbol.unionByName(by_time)
