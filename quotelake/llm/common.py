@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +27,47 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+# Shuffle files of a finished write are of no use to anyone; this setting deletes them when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage is cut
-    and a lost executor costs a re-read, not a recomputation."""
-    path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and a lost executor costs a re-read, not a recomputation.  The shuffle files behind it are deleted when the write ends.
+    """
+    spark = df.sparkSession
+    path, before = path or run_dir(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The written tables of one job; each can be deleted as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = run_dir(self.spark, name)
+        table = written(df, name, path)
+        self.paths[id(table)] = (table, path)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        sc = self.spark.sparkContext
+        for table in tables:
+            _, folder = self.paths.pop(id(table))
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+    def drop_all(self, but: Sequence[DataFrame] = ()) -> None:
+        kept = {id(t) for t in but}
+        self.drop(*[t for k, (t, _) in list(self.paths.items()) if k not in kept])
 
 
 def ascii_lower(c: Column) -> Column:

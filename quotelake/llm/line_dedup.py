@@ -1,12 +1,20 @@
 """Line dedup by a distributed suffix array over line-ID sequences.
 
-Every line with a word is a symbol; a document is a sequence of symbols.  Prefix
-doubling sorts the suffixes by their first 1, 2, 4, ... symbols: round k ranks
-pairs (rank of the first half, rank of the second half).  Suffixes of one rank
-form an LCP interval: their first 2^k lines are equal.  Suffixes alone in
-their interval are finished and leave.  In each interval every suffix but the
-first in document order marks its 2^k lines as a later copy; the union of the
-marks are the repeated runs that go.
+Every line with a word is a symbol; a document is a sequence of symbols.  The longest block that begins at a line and
+also begins at an earlier line (of an earlier document, or earlier in the same one) is that line's maximal repeated run.  Runs
+with at least ``min_words`` words go, as a whole.
+
+Prefix doubling sorts the suffixes by their first 1, 2, 4, ... symbols: round k ranks
+pairs (rank of the first half, rank of the second half).  Suffixes of one rank form an LCP interval: their first 2^k
+lines are equal.  Suffixes alone in their interval leave.  Two overlapping ranks of round k name a block of any
+length from 2^k to 2^(k+1) - 1, so the ranks tell which blocks of any length are later copies.
+
+The depth of the array follows from the floor.  Every line has a word, so ``min_words`` lines always reach it.  Take a run that
+reaches the floor and a line in it: either the least block from the run's first line on that reaches the floor
+holds the line, or the least block that ends at the line and reaches it lies inside the run.  Both are blocks of at
+most ``min_words`` lines with the same earlier copy, and any such block lies in a run that reaches the floor.  So the
+lines that go are those of all *least blocks* (from a line on, or up to a line) that are later copies, and the suffixes
+must be sorted by their first ``min_words`` lines only, however long the runs are.
 
 DataFrame and SQL functions only.
 """
@@ -20,7 +28,7 @@ from pyspark.sql.window import Window
 from .common import WORD_PATTERN, written
 
 MIN_WORDS = 16
-_SPREAD = 10           # log2 of the order buckets that split one class
+ROWS_PER_BUCKET = 20_000   # of the order buckets that split one class; their number follows the input
 
 
 def _text_key(text: Column) -> Column:
@@ -44,16 +52,34 @@ def _ranked(pairs: DataFrame, bucket: Column) -> DataFrame:
 
 
 def _round(halves: DataFrame, bucket: Column) -> DataFrame:
-    """One doubling step: rows (doc, key, seq, r1, r2, words) to the suffixes that share their rank.
+    """One doubling step: rows (doc, key, seq, r1, r2) to (doc, key, seq, rank) of the suffixes that share their rank."""
+    pairs = halves.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n"))
+    ranks = _ranked(pairs.filter("n > 1"), bucket)
+    return halves.join(ranks, ["r1", "r2"]).select("doc", "key", "seq", "rank")
+
+
+def _least_block(words: Column, min_words: int) -> Column:
+    """How many of the first numbers of an array reach ``min_words``; null if all together do not."""
+    sums = F.aggregate(words, F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("n")),
+                       lambda a, w: F.when(a["sum"] >= min_words, a).otherwise(F.struct(a["sum"] + w, a["n"] + 1).cast("struct<sum:bigint,n:int>")))
+    return F.when(sums["sum"] >= min_words, sums["n"])
 
-    ``later``: not the first of the interval in (doc, key, seq) order.
+
+def _later_copies(blocks: DataFrame, ranks: DataFrame, length: int) -> DataFrame:
+    """(doc, key, seq, end) of the blocks (doc, key, seq, len) that equal an earlier block.
+
+    ``ranks`` are those of the first ``length`` lines, ``length <= len < 2 * length``.  Blocks are equal when the
+    ranks at their start and at ``length`` lines before their end are.
     """
-    pairs = halves.groupBy("r1", "r2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "key", "seq")).alias("first"))
-    ranks = _ranked(pairs.filter("n > 1"), bucket)
-    return (halves.join(ranks, ["r1", "r2"])
-            .select("doc", "key", "seq", "words", "rank",
-                    (F.struct("doc", "key", "seq") != F.col("first")).alias("later")))
+    here = (blocks.filter(f"len >= {length} AND len < {2 * length}")
+            .join(ranks.withColumnRenamed("rank", "r1"), ["doc", "key", "seq"])
+            .withColumn("inner", F.col("seq") + F.col("len") - length))
+    inner = ranks.select("doc", "key", F.col("seq").alias("inner"), F.col("rank").alias("r2"))
+    named = here.join(inner, ["doc", "key", "inner"])
+    place = F.struct("doc", "key", "seq")
+    first = named.groupBy("len", "r1", "r2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
+    return (named.join(first, ["len", "r1", "r2"]).filter(place != F.col("first"))
+            .select("doc", "key", "seq", (F.col("seq") + F.col("len")).alias("end")))
 
 
 def line_symbols(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -74,29 +100,37 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
                   text_col: str = "text") -> DataFrame:
     """(doc, key, runs): for every document with deletions, its runs of line positions [from, to].
 
-    A line goes if it lies in a block of 1, 2, 4, ... consecutive lines (lines without
-    words do not count) with at least ``min_words`` words in all that equals an
-    earlier block, earlier by (id, text hash, position).  Lines without words
-    go when they stand between two lines of one run.
+    A line goes if it lies in a maximal repeated run with at least ``min_words`` words: the longest block of
+    consecutive lines (lines without words do not count) from some line on that equals an earlier block, earlier by (id, text
+    hash, position).  Lines without words go when they stand between two lines of one run.
     """
     lines = line_symbols(docs, id_col, text_col)
-    # one shuffle by document serves both: one of each repeated row, and the numbering
+    # one shuffle by document serves all: one of each repeated row, the numbering and the least blocks
     lines = (lines.repartition("doc", "key").groupBy("doc", "key", "pos")
              .agg(F.first("line").alias("line"), F.first("words").alias("words")))
-    seq = F.row_number().over(Window.partitionBy("doc", "key").orderBy("pos")).cast("bigint")
-    lines = written(lines.withColumn("seq", seq), "line-symbols")
-    start = lines.select("doc", "key", "seq", "words", F.lit(0).cast("bigint").alias("r1"), F.col("line").alias("r2"))
-    live = written(_round(start, F.shiftright("r2", 64 - _SPREAD)), "line-round")
+    in_doc = Window.partitionBy("doc", "key").orderBy("pos")
+    ahead = F.collect_list("words").over(in_doc.rowsBetween(0, min_words - 1))
+    behind = F.reverse(F.collect_list("words").over(in_doc.rowsBetween(1 - min_words, 0)))
+    lines = lines.withColumn("seq", F.row_number().over(in_doc).cast("bigint"))
+    lines = lines.select("*", ahead.alias("ahead"), behind.alias("behind"))
+    lines = written(lines.select("doc", "key", "pos", "line", "seq", _least_block(F.col("ahead"), min_words).alias("on"),
+                                 _least_block(F.col("behind"), min_words).alias("up")), "line-symbols")
+    blocks = (lines.filter("on IS NOT NULL").select("doc", "key", "seq", F.col("on").alias("len"))
+              .unionByName(lines.filter("up IS NOT NULL").select("doc", "key", (F.col("seq") - F.col("up") + 1).alias("seq"),
+                                                                  F.col("up").alias("len"))).distinct())
+    spread = max(4, (lines.count() // ROWS_PER_BUCKET).bit_length())
+    start = lines.select("doc", "key", "seq", F.lit(0).cast("bigint").alias("r1"), F.col("line").alias("r2"))
+    live = written(_round(start, F.shiftright("r2", 64 - spread)), "line-round")
     size, length, marks = live.agg(F.max("rank")).first()[0], 1, []
     while size is not None:
-        enough = live.filter(F.col("later") & (F.col("words") >= min_words))
-        marks.append(enough.select("doc", "key", "seq", (F.col("seq") + length).alias("end")))
+        marks.append(_later_copies(blocks, live, length))
+        if 2 * length > min_words:
+            break
         x, y = live.alias("x"), live.alias("y")
         halves = (x.join(y, (F.col("x.doc") == F.col("y.doc")) & (F.col("x.key") == F.col("y.key"))
                          & (F.col("x.seq") + length == F.col("y.seq")))
-                  .select("x.doc", "x.key", "x.seq", (F.col("x.words") + F.col("y.words")).alias("words"),
-                          F.col("x.rank").alias("r1"), F.col("y.rank").alias("r2")))
-        bucket = F.floor(F.col("r2") * (1 << _SPREAD) / F.lit(size + 1)).cast("bigint")
+                  .select("x.doc", "x.key", "x.seq", F.col("x.rank").alias("r1"), F.col("y.rank").alias("r2")))
+        bucket = F.floor(F.col("r2") * (1 << spread) / F.lit(size + 1)).cast("bigint")
         live = written(_round(halves, bucket), "line-round")
         size, length = live.agg(F.max("rank")).first()[0], 2 * length
     if not marks:

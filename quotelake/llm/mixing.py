@@ -4,6 +4,10 @@ Token counts are summed by (source, language, topic) cell.  Raking scales the
 cells until the sums over each dimension meet their targets, never above what
 a cell has.  A document is then kept with its cell's probability, the raked
 share of the cell's tokens.
+
+Every value of a dimension is a margin of its own, however many there are.  The cells stay a table on Spark: a raking step is
+an aggregate over one dimension joined back to it.  A table that is measured to be small takes the same
+steps in arrays on the driver instead, which gives the same weights sooner.
 """
 
 from __future__ import annotations
@@ -16,9 +20,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, ascii_lower, written
+from quotelake.operators.joins import checked_broadcast
+
+from .common import WORD_PATTERN, Scratch, ascii_lower, written
 
-OTHER, NONE = "(other)", "(none)"
+NONE = "(none)"          # how a null source or language is shown; a real value of this name stays a value of its own
 DIMENSIONS = ("source", "lang", "topic")
 
 # Topics by surface form, first match wins; what matches none is "prose".  A text is only
@@ -34,17 +40,15 @@ TOPICS = (
 
 @dataclass(frozen=True)
 class MixRules:
-    """``targets``: per dimension {value: weight}; without one, natural shares to the power ``temper``.
-
-    A dimension keeps its ``max_values`` largest values by tokens as they are; the
-    rest share one pooled cell, so nothing is left out and the cells stay bounded.
+    """``targets``: per dimension {value: weight}, None standing for null; without one, natural shares to the power
+    ``temper``.  Up to ``driver_cells`` cells are raked in arrays, more of them on Spark, with the same result.
     """
 
     keep_share: float = 0.7        # tokens to keep, as a share of all
     temper: float = 0.7
     targets: dict = field(default_factory=dict)
     topics: tuple = TOPICS
-    max_values: int = 500
+    driver_cells: int = 200_000
     rounds: int = 200
     tolerance: float = 1e-6
     seed: int = 20
@@ -74,10 +78,10 @@ def rake(keys: list[tuple], have: np.ndarray, targets: list[dict], rules: MixRul
         return np.zeros(len(have))
     dims = []
     for d, target in enumerate(targets):
-        names = sorted({k[d] for k in keys})
-        at = np.array([names.index(k[d]) for k in keys])
-        natural = np.bincount(at, have, len(names))
-        goal = np.array([float(target.get(v, 0.0)) for v in names]) if target else \
+        number: dict = {}
+        at = np.array([number.setdefault(k[d], len(number)) for k in keys])
+        natural = np.bincount(at, have, len(number))
+        goal = np.array([float(target.get(v, 0.0)) for v in number]) if target else \
             np.where(natural > 0, natural, 0) ** rules.temper
         goal = np.where(natural > 0, goal, 0)
         if goal.sum() <= 0:
@@ -95,40 +99,76 @@ def rake(keys: list[tuple], have: np.ndarray, targets: list[dict], rules: MixRul
     return take
 
 
-def _value(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(NONE))
+def rake_on_spark(cells: DataFrame, targets: list[dict], rules: MixRules) -> DataFrame:
+    """(cell columns, tokens, take): the same steps as ``rake`` on a table of cells.
+
+    Each step sums one dimension and joins the sums back; a round is written, so its lineage is one round long.  The sums
+    are broadcast behind a size check only, and a value with a third of all cells is split by the join.
+    """
+    scratch = Scratch(cells.sparkSession)
+    budget = (cells.agg(F.sum("tokens")).first()[0] or 0) * rules.keep_share
+    state = cells.withColumn("take", F.col("tokens") * F.lit(rules.keep_share))
+    if budget <= 0:
+        return state.withColumn("take", F.lit(0.0))
+
+    def joined(df: DataFrame, side: DataFrame, d: str) -> DataFrame:
+        side = checked_broadcast(side.withColumnRenamed(d, "_value"))
+        return df.join(side, F.col(d).eqNullSafe(F.col("_value"))).drop("_value")
+
+    for d, target in zip(DIMENSIONS, targets):
+        natural = cells.groupBy(d).agg(F.sum("tokens").cast("double").alias("natural"))
+        goal = F.when(F.col("natural") > 0, F.pow("natural", F.lit(rules.temper))).otherwise(0.0)
+        if target:
+            wanted = cells.sparkSession.createDataFrame([(v, float(w)) for v, w in target.items()], "wanted string, weight double")
+            natural = natural.join(wanted, F.col(d).eqNullSafe(F.col("wanted")), "left").drop("wanted")
+            goal = F.when(F.col("natural") > 0, F.coalesce("weight", F.lit(0.0))).otherwise(0.0)
+        side = scratch.written(natural.select(d, "natural", goal.alias("goal")), "mix-goals")
+        total = side.agg(F.sum("goal").alias("goal"), F.sum("natural").alias("natural")).first()
+        share = F.col("goal") / total["goal"] if total["goal"] > 0 else F.col("natural") / total["natural"]
+        state = joined(state, side.select(d, (share * budget).alias("goal_" + d)), d)
+    state = scratch.written(state, "mix-round")
+    n = state.count()
+    for _ in range(rules.rounds):
+        after = state.withColumn("before", F.col("take"))
+        for d in DIMENSIONS:
+            now = after.groupBy(d).agg(F.sum("take").alias("now"))
+            scaled = F.when(F.col("now") > 0, F.col("take") * F.col("goal_" + d) / F.col("now")).otherwise(0.0)
+            after = joined(after, now, d).withColumn("take", F.least(scaled, F.col("tokens").cast("double"))).drop("now")
+        after = scratch.written(after, "mix-round")
+        moved = after.agg(F.max(F.abs(F.col("take") - F.col("before")))).first()[0]
+        scratch.drop(state)
+        state = after.drop("before")
+        scratch.paths[id(state)] = (state, scratch.paths.pop(id(after))[1])
+        if moved <= rules.tolerance * budget / n:
+            break
+    return state
 
 
 def _keyed(docs: DataFrame, rules: MixRules, text_col: str, source_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       _value(F.col(source_col)).alias("source"), _value(F.col(lang_col)).alias("lang"),
+                       F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang"),
                        topic_of(F.col(text_col), rules.topics).alias("topic"),
                        n_tokens(F.col(text_col)).alias("n_tokens"))
 
 
 def calibrate(docs: DataFrame, rules: MixRules = MixRules(), text_col: str = "text",
               source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """Small table of cells: source, lang, topic (raw values or the pooled one), tokens, probability, weight."""
+    """Table of cells: source, lang (null as it is), topic, tokens, probability, weight."""
     spark = docs.sparkSession
     cells = written(_keyed(docs, rules, text_col, source_col, lang_col).groupBy(*DIMENSIONS)
                     .agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    largest = {}
-    for d in DIMENSIONS:
-        top = cells.groupBy(d).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), d).limit(rules.max_values)
-        largest[d] = sorted(r[0] for r in top.collect())
-    pooled = cells
-    for d in DIMENSIONS:
-        pooled = pooled.withColumn(d, F.when(F.col(d).isin(largest[d]), F.col(d)).otherwise(OTHER))
-    got = pooled.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).collect()   # bounded by max_values
-    got.sort(key=lambda r: tuple(r[d] for d in DIMENSIONS))
-    keys, have = [tuple(r[d] for d in DIMENSIONS) for r in got], np.array([float(r["tokens"] or 0) for r in got])
-    take = rake(keys, have, [rules.targets.get(d, {}) for d in DIMENSIONS], rules)
-    rows = []
-    for k, h, t in zip(keys, have, take):
-        p = float(t / h) if h > 0 else rules.keep_share
-        rows.append((*k, int(h), p, p / rules.keep_share))
-    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens bigint, "
-                                       "probability double, weight double"), largest
+    targets = [rules.targets.get(d, {}) for d in DIMENSIONS]
+    if cells.count() <= rules.driver_cells:
+        got = cells.collect()                          # measured
+        got.sort(key=lambda r: [(r[d] is not None, r[d]) for d in DIMENSIONS])
+        keys, have = [tuple(r[d] for d in DIMENSIONS) for r in got], np.array([float(r["tokens"] or 0) for r in got])
+        take = rake(keys, have, targets, rules)
+        taken = spark.createDataFrame([(*k, int(h), float(t)) for k, h, t in zip(keys, have, take)],
+                                      "source string, lang string, topic string, tokens bigint, take double")
+    else:
+        taken = rake_on_spark(cells, targets, rules)
+    probability = F.when(F.col("tokens") > 0, F.col("take") / F.col("tokens")).otherwise(F.lit(rules.keep_share))
+    return taken.select(*DIMENSIONS, "tokens", probability.alias("probability"), (probability / rules.keep_share).alias("weight"))
 
 
 def _chance(*cols: Column) -> Column:
@@ -143,15 +183,14 @@ def mixed(docs: DataFrame, rules: MixRules = MixRules(), id_col: str = "doc_id",
     Null sources and languages are values of their own; a null or empty text counts no
     token.  The draw depends on id, text and seed only, so repeated rows share it.
     """
-    cells, largest = calibrate(docs, rules, text_col, source_col, lang_col)
+    cells = calibrate(docs, rules, text_col, source_col, lang_col)
     rows = _keyed(docs, rules, text_col, source_col, lang_col)
-    for d in DIMENSIONS:
-        rows = rows.withColumn("_" + d, F.when(F.col(d).isin(largest[d]), F.col(d)).otherwise(OTHER))
     cells = cells.select(*[F.col(d).alias("_c" + d) for d in DIMENSIONS], "probability", "weight")
-    same = [F.col("_" + d) == F.col("_c" + d) for d in DIMENSIONS]
+    same = [F.col(d).eqNullSafe(F.col("_c" + d)) for d in DIMENSIONS]
     chance = _chance(F.lit(rules.seed), F.col(f"_row.`{id_col}`"), F.col(f"_row.`{text_col}`"))
-    return (rows.join(F.broadcast(cells), same)       # bounded: max_values per dimension, observed cells only
-            .select("_row", *DIMENSIONS, "n_tokens", "weight", "probability",
+    shown = [F.coalesce(F.col(d), F.lit(NONE)).alias(d) for d in DIMENSIONS]
+    return (rows.join(checked_broadcast(cells), same)
+            .select("_row", *shown, "n_tokens", "weight", "probability",
                     (chance < F.col("probability")).alias("kept")))
 
 

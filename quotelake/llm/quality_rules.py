@@ -4,12 +4,17 @@ A text is compressed as a whole and in fixed chunks with zstandard.  Text that
 shrinks too far is repetitive, text that does not shrink is noise; how far prose
 shrinks depends on its length, so the limits are given per length band.  The
 base counts (words, symbols, repeated lines and windows) come from the same pass.
+
+``calibrated`` measures the limits: ratios of all texts and of all chunks that pass the base counts are counted by
+length band in steps of 0.001, and a band's limits are its median plus and minus a multiple of the quartile distances, which a
+minority of junk does not move.  A band with few texts leans on the given limits.  What compresses like prose of its length
+(hexadecimal noise under a page, random letters under half a page) stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,7 @@ class CompressionRules:
     chunk_bytes: int = 4096
     whole: tuple = WHOLE_BANDS
     chunk: tuple = CHUNK_BANDS
+    least_chunk: int = 1024
     max_bad_chunks: float = 0.5
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -67,8 +73,8 @@ def compression_verdict(raw: bytes, rules: CompressionRules, zc: zstandard.ZstdC
     bad = chunks = 0
     for i in range(0, n, rules.chunk_bytes):
         part = raw[i:i + rules.chunk_bytes]
-        if i and len(part) < rules.chunk_bytes // 4:
-            continue                      # a short tail is judged with the whole text
+        if i and len(part) < rules.least_chunk:
+            continue                      # too short for a ratio of its own; judged with the whole text
         r = ratio if len(part) == n else len(zc.compress(part)) / len(part)
         lo, hi = band_of(len(part), rules.chunk)
         bad += not lo <= r <= hi
@@ -169,6 +175,72 @@ def failed_base(m: Column, rules: CompressionRules = CompressionRules()) -> Colu
     return (n < rules.min_words) | (100 * m["n_repeat_words"] > rules.max_repeat_percent * n)
 
 
+STEP = 1000                          # ratios are counted in steps of 1 / STEP
+
+
+def ratio_counts(docs: DataFrame, rules: CompressionRules, text_col: str = "text") -> DataFrame:
+    """(kind, band, step, n): how many texts (kind 0) and chunks (kind 1) of each length band have which ratio.
+
+    Over all texts that pass the base counts; the table has at most a few thousand rows whatever the input.
+    """
+    whole, chunk = [np.array([b[0] for b in bands]) for bands in (rules.whole, rules.chunk)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zc = zstandard.ZstdCompressor(level=rules.level)
+        total: dict[tuple[int, int, int], int] = {}
+
+        def add(kind: int, bands: np.ndarray, part: bytes) -> None:
+            key = (kind, int(np.searchsorted(bands, len(part), side="right")), int(len(zc.compress(part)) * STEP / len(part)))
+            total[key] = total.get(key, 0) + 1
+
+        for batch in batches:
+            for _, data, offsets in text_batches([batch], "text"):
+                words, rows = word_hashes(data, offsets)
+                n, repeated = np.diff(rows), _repeated_words(words, rows)
+                raw = data.tobytes()
+                for i in np.flatnonzero((n >= rules.min_words) & (100 * repeated <= rules.max_repeat_percent * n)):
+                    text = raw[offsets[i]:offsets[i + 1]]
+                    add(0, whole, text)
+                    for at in range(0, len(text), rules.chunk_bytes):
+                        if at == 0 or len(text) - at >= rules.least_chunk:
+                            add(1, chunk, text[at:at + rules.chunk_bytes])
+        keys = list(total)
+        yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in keys], pa.int32()) for j in range(3)]
+                                         + [pa.array([total[k] for k in keys], pa.int64())], names=["kind", "band", "step", "n"])
+
+    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "kind int, band int, step int, n bigint")
+    return parts.groupBy("kind", "band", "step").agg(F.sum("n").alias("n"))
+
+
+def fences(steps: np.ndarray, counts: np.ndarray, low: float, high: float, spread: float, prior: int) -> tuple[float, float]:
+    """Limits of one band: median -/+ ``spread`` times the distance to the quartiles, drawn to (low, high) by ``prior`` texts."""
+    total = int(counts.sum())
+    if total == 0:
+        return low, high
+    order = np.argsort(steps)
+    share = np.cumsum(counts[order]) / total
+    q1, median, q3 = (steps[order][np.searchsorted(share, q)] / STEP for q in (0.25, 0.5, 0.75))
+    mine = total / (total + prior)
+    return (float(mine * (median - spread * max(median - q1, 1 / STEP)) + (1 - mine) * low),
+            float(mine * (median + spread * max(q3 - median, 1 / STEP) + 1 / STEP) + (1 - mine) * high))
+
+
+def calibrated(docs: DataFrame, rules: CompressionRules = CompressionRules(), text_col: str = "text", spread: float = 5.0,
+               prior: int = 50, max_bad_chunks: float = 0.2, least_chunk: int = 512) -> CompressionRules:
+    """``rules`` with limits measured over all of ``docs`` (see the module's text), and tails from ``least_chunk`` bytes judged."""
+    rules = replace(rules, max_bad_chunks=max_bad_chunks, least_chunk=least_chunk)
+    got = ratio_counts(docs, rules, text_col).collect()          # at most bands * steps rows
+    out = []
+    for kind, bands in enumerate((rules.whole, rules.chunk)):
+        made = []
+        for b, (below, low, high) in enumerate(bands):
+            mine = [(r["step"], r["n"]) for r in got if r["kind"] == kind and r["band"] == b]
+            steps, counts = np.array([m[0] for m in mine]), np.array([m[1] for m in mine], np.int64)
+            made.append((below, *fences(steps, counts, low, high, spread, prior)))
+        out.append(tuple(made))
+    return replace(rules, whole=out[0], chunk=out[1])
+
+
 def quality_table(docs: DataFrame, rules: CompressionRules = CompressionRules(),
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, base counts, ratios, ``base_failed``, ``kept``.

@@ -19,7 +19,7 @@ from .line_dedup import MIN_WORDS, deduplicate_lines
 from .mixing import mix_table
 from .ngram_join import near_duplicates
 from .packing import pack_documents
-from .quality_rules import quality_table
+from .quality_rules import calibrated, quality_table
 from .secret_scan import secret_digest, secret_spans
 from .substring_dedup import near_duplicate_passages
 from .url_filter import url_verdicts
@@ -59,7 +59,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_table(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_table(docs, calibrated(docs))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,21 +112,19 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, way.y
 SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(reach.b) AS component_id
 FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n"""
 
-_LEVELS = range(14)        # blocks of up to 8192 lines
-_BLOCKS = "\nUNION ALL\n".join(f"""
-SELECT doc_id, seq, {1 << k} AS len FROM (
-  SELECT doc_id, seq, words, n, row_number() OVER (PARTITION BY block ORDER BY doc_id, seq) AS nth FROM (
-    SELECT doc_id, seq, count(*) OVER v AS n, sum(words) OVER v AS words, md5(string_agg(line, chr(10)) OVER v) AS block
-    FROM sym WINDOW v AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN CURRENT ROW AND {(1 << k) - 1} FOLLOWING))
-  WHERE n = {1 << k})
-WHERE nth > 1 AND words >= {MIN_WORDS}""" for k in _LEVELS)
-
 ORACLE["op4_line_dedup"] = f"""
-WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+WITH RECURSIVE l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 p AS (SELECT doc_id, ls, unnest(range(0, len(ls))) AS pos FROM l),
 q AS (SELECT doc_id, pos, ls[pos + 1] AS line, len(regexp_extract_all(ls[pos + 1], '{_WORD}')) AS words FROM p),
 sym AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM q WHERE words > 0),
-marks AS ({_BLOCKS}),
+block AS (SELECT doc_id, seq, 1 AS len, words, md5(line) AS h, row_number() OVER (PARTITION BY line ORDER BY doc_id, seq) > 1 AS later
+    FROM sym QUALIFY count(*) OVER (PARTITION BY line) > 1
+  UNION ALL
+  SELECT doc_id, seq, len, words, h, row_number() OVER (PARTITION BY h ORDER BY doc_id, seq) > 1
+  FROM (SELECT b.doc_id, b.seq, b.len + 1 AS len, b.words + s.words AS words, md5(b.h || s.line) AS h
+        FROM block b JOIN sym s ON s.doc_id = b.doc_id AND s.seq = b.seq + b.len)
+  QUALIFY count(*) OVER (PARTITION BY h) > 1),
+marks AS (SELECT doc_id, seq, max(len) AS len FROM block WHERE later GROUP BY doc_id, seq HAVING max(words) >= {MIN_WORDS}),
 gone AS (SELECT DISTINCT doc_id, unnest(range(seq, seq + len)) AS seq FROM marks),
 isle AS (SELECT g.doc_id, s.pos, g.seq - row_number() OVER (PARTITION BY g.doc_id ORDER BY g.seq) AS isle
          FROM gone g JOIN sym s ON s.doc_id = g.doc_id AND s.seq = g.seq),

@@ -12,7 +12,7 @@ from llm_cases import case_rows, frame, lines, prose, words_of  # noqa: E402
 
 from quotelake.llm.common import tokenizer_path  # noqa: E402
 from quotelake.llm.line_dedup import MIN_WORDS, deduplicate_lines, line_dedup_filter, repeated_runs  # noqa: E402
-from quotelake.llm.mixing import MixRules, mix_filter, mix_table, rake  # noqa: E402
+from quotelake.llm.mixing import MixRules, calibrate, mix_filter, mix_table, rake  # noqa: E402
 from quotelake.llm.packing import (CAPACITY, WordTokens, best_fit, make_plan, pack, pack_documents,  # noqa: E402
                                    packed_tokens, reduce_sizes, token_pieces)
 from quotelake.llm.vector_topk import SearchRules, top_k  # noqa: E402
@@ -23,17 +23,20 @@ from quotelake.llm.vector_topk import SearchRules, top_k  # noqa: E402
 def brute_lines(rows, min_words=MIN_WORDS):
     """{(id, text): (ranges, new text)}; documents come in (id, hash) order, which ``rows`` must have."""
     docs = [(d, t, [(p, x, len(words_of(x))) for p, x in enumerate(t.split("\n")) if words_of(x)]) for d, t in rows]
-    gone = collections.defaultdict(set)
-    size = 1
-    while any(len(s) >= size for _, _, s in docs):
-        seen = set()
+    longest, size, more = {}, 1, True
+    while more:                                        # the longest block from every line on that stood earlier
+        seen, more = set(), False
         for i, (_, _, s) in enumerate(docs):
             for k in range(len(s) - size + 1):
                 block = tuple(x for _, x, _ in s[k:k + size])
-                if block in seen and sum(w for _, _, w in s[k:k + size]) >= min_words:
-                    gone[i].update(range(k, k + size))
+                if block in seen:
+                    longest[i, k], more = size, True
                 seen.add(block)
-        size *= 2
+        size += 1
+    gone = collections.defaultdict(set)
+    for (i, k), size in longest.items():
+        if sum(w for _, _, w in docs[i][2][k:k + size]) >= min_words:
+            gone[i].update(range(k, k + size))
     out = {}
     for i, (d, t, s) in enumerate(docs):
         runs = []
@@ -48,6 +51,24 @@ def brute_lines(rows, min_words=MIN_WORDS):
     return out
 
 
+@pytest.mark.parametrize("words", [[6] * 3, [3] * 7, [2, 2, 2, 2, 2, 45], [45, 2, 2, 2, 2], [1] * 16, [1] * 15, [15], [16], [5, 5, 5]])
+def test_whole_runs_reach_the_floor(spark, words):
+    """The floor counts the words of the whole maximal run, whatever its number of lines."""
+    run = [" ".join(prose(100 + i, n, 5000)) for i, n in enumerate(words)]
+    rows = [(1, "\n".join(["alone one"] + run + ["the end"])), (2, "\n".join(["other start"] + run + ["other end"]))]
+    got = {r.doc_id: r.removed for r in deduplicate_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: "", 2: f"1-{len(run)}" if sum(words) >= 16 else ""}
+
+
+def test_random_short_lines_against_brute_force(spark):
+    for seed, floor in ((1, 16), (2, 5), (3, 1)):
+        rng = np.random.default_rng(seed)
+        pool = [" ".join(prose(int(i), int(rng.integers(1, 5)))) for i in range(4)] + [" "]
+        rows = [(i, "\n".join(pool[k] for k in rng.integers(0, len(pool), int(rng.integers(1, 30))))) for i in range(40)]
+        got = {r.doc_id: (r.removed, r.text) for r in deduplicate_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), floor).collect()}
+        assert got == {d: v for (d, _), v in brute_lines(rows, floor).items()}
+
+
 def test_line_runs_against_brute_force(spark):
     rng = np.random.default_rng(4)
     pool = [" ".join(prose(int(i), int(rng.integers(1, 30)))) for i in range(25)] + ["", "  "]
@@ -122,8 +143,28 @@ def test_mix_sample_follows_probabilities(spark):
     assert sum(r.probability for r in got) == pytest.approx(0.7 * 1500, rel=0.01)
     again = {r.doc_id for r in mix_filter(df).collect()}
     assert again == {r.doc_id for r in got if r.kept}
-    pooled = {r.doc_id: r for r in mix_table(df, MixRules(max_values=2)).collect()}
-    assert len(pooled) == 1500                      # values beyond the limit share a cell; none is lost
+
+
+def test_every_value_is_its_own_margin(spark):
+    """600 sources with equal targets: all keep their share; raking on Spark and in arrays agree."""
+    rows = [(i, "w " * (5 + i % 4), "en", f"s{i % 600}") for i in range(3600)] + [(9000 + i, "w " * 20, "en", "hot") for i in range(1200)]
+    rows += [(20_000, "w w", "(none)", None), (20_001, "w w", None, "(none)")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    targets = {"source": {**{f"s{i}": 1.0 for i in range(600)}, None: 1.0, "(none)": 1.0, "gone": 5.0}}
+    rules = MixRules(keep_share=0.4, targets=targets)
+    cells = {(r.source, r.lang, r.topic): r for r in calibrate(df, rules).collect()}
+    total = 0.4 * sum(r.tokens for r in cells.values())
+    assert len(cells) == 603 and cells["hot", "en", "prose"].probability == 0
+    for i in range(600):
+        r = cells[f"s{i}", "en", "prose"]
+        assert r.probability * r.tokens == pytest.approx(min(r.tokens, total / 602), rel=0.02)
+    far = {(r.source, r.lang, r.topic): r for r in calibrate(df, MixRules(keep_share=0.4, targets=targets, driver_cells=0, rounds=6)).collect()}
+    near = {(r.source, r.lang, r.topic): r for r in calibrate(df, MixRules(keep_share=0.4, targets=targets, rounds=6)).collect()}
+    assert far.keys() == near.keys()
+    assert all(far[k].probability == pytest.approx(near[k].probability, rel=1e-9, abs=1e-12) for k in far)
+    got = {r.doc_id: (r.source, r.lang) for r in mix_table(df, rules).filter("doc_id >= 20000").collect()}
+    assert got == {20_000: ("(none)", "(none)"), 20_001: ("(none)", "(none)")}
+    assert len(mix_table(df, rules).collect()) == len(rows)
 
 
 def test_topics_are_whole_marks_in_any_case(spark):

@@ -1,21 +1,25 @@
+import base64
 import collections
 import hashlib
 import os
+import random
 import re
+import string
 import sys
 import zlib
 
 import numpy as np
 import zstandard
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 from llm_cases import case_rows, frame, prose, words_of  # noqa: E402
 
 from quotelake.llm.common import distinct_per_row, shingle_hashes, word_hashes  # noqa: E402
 from quotelake.llm.language_id import LanguageRules, fit_temperature, identify, softmax, train_ftrl  # noqa: E402
-from quotelake.llm.quality_rules import (CompressionRules, band_of, quality_filter, quality_table)  # noqa: E402
+from quotelake.llm.quality_rules import (CompressionRules, band_of, calibrated, fences, quality_filter, quality_table)  # noqa: E402
 from quotelake.llm.queries import URL_RULES  # noqa: E402
-from quotelake.llm.secret_scan import base_spans, secret_digest, secret_spans  # noqa: E402
+from quotelake.llm.secret_scan import IDENTIFIERS, NoveltyRules, base_spans, scan_text, secret_digest, secret_spans  # noqa: E402
 from quotelake.llm.url_filter import TemplateRules, url_verdicts  # noqa: E402
 
 
@@ -87,6 +91,50 @@ def test_quality_counts_and_verdicts(spark):
     assert sorted((r.doc_id for r in passed.collect()), key=key) == sorted((r.doc_id for r in got if r.kept), key=key)
 
 
+def noise_rows():
+    rng = np.random.default_rng(9)
+
+    def spaced(text, k):
+        return " ".join(text[i:i + k] for i in range(0, len(text), k))
+
+    out = []
+    for n in (700, 1500, 3000, 8000, 16_000):
+        out += [(f"base64 {n}", spaced(base64.b64encode(rng.bytes(n)).decode()[:n], 8)),
+                (f"hex {n}", spaced(rng.bytes(n // 2).hex(), 8)),
+                (f"printable {n}", "".join(chr(33 + int(c)) if c < 94 else " " for c in rng.integers(0, 106, n)))]
+    return out + [(f"letters {n}", spaced("".join(chr(97 + int(c)) for c in rng.integers(0, 26, n)), 7)) for n in (8000, 16_000)]
+
+
+def test_measured_bands_reject_noise_and_keep_prose(spark):
+    """Limits measured over the corpus: noise of every band goes, labelled good documents stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rules = calibrated(docs)
+    noise = noise_rows()
+    got = quality_table(spark.createDataFrame(list(enumerate(t for _, t in noise)), "doc_id bigint, text string"), rules).collect()
+    kept = [noise[r.doc_id][0] for r in got if r.kept and not r.base_failed]
+    # sixteen symbols take half a byte each: as short pieces they compress like prose, which no band can tell
+    assert set(kept) <= {"hex 700", "hex 1500", "hex 3000"}
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").filter("quality = 1")
+    good = quality_table(docs, rules).join(labels, "doc_id").filter("NOT base_failed")
+    lost, total = good.filter("NOT kept").count(), good.count()
+    assert total > 1000 and lost <= 0.01 * total
+
+
+def test_fences_follow_quartiles_and_the_prior():
+    steps, counts = np.arange(400, 601), np.full(201, 1000)
+    low, high = fences(steps, counts, 0.1, 0.9, 3.0, 0)
+    assert abs(low - (0.5 - 0.15)) < 0.002 and abs(high - (0.5 + 0.15)) < 0.003
+    assert fences(steps[:0], counts[:0], 0.1, 0.9, 3.0, 50) == (0.1, 0.9)
+    near, far = fences(steps, counts // 1000, 0.1, 0.9, 3.0, 20_100)
+    assert abs(near - 0.1) < 0.01 and abs(far - 0.9) < 0.01
+
+
+def test_limits_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert calibrated(docs.repartition(7)) == calibrated(docs.coalesce(1))
+    assert calibrated(frame(spark, []).limit(0)).whole == CompressionRules().whole
+
+
 def test_quality_empty_table(spark):
     df = frame(spark, []).limit(0)
     assert quality_table(df).collect() == [] and quality_filter(df).collect() == []
@@ -142,6 +190,43 @@ def test_secret_novelty(spark):
     assert base_spans(text) == []
 
 
+def test_novelty_tells_keys_from_identifiers():
+    """Labelled strings near a sensitive word: random keys of many alphabets and lengths against names of code and prose."""
+    rng = random.Random(6)
+    words = [w for w in IDENTIFIERS.split() if w.isalpha() and len(w) < 20]
+    other = "quarterly revenue forecast warehouse shipment catalogue telescope laboratory hypothesis elevator mountain satellite".split()
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    alphabets = [upper + lower + digits, upper + lower, digits + "abcdef", upper + digits, upper + lower + digits + "+/"]
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (12, 16, 20, 32, 48) for _ in range(4)]
+    names = []
+    for vocabulary in (words, other):
+        for n in range(2, 6):
+            for sep in "_-":
+                picked = [rng.choice(vocabulary) for _ in range(n)]
+                names += [sep.join(picked), sep.join(picked) + str(rng.randint(0, 99)), "".join(w.capitalize() for w in picked)]
+    names = [x for x in names if len(x) >= 10]
+    places = ["the bearer credential is {} here", "{} is the secret", "rotate passphrase\n{}\nbefore monday", "see {} (private key)"]
+
+    def found(x):
+        return [any(s.startswith("novel:") for s in scan_text(p.format(x), NoveltyRules())["spans"].split(",")) for p in places]
+
+    hits = [f for x in keys for f in found(x)]
+    false = [f for x in names for f in found(x)]
+    assert np.mean(hits) > 0.9 and np.mean(false) < 0.03, (np.mean(hits), np.mean(false))
+
+
+def test_parts_of_dotted_tokens_and_distance():
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0xZ.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJVadQssw5c"
+    text = "authorization bearer " + token
+    spans = [tuple(map(int, s.split(":")[1:])) for s in scan_text(text, NoveltyRules())["spans"].split(",")]
+    assert [text[a:b] for a, b in spans][-1] == token.split(".")[2] and len(spans) >= 2
+    key = "Zx81kQpLmW3vTn7RbYc2HdUe"
+    for gap, near in ((100, True), (400, False)):
+        for text in ("secret" + " ." * (gap // 2) + " " + key, key + " " + ". " * (gap // 2) + "secret"):
+            assert (scan_text(text, NoveltyRules())["n_novel"] == 1) == near
+    assert scan_text("secret " + key * 400, NoveltyRules())["n_novel"] <= 1      # one token, however long
+
+
 def test_secret_empty_and_awkward(spark):
     assert secret_spans(frame(spark, []).limit(0)).collect() == []
     got = secret_spans(frame(spark, case_rows())).collect()
@@ -208,6 +293,72 @@ def test_url_similar_branches_merge(spark):
     assert got[0].bad_share == got[100].bad_share == (39 + 1) / (40 + 5)
 
 
+def brute_tree(pages, rules=TemplateRules()):
+    """{(host, path): branch members, bad share} level by level in plain Python; ``pages``: (host, path, label)."""
+    def typed(seg):
+        m = re.fullmatch(r"(.*?)(\.[a-z]{1,5})?", seg, re.S)
+        body, end = m.group(1), m.group(2) or ""
+        return "{num}" + end if re.fullmatch("[0-9]+", body) else seg
+
+    segs = {p: [typed(s) for s in p[1].split("/") if s] for p in {(h, p) for h, p, _ in pages}}
+    made = {p: [] for p in segs}
+    for level in range(max(map(len, segs.values()))):
+        node, labelled = collections.Counter(), collections.Counter()
+        for h, p, label in pages:
+            s = segs[h, p]
+            if level < len(s):
+                node[h, tuple(made[h, p]), s[level]] += 1
+                labelled[h, tuple(made[h, p]), s[level]] += label is not None
+        place = collections.defaultdict(list)
+        for (h, t, _), n in node.items():
+            place[h, t].append(n)
+        for p, s in segs.items():
+            if level < len(s):
+                k = (p[0], tuple(made[p]), s[level])
+                unseen = place[k[:2]].count(1) / sum(place[k[:2]])
+                rare = unseen > rules.unseen_share and node[k] < rules.min_pages and labelled[k] < rules.min_labels
+                made[p] = made[p] + ["{any}" if rare and not s[level].startswith("{") else s[level]]
+    return {p: "/" + "/".join(t) for p, t in made.items()}
+
+
+def test_url_templates_against_brute_force(spark):
+    rng = random.Random(12)
+    pages = []
+    for host in ("a.com", "b.com"):
+        for i in range(400):
+            first = rng.choice(["news", "blog", "shop", f"u{rng.randint(0, 10**6)}", f"u{rng.randint(0, 40)}"])
+            rest = rng.choice([f"{rng.randint(1, 999)}", "about", f"{rng.randint(1, 99)}.html", f"x{rng.randint(0, 300)}/end"])
+            pages.append((host, f"/{first}/{rest}", rng.choice([None, None, 0, 1])))
+    df = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(pages)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, x) for i, (_, _, x) in enumerate(pages) if x is not None], "id bigint, bad int")
+    got = url_verdicts(df, [], labels=labels).collect()
+    want = brute_tree(pages)
+    assert {(r.host, r.path): r.template for r in got} == want
+    branch = collections.defaultdict(list)
+    for r in got:
+        branch[r.host, r.branch].append(r)
+    for rows in branch.values():                       # the branch's smoothed share, from its own labels
+        mine = [pages[r.page_id][2] for r in rows if pages[r.page_id][2] is not None]
+        assert abs(rows[0].bad_share - (sum(mine) + 1) / (len(mine) + 5)) < 1e-9
+
+
+def test_url_page_without_a_rule_is_blocked_by_content(spark):
+    junk = "<p>" + " ".join(["word***", "buy%%%", "now$$$", "text"] * 20) + "</p>"
+    rows = [(i, f"http://s.com/{b}/{i}", junk if b == "spam" else "<p>plain words in a row</p>") for b in ("spam", "good") for i in range(60)]
+    rows = [(k, u, h) for k, (_, u, h) in enumerate(rows)]
+    got = url_verdicts(spark.createDataFrame(rows, "page_id bigint, url string, html string"), URL_RULES, html_col="html").collect()
+    assert {r.verdict for r in got if "/spam/" in r.path} == {"block"} and {r.verdict for r in got if "/good/" in r.path} == {"allow"}
+    assert all(r.rule is None for r in got)
+
+
+def test_url_hot_host_and_deep_paths(spark):
+    deep = "http://h.com/" + "/".join(f"s{i}" for i in range(40))
+    rows = [(i, deep + f"/{i % 3}") for i in range(50)] + [(100 + i, "http://h.com/") for i in range(300)] + [(None, None), (1, None)]
+    got = url_verdicts(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES).collect()
+    assert len(got) == len(rows)
+    assert {r.template for r in got if r.path and "s39" in r.path} == {"/" + "/".join(f"s{i}" for i in range(40)) + "/{num}"}
+
+
 def test_url_empty_table(spark):
     assert url_verdicts(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).collect() == []
 
@@ -244,6 +395,19 @@ def test_language_awkward_rows(spark):
     assert [tuple(r)[2:] for r in none] == [("und", 0.0)]
 
 
+def test_language_does_not_depend_on_neighbours(spark):
+    """No gram reaches into the next row: labels and scores are the same however rows are dealt and ordered."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.unionByName(spark.createDataFrame([(90_000 + i, t, None) for i, t in enumerate(["", "123", "¿? --", None])],
+                                                  "doc_id bigint, text string, lang string"))
+    want = {r.doc_id: tuple(r) for r in identify(docs.coalesce(1)).collect()}
+    for other in (docs.repartition(13), docs.orderBy(F.xxhash64("doc_id")), docs.orderBy(F.desc("doc_id")).coalesce(1)):
+        got = {r.doc_id: tuple(r) for r in identify(other).collect()}
+        assert {k: v[:3] for k, v in got.items()} == {k: v[:3] for k, v in want.items()}
+        assert all(abs(got[k][3] - want[k][3]) < 1e-9 for k in want)
+    assert all(want[90_000 + i][2:] == ("und", 0.0) for i in range(4))
+
+
 def test_ftrl_and_temperature():
     r = np.random.default_rng(0)
     rows = [(y, np.array([y, 2 + y, 4]), np.array([1.0, 0.5, 1.0])) for y in r.integers(0, 2, 200)]
