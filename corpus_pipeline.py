@@ -14,12 +14,12 @@ from quotelake.llm.line_dedup import line_dedup_filter
 from quotelake.llm.mixing import mix_filter
 from quotelake.llm.ngram_join import near_duplicate_filter
 from quotelake.llm.packing import pack_documents
-from quotelake.llm.quality_rules import quality_filter
+from quotelake.llm.quality_rules import calibrated, quality_filter
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base counts and the compression bands."""
-    return quality_filter(docs)
+    """Documents that pass the base counts and the compression bands, whose limits are measured over ``docs``."""
+    return quality_filter(docs, calibrated(docs))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
