@@ -2,6 +2,8 @@
 
   stream    envelope stream (Kafka or JSON-lines files) -> lake (+ JDBC), availableNow
   backfill  raw lake -> fact + stats tables (replaced)
+  history   fold the batches committed since the last run into the whole-history statistics
+  compact   rewrite the committed batches of a lake as one folder per day, in one commit
   gates     row-count and null-critical gates over a fact table; non-zero exit on failure
   query     run one registered query on a table folder and show / write the result
 
@@ -58,7 +60,8 @@ def cmd_stream(args) -> int:
     else:
         messages = envelope_file_stream(spark, args.files, args.max_per_trigger)
     q = start_pipeline(messages, args.lake, args.checkpoint, jdbc=_tables(args),
-                       event_time=args.event_time, available_now=not args.continuous, log=_logger(spark, args))
+                       event_time=args.event_time, available_now=not args.continuous, log=_logger(spark, args),
+                       commit=args.commit, gate=args.gate)
     if args.continuous:
         q.awaitTermination()
     return 0
@@ -79,6 +82,27 @@ def cmd_backfill(args) -> int:
     return 0
 
 
+def cmd_history(args) -> int:
+    from quotelake.plans.history import incremental_history, update_history
+    spark = _session(args)
+    print(f"{update_history(spark, args.lake, args.state)} new batches")
+    stats = incremental_history(spark, args.state)
+    if args.out:
+        stats.write.mode("overwrite").parquet(args.out)
+    else:
+        stats.show(truncate=False)
+    return 0
+
+
+def cmd_compact(args) -> int:
+    from quotelake.sinks.manifest import compact_committed, vacuum
+    spark = _session(args)
+    print(f"{compact_committed(spark, args.lake, args.sink)} batches compacted")
+    if args.vacuum:
+        print(f"{vacuum(spark, args.lake, args.sink)} replaced folders deleted")
+    return 0
+
+
 def cmd_gates(args) -> int:
     from quotelake.operators.quality import QualityGateError, run_gates
     from quotelake.sinks.jdbc import read_table
@@ -128,6 +152,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--lake", required=True)
     s.add_argument("--checkpoint", required=True, help="keep it: it is the stream's identity")
     s.add_argument("--log", help="run-log folder")
+    s.add_argument("--commit", action="store_true", help="make all sinks of a batch visible together")
+    s.add_argument("--gate", action="store_true", help="audit each batch before it becomes visible (implies --commit)")
     s.add_argument("--event-time", action="store_true")
     s.add_argument("--continuous", action="store_true", help="processing-time trigger, no stop")
     _add_jdbc(s)
@@ -140,6 +166,16 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--log", help="run-log folder")
     _add_jdbc(b)
 
+    h = sub.add_parser("history")
+    h.add_argument("--lake", required=True, help="lake written with --commit")
+    h.add_argument("--state", required=True)
+    h.add_argument("--out")
+
+    c = sub.add_parser("compact")
+    c.add_argument("--lake", required=True, help="lake written with --commit")
+    c.add_argument("--sink", default="raw")
+    c.add_argument("--vacuum", action="store_true", help="delete the replaced folders")
+
     g = sub.add_parser("gates")
     g.add_argument("--facts", help="parquet fact table; else the database's")
     g.add_argument("--log")
@@ -152,8 +188,8 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--rows", type=int, default=20)
 
     args = p.parse_args(argv)
-    return {"stream": cmd_stream, "backfill": cmd_backfill, "gates": cmd_gates,
-            "query": cmd_query}[args.command](args)
+    return {"stream": cmd_stream, "backfill": cmd_backfill, "history": cmd_history, "compact": cmd_compact,
+            "gates": cmd_gates, "query": cmd_query}[args.command](args)
 
 
 if __name__ == "__main__":

@@ -389,6 +389,21 @@ ORACLE["facts_clustered"] = Q + """SELECT 'symbol' AS filter, row_id, price_usd
 UNION ALL SELECT 'hour', row_id, price_usd FROM quotes WHERE recorded_at >= TIMESTAMP '2024-01-15 12:00:00'
 AND recorded_at < TIMESTAMP '2024-01-15 13:00:00'"""
 
+ORACLE["contract_unique_planted"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, sum(k)::BIGINT AS copies
+FROM (SELECT l.*, 1 + CASE WHEN l_orderkey % 1000 = 0 THEN 1 + CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END ELSE 0 END AS k
+      FROM lineitem l JOIN part ON l_partkey = p_partkey) GROUP BY ALL HAVING sum(k) > 1"""
+ORACLE["window_join_flag"] = "SELECT symbol, volatility_flag, volume_spike, count(*) AS rows FROM (" + \
+    ORACLE["window_join"].replace("1000.0", "60.0") + ") GROUP BY ALL"
+ORACLE["run_log_lake"] = QN + """, bad AS (SELECT count(*) AS n FROM nq WHERE symbol IS NULL OR name IS NULL OR price_usd IS NULL
+  OR recorded_at IS NULL), e(stage, status, message) AS (VALUES
+  ('data_quality_row_counts', 'started', 'Checking coin_prices row count'), ('data_quality_row_counts', 'started', 'Checking coin_prices row count'),
+  ('data_quality_row_counts', 'started', 'Checking coin_prices row count'), ('data_quality_row_counts', 'success', 'coin_prices row count passed'),
+  ('data_quality_row_counts', 'success', 'coin_prices row count passed'), ('data_quality_row_counts', 'failed', 'coin_prices is empty'),
+  ('data_quality_nulls', 'started', 'Checking coin_prices null-critical columns'),
+  ('data_quality_nulls', 'started', 'Checking coin_prices null-critical columns'), ('data_quality_nulls', 'success', 'Null checks passed'))
+SELECT stage, status, message, count(*) AS n, count(*) AS ids FROM (SELECT * FROM e UNION ALL
+  SELECT 'data_quality_nulls', 'failed', 'Found ' || n || ' null-critical rows in coin_prices' FROM bad) GROUP BY ALL"""
+
 
 # --- exact means ---------------------------------------------------------------
 # A mean is rounded from whole units of 10^-8 by integer division, as in functions/exact.py.

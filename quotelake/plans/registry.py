@@ -24,7 +24,7 @@ from quotelake.plans.backfill import backfill
 from quotelake.schemas import ENRICHED_LAKE_COLUMNS, FACT_COLUMNS, RAW_RECORD_CONTRACT
 from quotelake.session import ensure_utc, run_dir
 from quotelake.sinks import jdbc as jdbc_sink
-from quotelake.sinks import lake
+from quotelake.sinks import lake, runlog
 from quotelake.sinks.unique import append_unique as add_unique
 from quotelake.sources.adapters import BRAND_ORDER, brand_quotes, event_quotes
 
@@ -39,6 +39,7 @@ EVENT_PRICE_EDGES = (300.0, 100.0)  # event prices stay under 600
 SPIKE_CONSTANT = 50.0
 STATS_WINDOW = "1 hour"
 SHORT_WINDOW = "5 minutes"
+VOLATILITY_THRESHOLD = 60.0    # between the quartiles of hourly volatility
 
 
 def register(name: str):
@@ -574,3 +575,35 @@ def facts_clustered(spark, sf_dir):
     in_hour = (F.col("recorded_at") >= noon[0]) & (F.col("recorded_at") < noon[1])
     by_time = back.where(in_hour).select(F.lit("hour").alias("filter"), "row_id", "price_usd")
     return by_symbol.unionByName(by_time)
+
+
+@register("contract_unique_planted")
+def contract_unique_planted(spark, sf_dir):
+    """The line key over lines of which every thousandth order comes twice or three times: those keys and their copies."""
+    q = brand_quotes(spark, sf_dir)
+    again = q.where("l_orderkey % 1000 = 0")
+    return contracts.duplicate_keys(q.unionByName(again).unionByName(again.where("l_linenumber = 1")),
+                                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@register("window_join_flag")
+def window_join_flag(spark, sf_dir):
+    """Rows of windows whose volatility exceeds a threshold that the data crosses both ways."""
+    j = stats.window_join(event_quotes(spark, sf_dir), STATS_WINDOW, volatility_threshold=VOLATILITY_THRESHOLD)
+    return j.groupBy("symbol", "volatility_flag", "volume_spike").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("run_log_lake")
+def run_log_lake(spark, sf_dir):
+    """A gate run that passes and one that fails, each appended to a run log and read back."""
+    path = run_dir(spark, "run_log")
+    q = event_quotes(spark, sf_dir)
+    for facts in (q, with_injected_nulls(q), q.limit(0)):
+        entries: list[tuple[str, str, str]] = []
+        try:
+            quality.run_gates(facts, lambda *entry: entries.append(entry))  # noqa: B023
+        except quality.QualityGateError:
+            pass
+        runlog.log_frame(spark, entries).write.mode("append").parquet(path)
+    return spark.read.parquet(path).groupBy("stage", "status", "message").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("run_id").alias("ids"))

@@ -1,11 +1,12 @@
 """Append-only run log: ``(run_id, stage, status, message, created_at)``.
 
-Writing a log row never fails the job that logs: storage errors are swallowed.  A
+Writing a log row never fails the job that logs: a storage error becomes a warning of the Python logger.  A
 status outside the allowed domain is the caller's mistake and raises.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from quotelake.schemas import LOG_STATUSES
 
+LOGGER = logging.getLogger(__name__)
+
 
 def log_frame(spark: SparkSession, entries: list[tuple[str, str, str | None]]) -> DataFrame:
     """Small driver-built frame of log entries with generated id and time."""
@@ -43,8 +46,8 @@ def lake_logger(spark: SparkSession, path: str) -> Callable[[str, str, str], Non
         check_statuses([status])
         try:
             log_frame(spark, [(stage, status, message)]).write.mode("append").parquet(path)
-        except Exception:  # noqa: BLE001 - never fail the caller
-            pass
+        except Exception as e:  # noqa: BLE001 - never fail the caller
+            LOGGER.warning("run log %s not written: %s", path, e)
     return log
 
 
@@ -54,6 +57,6 @@ def table_logger(spark: SparkSession, options: dict[str, str]) -> Callable[[str,
         check_statuses([status])
         try:
             log_frame(spark, [(stage, status, message)]).write.format("jdbc").options(**options).mode("append").save()
-        except Exception:  # noqa: BLE001 - never fail the caller
-            pass
+        except Exception as e:  # noqa: BLE001 - never fail the caller
+            LOGGER.warning("run log table %s not written: %s", options.get("dbtable"), e)
     return log

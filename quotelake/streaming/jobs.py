@@ -173,7 +173,7 @@ class BatchPipeline:
             if messages is not None:
                 rejects = envelope_rejects(messages).select(*REJECT_COLUMNS).unionByName(rejects)
             if self.jdbc:
-                rejects = rejects.unionByName(self._write_tables(good, stats))
+                rejects = rejects.unionByName(self._write_tables(good, stats, stream, batch_id))
             if self.rejects_path or self.commit_base:
                 sink("rejects", rejects, self.rejects_path, (), None)
             if self.on_batch:
@@ -217,14 +217,21 @@ class BatchPipeline:
         else:
             self._say("failed", f"{what} is quarantined")
 
-    def _write_tables(self, rows: DataFrame, stats: DataFrame) -> DataFrame:
-        """Append to the JDBC tables; returns the rows that break a table's contract."""
+    def _write_tables(self, rows: DataFrame, stats: DataFrame, stream: str, batch_id: int) -> DataFrame:
+        """Append to the JDBC tables; returns the rows that break a table's contract.
+
+        With ``commit_base`` each batch fills staging tables of its own, which a replay replaces; the database merges
+        those of committed batches.
+        """
         rejects = rows.sparkSession.createDataFrame([], "reason string, body string")
         for table, frame, split in (("coin_prices", rows, jdbc_sink.split_facts), ("market_stats", stats, jdbc_sink.split_stats)):
             if table not in self.jdbc:
                 continue
             accepted, refused = split(frame)
-            jdbc_sink.write_table(accepted, self.jdbc[table])
+            if self.commit_base:
+                jdbc_sink.write_table(accepted, jdbc_sink.staged(self.jdbc[table], stream, batch_id), mode="overwrite")
+            else:
+                jdbc_sink.write_table(accepted, self.jdbc[table])
             rejects = rejects.unionByName(refused.select(
                 F.col("reject_reason").alias("reason"), F.to_json(F.struct(*frame.columns)).alias("body")))
         return rejects
@@ -345,9 +352,13 @@ def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
                    stats_keys: Sequence[str] = ("symbol",), event_time: bool = False,
                    available_now: bool = True, processing_time: str | None = None,
                    window: str | None = None, lenient_numbers: bool = False,
-                   log: Callable[[str, str, str], None] | None = None) -> StreamingQuery:
+                   log: Callable[[str, str, str], None] | None = None,
+                   commit: bool = False, gate: bool = False) -> StreamingQuery:
     """The micro-batch job end to end: envelope stream -> raw, enriched, stats, rejects (+ JDBC).
 
+    With ``commit`` the sinks of a batch become visible together, through the manifest under ``lake_base``; ``gate``
+    audits each batch before that and holds back the ones that fail.
+
     ``messages`` is a Kafka or file stream with a ``value`` column.  With
     ``available_now`` the backlog is drained (rate-limited by the source's
     max-per-trigger option) and the query stops; otherwise it runs on a
@@ -358,7 +369,7 @@ def start_pipeline(messages: DataFrame, lake_base: str, checkpoint: str,
 
     pipeline = BatchPipeline(f"{lake_base}/raw", f"{lake_base}/enriched", f"{lake_base}/stats",
                              tuple(stats_keys), jdbc, window=window, rejects_path=f"{lake_base}/rejects",
-                             parse=parse, log=log)
+                             parse=parse, log=log, commit_base=lake_base if commit or gate else None, gate=gate)
     w = messages.select("value").writeStream.foreachBatch(pipeline).option("checkpointLocation", checkpoint)
     if available_now:
         q = w.trigger(availableNow=True).start()

@@ -160,3 +160,38 @@ def test_write_folder_replaces(spark, tmp_dir):
     for n in (3, 2):
         lake.write_folder(spark.range(n), tmp_dir + "/x")
     assert spark.read.parquet(tmp_dir + "/x").count() == 2
+
+
+def test_committed_batches_stage_their_table_rows(spark, quotes, tmp_dir, monkeypatch):
+    """With a manifest, table rows go to a staging table per batch, replaced by a replay; without, they are appended."""
+    calls = []
+    monkeypatch.setattr(jobs.jdbc_sink, "write_table", lambda df, options, mode="append": calls.append((options["dbtable"], mode, df.count())))
+    tables = {"coin_prices": {"dbtable": "coin_prices"}, "market_stats": {"dbtable": "market_stats"}}
+    jobs.BatchPipeline(commit_base=tmp_dir, stream_id="s-1", jdbc=tables)(quotes, 4)
+    jobs.BatchPipeline(f"{tmp_dir}/r", f"{tmp_dir}/e", f"{tmp_dir}/s", stream_id="s-1", jdbc=tables)(quotes, 4)
+    assert [c[:2] for c in calls] == [("coin_prices_stage_s_1_4", "overwrite"), ("market_stats_stage_s_1_4", "overwrite"),
+                                      ("coin_prices", "append"), ("market_stats", "append")]
+    assert calls[0][2] == calls[2][2] > 0
+
+
+def test_stream_history_and_compact_commands(spark, tmp_dir, capsys):
+    from quotelake import cli
+    from quotelake.functions import envelope
+    from quotelake.sinks.bus import publish_files
+    q = event_quotes(spark, SF001)
+    publish_files(envelope.to_envelopes(q, envelope.iso_utc(F.date_trunc("hour", "recorded_at"))), tmp_dir + "/in")
+    lake_dir, state = tmp_dir + "/lake", tmp_dir + "/state"
+    stream = ["stream", "--files", tmp_dir + "/in", "--lake", lake_dir, "--checkpoint", tmp_dir + "/ckpt", "--event-time", "--gate"]
+    assert cli.main(stream) == 0 and cli.main(["compact", "--lake", lake_dir]) == 0
+    assert cli.main(["history", "--lake", lake_dir, "--state", state, "--out", tmp_dir + "/stats"]) == 0
+    assert manifest.read_committed(spark, lake_dir, "raw").count() == q.count()
+    assert spark.read.parquet(tmp_dir + "/stats").agg(F.sum("record_count")).first()[0] == q.count()
+    assert cli.main(["history", "--lake", lake_dir, "--state", state]) == 0 and "0 new batches" in capsys.readouterr().out
+
+
+def test_run_log_errors_are_warnings(spark, tmp_dir, caplog):
+    from quotelake.sinks.runlog import lake_logger
+    with open(tmp_dir + "/file", "w") as f:
+        f.write("x")
+    lake_logger(spark, tmp_dir + "/file")("stage", "started", "m")
+    assert "not written" in caplog.text
