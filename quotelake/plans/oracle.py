@@ -404,6 +404,12 @@ ORACLE["run_log_lake"] = QN + """, bad AS (SELECT count(*) AS n FROM nq WHERE sy
 SELECT stage, status, message, count(*) AS n, count(*) AS ids FROM (SELECT * FROM e UNION ALL
   SELECT 'data_quality_nulls', 'failed', 'Found ' || n || ' null-critical rows in coin_prices' FROM bad) GROUP BY ALL"""
 
+ORACLE["stream_offsets"] = Q + """, m AS (SELECT recorded_at >= TIMESTAMP '2024-01-16' AS half, count(DISTINCT floor(row_id / 50)) AS m
+  FROM quotes GROUP BY ALL), b AS (SELECT unnest(list_concat(list_transform(range(m // 100), lambda i: 100),
+  CASE WHEN m % 100 > 0 THEN [m % 100] ELSE [] END)) AS size FROM m)
+SELECT 'batches of' AS kind, size::BIGINT AS size, count(*) AS n FROM b GROUP BY ALL
+UNION ALL SELECT kind, 0, (SELECT sum(m)::BIGINT FROM m) FROM (VALUES ('messages'), ('offsets'), ('next offset'), ('values')) v(kind)"""
+
 
 # --- exact means ---------------------------------------------------------------
 # A mean is rounded from whole units of 10^-8 by integer division, as in functions/exact.py.

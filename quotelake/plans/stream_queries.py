@@ -19,6 +19,7 @@ from quotelake.plans.registry import broken_messages, raw_lake_rows, register
 from quotelake.sinks import lake, manifest, runlog
 from quotelake.sinks.bus import publish_files
 from quotelake.sources.adapters import QUOTE_COLUMNS, event_quotes
+from quotelake.sources.segments import land, segment_stream
 from quotelake.sources.streams import envelope_file_stream, parquet_stream
 from quotelake.session import run_dir
 from quotelake.streaming import jobs
@@ -283,3 +284,25 @@ def stream_late_rejects(spark, sf_dir):
         rows = rows.select(F.lit(kind).alias("kind"), "symbol", "rows")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@register("stream_offsets")
+def stream_offsets(spark, sf_dir):
+    """Files of very unequal sizes, landed twice with a restart between: 100 messages per trigger, offsets without gaps."""
+    p = _paths(spark, "stream_offsets")
+    for k, half in enumerate(_halves(event_quotes(spark, sf_dir))):
+        messages = envelope.to_envelopes(half, F.lit("2024-01-31T00:00:00+00:00"))
+        for part, files in ((F.col("envelope_no") % 10 == 0, 3), (F.col("envelope_no") % 10 > 0, 1)):
+            publish_files(messages.where(part).repartition(files), p["in"])
+        land(spark, p["in"], p["raw"])
+
+        def keep(df: DataFrame, batch_id: int) -> None:
+            df.select(F.lit(batch_id).alias("batch_id"), "partition", "offset", "value").write.mode("append").parquet(p["out"])
+
+        jobs.run_available_now(segment_stream(jobs.stream_session(spark), p["raw"]), p["ckpt"], foreach_batch=keep)
+    seen = spark.read.parquet(p["out"])
+    sizes = seen.groupBy("batch_id").agg(F.count(F.lit(1)).alias("size")).groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+    whole = seen.agg(F.count(F.lit(1)), F.count_distinct("offset"), F.max("offset") + 1, F.count_distinct("value")).toDF("a", "b", "c", "d")
+    return sizes.select(F.lit("batches of").alias("kind"), "size", "n").unionByName(whole.select(F.explode(F.array(
+        *[F.struct(F.lit(k).alias("kind"), F.lit(0).cast("bigint").alias("size"), F.col(c).alias("n"))
+          for k, c in (("messages", "a"), ("offsets", "b"), ("next offset", "c"), ("values", "d"))])).alias("r")).select("r.*"))
