@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_PATTERN, written
+from .common import WORD_PATTERN, Scratch, written
 
 MIN_WORDS = 16
 ROWS_PER_BUCKET = 20_000   # of the order buckets that split one class; their number follows the input
@@ -118,12 +118,14 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     blocks = (lines.filter("on IS NOT NULL").select("doc", "key", "seq", F.col("on").alias("len"))
               .unionByName(lines.filter("up IS NOT NULL").select("doc", "key", (F.col("seq") - F.col("up") + 1).alias("seq"),
                                                                   F.col("up").alias("len"))).distinct())
+    scratch = Scratch(docs.sparkSession)
+    blocks = scratch.written(blocks, "line-blocks")
     spread = max(4, (lines.count() // ROWS_PER_BUCKET).bit_length())
     start = lines.select("doc", "key", "seq", F.lit(0).cast("bigint").alias("r1"), F.col("line").alias("r2"))
-    live = written(_round(start, F.shiftright("r2", 64 - spread)), "line-round")
+    live = scratch.written(_round(start, F.shiftright("r2", 64 - spread)), "line-round")
     size, length, marks = live.agg(F.max("rank")).first()[0], 1, []
     while size is not None:
-        marks.append(_later_copies(blocks, live, length))
+        marks.append(written(_later_copies(blocks, live, length), "line-marks"))
         if 2 * length > min_words:
             break
         x, y = live.alias("x"), live.alias("y")
@@ -131,10 +133,13 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
                          & (F.col("x.seq") + length == F.col("y.seq")))
                   .select("x.doc", "x.key", "x.seq", F.col("x.rank").alias("r1"), F.col("y.rank").alias("r2")))
         bucket = F.floor(F.col("r2") * (1 << spread) / F.lit(size + 1)).cast("bigint")
-        live = written(_round(halves, bucket), "line-round")
+        before, live = live, scratch.written(_round(halves, bucket), "line-round")
+        scratch.drop(before)
         size, length = live.agg(F.max("rank")).first()[0], 2 * length
     if not marks:
         marks = [live.select("doc", "key", "seq", F.col("seq").alias("end")).limit(0)]
+    else:
+        scratch.drop_all()
     all_marks = marks[0]
     for m in marks[1:]:
         all_marks = all_marks.unionByName(m)
