@@ -102,8 +102,8 @@ def rake(keys: list[tuple], have: np.ndarray, targets: list[dict], rules: MixRul
 def rake_on_spark(cells: DataFrame, targets: list[dict], rules: MixRules) -> DataFrame:
     """(cell columns, tokens, take): the same steps as ``rake`` on a table of cells.
 
-    Each step sums one dimension and joins the sums back; a round is written, so its lineage is one round long.  The sums
-    are broadcast behind a size check only, and a value with a third of all cells is split by the join.
+    Each step sums one dimension and joins the sums back; a round is written, so its lineage is one round long.  The
+    joins are left to adaptive execution: broadcast when the sums turn out small, else a value with a third of all cells is split.
     """
     scratch = Scratch(cells.sparkSession)
     budget = (cells.agg(F.sum("tokens")).first()[0] or 0) * rules.keep_share
@@ -112,8 +112,7 @@ def rake_on_spark(cells: DataFrame, targets: list[dict], rules: MixRules) -> Dat
         return state.withColumn("take", F.lit(0.0))
 
     def joined(df: DataFrame, side: DataFrame, d: str) -> DataFrame:
-        side = checked_broadcast(side.withColumnRenamed(d, "_value"))
-        return df.join(side, F.col(d).eqNullSafe(F.col("_value"))).drop("_value")
+        return df.join(side.withColumnRenamed(d, "_value"), F.col(d).eqNullSafe(F.col("_value"))).drop("_value")
 
     for d, target in zip(DIMENSIONS, targets):
         natural = cells.groupBy(d).agg(F.sum("tokens").cast("double").alias("natural"))
