@@ -12,6 +12,7 @@ from test_llm_text_rules import brute_quality  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from quotelake.llm.mixing import mix_table  # noqa: E402
+from quotelake.llm.quality_rules import calibrated  # noqa: E402
 from quotelake.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     rel = con.sql(ORACLE[name])
@@ -32,7 +33,8 @@ def test_oracle(spark, name):
 
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    rows = [(r.doc_id, r.text) for r in docs.collect() if brute_quality(r.text)[-1]]
+    limits = calibrated(docs)
+    rows = [(r.doc_id, r.text) for r in docs.collect() if brute_quality(r.text, limits)[-1]]
     rows.sort()
     lined = brute_lines(rows)
     rows = [(d, lined[d, t][1]) for d, t in rows]
@@ -67,4 +69,4 @@ def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "n-gram Jaccard join", "mixing sources to target weights", "best-fit packing"]
     assert corpus_pipeline.ORACLE_SQL is None and QUERIES["pipeline"] is corpus_pipeline.run
-    assert sum(n.startswith("op") for n in QUERIES) == 10
+    assert sum(n.startswith("op") for n in QUERIES) == 13

@@ -66,7 +66,7 @@ def brute_quality(text, rules=CompressionRules()):
         judged = []
         for i in range(0, len(raw), rules.chunk_bytes):
             c = raw[i:i + rules.chunk_bytes]
-            if i == 0 or len(c) >= rules.chunk_bytes // 4:
+            if i == 0 or len(c) >= rules.least_chunk:
                 low, high = band_of(len(c), rules.chunk)
                 judged.append(low <= ratio(c) <= high)
         ok = ok and judged.count(False) <= rules.max_bad_chunks * len(judged)
