@@ -14,6 +14,7 @@ largest fitting partner when no two other pieces fit beside the large one.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -191,7 +192,8 @@ def pack(pieces: DataFrame, length_col: str, order_cols: list[str], capacity: in
 # --- tokens -------------------------------------------------------------------
 
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+\Z")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+_SPACES = bytes.maketrans(b"\n\t\r", b"   ")
+_LOWER_SPACES = bytes.maketrans(b"\n\t\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdefghijklmnopqrstuvwxyz")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -205,45 +207,57 @@ class WordTokens:
     """Token ids of whole texts, word by word.
 
     The vocabulary never joins tokens over white space, so a text's ids are its
-    words' ids in a row.  Words repeat, so each distinct one is encoded once per
-    worker; the cache is emptied when it holds ``max_words``.
+    words' ids in a row.  Words repeat, so each distinct one is encoded once and kept.  Two generations of
+    ``max_words`` words bound the memory: when the young one is full it becomes the old one, and words that are met
+    again move back, so frequent words never leave.
+
+    Only the path travels; a copy on a worker loads the vocabulary and learns its words there.  Sent as a broadcast
+    variable, one copy serves all tasks of a worker.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 400_000):
         from tokenizers import Tokenizer
+        self.path, self.max_words = path, max_words
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.max_words = max_words
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __reduce__(self):
+        return WordTokens, (self.path, self.max_words)
 
     def word(self, w: str) -> bytes:
-        body = w.rstrip(".,")
-        if body != w and body and _PLAIN.match(body):   # punctuation after a letter is a token of its own
-            return self.known(body) + self.known(w[len(body):])
         if _PLAIN.match(w):                             # lower-case letters: nothing to normalise or to split
-            mapped = "".join([self.letters[b] for b in w.encode()])
+            mapped = w if w.isascii() else "".join([self.letters[b] for b in w.encode()])
             ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
         else:
             ids = self.tokenizer.encode(w, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def known(self, w: str) -> bytes:
-        got = self.cache.get(w)
+        got = self.young.get(w)
         if got is None:
-            got = self.cache[w] = self.word(w)
+            got = self.old.get(w)
+            if got is None:
+                got = self.word(w)
+            self.young[w] = got
         return got
 
+    def unknown(self, w: str) -> bytes:
+        """A word that is not in the young generation; punctuation after a letter is a token of its own."""
+        body = w.rstrip(".,")
+        if body != w and body and _PLAIN.match(body):
+            return self.known(body) + self.known(w[len(body):])
+        return self.known(w)
+
     def ids(self, text: str) -> np.ndarray:
         """uint32 ids of ``text``."""
-        if len(self.cache) > self.max_words:
-            self.cache.clear()
-        cache, out = self.cache, []
-        if "<|" not in text:                            # special tokens are matched before lower-casing
-            text = text.translate(_LOWER)
-        for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
-            got = cache.get(w)
-            out.append(self.known(w) if got is None else got)
-        return np.frombuffer(b"".join(out), dtype="<u4")
+        if len(self.young) > self.max_words:
+            self.old, self.young = self.young, {}
+        lookup, unknown = self.young.get, self.unknown
+        # special tokens are matched before lower-casing
+        words = text.encode().translate(_SPACES if "<|" in text else _LOWER_SPACES).decode().split(" ")
+        return np.frombuffer(b"".join([lookup(w) or unknown(w) for w in words]), dtype="<u4")
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -260,12 +274,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("ids", T.BinaryType())])
 
+    words = docs.sparkSession.sparkContext.broadcast(WordTokens(tokenizer_path))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sys
-        kept = sys.modules.setdefault("_llm_word_tokens", type(sys)("_llm_word_tokens")).__dict__
-        if tokenizer_path not in kept:
-            kept[tokenizer_path] = WordTokens(tokenizer_path)
-        tok = kept[tokenizer_path]
+        tok = words.value
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             at, piece, start, length, ids = [], [], [], [], []
