@@ -47,11 +47,15 @@ def scaled_vectors(vectors: DataFrame, id_col: str, vec_col: str, rules: SearchR
                 if values.null_count:
                     continue
                 x = np.asarray(values, dtype=np.float64)
+                if not np.isfinite(x).all():
+                    continue
+                with np.errstate(over="ignore"):
+                    x = np.floor(x * scale)
                 if not np.isfinite(x).all():
                     continue
                 ids.append(key)
                 dims.append(len(x))
-                blobs.append(np.floor(x * scale).tobytes())
+                blobs.append(x.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
                                               pa.array(blobs, pa.binary())], names=["id", "dim", "v"])
     return (vectors.select(F.col(id_col).cast("bigint"), F.col(vec_col))
@@ -159,10 +163,28 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return x.reshape(len(column), dim) if dim else np.zeros((len(column), 0))
 
 
-def _check_exact(q: np.ndarray, x: np.ndarray) -> None:
-    """Sums of products stay whole numbers in a double below 2**53."""
-    if q.size and x.size and float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] >= 2.0 ** 53:
-        raise ValueError("components too large for exact scores")
+LONG_MAX = 2 ** 63 - 1
+
+
+def _is_exact(q: np.ndarray, x: np.ndarray) -> bool:
+    """Do all sums of products stay whole numbers that a double holds?"""
+    return not (q.size and x.size) or float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] < 2.0 ** 53
+
+
+def search_large(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best k (score, id) of each query where doubles do not hold the scores: whole numbers of any size, no pruning.
+
+    Scores beyond the range of a long are its ends, also for the order.
+    """
+    scores, found = np.zeros((len(q), k), np.int64), np.full((len(q), k), NO_ID)
+    rows = [[int(v) for v in row] for row in x]
+    for j, one in enumerate(q):
+        whole = [int(v) for v in one]
+        best = sorted((-max(-LONG_MAX - 1, min(LONG_MAX, sum(a * b for a, b in zip(row, whole) if a and b))), int(i))
+                      for row, i in zip(rows, ids) if i != qids[j])[:k]
+        for n, (s, i) in enumerate(best):
+            scores[j, n], found[j, n] = -s, i
+    return scores, found
 
 
 def _pass(vectors: DataFrame, queries: DataFrame, rules: SearchRules, first: bool) -> DataFrame:
@@ -172,11 +194,12 @@ def _pass(vectors: DataFrame, queries: DataFrame, rules: SearchRules, first: boo
         if left.num_rows and right.num_rows:
             dim = left.column("dim")[0].as_py()
             x, q = _matrix(left.column("v"), dim), _matrix(right.column("v"), dim)
-            _check_exact(q, x)
-            tree = Tree(left.column("id").to_numpy(), x, rules.leaf_rows)
-            qids = right.column("id").to_numpy()
-            floor = np.full(len(q), -np.inf) if first else right.column("floor").to_numpy()
-            scores, ids = search(tree, qids, q, floor, rules.k, first)
+            ids, qids = left.column("id").to_numpy(), right.column("id").to_numpy()
+            if _is_exact(q, x):
+                floor = np.full(len(q), -np.inf) if first else right.column("floor").to_numpy()
+                scores, ids = search(Tree(ids, x, rules.leaf_rows), qids, q, floor, rules.k, first)
+            else:
+                scores, ids = search_large(ids, x, qids, q, rules.k)
             keep = ids != NO_ID
             out = {"query_id": np.broadcast_to(qids[:, None], ids.shape)[keep], "vec_id": ids[keep],
                    "score": scores[keep].astype(np.int64)}
@@ -194,12 +217,14 @@ def top_k(vectors: DataFrame, rules: SearchRules = SearchRules(), id_col: str =
     Ties go to the smaller id.  Rows with a null id, a null vector, or a null or
     non-finite component take no part; vectors of different lengths are not compared.
     Rows that repeat an id are candidates one by one, but not for queries of that id; a repeated query is
-    answered once.  Every (shard, query block) pair is a task of bounded size.
+    answered once, for the least of its vectors in byte order.  Components too large for exact doubles are multiplied as whole
+    numbers, and scores beyond a long count as its end; a component that is infinite after scaling takes its row out.
+    Every (shard, query block) pair is a task of bounded size.
     """
     all_v = written(scaled_vectors(vectors, id_col, vec_col, rules), "topk-vectors")
     n = all_v.count()
     shards = max(1, -(-n // rules.shard_rows))
-    queries = written(all_v.filter(F.col("id") % rules.every == 0).dropDuplicates(["id", "dim"]), "topk-queries")
+    queries = written(all_v.filter(F.col("id") % rules.every == 0).groupBy("id", "dim").agg(F.min("v").alias("v")), "topk-queries")
     blocks = max(1, -(-queries.count() // rules.query_block))
 
     def hashed(seed: int, n_parts: int):
