@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -32,10 +32,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     shared folder; the number of steps grows with the logarithm of the longest
     path.  Only a fingerprint of the edge set reaches the driver.
     """
-    e = written(_pairs(edges.select("a", "b")), "cc-edges")
+    scratch = Scratch(edges.sparkSession)
+    e = scratch.written(_pairs(edges.select("a", "b")), "cc-edges")
     before = None
     while True:
-        e = written(_small_star(_large_star(e)), "cc-step")
+        step = scratch.written(_small_star(_large_star(e)), "cc-step")
+        scratch.drop(e)
+        e = step
         mark = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
             break

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SHINGLE_WORDS, distinct_per_row, mix64, shingle_hashes, text_batches, word_hashes, written
+from .common import SHINGLE_WORDS, Scratch, distinct_per_row, mix64, shingle_hashes, text_batches, word_hashes, written
 from .components import connected_components
 
 
@@ -389,14 +389,16 @@ def jaccard_links(sets: DataFrame, rules: JoinRules) -> DataFrame:
     components, all pairs across components are compared in blocks.  So no link between
     components is lost, and a large group of copies does not give all its pairs.
     """
-    sigs = written(_signatures(sets, rules), "join-signatures")
+    scratch = Scratch(sets.sparkSession)
+    sigs = scratch.written(_signatures(sets, rules), "join-signatures")
     per = (sigs.groupBy("sig")
            .agg(F.sum(F.col("probe").cast("bigint")).alias("p"), F.sum(F.col("is_index").cast("bigint")).alias("i"),
                 F.min("cls").alias("lo"), F.max("cls").alias("hi"),
                 F.min(F.when(F.col("is_index"), F.col("cls"))).alias("pivot"))
            .filter("p > 0 AND i > 0 AND lo < hi"))
     big = F.col("p") * F.col("i") > rules.all_pairs
-    live = written(sigs.join(per.select("sig", "pivot", big.alias("big")), "sig"), "join-live")
+    live = scratch.written(sigs.join(per.select("sig", "pivot", big.alias("big")), "sig"), "join-live")
+    scratch.drop(sigs)
     few = live.filter(~F.col("big"))
     x = few.filter("probe").select("sig", F.col("cls").alias("x"))
     y = few.filter("is_index").select("sig", F.col("cls").alias("y"))
@@ -411,10 +413,12 @@ def jaccard_links(sets: DataFrame, rules: JoinRules) -> DataFrame:
     found = written(connected_components(links), "join-components")
     many = live.filter("big")
     if many.isEmpty():
+        scratch.drop_all()
         return found
     label = F.coalesce("component", "cls")
-    named = written(many.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-                    .select("sig", "cls", "probe", "is_index", label.alias("label")), "join-named")
+    named = scratch.written(many.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+                            .select("sig", "cls", "probe", "is_index", label.alias("label")), "join-named")
+    scratch.drop(live)
     mixed = (named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("cls").alias("pivot"))
              .filter("lo < hi").select("sig", "pivot"))
     rest = named.join(mixed, "sig")
@@ -422,6 +426,7 @@ def jaccard_links(sets: DataFrame, rules: JoinRules) -> DataFrame:
     tangles = written(connected_components(shares), "join-tangles")
     own = named.select("cls", "label").distinct()
     more = written(_block_links(tangles.toDF("cls", "tangle").join(own, "cls"), sets, rules), "join-links")
+    scratch.drop_all()
     return connected_components(links.unionByName(more))
 
 
@@ -503,11 +508,15 @@ def near_duplicates(docs: DataFrame, rules: JoinRules = JoinRules(), id_col: str
     should be a stored table, so that a task that runs again sees the same rows.
     """
     bits = _bits(docs.sparkSession)
-    rows = written(_text_sets(docs, id_col, text_col, rules, bits), "join-texts")
-    classes = (rows.filter("tokens IS NOT NULL").groupBy("cls")
+    scratch = Scratch(docs.sparkSession)
+    texts = scratch.written(_text_sets(docs, id_col, text_col, rules, bits), "join-texts")
+    rows = written(texts.select("doc_id", "key", "n", "cls"), "join-rows")
+    classes = (texts.filter("tokens IS NOT NULL").groupBy("cls")
                .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
-    sets = written(_class_sets(classes, rules, bits), "join-sets")
-    component = jaccard_links(sets, rules)
+    sets = scratch.written(_class_sets(classes, rules, bits), "join-sets")
+    scratch.drop(texts)
+    component = written(jaccard_links(sets, rules), "join-groups")
+    scratch.drop(sets)
     of_class = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = of_class.join(component.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.select("cls", "least", F.coalesce("component", "cls").alias("group"))
