@@ -4,7 +4,8 @@
 into aligned bins at powers of two of ``bin_width``: an interval is filed at the smallest level whose bins are as
 long as it is, where it touches two bins at most; a row is looked up in its one bin of each level
 that occurs.  The join is an equality on (keys, level, bin), followed by the exact condition.  Long and short intervals
-thus cost the same two copies, and a hot key is spread over its bins.
+thus cost the same two copies, and a hot key is spread over its bins.  Both sides are shuffled and sorted: Spark's size
+estimate does not see how often a row is looked up, so a side that looks small would be gathered in the driver.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def interval_join(rows: DataFrame, intervals: DataFrame, keys: Sequence[str], ti
                         F.col("_level").alias("_l"), F.col("_bin").alias("_b"))
     same = [F.col(k) == F.col("_k" + str(i)) for i, k in enumerate(keys)]
     same += [F.col("_level") == F.col("_l"), F.col("_bin") == F.col("_b"), F.col(time) >= F.col(start), F.col(time) < F.col(end)]
-    hit = looked.join(side, same).select(*rows.columns, *values)
+    hit = looked.join(side.hint("merge"), same).select(*rows.columns, *values)
     if how == "inner":
         return hit
     missed = rows.join(hit.select(F.col(row_id).alias("_hit")).distinct(), F.col(row_id) == F.col("_hit"), "left_anti")

@@ -69,3 +69,14 @@ def test_plan_is_an_equality_join_and_spreads_a_hot_key(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "_bin" in plan and "_level" in plan
     assert sorted((r.row_id, r.w) for r in got.collect()) == brute(rows, windows)
+
+
+def test_no_side_is_gathered_in_the_driver(spark, tmp_dir):
+    rows, windows = data(5)
+    sides = []
+    for name, side in (("rows", spark.createDataFrame(rows, ROWS)), ("windows", spark.createDataFrame(windows, WINDOWS))):
+        side.write.parquet(f"{tmp_dir}/{name}")              # a stored table has a size estimate
+        sides.append(spark.read.parquet(f"{tmp_dir}/{name}"))
+    got = interval_join(*sides, ["symbol"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
