@@ -4,7 +4,8 @@ A file stream caps files per trigger, however many messages they hold, and has n
 arrived JSON-lines files into segments of at most ``per_segment`` messages with the transport columns of a bus:
 (partition, offset, value, topic, arrived).  Messages are spread over partitions by file; offsets count on without gaps from
 landing to landing.  ``segment_stream`` then reads one segment per trigger: the cap is in messages whatever the size
-of the files, and the stream's checkpoint resumes after the last segment read.
+of the files, and the stream's checkpoint resumes after the last segment read.  A trigger has a cost of its own, so the
+segments can be dealt over ``lanes``: one stream a lane, side by side, each with its own checkpoint and the same cap.
 
 A landing is planned, written aside and renamed into place, in this order, so a failed one is done again with the
 same files and offsets, and the stream never sees half of it.
@@ -58,10 +59,11 @@ def _plan(spark: SparkSession, incoming: str, base: str, landing: int, partition
     return True
 
 
-def land(spark: SparkSession, incoming: str, base: str, per_segment: int = 100, partitions: int = 1) -> int:
+def land(spark: SparkSession, incoming: str, base: str, per_segment: int = 100, partitions: int = 1, lanes: int = 1) -> int:
     """Segment the files that arrived in ``incoming`` since the last call; returns the number of messages.
 
     One caller at a time.  Empty lines are messages too.  A segment holds messages of one partition.
+    The segments of a partition go to the lanes in turn.
     """
     plans = _plans(spark, base)
     landing = plans.agg(F.coalesce(F.max("landing"), F.lit(-1))).first()[0]
@@ -82,10 +84,11 @@ def land(spark: SparkSession, incoming: str, base: str, per_segment: int = 100,
     rows = (rows.join(start, "partition")
             .withColumn("segment", F.floor((F.col("offset") - F.col("start")) / per_segment))
             .select("value", F.col("file").alias("topic"), "arrived", F.col("partition").cast("int").alias("partition"), "offset",
+                    (F.col("segment") % lanes).cast("int").alias("lane"),
                     F.format_string("p%04d-s%08d", "partition", "segment").alias("segment")))
     aside = f"{base}/aside/landing={landing}"
-    (rows.repartition("segment").sortWithinPartitions("segment", "offset").write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy("segment").parquet(aside))
+    (rows.repartition("segment").sortWithinPartitions("lane", "segment", "offset").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("lane", "segment").parquet(aside))
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (aside, f"{base}/segments/landing={landing}"))
     files = source.getFileSystem(conf)
@@ -95,6 +98,9 @@ def land(spark: SparkSession, incoming: str, base: str, per_segment: int = 100,
     return plan.agg(F.sum("messages")).first()[0]
 
 
-def segment_stream(spark: SparkSession, base: str, segments_per_trigger: int = 1) -> DataFrame:
-    """The landed messages as a stream with value, topic, arrived, partition and offset."""
-    return parquet_stream(spark, f"{base}/segments", COLUMNS, segments_per_trigger).select("value", "topic", "arrived", "partition", "offset")
+def segment_stream(spark: SparkSession, base: str, segments_per_trigger: int = 1, lane: int | None = None) -> DataFrame:
+    """The landed messages, of one lane or of all, as a stream with value, topic, arrived, partition and offset."""
+    root = f"{base}/segments"
+    path = root if lane is None else f"{root}/landing=*/lane={lane}"
+    return (parquet_stream(spark, path, COLUMNS, segments_per_trigger, base_path=None if lane is None else root)
+            .select("value", "topic", "arrived", "partition", "offset"))

@@ -66,3 +66,23 @@ def test_partitions_have_offsets_of_their_own(spark, tmp_dir):
     for r in rows:
         per.setdefault(r[3], set()).add(r[0])
     assert all(len(v) == 1 for v in per.values()) and all(sum(r[3] == s for r in rows) <= 4 for s in per)
+
+
+def test_lanes_share_the_segments_and_resume_on_their_own(spark, tmp_dir):
+    incoming, base, seen = tmp_dir + "/in", tmp_dir + "/seg", []
+
+    def drain_lanes():
+        for lane in range(3):
+            def keep(df, batch_id):
+                seen.append((lane, batch_id, sorted(r.offset for r in df.collect())))
+            stream = segments.segment_stream(jobs.stream_session(spark), base, lane=lane)
+            jobs.run_available_now(stream, f"{tmp_dir}/ckpt/{lane}", foreach_batch=keep)
+
+    put(incoming, "a.json", [f"a{i}" for i in range(23)])
+    assert segments.land(spark, incoming, base, 10, lanes=3) == 23
+    drain_lanes()
+    put(incoming, "b.json", [f"b{i}" for i in range(12)])
+    assert segments.land(spark, incoming, base, 10, lanes=3) == 12
+    drain_lanes()                                            # the third lane has nothing new
+    assert sorted(seen) == [(0, 0, list(range(10))), (0, 1, list(range(23, 33))), (1, 0, list(range(10, 20))),
+                            (1, 1, [33, 34]), (2, 0, [20, 21, 22])]
