@@ -213,3 +213,22 @@ def test_repeated_phrases_and_refrains_in_texts(spark):
     for pair, whole in (((1, 2), passage), ((3, 4), verses)):
         g = spans[frozenset(pair)]
         assert set(whole) <= set(text[g.doc_id][g.start_word:g.end_word]) and g.similarity >= 0.75
+
+
+@pytest.mark.parametrize("all_pairs", [128, None])
+def test_no_text_of_a_class_is_left_out(spark, all_pairs):
+    """Texts that quote overlapping slices of one passage, some of them twice: every one is linked, as by all pairs."""
+    r = random.Random(11)
+    passage = prose(700, 160)
+    rows = []
+    for i in range(240):
+        start = r.randint(0, 100)
+        rows.append((i, " ".join(prose(3000 + i, 30) + passage[start:start + 60] + prose(5000 + i, 30))))
+    rows += [(300 + i, t) for i, t in rows[:5]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_duplicate_passages(df, PassageRules(all_pairs=all_pairs)).collect()
+    linked = {x for g in got for x in (g.doc_id, g.other_id)}
+    near = {d: set(zip(*[words_of(t)[k:] for k in range(5)])) for d, t in rows}
+    alone = {d for d in near if max(len(near[d] & near[e]) for e in near if e != d) < 46}
+    assert set(near) - alone <= linked
+    assert {(g.doc_id, g.other_id) for g in got if g.doc_id >= 300} == {(300 + i, i) for i in range(5)}
