@@ -232,3 +232,83 @@ def test_no_text_of_a_class_is_left_out(spark, all_pairs):
     alone = {d for d in near if max(len(near[d] & near[e]) for e in near if e != d) < 46}
     assert set(near) - alone <= linked
     assert {(g.doc_id, g.other_id) for g in got if g.doc_id >= 300} == {(300 + i, i) for i in range(5)}
+
+
+def test_a_frequent_line_makes_no_pairs_to_verify(spark, monkeypatch):
+    """Texts that share one line only are not verified pair by pair; two that share a passage with it are."""
+    from quotelake.llm import substring_dedup
+    line, passage = prose(810, 15), prose(811, 60)
+    rows = [(i, " ".join(prose(20000 + i, 80) + line + prose(30000 + i, 80))) for i in range(120)]
+    rows += [(200 + i, " ".join(prose(40000 + i, 50) + passage + line + prose(50000 + i, 50))) for i in range(2)]
+    tried, verified = [], substring_dedup._verified
+
+    def counted(pairs, texts, rules):
+        tried.append(pairs.count())
+        return verified(pairs, texts, rules)
+
+    monkeypatch.setattr(substring_dedup, "_verified", counted)
+    got = near_duplicate_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {frozenset((g.doc_id, g.other_id)) for g in got} == {frozenset((200, 201))}
+    assert sum(tried) <= 4 * len(rows)
+
+
+@pytest.mark.parametrize("block_rows", [16, 1 << 15])
+def test_windows_of_one_min_hash_are_compared_by_what_is_around(spark, block_rows):
+    """A min-hash of more texts than a block: the pairs of a passage are found among all that share a line."""
+    from quotelake.llm.common import Scratch
+    from quotelake.llm.substring_dedup import _between_classes, _links, _windows
+    rules = PassageRules(block_rows=block_rows)
+    line, passages = prose(820, 15), [prose(821 + p, 60) for p in range(5)]
+    rows = [(i, " ".join(prose(60000 + i, 80) + line + prose(70000 + i, 80))) for i in range(150)]
+    rows += [(200 + i, " ".join(prose(80000 + i, 50) + passages[i % 5] + line + prose(90000 + i, 50))) for i in range(10)]
+    texts = spark.createDataFrame(rows, "key bigint, text string")
+    scratch = Scratch(spark)
+    found = scratch.written(_links(_windows(texts, rules, 2)), "test-links")
+    names = found.filter("y IS NULL AND token IS NULL").select("x", "key")
+    none = spark.createDataFrame([], "x_key bigint, y_key bigint")
+    pairs = _between_classes(found.filter("token IS NOT NULL").select("x", "f", "token", "xl", "xr"), names, texts, none, rules, scratch)
+    key = {r.x: r.key for r in names.collect()}
+    assert {frozenset((key[p.x], key[p.y])) for p in pairs.collect()} == {frozenset((200 + i, 205 + i)) for i in range(5)}
+
+
+def test_sharing_pairs_against_brute_force():
+    from quotelake.llm.substring_dedup import _sharing_pairs
+    for seed in range(20):
+        r = np.random.default_rng(seed)
+        n = 60
+        sets = [np.unique(r.integers(0, 60, int(r.integers(5, 40)))) for _ in range(n)]
+        cell, group, need = r.integers(0, 3, n), r.integers(0, 20, n), r.integers(1, 16, n)
+        want = {(max(i, j), min(i, j)) for i in range(n) for j in range(i) if cell[i] == cell[j] and group[i] != group[j]
+                and len(np.intersect1d(sets[i], sets[j])) >= max(need[i], need[j])}
+        got = _sharing_pairs(cell, np.arange(n), group, need, np.concatenate(sets), np.array([len(s) for s in sets]), block=16)
+        assert got == want
+
+
+def test_surroundings_bound_what_a_passage_shares():
+    """No passage that holds the minimum of a window shares less than the bound with any partner."""
+    from quotelake.llm.substring_dedup import _different, _surroundings
+    for seed in range(40):
+        r = np.random.default_rng(seed)
+        h = r.integers(0, int(r.integers(4, 80)), int(r.integers(12, 60))).astype(np.uint64)
+        value, length = h * np.uint64(2654435761) % np.uint64(97), 10
+        kinds = _different(h, np.ones(len(h), bool), length)
+        assert kinds.tolist() == [len(set(h[i:i + length].tolist())) for i in range(len(h) - length + 1)]
+        least, near = _surroundings(h, value, 1, len(h) - 1, kinds, length)
+        at = [i for i in range(1, len(h)) if value[i] == value[1:].min()]
+        stretches = [set(h[i:i + length].tolist()) for i in range(1, len(h) - length + 1) if any(i <= k < i + length for k in at)]
+        assert least == min(map(len, stretches)) and set(near.tolist()) == set().union(*stretches)
+
+
+def test_the_bound_on_unshared_shingles_rejects_no_passage(monkeypatch):
+    from quotelake.llm import substring_dedup
+    rules, cases = PassageRules(), []
+    for seed in range(150):
+        r = np.random.default_rng(seed)
+        few, many = int(r.integers(3, 60)), int(r.integers(60, 400))
+        base = np.resize(r.integers(0, 500, few), many)
+        x, y = (np.where(r.random(many) < r.choice([0, 0.02, 0.1]), r.integers(0, 600, many), np.roll(base, int(r.integers(0, 50))))
+                for _ in range(2))
+        cases.append((np.append(x, r.integers(1000, 2000, 40)).astype(np.uint64), y.astype(np.uint64)))
+    got = [shared_passages(x, y, rules) for x, y in cases]
+    monkeypatch.setattr(substring_dedup, "_may_be_similar", lambda *_: True)
+    assert got == [shared_passages(x, y, rules) for x, y in cases] and 20 < sum(map(bool, got)) < 150
