@@ -312,3 +312,28 @@ def test_the_bound_on_unshared_shingles_rejects_no_passage(monkeypatch):
     got = [shared_passages(x, y, rules) for x, y in cases]
     monkeypatch.setattr(substring_dedup, "_may_be_similar", lambda *_: True)
     assert got == [shared_passages(x, y, rules) for x, y in cases] and 20 < sum(map(bool, got)) < 150
+
+
+def test_every_pair_of_texts_is_linked_whatever_else_joins_them(spark):
+    """Texts that hang together by one passage and share others: no pair is left out, and no passage of it."""
+    passages = [prose(840 + p, 70) for p in range(4)]
+    rows = [(i, " ".join(prose(86000 + i, 40) + passages[0] + prose(87000 + i, 60) + passages[1 + i % 3] + prose(88000 + i, 40))) for i in range(30)]
+    rows += [(100, rows[0][1])]
+    got = near_duplicate_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {frozenset((g.doc_id, g.other_id)) for g in got} == {frozenset((i, j)) for i in range(30) for j in range(i)} | {frozenset((0, 100))}
+    text = {d: words_of(t) for d, t in rows}
+    shared = {}
+    for g in got:
+        shared.setdefault(frozenset((g.doc_id, g.other_id)), set()).update(text[g.doc_id][g.start_word:g.end_word])
+    for i in range(30):
+        for j in range(i % 3, i, 3):
+            assert set(passages[0] + passages[1 + i % 3]) <= shared[frozenset((i, j))]
+
+
+def test_a_text_travels_once_for_many_partners(spark):
+    from quotelake.llm.substring_dedup import _cells
+    pairs = [(x, y, 0, 9, 0, 9) for x in range(300) for y in range(x)] + [(1000 + i, 2000 + i, 0, 9, 0, 9) for i in range(50)]
+    cells = _cells(spark.createDataFrame(pairs, "x_key bigint, y_key bigint, xl int, xr int, yl int, yr int")).collect()
+    assert sorted((c.x_key, c.y_key) for c in cells) == sorted(p[:2] for p in pairs)
+    held = {(c.cell, k) for c in cells for k in (c.x_key, c.y_key)}
+    assert len(held) < 25 * 100 + 300 and max(sum(c == cell for c, _ in held) for cell in {c for c, _ in held}) < 220
