@@ -524,9 +524,8 @@ def interval_join(spark, sf_dir):
     windows = q.where("row_id % 25 = 0").select(
         "symbol", F.col("row_id").alias("window_id"), F.col("recorded_at").alias("window_start"),
         (F.col("recorded_at") + F.expr("make_dt_interval(0, 0, 7 * (1 + volume_24h * volume_24h))")).alias("window_end"))
-    hit = join_intervals(q.select("symbol", "price_usd", "volume_24h", "recorded_at"), windows, ["symbol"])
-    return hit.groupBy("window_id", "symbol").agg(F.count(F.lit(1)).alias("quotes"), F.max("price_usd").alias("max_price"),
-                                                  F.sum("volume_24h").alias("volume"))
+    return join_intervals(q.select("symbol", "price_usd", "volume_24h", "recorded_at"), windows, ["symbol"], by=["window_id", "symbol"],
+                          totals={"quotes": ("count", None), "max_price": ("max", "price_usd"), "volume": ("sum", "volume_24h")})
 
 
 def _by_day(spark: SparkSession, sf_dir: str, name: str) -> NewestFirst:
